@@ -105,6 +105,7 @@ def weighted_distribution(
     as_array: bool = True,
     exact_money: bool = False,
     window_rows: int = WINDOW_ROWS,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Exact distribution of amounts that occur a given number of times.
 
@@ -115,7 +116,7 @@ def weighted_distribution(
     pass counts the amounts in intervals, keeps the interval each quantile falls into, and cuts that
     one again, until what is left is small enough to rank. No task ever holds a whole group then.
     """
-    staging = Staging(values.sparkSession)
+    staging = staging or Staging(values.sparkSession)
     values = staging.table(values, "values")
     asked = [Decimal(str(p)) for p in (MEDIAN, *probabilities)]
 

@@ -9,27 +9,28 @@ from pyspark.sql import functions as F
 
 from tellerloom.functions.names import folding, owners, ref
 from tellerloom.specs import JOINED_COLUMNS
-from tellerloom.staging import stage
+from tellerloom.staging import Staging
 
 CUSTOMER = "_customer"
 
+# The customer's column in transactions, accounts and master.
+TRANSACTION_CUSTOMER, ACCOUNT_CUSTOMER, MASTER_CUSTOMER = "CustomerID", "customerid", "Number"
+
 
 def keyed(transactions: DataFrame, accounts: DataFrame, master: DataFrame) -> dict[str, DataFrame]:
-    """The three inputs with their customer key as text in one common column.
+    """The three inputs with their customer, as text, in one common column instead of their own.
 
     Keys are compared as text, so ``07`` is not customer 7.
     """
     keys = {
-        "transactions": (transactions, "CustomerID"),
-        "accounts": (accounts, "customerid"),
-        "master": (master, "Number"),
+        "transactions": (transactions, TRANSACTION_CUSTOMER),
+        "accounts": (accounts, ACCOUNT_CUSTOMER),
+        "master": (master, MASTER_CUSTOMER),
+    }
+    return {
+        label: frame.withColumn(CUSTOMER, ref(key).cast("string")).drop(key)
+        for label, (frame, key) in keys.items()
     }
-    frames = {}
-    for label, (frame, key) in keys.items():
-        keyed_frame = frame.withColumn(CUSTOMER, ref(key).cast("string"))
-        # The transaction keeps its own spelling of the key; the other two are join keys only.
-        frames[label] = keyed_frame if label == "transactions" else keyed_frame.drop(key)
-    return frames
 
 
 def enrich(
@@ -38,6 +39,7 @@ def enrich(
     master: DataFrame,
     columns: Sequence[str] = JOINED_COLUMNS,
     staged: bool = True,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Inner-join transactions with accounts and customer master, on the customer.
 
@@ -50,32 +52,39 @@ def enrich(
     """
     frames = keyed(transactions, accounts, master)
     fold = folding(transactions.sparkSession)
-    selectable = {label: frame.drop(CUSTOMER) for label, frame in frames.items()}
-    owner = owners(selectable, columns)
-    wanted = {
-        label: [ref(name).alias(name) for name in columns if owner[name] == label]
-        for label in frames
-    }
-    parts = {
-        label: frame.select(F.col(CUSTOMER), *wanted[label]) for label, frame in frames.items()
-    }
     if len({fold(name) for name in columns}) != len(columns):
         raise ValueError(f"a column is asked for twice in {list(columns)}")
+    is_customer = {name: fold(name) == fold(TRANSACTION_CUSTOMER) for name in columns}
+    owner = owners(
+        {label: frame.drop(CUSTOMER) for label, frame in frames.items()},
+        [name for name in columns if not is_customer[name]],
+    )
 
-    holders = parts["accounts"].join(parts["master"], CUSTOMER)
+    def part(label: str) -> DataFrame:
+        own = [ref(name).alias(name) for name in columns if owner.get(name) == label]
+        return frames[label].select(CUSTOMER, *own)
+
+    holders = part("accounts").join(part("master"), CUSTOMER)
     if staged:
-        holders = stage(holders, "holders")
-    joined = parts["transactions"].join(holders, CUSTOMER)
-    return joined.select(*[ref(name) for name in columns])
+        holders = (staging or Staging(holders.sparkSession)).table(holders, "holders")
+    joined = part("transactions").join(holders, CUSTOMER)
+    return joined.select(*[
+        F.col(CUSTOMER).alias(name) if is_customer[name] else ref(name) for name in columns
+    ])
 
 
-def unmatched(transactions: DataFrame, accounts: DataFrame, master: DataFrame) -> DataFrame:
+def unmatched(
+    transactions: DataFrame,
+    accounts: DataFrame,
+    master: DataFrame,
+    staging: Staging | None = None,
+) -> DataFrame:
     """The transactions the joined table loses: no account, or no master row, for the customer."""
-    key = ref("CustomerID")
     frames = keyed(transactions, accounts, master)
     holders = (
         frames["accounts"].select(CUSTOMER).distinct()
         .join(frames["master"].select(CUSTOMER).distinct(), CUSTOMER)
     )
-    holders = stage(holders, "holder-keys")
-    return transactions.join(holders, key == F.col(CUSTOMER), "left_anti")
+    holders = (staging or Staging(holders.sparkSession)).table(holders, "holder-keys")
+    same = ref(TRANSACTION_CUSTOMER).cast("string") == F.col(CUSTOMER)
+    return transactions.join(holders, same, "left_anti")

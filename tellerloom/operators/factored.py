@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ from tellerloom.operators.distribution import (
     distribution,
     weighted_distribution,
 )
-from tellerloom.operators.enrich import CUSTOMER, keyed
-from tellerloom.staging import Staging, stage
+from tellerloom.operators.enrich import CUSTOMER, TRANSACTION_CUSTOMER, keyed
+from tellerloom.staging import Staging
 
 ROWS, TOTAL = "_rows", "_total"
 
@@ -81,10 +83,8 @@ def _narrow(df: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 def _times(counts: Sequence[str]) -> Column:
     """How often a row repeats: a product of counts that may pass the range of a long."""
-    product = F.lit(1).cast("decimal(1,0)")
-    for name in counts:
-        product = (product * F.col(name).cast("decimal(28,0)")).cast("decimal(28,0)")
-    return product
+    whole = [F.col(name).cast("decimal(20,0)") for name in counts]
+    return reduce(mul, whole).cast("decimal(38,0)")
 
 
 def _segments(rolled: Rollups, dims: Sequence[str], exact_money: bool) -> DataFrame:
@@ -141,23 +141,27 @@ def distribution_of(
     probabilities: Sequence[float] = QUARTILES,
     as_array: bool = True,
     exact_money: bool = False,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The exact distribution of the joined table's amounts, from its parts.
 
     The repetitions are staged, so the join with the transactions reads both sides straight from a
     shuffle and adaptive execution can split a customer that holds a large part of them.
     """
-    weights = stage(repetitions(rolled, by), "repetitions")
+    staging = staging or Staging(transactions.sparkSession)
+    weights = staging.table(repetitions(rolled, by), "repetitions")
     own = [ref(name).alias(name) for name in by if name not in weights.columns]
     amounts = transactions.select(
-        ref("CustomerID").cast("string").alias(CUSTOMER), *own, ref(amount).alias(_VALUE)
+        ref(TRANSACTION_CUSTOMER).cast("string").alias(CUSTOMER), *own, ref(amount).alias(_VALUE)
     )
     values = (
         amounts.join(weights, CUSTOMER)
         .groupBy(*[ref(name) for name in by], _VALUE)
         .agg(F.sum(_WEIGHT).cast("decimal(28,0)").alias(_WEIGHT))
     )
-    return weighted_distribution(values, by, probabilities, as_array, exact_money)
+    return weighted_distribution(
+        values, by, probabilities, as_array, exact_money, staging=staging
+    )
 
 
 def factored_distribution(

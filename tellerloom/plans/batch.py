@@ -6,8 +6,7 @@ Stages hand over stored tables, so each can be repeated or scheduled by itself.
 from __future__ import annotations
 
 import datetime
-import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +20,6 @@ from tellerloom.sinks import FileSink, Sink, write_table
 from tellerloom.specs import ACCOUNTS, JOINED_COLUMNS, MASTER, SPECS, TRANSACTIONS
 from tellerloom.staging import Staging
 
-log = logging.getLogger(__name__)
-
 # The names of the result tables.
 COUNTRY_GENDER_ACCOUNT_TABLE = "df_agg_country_gender_account"
 COUNTRY_DEPARTMENT_PAYMENT_TABLE = "df_agg_country_department_payment"
@@ -44,33 +41,48 @@ def preview(df: DataFrame, rows: int = 5, truncate: bool = True) -> None:
 
 
 def marts(
-    transactions: DataFrame,
-    accounts: DataFrame,
-    master: DataFrame,
+    prepared: Mapping[str, DataFrame],
     staging: Staging,
     exact_money: bool = False,
     as_array: bool = True,
-) -> dict[str, DataFrame]:
-    """The three marts of prepared datasets, by table name. They share one set of staged rollups."""
+) -> dict[str, Callable[[], DataFrame]]:
+    """How to build each mart of the prepared datasets, by table name.
+
+    They share one set of staged rollups. The distribution runs jobs while it is built, which is why
+    the marts are handed over unbuilt: the caller can build and write all of them side by side.
+    """
+    transactions, accounts, master = (
+        prepared[spec.name] for spec in (TRANSACTIONS, ACCOUNTS, MASTER)
+    )
     lazy = rollups(transactions, accounts, master, MART_DIMS, exact_money=exact_money)
     frames = lazy.frames().items()
     writes = [lambda df=df, name=name: staging.table(df, f"rollup-{name}") for name, df in frames]
     rolled = Rollups(*side_by_side(staging.spark, writes))
     return {
-        COUNTRY_GENDER_ACCOUNT_TABLE: mart_of(rolled, COUNTRY_GENDER_ACCOUNT, exact_money),
-        COUNTRY_DEPARTMENT_PAYMENT_TABLE: mart_of(rolled, COUNTRY_DEPARTMENT_PAYMENT, exact_money),
-        DISTRIBUTION_TABLE: distribution_of(
-            rolled, transactions, as_array=as_array, exact_money=exact_money
+        DISTRIBUTION_TABLE: lambda: distribution_of(
+            rolled, transactions, as_array=as_array, exact_money=exact_money, staging=staging
+        ),
+        COUNTRY_GENDER_ACCOUNT_TABLE: lambda: mart_of(rolled, COUNTRY_GENDER_ACCOUNT, exact_money),
+        COUNTRY_DEPARTMENT_PAYMENT_TABLE: lambda: mart_of(
+            rolled, COUNTRY_DEPARTMENT_PAYMENT, exact_money
         ),
     }
 
 
 def _write_all(
-    spark: SparkSession, tables: Mapping[str, DataFrame], sink: Sink, mode: str
+    spark: SparkSession,
+    tables: Mapping[str, Callable[[], DataFrame]],
+    sink: Sink,
+    mode: str,
+    previews: int = 0,
 ) -> dict[str, int]:
-    writes = [
-        lambda name=name, df=df: write_table(df, sink, name, mode) for name, df in tables.items()
-    ]
+    def write(name: str, build: Callable[[], DataFrame]) -> int:
+        df = build()
+        if previews:
+            preview(df, previews)
+        return write_table(df, sink, name, mode)
+
+    writes = [lambda name=name, build=build: write(name, build) for name, build in tables.items()]
     return dict(zip(tables, side_by_side(spark, writes)))
 
 
@@ -102,14 +114,11 @@ def run_pipeline(
                 narrow = cleaned(sources[name], spec).select(*[ref(c) for c in MART_COLUMNS[name]])
                 writes.append(lambda df=narrow, name=name: staging.table(df, f"prepared-{name}"))
             prepared = dict(zip(SPECS, side_by_side(spark, writes)))
-        tables = marts(
-            *[prepared[s.name] for s in (TRANSACTIONS, ACCOUNTS, MASTER)],
-            staging, exact_money, as_array,
-        )
         if previews:
-            for df in (*prepared.values(), *tables.values()):
+            for df in prepared.values():
                 preview(df, previews)
-        return _write_all(spark, tables, sink, mode)
+        tables = marts(prepared, staging, exact_money, as_array)
+        return _write_all(spark, tables, sink, mode, previews)
     finally:
         staging.drop()
 
@@ -121,7 +130,10 @@ def stage_prepare(
     as_of: datetime.date | None = None,
 ) -> dict[str, int]:
     """First stage: the prepared datasets as tables under ``store``."""
-    prepared = {name: prepare(sources[name], spec, as_of) for name, spec in SPECS.items()}
+    prepared = {
+        name: lambda name=name, spec=spec: prepare(sources[name], spec, as_of)
+        for name, spec in SPECS.items()
+    }
     return _write_all(spark, prepared, FileSink(f"{store}/prepared"), "overwrite")
 
 
@@ -139,8 +151,13 @@ def stage_enrich(
     Leave out of ``columns`` whatever personal data the reader of the table should not have.
     """
     prepared = prepared_tables(spark, store)
-    joined = enrich(*[prepared[s.name] for s in (TRANSACTIONS, ACCOUNTS, MASTER)], columns)
-    return write_table(joined, FileSink(store), "joined")
+    staging = Staging(spark)
+    try:
+        inputs = [prepared[s.name] for s in (TRANSACTIONS, ACCOUNTS, MASTER)]
+        joined = enrich(*inputs, columns, staging=staging)
+        return write_table(joined, FileSink(store), "joined")
+    finally:
+        staging.drop()
 
 
 def stage_marts(
@@ -154,11 +171,7 @@ def stage_marts(
     """Last stage: the marts of the stored datasets, to ``sink``."""
     staging = Staging(spark)
     try:
-        prepared = prepared_tables(spark, store)
-        tables = marts(
-            *[prepared[s.name] for s in (TRANSACTIONS, ACCOUNTS, MASTER)],
-            staging, exact_money, as_array,
-        )
+        tables = marts(prepared_tables(spark, store), staging, exact_money, as_array)
         return _write_all(spark, tables, sink, mode)
     finally:
         staging.drop()

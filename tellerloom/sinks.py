@@ -17,11 +17,15 @@ log = logging.getLogger(__name__)
 class Sink(Protocol):
     """Anything that can save a frame under a table name."""
 
+    def arranged(self, df: DataFrame) -> DataFrame:
+        """The frame in the partitions it is to be written from."""
+        return df
+
     def save(self, df: DataFrame, table: str, mode: str) -> None: ...
 
 
 @dataclass(frozen=True)
-class FileSink:
+class FileSink(Sink):
     """One folder per table under a base URI."""
 
     base_uri: str
@@ -36,7 +40,7 @@ class FileSink:
 
 
 @dataclass(frozen=True)
-class CatalogSink:
+class CatalogSink(Sink):
     """Tables of the session's catalog."""
 
     database: str | None = None
@@ -48,7 +52,7 @@ class CatalogSink:
 
 
 @dataclass(frozen=True)
-class JdbcSink:
+class JdbcSink(Sink):
     """Tables of a relational database, over at most ``connections`` connections.
 
     The rows are brought to that many partitions by a shuffle, so that the work before it keeps its
@@ -59,19 +63,24 @@ class JdbcSink:
     batchsize: int = 10_000
     connections: int = 8
 
+    def arranged(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.connections)
+
     def save(self, df: DataFrame, table: str, mode: str) -> None:
         properties = {**self.database.properties(), "batchsize": str(self.batchsize)}
-        df.repartition(self.connections).write.jdbc(self.database.url, table, mode, properties)
+        df.write.jdbc(self.database.url, table, mode, properties)
 
 
 def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite") -> int:
     """Save ``df`` and return how many rows were written, counted by the write itself.
 
-    A failure is logged and raised again.
+    The count is taken in the tasks that write, after any shuffle, so that tasks repeated on the way
+    there do not count twice. A failure is logged and raised again.
     """
     written = Observation(f"rows of {table}")
+    counted = sink.arranged(df).observe(written, F.count(F.lit(1)).alias("rows"))
     try:
-        sink.save(df.observe(written, F.count(F.lit(1)).alias("rows")), table, mode)
+        sink.save(counted, table, mode)
     except Exception:
         log.exception("writing %s failed", table)
         raise

@@ -45,7 +45,3 @@ class Staging:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Stage a single table."""
-    return Staging(df.sparkSession).table(df, label)
