@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,9 +22,9 @@ from tellerloom.staging import Staging
 QUARTILES = (0.25, 0.5, 0.75)
 MEDIAN = 0.5
 
-# A group with at most this many different amounts is ranked by one sort in one task.
+# At most this many amounts are ranked by one sort in one task.
 WINDOW_ROWS = 1_000_000
-# Into how many intervals one pass cuts a group that has more.
+# Into how many intervals each further pass cuts a range that has more.
 INTERVALS = 1_000
 # Ranges are few: groups times probabilities. Up to this many are broadcast to the amounts.
 BROADCAST_RANGES = 50_000
@@ -48,9 +50,10 @@ def distribution(
     """
     groups = [ref(name) for name in by]
     if exact:
-        counted = df.groupBy(*[ref(name).alias(name) for name in by], ref(amount).alias(_VALUE))
-        values = counted.agg(F.count(F.lit(1)).cast("decimal(28,0)").alias(_WEIGHT))
-        return weighted_distribution(values, by, probabilities, as_array, exact_money)
+        once = F.lit(1).cast("bigint").alias(_WEIGHT)
+        own = [ref(name).alias(name) for name in by]
+        amounts = df.select(*own, ref(amount).alias(_VALUE), once)
+        return weighted_distribution(amounts, by, probabilities, as_array, exact_money)
 
     value = ref(amount)
     mean = F.avg(value).cast("double")
@@ -99,7 +102,7 @@ def flatten_quantiles(stats: DataFrame, probabilities: Sequence[float] = QUARTIL
 
 
 def weighted_distribution(
-    values: DataFrame,
+    amounts: DataFrame,
     by: Sequence[str],
     probabilities: Sequence[float] = QUARTILES,
     as_array: bool = True,
@@ -107,46 +110,46 @@ def weighted_distribution(
     window_rows: int = WINDOW_ROWS,
     staging: Staging | None = None,
 ) -> DataFrame:
-    """Exact distribution of amounts that occur a given number of times.
+    """Exact distribution of amounts that each stand for a number of rows.
 
-    ``values`` has one row per group and different amount: ``by``, ``_value``, ``_weight``. Repeated
-    rows are a number here, so no fan-out is ever written out.
+    ``amounts`` has the columns ``by``, ``_value`` and ``_weight``. Repetition is a number here, so
+    no fan-out is ever written out, and the amounts are shuffled neither by group nor by value.
 
-    Groups of up to ``window_rows`` amounts are ranked by one window. If any group has more, every
-    pass counts the amounts in intervals, keeps the interval each quantile falls into, and cuts that
-    one again, until what is left is small enough to rank. No task ever holds a whole group then.
+    Up to ``window_rows`` amounts are ranked by one window. More are counted in intervals first: that
+    is one small row per group and interval, summed before the shuffle. Each quantile falls into one
+    interval, which the next pass cuts again, until what it holds is few enough to rank. No task ever
+    sorts or holds a whole group.
     """
-    staging = staging or Staging(values.sparkSession)
-    values = staging.table(values, "values")
-    asked = [Decimal(str(p)) for p in (MEDIAN, *probabilities)]
-
-    sizes = values.groupBy(*[ref(name) for name in by]).agg(F.count(F.lit(1)).alias("n"))
-    groups, largest = sizes.agg(F.count(F.lit(1)), F.max("n")).first()
-    if (largest or 0) <= window_rows:
-        stats = _ranked_at_once(values, by, asked, exact_money)
+    staging = staging or Staging(amounts.sparkSession)
+    asked = [Decimal(str(p)) for p in dict.fromkeys((MEDIAN, *probabilities))]
+    table, rows = staging.counted(amounts, "amounts")
+    if rows <= window_rows:
+        stats = _ranked_at_once(table, by, asked, exact_money)
     else:
-        few = groups * len(asked) <= BROADCAST_RANGES
-        stats = _narrowed(staging, values, by, asked, exact_money, window_rows, few)
+        stats = _narrowed(staging, table, by, asked, exact_money, window_rows)
 
-    found = [F.col(f"_q{i}").cast("double") for i in range(1, len(asked))]
+    picked = {p: F.col(f"_q{i}").cast("double") for i, p in enumerate(asked)}
+    median = picked[Decimal(str(MEDIAN))]
     # A group without a single amount has no quantiles, rather than an array of NULLs.
-    array = F.when(F.col("_q0").isNotNull(), F.array(*found))
+    array = F.when(median.isNotNull(), F.array(*[picked[Decimal(str(p))] for p in probabilities]))
     stats = stats.select(
         *[ref(name) for name in by],
-        "moyenne",
-        F.col("_q0").cast("double").alias("mediane"),
+        (F.col("_sum").cast("double") / F.col("_all").cast("double")).alias("moyenne"),
+        median.alias("mediane"),
         array.alias("quantiles"),
     )
     return stats if as_array else flatten_quantiles(stats, probabilities)
 
 
-def _mean(values: DataFrame, exact_money: bool) -> Column:
+def _measures(amounts: DataFrame, exact_money: bool) -> list[Column]:
+    """Rows that have an amount, and the sum of their amounts."""
     value, weight = F.col(_VALUE), F.col(_WEIGHT)
-    cents = isinstance(values.schema[_VALUE].dataType, DecimalType)
-    rows = F.sum(F.when(value.isNotNull(), weight)).cast("double")
     if exact_money:
-        return F.sum(money(value, not cents) * weight).cast("double") / rows
-    return F.sum(value.cast("double") * weight.cast("double")) / rows
+        cents = isinstance(amounts.schema[_VALUE].dataType, DecimalType)
+        total = F.sum(money(value, not cents) * weight)
+    else:
+        total = F.sum(value.cast("double") * weight.cast("double"))
+    return [F.sum(F.when(value.isNotNull(), weight)).alias("_all"), total.alias("_sum")]
 
 
 def _rank(rows: Column, probability: Decimal) -> Column:
@@ -155,19 +158,26 @@ def _rank(rows: Column, probability: Decimal) -> Column:
     return F.greatest(position, F.lit(1)).cast("decimal(28,0)")
 
 
+def _running(order: str, *keys: Column | str) -> Window:
+    window = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(order)
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _ranked_at_once(
-    values: DataFrame, by: Sequence[str], asked: Sequence[Decimal], exact_money: bool
+    amounts: DataFrame, by: Sequence[str], asked: Sequence[Decimal], exact_money: bool
 ) -> DataFrame:
     group = [ref(name) for name in by]
-    every = Window.partitionBy(*(group or [F.lit(0)]))
-    upto = every.orderBy(_VALUE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = F.when(F.col(_VALUE).isNotNull(), F.col(_WEIGHT))
-    ranked = values.withColumns({"_upto": F.sum(rows).over(upto), "_all": F.sum(rows).over(every)})
+    value = F.col(_VALUE)
+    counted = F.when(value.isNotNull(), F.col(_WEIGHT))
+    ranked = amounts.withColumns({
+        "_upto": F.sum(counted).over(_running(_VALUE, *group)),
+        "_rows": F.sum(counted).over(Window.partitionBy(*(group or [F.lit(0)]))),
+    })
     picks = [
-        F.min(F.when(F.col("_upto") >= _rank(F.col("_all"), p), F.col(_VALUE))).alias(f"_q{i}")
+        F.min(F.when(F.col("_upto") >= _rank(F.col("_rows"), p), value)).alias(f"_q{i}")
         for i, p in enumerate(asked)
     ]
-    return ranked.groupBy(*group).agg(_mean(values, exact_money).alias("moyenne"), *picks)
+    return ranked.groupBy(*group).agg(*_measures(amounts, exact_money), *picks)
 
 
 def _scale(value: Column) -> Column:
@@ -182,83 +192,96 @@ def _scale(value: Column) -> Column:
     )
 
 
-def _within(values: DataFrame, targets: DataFrame, by: Sequence[str], few: bool) -> DataFrame:
-    """The amounts inside each target's range; a group may be NULL."""
-    renamed = targets.withColumnsRenamed({name: f"_of_{name}" for name in by})
-    inside = (F.col(_VALUE) >= F.col("_low")) & (F.col(_VALUE) <= F.col("_high"))
-    for name in by:
-        inside &= ref(name).eqNullSafe(ref(f"_of_{name}"))
-    return values.join(F.broadcast(renamed) if few else renamed, inside)
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equal columns, pair by pair; NULL equals NULL."""
+    pairs = [ref(a).eqNullSafe(ref(b)) for a, b in zip(left, right)]
+    return reduce(and_, pairs, F.lit(True))
 
 
 def _narrowed(
     staging: Staging,
-    values: DataFrame,
+    amounts: DataFrame,
     by: Sequence[str],
     asked: Sequence[Decimal],
     exact_money: bool,
     window_rows: int,
-    few: bool,
 ) -> DataFrame:
     group = [ref(name) for name in by]
     value, weight = F.col(_VALUE), F.col(_WEIGHT)
-    summary = [
-        F.min(value).alias("_low"),
-        F.max(value).alias("_high"),
-        F.count(value).alias("_distinct"),
-    ]
-    rows = F.sum(F.when(value.isNotNull(), weight)).alias("_all")
-    totals = values.groupBy(*group).agg(_mean(values, exact_money).alias("moyenne"), rows, *summary)
-    totals = staging.table(totals, "totals")
-
-    ranks = F.posexplode(F.array(*[_rank(F.col("_all"), p) for p in asked])).alias(_TARGET, _RANK)
-    targets = totals.where("_all IS NOT NULL").select(*group, "_low", "_high", "_distinct", ranks)
-    targets = staging.table(targets, "targets")
-    # Amounts with equal scale are neighbours, a few thousand at most; cutting stops there.
-    too_wide = (F.col("_distinct") > window_rows) & (_scale(F.col("_low")) < _scale(F.col("_high")))
-    while not targets.where(too_wide).isEmpty():
-        interval = F.width_bucket(
-            _scale(value), _scale(F.col("_low")), _scale(F.col("_high")), F.lit(INTERVALS)
-        )
-        counted = (
-            _within(values, targets.where(too_wide), by, few)
-            .groupBy(*group, _TARGET, _RANK, interval.alias("_interval"))
-            .agg(F.sum(weight).alias("_rows"), *summary)
-        )
-        upto = (
-            Window.partitionBy(*group, _TARGET)
-            .orderBy("_interval")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        before = F.col("_upto") - F.col("_rows")
-        hit = (
-            counted.withColumn("_upto", F.sum("_rows").over(upto))
-            .where((before < F.col(_RANK)) & (F.col(_RANK) <= F.col("_upto")))
-            .withColumn(_RANK, (F.col(_RANK) - before).cast("decimal(28,0)"))
-            .select(*targets.columns)
-        )
-        targets = staging.table(targets.where(~too_wide).unionByName(hit), "targets")
+    low, high = F.col("_low"), F.col("_high")
+    bounds = [F.min(value).alias("_low"), F.max(value).alias("_high")]
+    held = [F.sum(weight).alias("_rows"), F.count(value).alias("_amounts"), *bounds]
+    found = [*by, _TARGET, _RANK, "_low", "_high", "_amounts"]
 
-    upto = (
-        Window.partitionBy(*group, _TARGET)
-        .orderBy(_VALUE)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = (
-        _within(values, targets, by, few)
-        .withColumn("_upto", F.sum(weight).over(upto))
-        .where(F.col("_upto") >= F.col(_RANK))
-        .groupBy(*group, _TARGET)
-        .agg(F.min(value).alias(_VALUE))
+    def hit(cells: DataFrame) -> DataFrame:
+        """The cells that hold their target's rank, which then counts from the cell's start."""
+        before = F.col("_upto") - F.col("_rows")
+        inside = (before < F.col(_RANK)) & (F.col(_RANK) <= F.col("_upto"))
+        left = (F.col(_RANK) - before).cast("decimal(28,0)")
+        return cells.where(inside).withColumn(_RANK, left).select(*[ref(name) for name in found])
+
+    def within(targets: DataFrame) -> DataFrame:
+        """The amounts in the targets' ranges; a range that several targets share comes once."""
+        ranges = targets.select(*group, low.alias("_from"), high.alias("_to")).distinct()
+        few = ranges.count() <= BROADCAST_RANGES
+        ranges = ranges.withColumnsRenamed({name: f"_of_{name}" for name in by})
+        inside = (value >= F.col("_from")) & (value <= F.col("_to"))
+        inside &= _same(by, [f"_of_{name}" for name in by])
+        cut = amounts.join(F.broadcast(ranges) if few else ranges, inside)
+        return cut.drop(*[f"_of_{name}" for name in by])
+
+    def shared_out(cells: DataFrame, targets: DataFrame) -> DataFrame:
+        """Each target with the cells of its range."""
+        key = [*by, "_from", "_to"]
+        asked_of = [*group, low.alias("_from"), high.alias("_to"), _TARGET, _RANK]
+        renamed = {name: f"_of_{name}" for name in key}
+        own = targets.select(*asked_of).withColumnsRenamed(renamed)
+        return cells.join(own, _same(key, list(renamed.values()))).drop(*renamed.values())
+
+    # First pass: cells one percent wide, the same for every group.
+    first = amounts.groupBy(*group, F.floor(_scale(value) * 100).alias("_cell"))
+    cells = staging.table(first.agg(*held, *_measures(amounts, exact_money)), "cells")
+    totals = cells.groupBy(*group).agg(F.sum("_all").alias("_all"), F.sum("_sum").alias("_sum"))
+    everything = Window.partitionBy(*(group or [F.lit(0)]))
+    upto = cells.where("_cell IS NOT NULL").withColumns({
+        "_upto": F.sum("_rows").over(_running("_cell", *group)),
+        "_every": F.sum("_rows").over(everything),
+    })
+    ranks = F.array(*[_rank(F.col("_every"), p) for p in asked])
+    targets = staging.table(
+        hit(upto.select("*", F.posexplode(ranks).alias(_TARGET, _RANK))), "targets"
     )
-    means = totals.select(
-        *group, F.lit(-1).alias(_TARGET), F.lit(None).cast(values.schema[_VALUE].dataType).alias(_VALUE),
-        "moyenne",
+
+    # Amounts of equal scale are neighbours, a few thousand at most; cutting stops there.
+    too_wide = (F.col("_amounts") > window_rows) & (_scale(low) < _scale(high))
+    while not targets.where(too_wide).isEmpty():
+        wide = targets.where(too_wide)
+        cell = F.width_bucket(
+            _scale(value), _scale(F.col("_from")), _scale(F.col("_to")), F.lit(INTERVALS)
+        )
+        counted = within(wide).groupBy(*group, "_from", "_to", cell.alias("_cell")).agg(*held)
+        upto = F.sum("_rows").over(_running("_cell", *group, _TARGET))
+        upto = shared_out(counted, wide).withColumn("_upto", upto)
+        targets = staging.table(targets.where(~too_wide).unionByName(hit(upto)), "targets")
+
+    # A range of one amount is the answer; the others are ranked.
+    single = targets.where(low == high).select(*group, _TARGET, low.alias(_VALUE))
+    several = targets.where(low < high)
+    distinct = within(several).groupBy(*group, "_from", "_to", _VALUE)
+    ranked = shared_out(distinct.agg(F.sum(weight).alias("_rows")), several)
+    ranked = ranked.withColumn("_upto", F.sum("_rows").over(_running(_VALUE, *group, _TARGET)))
+    reached = ranked.where(F.col("_upto") >= F.col(_RANK))
+    quantiles = single.unionByName(
+        reached.groupBy(*group, _TARGET).agg(F.min(value).alias(_VALUE))
     )
+
+    # The totals bring in every group, also one without amounts.
+    nothing = F.lit(None)
+    total_types = {field.name: field.dataType for field in totals.schema}
+    rows = quantiles.withColumns({
+        name: nothing.cast(total_types[name]) for name in ("_all", "_sum")
+    }).unionByName(totals.withColumns({
+        _TARGET: F.lit(-1), _VALUE: nothing.cast(amounts.schema[_VALUE].dataType)
+    }))
     picks = [F.max(F.when(F.col(_TARGET) == i, value)).alias(f"_q{i}") for i in range(len(asked))]
-    return (
-        found.withColumn("moyenne", F.lit(None).cast("double"))
-        .unionByName(means)
-        .groupBy(*group)
-        .agg(F.max("moyenne").alias("moyenne"), *picks)
-    )
+    return rows.groupBy(*group).agg(F.max("_all").alias("_all"), F.max("_sum").alias("_sum"), *picks)

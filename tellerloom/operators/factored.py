@@ -31,6 +31,9 @@ from tellerloom.staging import Staging
 
 ROWS, TOTAL = "_rows", "_total"
 
+# Repetitions up to this add up as longs, which hold nine million million such rows.
+SMALL_WEIGHT = 1_000_000
+
 
 @dataclass(frozen=True)
 class Rollups:
@@ -149,18 +152,18 @@ def distribution_of(
     shuffle and adaptive execution can split a customer that holds a large part of them.
     """
     staging = staging or Staging(transactions.sparkSession)
-    weights = staging.table(repetitions(rolled, by), "repetitions")
+    weights, most = staging.measured(
+        repetitions(rolled, by), "repetitions", F.max(_WEIGHT).alias("most")
+    )
+    if (most["most"] or 0) <= SMALL_WEIGHT:
+        weights = weights.withColumn(_WEIGHT, F.col(_WEIGHT).cast("bigint"))
     own = [ref(name).alias(name) for name in by if name not in weights.columns]
     amounts = transactions.select(
         ref(TRANSACTION_CUSTOMER).cast("string").alias(CUSTOMER), *own, ref(amount).alias(_VALUE)
     )
-    values = (
-        amounts.join(weights, CUSTOMER)
-        .groupBy(*[ref(name) for name in by], _VALUE)
-        .agg(F.sum(_WEIGHT).cast("decimal(28,0)").alias(_WEIGHT))
-    )
     return weighted_distribution(
-        values, by, probabilities, as_array, exact_money, staging=staging
+        amounts.join(weights, CUSTOMER).drop(CUSTOMER),
+        by, probabilities, as_array, exact_money, staging=staging,
     )
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -40,6 +41,17 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def measured(self, df: DataFrame, label: str, *measures: Column) -> tuple[DataFrame, dict]:
+        """A staged table, and aggregates over its rows taken while they are written."""
+        written = Observation(label)
+        table = self.table(df.observe(written, *measures), label)
+        return table, written.get
+
+    def counted(self, df: DataFrame, label: str) -> tuple[DataFrame, int]:
+        """A staged table and its number of rows."""
+        table, measures = self.measured(df, label, F.count(F.lit(1)).alias("rows"))
+        return table, measures["rows"]
+
     def drop(self) -> None:
         """Remove this run's tables; call it once nothing reads them any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
