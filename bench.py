@@ -50,9 +50,9 @@ def drained(df: DataFrame) -> None:
 
 def three_marts(spark: SparkSession) -> None:
     """The three marts of the stand-in, from shared rollups."""
-    tables = plans.marts(standin.datasets(spark, FOLDER), Staging(spark))
-    for build in tables.values():
-        drained(build())
+    with Staging(spark) as staging:
+        for build in plans.marts(standin.datasets(spark, FOLDER), staging).values():
+            drained(build())
 
 
 def three_marts_joined(spark: SparkSession) -> None:

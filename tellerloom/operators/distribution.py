@@ -41,6 +41,7 @@ def distribution(
     exact: bool = False,
     as_array: bool = True,
     exact_money: bool = False,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """Mean, median and quantiles of ``amount`` per group of ``by``; no ``by`` is one overall row.
 
@@ -53,7 +54,9 @@ def distribution(
         once = F.lit(1).cast("bigint").alias(_WEIGHT)
         own = [ref(name).alias(name) for name in by]
         amounts = df.select(*own, ref(amount).alias(_VALUE), once)
-        return weighted_distribution(amounts, by, probabilities, as_array, exact_money)
+        return weighted_distribution(
+            amounts, by, probabilities, as_array, exact_money, staging=staging
+        )
 
     value = ref(amount)
     mean = F.avg(value).cast("double")

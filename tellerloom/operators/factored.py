@@ -176,10 +176,13 @@ def factored_distribution(
     probabilities: Sequence[float] = QUARTILES,
     as_array: bool = True,
     exact_money: bool = False,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """What ``distribution(exact=True)`` gives on the joined table, from the three inputs."""
     rolled = rollups(transactions, accounts, master, by, amount, exact_money)
-    return distribution_of(rolled, transactions, by, amount, probabilities, as_array, exact_money)
+    return distribution_of(
+        rolled, transactions, by, amount, probabilities, as_array, exact_money, staging
+    )
 
 
 def factored_totals_distribution(

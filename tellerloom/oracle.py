@@ -47,7 +47,14 @@ hot_acc AS (
   FROM acc)
 """
 
+MOVED = """
+moved AS (
+  SELECT * FROM mas
+  UNION ALL BY NAME SELECT * REPLACE ('OCEANIA' AS "Country") FROM mas WHERE "Gender" = 'male')
+"""
+
 INPUTS = f"WITH {TX}, {ACC}, {MAS}"
+MOVED_INPUTS = f"{INPUTS}, {MOVED}"
 HOT_INPUTS = f"{INPUTS}, {HOT_TX}, {HOT_ACC}"
 
 
@@ -154,6 +161,13 @@ ORACLE: dict[str, str] = {
     "joined_distribution_exact": _distribution(),
     "joined_distribution_overall": _distribution(by=""),
     "joined_totals_distribution": _TOTALS,
+    "joined_text_keys": f"""{INPUTS}, padded AS (
+          SELECT "TransactionID", CASE WHEN "MoyenPaiement" = '5-LOW' THEN '0' || "CustomerID"
+                                       ELSE "CustomerID" END AS "CustomerID"
+          FROM tx)
+        SELECT "TransactionID", "CustomerID", account_number, "Country" {_join("padded")}""",
+    "moved_country_gender_account": _mart(ACCOUNT_DIMS, MOVED_INPUTS, _join(mas="moved")),
+    "moved_distribution": _distribution(MOVED_INPUTS, _join(mas="moved"), '"Gender"'),
     "unmatched_transactions": f"""{INPUTS}
         SELECT * FROM tx
         WHERE "CustomerID" NOT IN (
@@ -173,7 +187,9 @@ ORACLE: dict[str, str] = {
     "hot_customer_distribution": _distribution(HOT_INPUTS, HOT_JOIN),
     "hot_customer_detail": f"""{HOT_INPUTS}
         SELECT "TransactionID", "CustomerID", "Montant", account_number, "Country" {_join("hot_tx")}""",
-    "typed_ingest": f"WITH {TX} SELECT * FROM tx",
+    "typed_ingest_transactions": f"WITH {TX} SELECT * FROM tx",
+    "typed_ingest_accounts": f"WITH {ACC} SELECT * FROM acc",
+    "typed_ingest_master": f"WITH {MAS} SELECT {_MASTER_COLUMNS} FROM mas",
     "cast_malformed_transactions": f"""WITH {TX}
         SELECT "TransactionID", "CustomerID",
                CASE WHEN "MoyenPaiement" NOT IN ('1-URGENT', '2-HIGH') THEN "Montant" END AS "Montant",

@@ -103,8 +103,7 @@ def run_pipeline(
     in full, with hash keys and validity. Without, only the mart columns are staged for the run.
     ``previews`` prints that many rows of every input and result, at the price of a job each.
     """
-    staging = Staging(spark)
-    try:
+    with Staging(spark) as staging:
         if store is not None:
             stage_prepare(spark, sources, store, as_of)
             prepared = prepared_tables(spark, store)
@@ -119,8 +118,6 @@ def run_pipeline(
                 preview(df, previews)
         tables = marts(prepared, staging, exact_money, as_array)
         return _write_all(spark, tables, sink, mode, previews)
-    finally:
-        staging.drop()
 
 
 def stage_prepare(
@@ -151,13 +148,10 @@ def stage_enrich(
     Leave out of ``columns`` whatever personal data the reader of the table should not have.
     """
     prepared = prepared_tables(spark, store)
-    staging = Staging(spark)
-    try:
-        inputs = [prepared[s.name] for s in (TRANSACTIONS, ACCOUNTS, MASTER)]
+    inputs = [prepared[spec.name] for spec in (TRANSACTIONS, ACCOUNTS, MASTER)]
+    with Staging(spark) as staging:
         joined = enrich(*inputs, columns, staging=staging)
         return write_table(joined, FileSink(store), "joined")
-    finally:
-        staging.drop()
 
 
 def stage_marts(
@@ -169,12 +163,9 @@ def stage_marts(
     as_array: bool = True,
 ) -> dict[str, int]:
     """Last stage: the marts of the stored datasets, to ``sink``."""
-    staging = Staging(spark)
-    try:
+    with Staging(spark) as staging:
         tables = marts(prepared_tables(spark, store), staging, exact_money, as_array)
         return _write_all(spark, tables, sink, mode)
-    finally:
-        staging.drop()
 
 
 def stage_quality(

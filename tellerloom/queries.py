@@ -41,7 +41,7 @@ def inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     )
 
 
-# Marts from the inputs, without the joined table ---------------------------------------------
+# Marts from the inputs, without the joined table
 
 
 @query
@@ -67,7 +67,7 @@ def distribution_of_country_totals(spark: SparkSession, folder: str) -> DataFram
     )
 
 
-# The joined table and the operators on it -----------------------------------------------------
+# The joined table and the operators on it
 
 
 @query
@@ -115,6 +115,35 @@ def joined_totals_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return ops.totals_distribution(joined, as_array=False, exact_money=True)
 
 
+@query
+def joined_text_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A key with a leading zero is another customer, or none."""
+    transactions, accounts, master = inputs(spark, folder)
+    padded = F.concat(F.lit("0"), "CustomerID")
+    key = F.when(F.col("MoyenPaiement") == "5-LOW", padded).otherwise(F.col("CustomerID"))
+    columns = ["TransactionID", "CustomerID", "account_number", "Country"]
+    return ops.enrich(transactions.withColumn("CustomerID", key), accounts, master, columns)
+
+
+def _moved_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inputs whose male customers have a second master row, in another country."""
+    transactions, accounts, master = inputs(spark, folder)
+    second = master.where("Gender = 'male'").withColumn("Country", F.lit("OCEANIA"))
+    return transactions, accounts, master.unionByName(second)
+
+
+@query
+def moved_country_gender_account(spark: SparkSession, folder: str) -> DataFrame:
+    moved = _moved_inputs(spark, folder)
+    return ops.factored_mart(*moved, ops.COUNTRY_GENDER_ACCOUNT, exact_money=True)
+
+
+@query
+def moved_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    moved = _moved_inputs(spark, folder)
+    return ops.factored_distribution(*moved, by=["Gender"], as_array=False, exact_money=True)
+
+
 @query
 def unmatched_transactions(spark: SparkSession, folder: str) -> DataFrame:
     transactions, accounts, master = inputs(spark, folder)
@@ -129,7 +158,7 @@ def fan_out(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("joined_rows", F.col("joined_rows").cast("bigint"))
 
 
-# One customer with two fifths of the transactions and a third of the accounts -------------------
+# One customer with two fifths of the transactions and a third of the accounts
 
 
 def _hot_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -165,7 +194,7 @@ def hot_customer_detail(spark: SparkSession, folder: str) -> DataFrame:
     return ops.enrich(hot_transactions, standin.accounts(spark, folder), master, columns)
 
 
-# Typing ---------------------------------------------------------------------------------------
+# Typing
 
 
 def _written(spark: SparkSession, datasets: dict[str, DataFrame]) -> str:
@@ -178,12 +207,26 @@ def _written(spark: SparkSession, datasets: dict[str, DataFrame]) -> str:
     return root
 
 
+def _ingested(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A dataset written as text, read back and typed."""
+    spec = SPECS[name]
+    uri = _written(spark, {name: standin.datasets(spark, folder)[name]})
+    return ops.conform(read_delimited(spark, f"{uri}/{spec.path}", spec.sep), spec)
+
+
 @query
-def typed_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    transactions = standin.transactions(spark, folder)
-    uri = _written(spark, {TRANSACTIONS.name: transactions})
-    raw = read_delimited(spark, f"{uri}/{TRANSACTIONS.path}", TRANSACTIONS.sep)
-    return ops.conform(raw, TRANSACTIONS)
+def typed_ingest_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    return _ingested(spark, folder, TRANSACTIONS.name)
+
+
+@query
+def typed_ingest_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    return _ingested(spark, folder, ACCOUNTS.name)
+
+
+@query
+def typed_ingest_master(spark: SparkSession, folder: str) -> DataFrame:
+    return _ingested(spark, folder, MASTER.name)
 
 
 @query
@@ -221,7 +264,7 @@ def cast_malformed_master(spark: SparkSession, folder: str) -> DataFrame:
     return ops.conform(raw, MASTER).select("NationalID", "Country", "Number", "Birthday")
 
 
-# Cleaning -------------------------------------------------------------------------------------
+# Cleaning
 
 
 def _gaps(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,7 +305,7 @@ def dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
     return ops.dedup(transactions, ["CustomerID"], [F.col("DateTransaction").desc()])
 
 
-# Keys, validity, prepared datasets -------------------------------------------------------------
+# Keys, validity, prepared datasets
 
 
 def _hashes(spark: SparkSession, folder: str, null_safe: bool) -> DataFrame:
@@ -330,7 +373,7 @@ def prepared_master_any_null(spark: SparkSession, folder: str) -> DataFrame:
     return plans.prepare(full, MASTER.requiring(), AS_OF)
 
 
-# Whole jobs ------------------------------------------------------------------------------------
+# Whole jobs
 
 
 def _mart_rows(spark: SparkSession, sink: FileSink) -> DataFrame:

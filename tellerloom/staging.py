@@ -29,7 +29,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Staging:
-    """The staged tables of one run, under a folder of their own."""
+    """The staged tables of one run, under a folder of their own.
+
+    They are left in place for the lazy results that still read them. ``drop``, or leaving a ``with``
+    block, removes them.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -52,6 +56,12 @@ class Staging:
         table, measures = self.measured(df, label, F.count(F.lit(1)).alias("rows"))
         return table, measures["rows"]
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.drop()
+
     def drop(self) -> None:
         """Remove this run's tables; call it once nothing reads them any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
