@@ -6,9 +6,9 @@ import logging
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tellerloom.counting import counted
 from tellerloom.sources.jdbc import Database
 
 log = logging.getLogger(__name__)
@@ -77,10 +77,9 @@ def write_table(df: DataFrame, sink: Sink, table: str, mode: str = "overwrite")
     The count is taken in the tasks that write, after any shuffle, so that tasks repeated on the way
     there do not count twice. A failure is logged and raised again.
     """
-    written = Observation(f"rows of {table}")
-    counted = sink.arranged(df).observe(written, F.count(F.lit(1)).alias("rows"))
+    observed, written = counted(sink.arranged(df), f"rows of {table}")
     try:
-        sink.save(counted, table, mode)
+        sink.save(observed, table, mode)
     except Exception:
         log.exception("writing %s failed", table)
         raise

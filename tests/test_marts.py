@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,8 +9,8 @@ from tellerloom.operators import (
     factored_totals_distribution, fan_out, rollups, segment_mart, totals_distribution, unmatched,
 )
 from tellerloom.operators.factored import Rollups, mart_of
-from tellerloom.specs import JOINED_COLUMNS
-from tests.samples import collected, three_inputs
+from tellerloom.specs import ACCOUNTS, JOINED_COLUMNS, MASTER, TRANSACTIONS
+from tests.samples import collected, three_inputs, typed
 
 BY_ACCOUNT = {
     ("FR", "F", "checking", 1, 30.0), ("FR", "F", "savings", 1, 30.0), ("US", None, "checking", 1, 5.0)
@@ -149,3 +151,46 @@ def test_counts_beyond_a_long(spark):
     )
     assert fan_out(rolled).first()["joined_rows"] == many**3
     assert mart_of(rolled, ["Country"]).first()["total_montant"] == pytest.approx(2.0 * many**2)
+
+
+def random_inputs(spark, seed):
+    """Keys that are missing, repeated or padded; dimensions that are missing."""
+    rng = random.Random(seed)
+    keys = ["1", "2", "3", "03", "4", "7", None]
+    pick = lambda *values: rng.choice(values)
+    transactions = [
+        {"TransactionID": str(i), "CustomerID": pick(*keys, "7", "7", "7"),
+         "Montant": pick(None, round(rng.uniform(-50, 500), 2)), "MoyenPaiement": pick("card", None)}
+        for i in range(120)
+    ]
+    accounts = [
+        {"customerid": pick(*keys), "account_number": str(i), "account_type": pick("a", "b", None)}
+        for i in range(25)
+    ]
+    master = [
+        {"Number": pick(1, 2, 3, 7, 8, None), "Country": pick("FR", "US", None),
+         "Gender": pick("F", None), "State": pick("X", "Y"), "NationalID": str(i)}
+        for i in range(12)
+    ]
+    return (
+        typed(spark, TRANSACTIONS, transactions), typed(spark, ACCOUNTS, accounts),
+        typed(spark, MASTER, master),
+    )
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_both_ways_agree_on_random_inputs(spark, seed):
+    inputs = random_inputs(spark, seed)
+    joined = enrich(*inputs).persist()
+    for dims in (COUNTRY_GENDER_ACCOUNT, COUNTRY_DEPARTMENT_PAYMENT):
+        expected = collected(segment_mart(joined, dims, exact_money=True))
+        assert collected(factored_mart(*inputs, dims, exact_money=True)) == expected
+    for by in (["Country"], ["account_type", "MoyenPaiement"]):
+        expected = collected(distribution(joined, by, exact=True, exact_money=True))
+        assert collected(factored_distribution(*inputs, by=by, exact_money=True)) == expected
+        assert collected(distribution(joined, by, exact_money=True)) == expected
+    rolled = rollups(*inputs, dims=())
+    counts = fan_out(rolled).first()
+    assert counts["transactions"] == 120 and counts["joined_rows"] == joined.count()
+    assert counts["unmatched"] == unmatched(*inputs).count()
+    joined.unpersist()

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tellerloom import standin
 from tellerloom.operators import (
-    COUNTRY_GENDER_ACCOUNT, country_gender_account, distribution, enrich, factored_distribution,
-    factored_mart, segment_mart,
+    COUNTRY_GENDER_ACCOUNT, country_gender_account, dedup, distribution, enrich,
+    factored_distribution, factored_mart, fan_out, rollups, segment_mart,
 )
 from tellerloom.plans import prepare_all
 from tests.samples import collected
@@ -136,3 +136,22 @@ def test_distinct_customers_need_no_expansion(spark):
     joined = enrich(*standin.datasets(spark, FOLDER).values())
     plan = country_gender_account(joined)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and "partial_sum" in plan
+
+
+def test_copies_are_dropped_before_the_shuffle(spark):
+    """A row that is there many times crosses the network once per map task."""
+    transactions = standin.transactions(spark, FOLDER)
+    third = transactions.where("MoyenPaiement IN ('1-URGENT', '2-HIGH')").limit(1)
+    copies = transactions.unionByName(
+        third.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(7500)))).drop("n")
+    )
+    plan = dedup(copies)._jdf.queryExecution().executedPlan().toString()
+    shuffle = next(i for i, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning" in line)
+    assert "HashAggregate" in plan.splitlines()[shuffle + 1]
+    assert dedup(copies).count() == 15_000
+
+
+def test_quality_counts_do_not_join_rows(spark, hot):
+    plan, rows = executed(fan_out(rollups(*hot, dims=())))
+    assert "partial_count" in plan and "Expand" not in plan
+    assert rows[0][0] == 15_000

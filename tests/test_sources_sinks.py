@@ -5,6 +5,7 @@ from unittest import mock
 import pytest
 from pyspark.sql import DataFrameWriter, SparkSession
 
+from tellerloom.counting import counted
 from tellerloom.session import MIB, configure, s3a_options, scale_options
 from tellerloom.sinks import CatalogSink, FileSink, JdbcSink, write_table
 from tellerloom.sources import Database, postgres, read_table
@@ -121,3 +122,9 @@ def test_session_options():
     builder.config.return_value = builder
     assert configure(builder, options, scale) is builder
     assert builder.config.call_count == len(options) + len(scale)
+
+
+def test_rows_are_counted_by_the_action_that_runs_anyway(spark):
+    df, rows = counted(spark.range(12), "twelve")
+    assert len(df.collect()) == 12
+    assert rows.get["rows"] == 12
