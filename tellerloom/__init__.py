@@ -1 +1 @@
-"""Banking marts on Spark: typed, clean, keyed datasets; their join; counts, totals, distributions."""
+"""Banking marts on Spark: typed, clean, keyed datasets, their join, and statistics of them."""

@@ -82,5 +82,5 @@ def dedup(
     kept = {column for name in subset for column in matching(df, name)}
     rest = [ref(name) for name in df.columns if name not in kept]
     ranked = Window.partitionBy(*[ref(name) for name in subset]).orderBy(*order_by, *rest)
-    position = "_position"
-    return df.withColumn(position, F.row_number().over(ranked)).where(f"{position} = 1").drop(position)
+    numbered = df.withColumn("_position", F.row_number().over(ranked))
+    return numbered.where("_position = 1").drop("_position")

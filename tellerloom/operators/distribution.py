@@ -118,10 +118,10 @@ def weighted_distribution(
     ``amounts`` has the columns ``by``, ``_value`` and ``_weight``. Repetition is a number here, so
     no fan-out is ever written out, and the amounts are shuffled neither by group nor by value.
 
-    Up to ``window_rows`` amounts are ranked by one window. More are counted in intervals first: that
-    is one small row per group and interval, summed before the shuffle. Each quantile falls into one
-    interval, which the next pass cuts again, until what it holds is few enough to rank. No task ever
-    sorts or holds a whole group.
+    Up to ``window_rows`` amounts are ranked by one window. More are counted in intervals first:
+    that is one small row per group and interval, summed before the shuffle. Each quantile falls
+    into one interval, which the next pass cuts again, until what it holds is few enough to rank.
+    No task ever sorts or holds a whole group.
     """
     staging = staging or Staging(amounts.sparkSession)
     asked = [Decimal(str(p)) for p in dict.fromkeys((MEDIAN, *probabilities))]
@@ -287,4 +287,5 @@ def _narrowed(
         _TARGET: F.lit(-1), _VALUE: nothing.cast(amounts.schema[_VALUE].dataType)
     }))
     picks = [F.max(F.when(F.col(_TARGET) == i, value)).alias(f"_q{i}") for i in range(len(asked))]
-    return rows.groupBy(*group).agg(F.max("_all").alias("_all"), F.max("_sum").alias("_sum"), *picks)
+    measures = [F.max(name).alias(name) for name in ("_all", "_sum")]
+    return rows.groupBy(*group).agg(*measures, *picks)

@@ -1,10 +1,11 @@
 """The marts without the joined table.
 
 The joined table repeats a transaction once per account and master row of its customer, and the
-marts only count and add up those repetitions. So each input is first reduced to one row per customer
-and dimension value, with how many rows it stands for; the joins then run on the reduced inputs and
-the counts multiply. A customer holding a third of all transactions, accounts or master rows is a
-handful of rows after the first, map-side combined aggregation, and the fan-out is never produced.
+marts only count and add up those repetitions. So each input is first reduced to one row per
+customer and dimension value, with how many rows it stands for; the joins then run on the reduced
+inputs and the counts multiply. A customer holding a third of all transactions, accounts or master
+rows is a handful of rows after the first, map-side combined aggregation, and the fan-out is never
+produced.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ SMALL_WEIGHT = 1_000_000
 
 @dataclass(frozen=True)
 class Rollups:
-    """The three inputs per customer and dimension: ``_rows`` each, and ``_total`` of the amounts."""
+    """The inputs per customer and dimension: ``_rows`` each, and ``_total`` of the amounts."""
 
     transactions: DataFrame
     accounts: DataFrame
@@ -94,7 +95,8 @@ def _segments(rolled: Rollups, dims: Sequence[str], exact_money: bool) -> DataFr
     """Customers and total per segment; the total is in cents or floating point."""
     accounts = _narrow(rolled.accounts, dims).withColumnRenamed(ROWS, "_accounts")
     master = _narrow(rolled.master, dims).withColumnRenamed(ROWS, "_master")
-    per_customer = _narrow(rolled.transactions, dims).join(accounts, CUSTOMER).join(master, CUSTOMER)
+    transactions = _narrow(rolled.transactions, dims)
+    per_customer = transactions.join(accounts, CUSTOMER).join(master, CUSTOMER)
     if exact_money:
         total = F.col(TOTAL) * _times(["_accounts", "_master"])
     else:
@@ -206,7 +208,7 @@ def factored_totals_distribution(
 
 
 def fan_out(rolled: Rollups) -> DataFrame:
-    """One row: transactions, transactions without a match, joined rows, and rows per matched one."""
+    """One row: transactions, those without a match, joined rows, and joined rows per match."""
     bare = Rollups(*[_narrow(df, ()) for df in rolled.frames().values()])
     accounts = bare.accounts.withColumnRenamed(ROWS, "_accounts")
     master = bare.master.withColumnRenamed(ROWS, "_master")

@@ -1,6 +1,7 @@
 """Compositions: per-dataset preparation and the batch job."""
 
 from tellerloom.plans.batch import (
+    MART_DIMS,
     marts,
     prepared_tables,
     preview,
@@ -13,6 +14,6 @@ from tellerloom.plans.batch import (
 from tellerloom.plans.prepare import cleaned, prepare, prepare_all
 
 __all__ = [
-    "cleaned", "marts", "prepare", "prepare_all", "prepared_tables", "preview", "run_pipeline",
-    "stage_enrich", "stage_marts", "stage_prepare", "stage_quality",
+    "MART_DIMS", "cleaned", "marts", "prepare", "prepare_all", "prepared_tables", "preview",
+    "run_pipeline", "stage_enrich", "stage_marts", "stage_prepare", "stage_quality",
 ]

@@ -1,4 +1,4 @@
-"""Every operator as a query over a folder of tables. ``oracle.py`` holds the same queries in SQL."""
+"""Every operator as a query over a folder of tables. ``oracle.py`` holds the same in SQL."""
 
 from __future__ import annotations
 
@@ -238,8 +238,9 @@ def cast_malformed_transactions(spark: SparkSession, folder: str) -> DataFrame:
         "Montant": F.when(payment == "1-URGENT", F.concat(amount, F.lit("x")))
         .when(payment == "2-HIGH", F.lit("1,5"))
         .otherwise(amount),
-        "DateTransaction": F.when(payment == "3-MEDIUM", F.date_format("DateTransaction", "dd/MM/yyyy"))
-        .when(payment == "4-NOT SPECIFIED", F.lit("2024-13-01"))
+        "DateTransaction": F.when(
+            payment == "3-MEDIUM", F.date_format("DateTransaction", "dd/MM/yyyy")
+        ).when(payment == "4-NOT SPECIFIED", F.lit("2024-13-01"))
         .otherwise(date),
     }
     raw = standin.transactions(spark, folder).withColumns(texts)
@@ -269,9 +270,10 @@ def cast_malformed_master(spark: SparkSession, folder: str) -> DataFrame:
 
 def _gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions with gaps: no payment for some, no amount (NaN) for others."""
+    amount = F.col("Montant")
     return standin.transactions(spark, folder).withColumns({
         "MoyenPaiement": F.nullif(F.col("MoyenPaiement"), F.lit("5-LOW")),
-        "Montant": F.when(F.col("Montant") < 50000, F.lit(float("nan"))).otherwise(F.col("Montant")),
+        "Montant": F.when(amount < 50000, F.lit(float("nan"))).otherwise(amount),
     })
 
 
@@ -296,7 +298,8 @@ def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dedup_subset(spark: SparkSession, folder: str) -> DataFrame:
     orders = standin.table(spark, folder, "orders")
-    return ops.dedup(orders, ["o_custkey", "o_orderpriority"]).select("o_custkey", "o_orderpriority")
+    subset = ["o_custkey", "o_orderpriority"]
+    return ops.dedup(orders, subset).select(*subset)
 
 
 @query
@@ -359,8 +362,8 @@ def prepared_accounts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def prepared_master(spark: SparkSession, folder: str) -> DataFrame:
-    master = standin.master(spark, folder)
-    gaps = master.withColumn("NationalID", F.when(F.col("State") != "NATION_0", F.col("NationalID")))
+    known = F.when(F.col("State") != "NATION_0", F.col("NationalID"))
+    gaps = standin.master(spark, folder).withColumn("NationalID", known)
     return plans.prepare(_repeated(gaps), MASTER, AS_OF)
 
 

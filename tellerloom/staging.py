@@ -31,8 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
 class Staging:
     """The staged tables of one run, under a folder of their own.
 
-    They are left in place for the lazy results that still read them. ``drop``, or leaving a ``with``
-    block, removes them.
+    They are left in place for the lazy results that still read them. ``drop``, or leaving a
+    ``with`` block, removes them.
     """
 
     def __init__(self, spark: SparkSession):
