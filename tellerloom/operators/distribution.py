@@ -144,15 +144,13 @@ def weighted_distribution(
     return stats if as_array else flatten_quantiles(stats, probabilities)
 
 
-def _measures(amounts: DataFrame, exact_money: bool) -> list[Column]:
-    """Rows that have an amount, and the sum of their amounts."""
+def _sum(amounts: DataFrame, exact_money: bool) -> Column:
+    """The sum of the amounts over the rows they stand for."""
     value, weight = F.col(_VALUE), F.col(_WEIGHT)
     if exact_money:
         cents = isinstance(amounts.schema[_VALUE].dataType, DecimalType)
-        total = F.sum(money(value, not cents) * weight)
-    else:
-        total = F.sum(value.cast("double") * weight.cast("double"))
-    return [F.sum(F.when(value.isNotNull(), weight)).alias("_all"), total.alias("_sum")]
+        return F.sum(money(value, not cents) * weight).alias("_sum")
+    return F.sum(value.cast("double") * weight.cast("double")).alias("_sum")
 
 
 def _rank(rows: Column, probability: Decimal) -> Column:
@@ -180,19 +178,16 @@ def _ranked_at_once(
         F.min(F.when(F.col("_upto") >= _rank(F.col("_rows"), p), value)).alias(f"_q{i}")
         for i, p in enumerate(asked)
     ]
-    return ranked.groupBy(*group).agg(*_measures(amounts, exact_money), *picks)
+    return ranked.groupBy(*group).agg(
+        F.sum(counted).alias("_all"), _sum(amounts, exact_money), *picks
+    )
 
 
 def _scale(value: Column) -> Column:
-    """A number that grows with the amount over its whole range, infinities and NaN included."""
+    """A number that grows with the amount over its whole range; infinity and NaN share the end."""
     value = value.cast("double")
     damped = F.signum(value) * F.log1p(F.abs(value))
-    return (
-        F.when(F.isnan(value), F.lit(2000.0))
-        .when(damped > 1000, F.lit(1000.0))
-        .when(damped < -1000, F.lit(-1000.0))
-        .otherwise(damped)
-    )
+    return F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), damped))
 
 
 def _same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -226,7 +221,6 @@ def _narrowed(
     def within(targets: DataFrame) -> DataFrame:
         """The amounts in the targets' ranges; a range that several targets share comes once."""
         ranges = targets.select(*group, low.alias("_from"), high.alias("_to")).distinct()
-        few = ranges.count() <= BROADCAST_RANGES
         ranges = ranges.withColumnsRenamed({name: f"_of_{name}" for name in by})
         inside = (value >= F.col("_from")) & (value <= F.col("_to"))
         inside &= _same(by, [f"_of_{name}" for name in by])
@@ -242,22 +236,24 @@ def _narrowed(
         return cells.join(own, _same(key, list(renamed.values()))).drop(*renamed.values())
 
     # First pass: cells one percent wide, the same for every group.
-    first = amounts.groupBy(*group, F.floor(_scale(value) * 100).alias("_cell"))
-    cells = staging.table(first.agg(*held, *_measures(amounts, exact_money)), "cells")
-    totals = cells.groupBy(*group).agg(F.sum("_all").alias("_all"), F.sum("_sum").alias("_sum"))
+    percent = F.when(value.isNotNull(), F.floor(_scale(value) * 100))
+    first = amounts.groupBy(*group, percent.alias("_cell"))
+    cells = staging.table(first.agg(*held, _sum(amounts, exact_money)), "cells")
+    counted = F.when(F.col("_cell").isNotNull(), F.col("_rows"))
+    totals = cells.groupBy(*group).agg(F.sum(counted).alias("_all"), F.sum("_sum").alias("_sum"))
     everything = Window.partitionBy(*(group or [F.lit(0)]))
     upto = cells.where("_cell IS NOT NULL").withColumns({
         "_upto": F.sum("_rows").over(_running("_cell", *group)),
         "_every": F.sum("_rows").over(everything),
     })
     ranks = F.array(*[_rank(F.col("_every"), p) for p in asked])
-    targets = staging.table(
-        hit(upto.select("*", F.posexplode(ranks).alias(_TARGET, _RANK))), "targets"
-    )
-
     # Amounts of equal scale are neighbours, a few thousand at most; cutting stops there.
     too_wide = (F.col("_amounts") > window_rows) & (_scale(low) < _scale(high))
-    while not targets.where(too_wide).isEmpty():
+    counts = [F.count(F.lit(1)).alias("targets"), F.count_if(too_wide).alias("wide")]
+    first = hit(upto.select("*", F.posexplode(ranks).alias(_TARGET, _RANK)))
+    targets, count = staging.measured(first, "targets", *counts)
+    few = count["targets"] <= BROADCAST_RANGES
+    while count["wide"]:
         wide = targets.where(too_wide)
         cell = F.width_bucket(
             _scale(value), _scale(F.col("_from")), _scale(F.col("_to")), F.lit(INTERVALS)
@@ -265,7 +261,8 @@ def _narrowed(
         counted = within(wide).groupBy(*group, "_from", "_to", cell.alias("_cell")).agg(*held)
         upto = F.sum("_rows").over(_running("_cell", *group, _TARGET))
         upto = shared_out(counted, wide).withColumn("_upto", upto)
-        targets = staging.table(targets.where(~too_wide).unionByName(hit(upto)), "targets")
+        targets = targets.where(~too_wide).unionByName(hit(upto))
+        targets, count = staging.measured(targets, "targets", *counts)
 
     # A range of one amount is the answer; the others are ranked.
     single = targets.where(low == high).select(*group, _TARGET, low.alias(_VALUE))
