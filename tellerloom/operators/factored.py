@@ -24,6 +24,7 @@ from tellerloom.operators.distribution import (
     _VALUE,
     _WEIGHT,
     QUARTILES,
+    WINDOW_ROWS,
     distribution,
     weighted_distribution,
 )
@@ -146,6 +147,7 @@ def distribution_of(
     probabilities: Sequence[float] = QUARTILES,
     as_array: bool = True,
     exact_money: bool = False,
+    window_rows: int = WINDOW_ROWS,
     staging: Staging | None = None,
 ) -> DataFrame:
     """The exact distribution of the joined table's amounts, from its parts.
@@ -165,7 +167,7 @@ def distribution_of(
     )
     return weighted_distribution(
         amounts.join(weights, CUSTOMER).drop(CUSTOMER),
-        by, probabilities, as_array, exact_money, staging=staging,
+        by, probabilities, as_array, exact_money, window_rows, staging,
     )
 
 
@@ -178,12 +180,14 @@ def factored_distribution(
     probabilities: Sequence[float] = QUARTILES,
     as_array: bool = True,
     exact_money: bool = False,
+    window_rows: int = WINDOW_ROWS,
     staging: Staging | None = None,
 ) -> DataFrame:
     """What ``distribution(exact=True)`` gives on the joined table, from the three inputs."""
     rolled = rollups(transactions, accounts, master, by, amount, exact_money)
     return distribution_of(
-        rolled, transactions, by, amount, probabilities, as_array, exact_money, staging
+        rolled, transactions, by, amount, probabilities, as_array, exact_money,
+        window_rows, staging,
     )
 
 

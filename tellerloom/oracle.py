@@ -153,11 +153,16 @@ ORACLE: dict[str, str] = {
     "mart_country_gender_account": _mart(ACCOUNT_DIMS),
     "mart_country_department_payment": _mart(PAYMENT_DIMS),
     "distribution_by_country": _distribution(),
+    "distribution_by_country_in_passes": _distribution(),
     "distribution_of_country_totals": _TOTALS,
     "joined_detail": f"{INPUTS} SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in JOINED_COLUMNS)} {_join()}",
     "joined_country_gender_account": _mart(ACCOUNT_DIMS),
     "joined_country_department_payment": _mart(PAYMENT_DIMS),
     "joined_distribution": _distribution(),
+    "joined_distribution_error": f"""{INPUTS}
+        SELECT "Country", count(*) AS rows_counted, true AS mediane_is_close, true AS p25_is_close,
+               true AS p50_is_close, true AS p75_is_close
+        {_join()} GROUP BY "Country" """,
     "joined_distribution_exact": _distribution(),
     "joined_distribution_overall": _distribution(by=""),
     "joined_totals_distribution": _TOTALS,

@@ -19,23 +19,32 @@ def s3a_options(
 
 
 def scale_options(
-    input_bytes: int, cores: int, checkpoint_dir: str, partition_bytes: int = 256 * MIB
+    input_bytes: int,
+    cores: int,
+    checkpoint_dir: str,
+    partition_bytes: int = 256 * MIB,
+    block_bytes: int = 64 * 1024,
 ) -> dict[str, str]:
     """Partition counts for an input of ``input_bytes`` on ``cores`` task slots.
 
-    Shuffles start with one partition per ``partition_bytes`` of input and at least two per slot;
-    adaptive execution merges what turns out small and splits what turns out skewed.
+    A partition is about ``partition_bytes``, and there are at least two per slot. Beyond a terabyte
+    partitions grow instead of only getting more: a shuffle moves one block per map and reduce task,
+    so with ever more of both the blocks would shrink to nothing. They are kept at ``block_bytes``.
+    Adaptive execution merges what turns out small and splits what turns out skewed.
     """
-    partitions = max(2 * cores, math.ceil(input_bytes / partition_bytes))
+    by_size = math.ceil(input_bytes / partition_bytes)
+    by_blocks = math.isqrt(input_bytes // block_bytes)
+    partitions = max(2 * cores, min(by_size, by_blocks))
+    size = max(partition_bytes, math.ceil(input_bytes / partitions))
     return {
         "spark.checkpoint.dir": checkpoint_dir,
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(size),
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size // 2),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(size),
     }
 
 

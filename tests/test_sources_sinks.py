@@ -116,7 +116,11 @@ def test_session_options():
     options = s3a_options("key", "secret")
     assert options["spark.hadoop.fs.s3a.endpoint"] == "s3.amazonaws.com"
     scale = scale_options(100 * 1024**2 * MIB, cores=8000, checkpoint_dir="s3a://shared/tmp")
-    assert int(scale["spark.sql.shuffle.partitions"]) == 100 * 1024**2 // 256
+    partitions = int(scale["spark.sql.shuffle.partitions"])
+    assert partitions == 40960
+    assert 100 * 1024**2 * MIB / partitions**2 >= 64 * 1024
+    assert int(scale["spark.sql.files.maxPartitionBytes"]) == 2560 * MIB
+    assert scale_options(1024 * 256 * MIB, 8, "x")["spark.sql.shuffle.partitions"] == "1024"
     assert scale_options(0, 8, "x")["spark.sql.shuffle.partitions"] == "16"
     builder = mock.Mock()
     builder.config.return_value = builder
