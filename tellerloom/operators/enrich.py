@@ -18,19 +18,23 @@ TRANSACTION_CUSTOMER, ACCOUNT_CUSTOMER, MASTER_CUSTOMER = "CustomerID", "custome
 
 
 def keyed(transactions: DataFrame, accounts: DataFrame, master: DataFrame) -> dict[str, DataFrame]:
-    """The three inputs with their customer, as text, in one common column instead of their own.
+    """The three inputs with their customer, as text, in one common column.
 
-    Keys are compared as text, so ``07`` is not customer 7.
+    Keys are compared as text, so ``07`` is not customer 7. Only the transactions keep their own
+    column as well, as it was.
     """
     keys = {
         "transactions": (transactions, TRANSACTION_CUSTOMER),
         "accounts": (accounts, ACCOUNT_CUSTOMER),
         "master": (master, MASTER_CUSTOMER),
     }
-    return {
-        label: frame.withColumn(CUSTOMER, ref(key).cast("string")).drop(key)
+    frames = {
+        label: frame.withColumn(CUSTOMER, ref(key).cast("string"))
         for label, (frame, key) in keys.items()
     }
+    for label in ("accounts", "master"):
+        frames[label] = frames[label].drop(keys[label][1])
+    return frames
 
 
 def enrich(
@@ -49,28 +53,25 @@ def enrich(
     Accounts and master are joined first and, with ``staged``, written. The large join then reads
     both its sides straight from a shuffle, which is the shape in which adaptive execution can
     split a customer that holds a large part of the rows, and its size decides on a broadcast.
+    The result's customer column is not the one joined on: an aggregation by customer would else
+    build on the join's partitioning, which forbids the split. Its own shuffle is small, as it
+    comes after combining.
     """
     frames = keyed(transactions, accounts, master)
     fold = folding(transactions.sparkSession)
     if len({fold(name) for name in columns}) != len(columns):
         raise ValueError(f"a column is asked for twice in {list(columns)}")
-    is_customer = {name: fold(name) == fold(TRANSACTION_CUSTOMER) for name in columns}
-    owner = owners(
-        {label: frame.drop(CUSTOMER) for label, frame in frames.items()},
-        [name for name in columns if not is_customer[name]],
-    )
+    owner = owners({label: frame.drop(CUSTOMER) for label, frame in frames.items()}, columns)
 
     def part(label: str) -> DataFrame:
-        own = [ref(name).alias(name) for name in columns if owner.get(name) == label]
+        own = [ref(name).alias(name) for name in columns if owner[name] == label]
         return frames[label].select(CUSTOMER, *own)
 
     holders = part("accounts").join(part("master"), CUSTOMER)
     if staged:
         holders = (staging or Staging(holders.sparkSession)).table(holders, "holders")
     joined = part("transactions").join(holders, CUSTOMER)
-    return joined.select(*[
-        F.col(CUSTOMER).alias(name) if is_customer[name] else ref(name) for name in columns
-    ])
+    return joined.select(*[ref(name) for name in columns])
 
 
 def unmatched(

@@ -30,7 +30,8 @@ def scale_options(
     A partition is about ``partition_bytes``, and there are at least two per slot. Beyond a terabyte
     partitions grow instead of only getting more: a shuffle moves one block per map and reduce task,
     so with ever more of both the blocks would shrink to nothing. They are kept at ``block_bytes``.
-    Adaptive execution merges what turns out small and splits what turns out skewed.
+    Adaptive execution merges what turns out small and splits what turns out skewed, even where that
+    costs a further shuffle.
     """
     by_size = math.ceil(input_bytes / partition_bytes)
     by_blocks = math.isqrt(input_bytes // block_bytes)
@@ -44,6 +45,7 @@ def scale_options(
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size // 2),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(size),
     }
 

@@ -9,8 +9,10 @@ from tellerloom import standin
 from tellerloom.operators import (
     COUNTRY_GENDER_ACCOUNT, country_gender_account, dedup, distribution, enrich,
     factored_distribution, factored_mart, fan_out, rollups, segment_mart,
+    unmatched,
 )
 from tellerloom.plans import prepare_all
+from tellerloom.staging import Staging
 from tests.samples import collected
 
 FOLDER = "/root/testdata/sf0.01"
@@ -49,12 +51,12 @@ def executed(df):
 
 @pytest.fixture(scope="module")
 def hot(spark):
-    """Two fifths of the transactions belong to one customer; several map tasks write them."""
+    """Two fifths of the transactions belong to one customer; they lie in several files."""
     transactions = standin.transactions(spark, FOLDER)
     urgent = F.col("MoyenPaiement").isin("1-URGENT", "2-HIGH")
     moved = transactions.withColumn("CustomerID", F.when(urgent, "7").otherwise(F.col("CustomerID")))
     return (
-        moved.repartition(16, "TransactionID"),
+        Staging(spark).table(moved.repartition(16, "TransactionID"), "hot"),
         standin.accounts(spark, FOLDER),
         standin.master(spark, FOLDER),
     )
@@ -69,6 +71,27 @@ def test_hot_customer_is_split_in_the_joined_table(spark, hot):
     assert len(rows) == len(expected) and set(rows) == expected
 
 
+def test_hot_customer_is_split_under_a_mart_of_the_joined_table(spark, hot):
+    """Counting distinct customers must not tie the join to whole customers."""
+    columns = [*COUNTRY_GENDER_ACCOUNT, "CustomerID", "Montant"]
+    mart = country_gender_account(enrich(*hot, columns), exact_money=True)
+    expected = collected(mart)
+    with conf(spark, LARGE):
+        plan, rows = executed(country_gender_account(enrich(*hot, columns), exact_money=True))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert set(rows) == expected
+
+
+def test_hot_customer_is_split_among_the_unmatched(spark, hot):
+    transactions, accounts, master = hot
+    inputs = (transactions, accounts, master.where("Number <> 7"))
+    expected = unmatched(*inputs).count()
+    with conf(spark, LARGE):
+        plan, rows = executed(unmatched(*inputs))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == expected > 5_000
+
+
 def test_hot_customer_is_split_under_its_amounts(spark, hot, monkeypatch):
     plans = []
 
