@@ -35,7 +35,9 @@ def source_quality(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
             given = F.col("_raw")[source].isNotNull()
             lost = F.count_if(given & ref(field.name).isNull())
             failed.append(lost.alias(f"unparsed_{field.name}"))
-    required = spec.required or [name for name in typed.columns if name != "_raw"]
+    required = spec.required
+    if required is None:
+        required = [name for name in typed.columns if name != "_raw"]
     incomplete = F.count_if(~is_complete(typed, required)).alias("rows_incomplete")
     return typed.agg(F.count(F.lit(1)).alias("rows_read"), *failed, incomplete)
 

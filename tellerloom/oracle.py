@@ -195,6 +195,10 @@ ORACLE: dict[str, str] = {
     "typed_ingest_transactions": f"WITH {TX} SELECT * FROM tx",
     "typed_ingest_accounts": f"WITH {ACC} SELECT * FROM acc",
     "typed_ingest_master": f"WITH {MAS} SELECT {_MASTER_COLUMNS} FROM mas",
+    "typed_stored_transactions": f"""WITH {TX}
+        SELECT * REPLACE (date_trunc('day', "DateTransaction") AS "DateTransaction") FROM tx""",
+    "typed_stored_master": f"""WITH {MAS}
+        SELECT * REPLACE (CASE WHEN "Country" <> 'ASIA' THEN "Number" END AS "Number") FROM mas""",
     "cast_malformed_transactions": f"""WITH {TX}
         SELECT "TransactionID", "CustomerID",
                CASE WHEN "MoyenPaiement" NOT IN ('1-URGENT', '2-HIGH') THEN "Montant" END AS "Montant",

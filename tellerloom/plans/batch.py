@@ -17,6 +17,7 @@ from tellerloom.operators.marts import COUNTRY_DEPARTMENT_PAYMENT, COUNTRY_GENDE
 from tellerloom.operators.quality import quality_report
 from tellerloom.plans.prepare import cleaned, prepare, side_by_side
 from tellerloom.sinks import FileSink, Sink, write_table
+from tellerloom.sources import read_stored
 from tellerloom.specs import ACCOUNTS, JOINED_COLUMNS, MASTER, SPECS, TRANSACTIONS
 from tellerloom.staging import Staging
 
@@ -136,8 +137,7 @@ def stage_prepare(
 
 def prepared_tables(spark: SparkSession, store: str) -> dict[str, DataFrame]:
     """What the first stage stored."""
-    sink = FileSink(f"{store}/prepared")
-    return {name: spark.read.parquet(sink.uri(name)) for name in SPECS}
+    return read_stored(spark, f"{store}/prepared")
 
 
 def stage_enrich(

@@ -14,7 +14,7 @@ from tellerloom import plans, standin
 from tellerloom.functions import hash_key, with_hash_key, with_validity
 from tellerloom.plans import batch
 from tellerloom.sinks import FileSink, write_table
-from tellerloom.sources import read_datasets, read_delimited
+from tellerloom.sources import read_datasets, read_delimited, read_stored
 from tellerloom.specs import ACCOUNTS, MASTER, SPECS, TRANSACTIONS
 from tellerloom.staging import Staging
 
@@ -257,6 +257,33 @@ def typed_ingest_master(spark: SparkSession, folder: str) -> DataFrame:
     return _ingested(spark, folder, MASTER.name)
 
 
+@query
+def typed_stored_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions stored with other types than the declared ones."""
+    transactions = standin.transactions(spark, folder).withColumns({
+        "TransactionID": F.col("TransactionID").cast("bigint"),
+        "Montant": F.col("Montant").cast("decimal(12,2)"),
+        "DateTransaction": F.col("DateTransaction").cast("date"),
+    })
+    root = Staging(spark).root
+    write_table(transactions, FileSink(root, "orc"), TRANSACTIONS.name)
+    raw = read_stored(spark, root, [TRANSACTIONS.name], "orc")
+    return ops.conform(raw[TRANSACTIONS.name], TRANSACTIONS)
+
+
+@query
+def typed_stored_master(spark: SparkSession, folder: str) -> DataFrame:
+    """Master rows stored with a longer number, out of range in some rows."""
+    number = F.col("Number").cast("bigint")
+    far = F.when(F.col("Country") == "ASIA", number + 2**31).otherwise(number)
+    root = Staging(spark).root
+    write_table(
+        standin.master(spark, folder).withColumn("Number", far), FileSink(root), MASTER.name
+    )
+    raw = read_stored(spark, root, [MASTER.name])
+    return ops.conform(raw[MASTER.name], MASTER)
+
+
 @query
 def cast_malformed_transactions(spark: SparkSession, folder: str) -> DataFrame:
     payment = F.col("MoyenPaiement")

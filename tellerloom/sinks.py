@@ -53,7 +53,7 @@ class CatalogSink(Sink):
 
 @dataclass(frozen=True)
 class JdbcSink(Sink):
-    """Tables of a relational database, over at most ``connections`` connections.
+    """Tables of a relational database, over at most ``connections`` connections per table.
 
     The rows are brought to that many partitions by a shuffle, so that the work before it keeps its
     own parallelism.

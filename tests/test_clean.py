@@ -76,6 +76,18 @@ def test_conform_names_missing_and_ambiguous_columns(spark):
         conform(doubled, ACCOUNTS)
 
 
+def test_conform_follows_the_sessions_case_rule(spark):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="'account_number' is missing"):
+            conform(raw_accounts(spark), ACCOUNTS)
+        spelled = raw_accounts(spark).withColumnRenamed("ACCOUNT_NUMBER", "account_number")
+        both = spelled.withColumn("Customerid", F.lit("z"))
+        assert conform(both, ACCOUNTS).columns == [*spelled.columns, "Customerid"]
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
 def test_conform_is_one_projection(spark):
     plan = conform(raw_accounts(spark), ACCOUNTS)._jdf.queryExecution().analyzed().toString()
     assert plan.count("Project") == 1

@@ -98,6 +98,15 @@ def test_overall_without_groups(spark, monkeypatch, window_rows):
     assert row[0]["quantiles"] == [brute_force([(float(i), i + 1) for i in range(50)], p) for p in PERCENTS]
 
 
+def test_group_names_may_hold_dots_and_blanks(spark, monkeypatch):
+    narrow(monkeypatch)
+    groups = {"FR": [(float(i), 1) for i in range(30)], None: [(float(i), 2) for i in range(9)]}
+    values = values_of(spark, groups).withColumnRenamed("Country", "the.pays `x`")
+    for window_rows in (3, 1000):
+        stats = weighted_distribution(values, ["the.pays `x`"], window_rows=window_rows)
+        assert {(r[0], r["mediane"]) for r in stats.collect()} == {("FR", 14.0), (None, 4.0)}
+
+
 @pytest.mark.parametrize("exact", [False, True])
 def test_percentile_rule(spark, exact):
     cases = {

@@ -96,6 +96,16 @@ def test_column_names_can_be_chosen(spark):
     assert segment_mart(joined, ["kind"], "who", "how much").count() == 2
 
 
+def test_factored_dimensions_may_hold_dots(spark):
+    transactions, accounts, master = three_inputs(spark)
+    renamed = (transactions, accounts, master.withColumnRenamed("Country", "the.pays"))
+    assert {tuple(r) for r in factored_mart(*renamed, ["the.pays"]).collect()} == {
+        ("FR", 1, 60.0), ("US", 1, 5.0)
+    }
+    stats = factored_distribution(*renamed, by=["the.pays"])
+    assert {tuple(r)[:3] for r in stats.collect()} == {("FR", 15.0, 10.0), ("US", 5.0, 5.0)}
+
+
 def test_repeated_master_rows_and_accounts_multiply(spark):
     transactions, accounts, master = three_inputs(spark)
     twice = master.unionByName(master)
