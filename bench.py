@@ -21,7 +21,7 @@ from tellerloom.queries import AS_OF, QUERIES
 from tellerloom.sinks import FileSink
 from tellerloom.sources import read_datasets
 from tellerloom.specs import SPECS
-from tellerloom.staging import Staging
+from tellerloom.staging import Staging, drop_staged
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -105,6 +105,7 @@ def main() -> None:
             job(spark)
             taken.append(time.perf_counter() - started)
         seconds[name] = round(statistics.median(taken[WARM_UPS:]), 3)
+    drop_staged()
     spark.stop()
 
     scale = re.search(r"sf([\d.]+)", FOLDER)

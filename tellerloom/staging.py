@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
+_in_place: list[Staging] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,6 +39,7 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/tellerloom/{uuid.uuid4().hex}"
+        _in_place.append(self)
 
     def table(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` once and return a scan of what was written."""
@@ -66,4 +68,12 @@ class Staging:
         """Remove this run's tables; call it once nothing reads them any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        if self in _in_place:
+            _in_place.remove(self)
+
+
+def drop_staged() -> None:
+    """Remove every staged table this process has left in place, before its session stops."""
+    for staging in list(_in_place):
+        staging.drop()
 

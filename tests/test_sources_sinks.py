@@ -5,6 +5,7 @@ from unittest import mock
 import pytest
 from pyspark.sql import DataFrameWriter, SparkSession
 
+from tellerloom import staging as staging_module
 from tellerloom.counting import counted
 from tellerloom.session import MIB, configure, s3a_options, scale_options
 from tellerloom.sinks import CatalogSink, FileSink, JdbcSink, write_table
@@ -102,6 +103,18 @@ def test_staged_tables(spark):
         spark.read.parquet(staging.root).count()
 
 
+def test_everything_staged_can_be_dropped(spark, monkeypatch):
+    monkeypatch.setattr(staging_module, "_in_place", [])
+    kept = [Staging(spark) for _ in range(2)]
+    tables = [staging.table(spark.range(5), "five") for staging in kept]
+    assert [table.count() for table in tables] == [5, 5]
+    staging_module.drop_staged()
+    for staging in kept:
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(staging.root)
+    assert staging_module._in_place == []
+
+
 def test_shared_folder_must_be_named_on_a_cluster():
     session = mock.Mock(spec=SparkSession)
     session.conf.get.return_value = None
