@@ -45,9 +45,10 @@ def distribution(
 ) -> DataFrame:
     """Mean, median and quantiles of ``amount`` per group of ``by``; no ``by`` is one overall row.
 
-    The default estimates quantiles with rank error ``1/accuracy``, in one pass and bounded memory.
-    ``exact`` finds the true ones. ``as_array=False`` gives one column per quantile, for databases
-    without arrays.
+    The default estimates quantiles with rank error ``1/accuracy``, in one pass and bounded memory,
+    though one task per group merges a sketch from every map task. ``exact`` finds the true ones
+    and spreads a group's work over many tasks: the better form for few groups of very many rows.
+    ``as_array=False`` gives one column per quantile, for databases without arrays.
     """
     groups = [ref(name) for name in by]
     if exact:
