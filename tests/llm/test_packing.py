@@ -1,0 +1,101 @@
+import random
+import zlib
+from bisect import bisect_left, insort
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tellerloom.llm import packing
+from tellerloom.llm.queries import QUERIES
+from tests.llm.odd import TEXTS, no_documents, odd_documents
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    found = Tokenizer.from_file(VOCABULARY)
+    found.encode_special_tokens = True
+    return found
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check_windows(rows, window):
+    """No window is too full, and the pieces of each follow one another from 0."""
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for placed in by_sequence.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= window
+    return by_sequence
+
+
+def test_query_covers_every_id_once(spark, tokenizer):
+    folder = "/root/testdata/sf0.001"
+    rows = QUERIES["op7_packing"](spark, folder).collect()
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    assert by_doc.keys() == {d.doc_id for d in docs}
+    for doc in docs:
+        ids = ids_of(tokenizer, doc.text)
+        at = 0
+        for r in sorted(by_doc[doc.doc_id], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            part = np.array(ids[at : at + r.length], "<u4")
+            assert zlib.crc32(part.tobytes()) == r.ids_crc32
+            at += r.length
+        assert at == len(ids)
+    windows = check_windows(rows, 4096)
+    assert sum(r.length for r in rows) > 0.97 * 4096 * len(windows)
+
+
+def test_best_fit_is_the_plain_one():
+    rng = random.Random(2)
+    lengths = sorted((rng.randint(1, 64) for _ in range(2000)), reverse=True)
+    numbers, offsets = packing.best_fit(lengths, 64)
+    rooms, fill = [], {}
+    for length, number, offset in zip(lengths, numbers, offsets, strict=True):
+        at = bisect_left(rooms, length)
+        room = rooms.pop(at) if at < len(rooms) else 64
+        assert offset == fill.get(number, 0) == 64 - room
+        fill[number] = offset + length
+        if room > length:
+            insort(rooms, room - length)
+
+
+def test_shards_share_no_sequence(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 300)
+    rng = random.Random(4)
+    cut = spark.createDataFrame(
+        [(i, 0, rng.randint(1, 4096)) for i in range(3000)], "doc_id long, start long, length long"
+    )
+    rows = packing.pack(cut).collect()
+    assert len(rows) == 3000
+    check_windows(rows, 4096)
+
+
+def test_words_are_forgotten_without_changing_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    words = packing.WordIds(tokenizer)
+    for text in ["a b c a", "d e f a b", "it's <|endoftext|> ÉTÉ a  b", "日本語 x y", "a b c"]:
+        want = np.array(ids_of(tokenizer, text)[:-1], "<u4").tobytes()
+        assert words.text(text.encode()) == want
+
+
+def test_odd_rows(spark, tokenizer):
+    rows = packing.pack(packing.pieces(odd_documents(spark), VOCABULARY).drop("ids")).collect()
+    assert sum(r.length for r in rows) == sum(len(ids_of(tokenizer, t)) for _, t in TEXTS)
+    assert {r.doc_id for r in rows} == {i for i, _ in TEXTS}
+    check_windows(rows, 4096)
+    assert packing.pack(packing.pieces(no_documents(spark), VOCABULARY).drop("ids")).count() == 0
