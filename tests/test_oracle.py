@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tellerloom.oracle import ORACLE
+from tellerloom.queries import QUERIES
 from tests.comparing import rows, spark_rows
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -23,10 +25,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     cursor = duck.execute(contract.oracle_sql()[name])
     columns = [column[0] for column in cursor.description]
