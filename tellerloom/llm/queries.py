@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerloom.llm import bpe, packing, simhash
-from tellerloom.llm.common import documents
+from tellerloom.llm import bpe, language, lempel_ziv, packing, quality, simhash
+from tellerloom.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_lempel_ziv(spark: SparkSession, folder: str) -> DataFrame:
+    return lempel_ziv.neighbours(documents(spark, folder))
+
+
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder))
@@ -48,3 +53,26 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     cut = packing.pieces(documents(spark, folder), vocabulary)
     return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.fit(docs, labels.where(~held_out))
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), quality.score(spark, model, F.col("text")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = language.fit(docs.where(~held_out))
+    found = language.prediction(spark, model, F.col("text"))
+    return docs.select("doc_id", held_out.alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", "found.*"
+    )
