@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerloom.llm import bpe, language, lempel_ziv, packing, quality, simhash
+from tellerloom.llm import bpe, language, lempel_ziv, packing, private, quality, simhash
 from tellerloom.llm.common import documents, remainder
+from tellerloom.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,3 +77,24 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", held_out.alias("held_out"), found.alias("found")).select(
         "doc_id", "held_out", "found.*"
     )
+
+
+@query
+def op10_private(spark: SparkSession, folder: str) -> DataFrame:
+    with_candidates = private.candidates(documents(spark, folder))
+    # Small rows without text, read for the model and again for the result.
+    found = Staging(spark).table(with_candidates, "candidates")
+    marked = private.spans(found, private.fit(found))
+
+    def of_kind(kind: str) -> Callable[[Column], Column]:
+        return lambda span: span["kind"] == kind
+
+    return marked.select(
+        "doc_id",
+        *[
+            F.size(F.filter("base", of_kind(kind))).cast("long").alias(f"n_{kind}")
+            for kind in private.KINDS
+        ],
+        F.sha2(private.listed("base"), 256).alias("base_sha256"),
+        private.listed("all").alias("spans"),
+    )

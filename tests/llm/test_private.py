@@ -1,0 +1,198 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tellerloom.llm import private
+from tellerloom.llm.queries import QUERIES
+from tests.llm.odd import TEXTS, no_documents, odd_documents
+
+# As the contract writes them.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def passes(kind, span):
+    digits = re.sub("[^0-9]", "", span)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in span.split("."))
+    if kind == "card":
+        return 14 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 10 <= len(digits) <= 15
+
+
+def slow_spans(text):
+    return sorted(
+        (m.start(), number, m.end(), kind)
+        for number, kind in enumerate(private.KINDS)
+        for m in re.finditer(PLAIN[kind], text or "")
+        if passes(kind, m.group())
+    )
+
+
+def listed(spans):
+    return ",".join(f"{kind}:{start}:{end}" for start, _, end, kind in spans)
+
+
+def test_query_against_plain_patterns(spark):
+    folder = "/root/testdata/sf0.01"
+    found = {r.doc_id: r for r in QUERIES["op10_private"](spark, folder).collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    assert len(found) == len(docs)
+    for doc in docs:
+        spans, row = slow_spans(doc.text), found[doc.doc_id]
+        assert row.base_sha256 == hashlib.sha256(listed(spans).encode()).hexdigest()
+        for kind in private.KINDS:
+            assert row[f"n_{kind}"] == sum(s[3] == kind for s in spans)
+        assert {f"{s[3]}:{s[0]}:{s[2]}" for s in spans} <= set(row.spans.split(",")) | {""}
+
+
+def test_guarded_patterns_match_as_the_plain_ones(spark):
+    rng = random.Random(7)
+    pieces = """a b.c x@y @y.z z@ .com 1 12 256 255 0300 . .. - _ % + ++1 +49 ( ) 030 555 é 🙂
+    4111111111111111 378282246310005 1.2.3.4 1.2.3.4.5 a@b.com a@b.co_x@y.z a@1.2.3.4""".split()
+    pieces += [" ", "\n", "-", " "]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 40))) for _ in range(600)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in private.candidates(rows).collect()}
+    for number, text in enumerate(texts):
+        got = sorted(
+            (c.start, k, c.end, kind)
+            for k, kind in enumerate(private.KINDS)
+            for c in found[number][kind]
+            if c.base
+        )
+        assert got == slow_spans(text), text
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a" * 300_000, "1" * 300_000, "1." * 150_000, "a." * 150_000 + "@", "+1" + " " * 300_000]
+    + ["a@" + "b." * 100_000 + "c", "1 " * 150_000, "a:" * 100_000, "(1" * 100_000],
+    ids=lambda t: t[:3] + t[-2:],
+)
+def test_long_runs_are_linear_and_safe(spark, text):
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = private.candidates(rows).first()
+    got = sorted((c.start, c.end) for kind in private.KINDS for c in found[kind] if c.base)
+    if text.startswith("a@"):
+        assert got == [(0, len(text))]
+    elif text.startswith("1."):
+        assert got == [(at, at + 7) for at in range(0, len(text), 8)]
+    else:
+        assert got == []
+
+
+def corpus(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        a, b, c = (rng.randint(200, 999) for _ in range(3))
+        rows.append((i, f"please call +1 ({a}) {b}-{c}7 or mail user{i}@mail{a}.example.com today"))
+        # Numbers that are no cards, as identifiers.
+        number = "".join(rng.choices("0123456789", k=16))
+        rows.append((1000 + i, f"the token {number} was on host 10.{a % 256}.3.{b % 256} and so on"))
+    return rows
+
+
+def test_loose_spans_are_added_by_the_classifier(spark):
+    loose = [
+        (5000, "please call (212) 555-0187 or ask"),
+        (5001, "write to jane.doe(at)example(dot)com now"),
+        (5002, "the token 4242/4242 is no number"),
+        (5003, "plain words only, and 12 of them in 2024"),
+    ]
+    rows = spark.createDataFrame(corpus(spark) + loose, "doc_id long, text string")
+    found = private.candidates(rows)
+    model = private.fit(found)
+    got = {r.doc_id: r.all for r in private.spans(found, model).where("doc_id >= 5000").collect()}
+    assert [(s.kind, s.start, s.end) for s in got[5000]] == [("phone", 12, 26)]
+    assert [(s.kind, s.start, s.end) for s in got[5001]] == [("email", 9, 36)]
+    assert got[5002] == got[5003] == []
+    masked = private.masked(rows.where("doc_id >= 5000"), model).orderBy("doc_id").collect()
+    assert [r.text for r in masked] == [
+        "please call <PHONE> or ask",
+        "write to <EMAIL> now",
+        loose[2][1],
+        loose[3][1],
+    ]
+
+
+def test_em_finds_the_unreliable_labeler():
+    # Patterns of five votes: the third labeler errs half the time, the others agree.
+    def number(*votes):
+        total = 0
+        for vote in votes:
+            total = total * 3 + vote
+        return total
+
+    yes, no = private.FOR, private.AGAINST
+    counts = {}
+    for third in (yes, no):
+        counts[number(yes, yes, third, private.NONE, yes)] = 500.0
+        counts[number(no, no, third, private.NONE, no)] = 300.0
+    share, real = private._reliabilities(counts)
+    assert abs(share - 1000 / 1600) < 0.01
+    for pattern, p in real.items():
+        assert (p > 0.99) == (pattern // 81 == yes)
+        assert p > 0.99 or p < 0.01
+
+
+def mask_slowly(text):
+    for kind in private.KINDS:
+        text = re.sub(
+            PLAIN[kind],
+            lambda m, kind=kind: f"<{kind.upper()}>" if passes(kind, m.group()) else m.group(),
+            text,
+        )
+    return text
+
+
+def test_masks_against_plain_substitution(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = private.fit(private.candidates(docs))
+    got = {r.doc_id: r.text for r in private.masked(docs, model).collect()}
+    for doc in docs.collect():
+        assert got[doc.doc_id] == mask_slowly(doc.text)
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    found = private.candidates(docs)
+    for model in (private.fit(found), private.fit(private.candidates(no_documents(spark)))):
+        rows = private.spans(found, model).collect()
+        got = sorted((str(r.doc_id), private_list(r.base), private_list(r.all)) for r in rows)
+        want = [listed(slow_spans(t)) for _, t in TEXTS]
+        assert got == sorted((str(i), w, w) for (i, _), w in zip(TEXTS, want, strict=True))
+        masked = private.masked(docs, model)
+        assert masked.columns == docs.columns
+        assert sorted(map(str, [r.text for r in masked.select("text").collect()])) == sorted(
+            str(t) for _, t in TEXTS
+        )
+        assert private.masked(no_documents(spark), model).count() == 0
+    assert private.spans(private.candidates(no_documents(spark)), model).count() == 0
+
+
+def private_list(spans):
+    return ",".join(f"{s.kind}:{s.start}:{s.end}" for s in spans)
+
+
+def test_no_python_in_the_plan(spark):
+    docs = odd_documents(spark)
+    found = private.candidates(docs)
+    model = private.fit(found)
+    for df in (private.spans(found, model), private.masked(docs, model), found):
+        plan = df.select(F.sum(F.hash(*df.columns)))._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
