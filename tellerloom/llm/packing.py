@@ -6,7 +6,9 @@ by a hash into shards of a fixed expected size, each packed by one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import struct
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,53 +24,76 @@ from tellerloom.staging import Staging
 WINDOW = 4096
 # Pieces that one task packs, on average.
 SHARD_PIECES = 1 << 16
-# Words whose ids a task remembers, in either of two generations, and the longest it remembers.
-CACHE_WORDS = 1 << 18
+# Words, and pieces of words, whose ids a task remembers before it starts anew, and the longest it
+# remembers.
+CACHE_ENTRIES = 1 << 18
 CACHE_BYTES = 64
 
+# Words of the letters of Latin-1 and printable ASCII, whose normal form is themselves, and how the
+# vocabulary splits them once they are lower case.
+PLAIN_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+def _remember(known: dict, key: bytes | str, value: bytes) -> None:
+    if len(key) <= CACHE_BYTES:
+        if len(known) >= CACHE_ENTRIES:
+            known.clear()
+        known[key] = value
+
 
 class WordIds:
     """The ids of white-space separated words as little-endian 32-bit bytes.
 
     The vocabulary drops white space before it merges, so a text's ids are those of its words one
-    after the other. Frequent words are merged once; what is remembered has a bound.
+    after the other, and a word's those of its pieces. Each new piece is merged by the library; the
+    library also splits the words that are not plain.
     """
 
     def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        texts = [word.decode() for word in words]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.normalize = tokenizer.normalizer.normalize_str
+        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.merge = tokenizer.model.tokenize
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
+        self.as_bytes = str.maketrans({c: "".join(p for p, _ in self.split(c)) for c in letters})
+
+    def split_word(self, word: bytes) -> list[str]:
+        text = word.decode()
+        if not PLAIN_WORD.fullmatch(text):
+            return [piece for piece, _ in self.split(self.normalize(text))]
+        text = text.lower()
+        pieces = [text] if text.isalpha() else PLAIN_PIECE.findall(text)
+        return pieces if text.isascii() else [piece.translate(self.as_bytes) for piece in pieces]
+
+    def word(self, word: bytes) -> bytes:
+        ids = []
+        for piece in self.split_word(word):
+            found = self.pieces.get(piece)
+            if found is None:
+                tokens = [token.id for token in self.merge(piece)]
+                found = struct.pack(f"<{len(tokens)}I", *tokens)
+                _remember(self.pieces, piece, found)
+            ids.append(found)
+        value = ids[0] if len(ids) == 1 else b"".join(ids)
+        _remember(self.words, word, value)
+        return value
 
     def text(self, text: bytes) -> bytes:
         words = text.split()
-        young = self.young
-        get = young.get
-        ids = [get(word) for word in words]
+        ids = list(map(self.words.get, words))
         if None in ids:
-            missing = {word for word, value in zip(words, ids, strict=True) if value is None}
-            known = {word: self.old[word] for word in missing if word in self.old}
-            unknown = [word for word in missing if word not in known]
-            known |= zip(unknown, self.encode(unknown), strict=True)
             ids = [
-                known[word] if value is None else value
+                self.word(word) if value is None else value
                 for word, value in zip(words, ids, strict=True)
             ]
-            if len(young) + len(known) > CACHE_WORDS:
-                self.old, self.young = young, {}
-            self.young.update((w, x) for w, x in known.items() if len(w) <= CACHE_BYTES)
         return b"".join(ids)
 
 
 @lru_cache(maxsize=2)
 def _word_ids(vocabulary: bytes) -> WordIds:
-    tokenizer = Tokenizer.from_buffer(vocabulary)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return WordIds(tokenizer)
+    return WordIds(Tokenizer.from_buffer(vocabulary))
 
 
 def pieces(
@@ -82,8 +107,9 @@ def pieces(
     """The ids of whole texts, each with ``end_id`` after it, cut into full windows and a rest.
 
     Columns: ``doc_id``, ``start``, ``length``, ``doc_tokens`` (long), ``ids`` (binary, little-endian
-    32-bit). A null or empty text has the end alone. The vocabulary must be one that drops white
-    space; it is read where the driver runs and sent to the tasks.
+    32-bit). A null or empty text has the end alone; the strings of special tokens are ordinary text.
+    The vocabulary must be one that lower-cases and drops white space, like ``word_bpe_49k.json``; it
+    is read where the driver runs and sent to the tasks.
     """
     with open(vocabulary_file, "rb") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())

@@ -86,13 +86,23 @@ def test_shards_share_no_sequence(spark, monkeypatch):
 
 
 def test_words_are_forgotten_without_changing_ids(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 3)
     words = packing.WordIds(tokenizer)
     for text in ["a b c a", "d e f a b", "it's <|endoftext|> ÉTÉ a  b", "日本語 x y", "a b c"]:
         want = np.array(ids_of(tokenizer, text)[:-1], "<u4").tobytes()
         assert words.text(text.encode()) == want
 
 
+def test_words_are_split_as_the_library_splits_them(tokenizer):
+    rng = random.Random(1)
+    characters = [chr(c) for c in range(33, 127)] + list("ßéÀØøÿ÷×²ª''sstrevmld AaZz09İΣ日🙂")
+    characters += ["\u0301", "\u2003", "\x1c", "\x85", "\xa0"]
+    words = packing.WordIds(tokenizer)
+    for _ in range(5000):
+        text = "".join(rng.choices(characters, k=rng.randint(1, 14)))
+        assert words.text(text.encode()) == np.array(ids_of(tokenizer, text)[:-1], "<u4").tobytes()
+
+
 def test_odd_rows(spark, tokenizer):
     rows = packing.pack(packing.pieces(odd_documents(spark), VOCABULARY).drop("ids")).collect()
     assert sum(r.length for r in rows) == sum(len(ids_of(tokenizer, t)) for _, t in TEXTS)
