@@ -34,3 +34,13 @@ def list_slices(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Values and offsets of an Arrow list column, without a Python object per element."""
     offsets = column.offsets.to_numpy()
     return column.values.to_numpy(zero_copy_only=False), offsets
+
+
+def thinned(key: Column, wanted: int, count: Column | int) -> Column:
+    """A condition that keeps about ``wanted`` of ``count`` rows, all if there are fewer, by a hash.
+
+    Unlike sorting by the hash, it needs no task that meets rows of all others.
+    """
+    total = F.lit(count) if isinstance(count, int) else count
+    share = F.lit(float(wanted)) / F.greatest(F.lit(1.0), total.cast("double"))
+    return F.pmod(key, F.lit(1 << 30)) < share * float(1 << 30)

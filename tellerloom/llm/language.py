@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tellerloom.llm.common import thinned
+
 SIZE_BITS = 12
 FEATURES = 1 << SIZE_BITS
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 CENTROIDS = 4
-# Training rows of a language that seed its centroids: those with the smallest hashes.
+# Training rows of a language that seed its centroids, chosen by a hash of the text.
 SEED_ROWS = 32
 ROUNDS = 2
 # Standard deviations under the mean cosine of a length band at which a text is rejected.
@@ -126,9 +128,14 @@ def _document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
 
 def _seeds(training: DataFrame, idf: np.ndarray, clusters: int) -> tuple[list[str], np.ndarray]:
     """Languages and centroids of the bounded sample, by a few rounds on the driver."""
+    # One row a language. About four times what is wanted gets as far as the ranking.
+    sizes = training.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = training.withColumn("_place", F.row_number().over(order)).where(
-        F.col("_place") <= SEED_ROWS
+    sample = (
+        training.join(F.broadcast(sizes), "lang")
+        .where(thinned(F.xxhash64("text"), 4 * SEED_ROWS, F.col("_n")))
+        .withColumn("_place", F.row_number().over(order))
+        .where(F.col("_place") <= SEED_ROWS)
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

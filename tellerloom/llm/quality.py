@@ -1,8 +1,8 @@
 """Quality by compression: which of two zstandard dictionaries makes a text smaller.
 
 One dictionary is trained on good, one on bad labelled texts. The normalised difference of the two
-compressed sizes becomes a probability by a logistic curve fitted to labelled texts that are in
-neither dictionary. Texts that repeat themselves shrink to next to nothing under either dictionary, so
+compressed sizes becomes a probability by a logistic curve fitted to labelled texts measured with
+dictionaries they are not in, those of the other half of the sample. Texts that repeat themselves shrink to next to nothing under either dictionary, so
 their difference says little; how far the smaller size lies under a usual rate is the curve's second
 term.
 """
@@ -15,14 +15,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tellerloom.llm.common import byte_strings
+from tellerloom.llm.common import byte_strings, thinned
 
-# The sample a class is learned from: rows with the smallest hashes of their ids, texts of at most
-# so many bytes. Half of it makes the dictionary, half the curve.
+# The sample a class is learned from: about so many labels, chosen by a hash of their ids, and texts of
+# at most so many bytes.
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 1 << 15
 DICTIONARY_BYTES = 1 << 17
@@ -71,13 +72,18 @@ def features(text: bytes, good: bytes, bad: bytes) -> tuple[float, float]:
 
 
 def dictionary(texts: list[bytes]) -> bytes:
-    """A trained dictionary; the texts themselves where there are too few to train one."""
+    """The texts themselves if they are no larger than a dictionary, else one trained on them.
+
+    Where training finds nothing in common, the last of the texts.
+    """
     blocks = [t[at : at + BLOCK] for t in texts for at in range(0, len(t), BLOCK)]
-    size = min(DICTIONARY_BYTES, max(256, sum(map(len, blocks)) // 4))
+    content = b"\n".join(blocks)
+    if len(content) <= DICTIONARY_BYTES:
+        return content
     try:
-        return zstandard.train_dictionary(size, blocks).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, blocks).as_bytes()
     except zstandard.ZstdError:
-        return b"\n".join(blocks)[-DICTIONARY_BYTES:]
+        return content[-DICTIONARY_BYTES:]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
@@ -109,8 +115,8 @@ def fit(
     """Learn from ``labels`` (an id and 0 or 1) of rows of ``docs``; other labels are left out.
 
     The shares of the two classes are counted over all labels; the texts are a bounded sample, of which
-    ``2 * sample_rows`` ids are broadcast and as many texts of at most ``SAMPLE_BYTES`` collected. With
-    one class only, or none, every score is its share, 0.5 without labels.
+    at most ``4 * sample_rows`` ids are broadcast and as many texts of at most ``SAMPLE_BYTES`` bytes
+    collected. With one class only, or none, every score is its share, 0.5 without labels.
     """
     marked = labels.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")
@@ -123,33 +129,43 @@ def fit(
     if len(share) < 2:
         return flat
     chosen = [
-        marked.where(F.col("label") == label)
+        marked.where((F.col("label") == label) & thinned(F.xxhash64("doc_id"), sample_rows, n))
         .distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample_rows)
-        for label in (0, 1)
+        .limit(2 * sample_rows)
+        for label, n in share.items()
     ]
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").cast("binary").alias("text"),
     ).where((F.length("text") > 0) & (F.length("text") <= SAMPLE_BYTES))
-    # At most twice sample_rows ids.
+    # At most four times sample_rows ids. Where an id repeats in the documents, the texts are still so
+    # many at most.
     sample = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    # Where an id repeats in the documents, its texts still come to so many rows at most.
-    sample = sample.orderBy(F.xxhash64("doc_id", "text")).limit(2 * sample_rows)
+    sample = sample.limit(4 * sample_rows)
     table = sample.select("label", "text").toArrow()
     by_label: dict[int, list[bytes]] = {0: [], 1: []}
-    for label, text in zip(table["label"].to_pylist(), table["text"].to_pylist(), strict=True):
+    # Sorted, as rows come in any order.
+    for label, text in sorted(
+        zip(table["label"].to_pylist(), table["text"].to_pylist(), strict=True),
+        key=lambda row: xxhash.xxh64_digest(row[1]),
+    ):
         by_label[label].append(text)
-    halves = {label: (found[0::2], found[1::2]) for label, found in by_label.items()}
-    if not all(map(len, by_label.values())):
+    if not all(by_label.values()):
         return flat
-    bad, good = dictionary(halves[0][0]), dictionary(halves[1][0])
-    held = {label: second or first for label, (first, second) in halves.items()}
-    x = np.array([features(t, good, bad) for label in (0, 1) for t in held[label]])
-    y = np.repeat([0.0, 1.0], [len(held[0]), len(held[1])])
-    weight = np.where(y > 0, share[1] / len(held[1]), share[0] / len(held[0])) / total * len(y)
-    return Model(good, bad, logistic(x, y, weight))
+    halves = {label: (found[0::2], found[1::2]) for label, found in by_label.items()}
+    x, y = [], []
+    for own, other in ((0, 1), (1, 0)):
+        # Each half is measured with dictionaries of the other.
+        bad, good = (dictionary(halves[label][other] or by_label[label]) for label in (0, 1))
+        for label in (0, 1):
+            x += [features(text, good, bad) for text in halves[label][own]]
+            y += [float(label)] * len(halves[label][own])
+    marks = np.array(y)
+    weight = np.where(
+        marks > 0, share[1] / len(by_label[1]), share[0] / len(by_label[0])
+    ) / total * len(marks)
+    weights = logistic(np.array(x), marks, weight)
+    return Model(dictionary(by_label[1]), dictionary(by_label[0]), weights)
 
 
 def score(spark, model: Model, text: Column) -> Column:
