@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerloom.llm import bpe, language, lempel_ziv, packing, private, quality, simhash
+from tellerloom.llm import (
+    bpe,
+    hidden_markov,
+    language,
+    lempel_ziv,
+    packing,
+    private,
+    quality,
+    simhash,
+)
 from tellerloom.llm.common import documents, remainder
 from tellerloom.staging import Staging
 
@@ -29,6 +38,12 @@ def op1_lempel_ziv(spark: SparkSession, folder: str) -> DataFrame:
     return lempel_ziv.neighbours(documents(spark, folder))
 
 
+@query
+def op3_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    return hidden_markov.score(documents(spark, folder), held_out)
+
+
 @query
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder))
