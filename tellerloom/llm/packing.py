@@ -24,9 +24,8 @@ from tellerloom.staging import Staging
 WINDOW = 4096
 # Pieces that one task packs, on average.
 SHARD_PIECES = 1 << 16
-# Words, and pieces of words, whose ids a task remembers before it starts anew, and the longest it
-# remembers.
-CACHE_ENTRIES = 1 << 18
+# Words and pieces of words whose ids a task remembers before it starts anew, and the longest of them.
+CACHE_ENTRIES = 1 << 19
 CACHE_BYTES = 64
 
 # Words of the letters of Latin-1 and printable ASCII, whose normal form is themselves, and how the
@@ -35,13 +34,6 @@ PLAIN_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PLAIN_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
-def _remember(known: dict, key: bytes | str, value: bytes) -> None:
-    if len(key) <= CACHE_BYTES:
-        if len(known) >= CACHE_ENTRIES:
-            known.clear()
-        known[key] = value
-
-
 class WordIds:
     """The ids of white-space separated words as little-endian 32-bit bytes.
 
@@ -54,35 +46,43 @@ class WordIds:
         self.normalize = tokenizer.normalizer.normalize_str
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
         self.merge = tokenizer.model.tokenize
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        # Of words and of lower-case pieces; a piece by itself is split into itself.
+        self.known: dict[bytes, bytes] = {}
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
         self.as_bytes = str.maketrans({c: "".join(p for p, _ in self.split(c)) for c in letters})
 
-    def split_word(self, word: bytes) -> list[str]:
-        text = word.decode()
-        if not PLAIN_WORD.fullmatch(text):
-            return [piece for piece, _ in self.split(self.normalize(text))]
-        text = text.lower()
-        pieces = [text] if text.isalpha() else PLAIN_PIECE.findall(text)
-        return pieces if text.isascii() else [piece.translate(self.as_bytes) for piece in pieces]
+    def remember(self, key: bytes, ids: bytes) -> bytes:
+        if len(key) <= CACHE_BYTES:
+            if len(self.known) >= CACHE_ENTRIES:
+                self.known.clear()
+            self.known[key] = ids
+        return ids
+
+    def merged(self, piece: str) -> bytes:
+        tokens = [token.id for token in self.merge(piece)]
+        return struct.pack(f"<{len(tokens)}I", *tokens)
+
+    def lower_piece(self, piece: str) -> bytes:
+        key = piece.encode()
+        ids = self.known.get(key)
+        if ids is None:
+            ids = self.merged(piece if piece.isascii() else piece.translate(self.as_bytes))
+            self.remember(key, ids)
+        return ids
 
     def word(self, word: bytes) -> bytes:
-        ids = []
-        for piece in self.split_word(word):
-            found = self.pieces.get(piece)
-            if found is None:
-                tokens = [token.id for token in self.merge(piece)]
-                found = struct.pack(f"<{len(tokens)}I", *tokens)
-                _remember(self.pieces, piece, found)
-            ids.append(found)
-        value = ids[0] if len(ids) == 1 else b"".join(ids)
-        _remember(self.words, word, value)
-        return value
+        if word.isalpha():  # of ASCII letters alone
+            return self.remember(word, self.lower_piece(word.lower().decode()))
+        text = word.decode()
+        if PLAIN_WORD.fullmatch(text):
+            ids = [self.lower_piece(piece) for piece in PLAIN_PIECE.findall(text.lower())]
+        else:
+            ids = [self.merged(piece) for piece, _ in self.split(self.normalize(text))]
+        return self.remember(word, b"".join(ids))
 
     def text(self, text: bytes) -> bytes:
         words = text.split()
-        ids = list(map(self.words.get, words))
+        ids = list(map(self.known.get, words))
         if None in ids:
             ids = [
                 self.word(word) if value is None else value
