@@ -13,6 +13,7 @@ from tellerloom.llm import (
     hidden_markov,
     language,
     lempel_ziv,
+    neighbours,
     packing,
     private,
     quality,
@@ -64,6 +65,12 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return neighbours.neighbours(rows, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")

@@ -1,0 +1,136 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tellerloom.llm import neighbours as nn
+from tellerloom.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>, node long, near binary, block int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 1, b"x", 2) for i, v in rows], SCHEMA)
+
+
+def valid(vector):
+    return (
+        bool(vector)
+        and all(x is not None and math.isfinite(x) for x in vector)
+        and any(vector)
+    )
+
+
+def slow(rows, is_query, k=10):
+    """The nearest by brute force: {query id: [(id, distance)]}."""
+    rows = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if i is not None and valid(v)]
+    rows = list({(i, v.tobytes()): (i, v) for i, v in rows}.values())
+    found = {}
+    for i, v in rows:
+        if is_query(i):
+            near = [(math.dist(v, w), j) for j, w in rows if j != i]
+            found.setdefault(i, []).extend(sorted(near)[:k])
+    return found
+
+
+def collected(df):
+    found = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        own = found.setdefault(r.query_id, [])
+        own.append((r.score, r.vec_id))
+        assert r.rank == len(own)
+    return found
+
+
+def same(got, want):
+    assert got.keys() == {i for i, near in want.items() if near}
+    for i, near in got.items():
+        assert [j for _, j in near] == [j for _, j in want[i]]
+        assert np.allclose([d for d, _ in near], [d for d, _ in want[i]])
+
+
+def test_recall_of_the_query(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    want = slow([(r.vec_id, r.embedding) for r in rows], lambda i: i % 100 == 0)
+    got = collected(QUERIES["op6_neighbours"](spark, folder))
+    hits = sum(len({j for _, j in got[i]} & {j for _, j in near}) for i, near in want.items())
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    for i, near in got.items():
+        assert len(near) == 10 and near == sorted(near)
+        vectors = {r.vec_id: np.array(r.embedding, float) for r in rows}
+        for d, j in near:
+            assert math.isclose(d, math.dist(vectors[i], vectors[j]), rel_tol=1e-12)
+
+
+def test_rounds_and_search_on_many_blocks(spark, monkeypatch):
+    # Blocks so small that the first graph is poor.
+    monkeypatch.setattr(nn, "BLOCK", 64)
+    monkeypatch.setattr(nn, "ORDERS", 2)
+    monkeypatch.setattr(nn, "BUCKET", 200)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 8))
+    vectors = (centres[rng.integers(0, 20, 1500)] + 0.3 * rng.normal(size=(1500, 8))).tolist()
+    rows = list(enumerate(vectors))
+    want = slow(rows, lambda i: i % 50 == 0)
+    got = collected(nn.neighbours(table(spark, rows), F.col("vec_id") % 50 == 0))
+    hits = sum(len({j for _, j in got[i]} & {j for _, j in near}) for i, near in want.items())
+    assert hits >= 0.95 * sum(map(len, want.values()))
+
+
+def test_copies_and_ties(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)]
+    rows += [(300 + i, v) for i, v in enumerate(rng.integers(-2, 3, (400, 3)).astype(float).tolist())]
+    rows += [(1000, [1.0, 2.0, 4.0]), (1002, [1.0, 2.0, 2.0]), (1001, [1.0, 2.0, 4.0])]
+    rows += rows[-2:]  # repeated rows count once
+    got = collected(nn.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0))
+    same(got, slow(rows, lambda i: i % 20 == 0))
+
+
+def test_odd_vectors(spark):
+    nan, inf = math.nan, math.inf
+    rows = [
+        (0, [1.0, 0.0]),
+        (1, None),
+        (2, []),
+        (3, [0.0, 0.0]),
+        (4, [nan, 1.0]),
+        (5, [inf, 1.0]),
+        (6, [None, 1.0]),
+        (None, [1.0, 1.0]),
+        (7, [1.0, 2.0, 3.0]),
+        (8, [1.0, 1.0]),
+        (9, [-1.0, 0.5]),
+        (10, [1e30, 1e30]),
+        (0, [1.0, 0.0]),
+    ]
+    got = collected(nn.neighbours(table(spark, rows), F.lit(True)))
+    # The only vector of three numbers takes no part.
+    same(got, slow([r for r in rows if r[0] != 7], lambda i: True))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [1.0, 2.0])], [(1, None)]])
+def test_nothing_to_find(spark, rows):
+    assert nn.neighbours(table(spark, rows), F.lit(True)).count() == 0
+
+
+def test_doubles_and_other_names(spark):
+    rows = [(i, [float(i), 1.0 / 3]) for i in range(30)]
+    df = spark.createDataFrame(rows, "key int, place array<double>")
+    found = nn.neighbours(df, F.col("key") == 7, k=3, id_col="key", vector_col="place").collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank)] == [
+        (1, 6, 1.0),
+        (2, 8, 1.0),
+        (3, 5, 2.0),
+    ]
+
+
+def test_nearest_keeps_the_older_of_two():
+    owners = np.array([1, 0, 1, 1, 0])
+    entries = np.array([(5, 2.0, 1), (7, 1.0, 1), (5, 2.0, 0), (6, 1.0, 1), (8, 0.5, 0)], nn.NEAR)
+    kept_owners, kept = nn.nearest(owners, entries, 2, "new")
+    assert kept_owners.tolist() == [0, 0, 1, 1]
+    assert kept["id"].tolist() == [8, 7, 6, 5]
+    assert kept["new"].tolist() == [0, 1, 1, 0]
