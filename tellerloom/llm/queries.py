@@ -17,6 +17,7 @@ from tellerloom.llm import (
     packing,
     private,
     quality,
+    rendering,
     simhash,
 )
 from tellerloom.llm.common import documents, remainder
@@ -39,6 +40,11 @@ def op1_lempel_ziv(spark: SparkSession, folder: str) -> DataFrame:
     return lempel_ziv.neighbours(documents(spark, folder))
 
 
+@query
+def op2_rendering(spark: SparkSession, folder: str) -> DataFrame:
+    return rendering.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 @query
 def op3_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 7) == 2

@@ -1,0 +1,122 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as pipeline
+from tellerloom.llm import language, quality
+from tellerloom.llm.common import remainder
+from tests.llm.odd import no_documents, odd_documents
+from tests.llm.test_packing import check_windows, ids_of, tokenizer  # noqa: F401
+from tests.llm.test_private import mask_slowly
+from tests.llm.test_simhash import slow_components, slow_fingerprint
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def outputs(spark, tmp_path_factory):
+    """What each stage returns on the whole table, written and read again, by name."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = {"documents": docs.toPandas()}
+    for name, stage in pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, docs, FOLDER).write.parquet(path)
+        docs = spark.read.parquet(path)
+        found[name] = docs.toPandas()
+    return found
+
+
+def rows(table):
+    return {r.doc_id: tuple(r) for r in table[list(pipeline.COLUMNS)].itertuples(index=False)}
+
+
+def test_stages_return_documents(outputs):
+    for name in ("language", "quality", "near_duplicates", "personal_data"):
+        assert list(outputs[name].columns) == list(pipeline.COLUMNS)
+        assert outputs[name].doc_id.is_unique
+
+
+def test_language_stage(spark, outputs):
+    before, after = rows(outputs["documents"]), rows(outputs["language"])
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = language.fit(docs.where(remainder(F.col("doc_id"), 5) != 0))
+    vectors, sizes = language.vectors([r[1] for r in before.values()], model.idf)
+    cosine = (vectors @ model.centroids.T).max(axis=1)
+    kept = (sizes > 0) & (cosine >= model.floors[language.bands(sizes)])
+    assert after == {i: r for (i, r), keep in zip(before.items(), kept, strict=True) if keep}
+
+
+def test_quality_stage(spark, outputs, tmp_path_factory):
+    before, after = rows(outputs["language"]), rows(outputs["quality"])
+    docs = spark.createDataFrame(outputs["language"])
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    model = quality.fit(docs, labels.where(remainder(F.col("doc_id"), 3) != 1))
+    x = [(*quality.features(r[1].encode(), model.good, model.bad), 1.0) for r in before.values()]
+    kept = np.array(x) @ model.weights >= 0
+    assert after == {i: r for (i, r), keep in zip(before.items(), kept, strict=True) if keep}
+    marks = labels.toPandas().set_index("doc_id").quality
+    labelled = [i for i in before if i in marks.index]
+    good = [i for i in labelled if marks[i] == 1]
+    assert sum(i in after for i in good) >= 0.98 * len(good)
+
+
+def test_near_duplicate_stage(outputs):
+    before, after = rows(outputs["quality"]), rows(outputs["near_duplicates"])
+    groups = slow_components([(i, slow_fingerprint(r[1])) for i, r in before.items()])
+    first = {int(component) for _, _, component in groups}
+    assert after == {i: r for i, r in before.items() if i in first}
+    assert len(after) < len(before)
+
+
+def test_personal_data_stage(outputs):
+    before, after = rows(outputs["near_duplicates"]), rows(outputs["personal_data"])
+    assert after.keys() == before.keys()
+    for i, (_, text, lang, source, _) in before.items():
+        masked = mask_slowly(text)
+        assert after[i] == (i, masked, lang, source, len(masked))
+
+
+def test_packing_stage(outputs, tokenizer):  # noqa: F811
+    texts = {r[0]: r[1] for r in rows(outputs["personal_data"]).values()}
+    found = list(outputs["packing"].itertuples(index=False))
+    check_windows(found, 4096)
+    lengths = {}
+    for r in found:
+        lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+    assert lengths == {i: len(ids_of(tokenizer, text)) for i, text in texts.items()}
+
+
+def test_run_is_its_stages(spark, outputs):
+    key = ["doc_id", "start", "length", "doc_tokens", "ids_crc32"]
+    found = pipeline.run(spark, FOLDER).toPandas()
+    want = outputs["packing"]
+    assert sorted(found.columns) == sorted(want.columns)
+    pieces = [sorted(map(tuple, table[key].to_numpy().tolist())) for table in (found, want)]
+    assert pieces[0] == pieces[1]
+
+
+def test_odd_rows(spark, tmp_path):
+    """Null, empty, long and repeated rows through every stage, with columns that clash."""
+    spark.createDataFrame([(1, 1, 0), (7, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet")
+    )
+    folder = str(tmp_path)
+    odd = odd_documents(spark)
+    for _, stage in pipeline.STAGES[:4]:
+        found = stage(spark, odd, folder)
+        assert found.columns == list(pipeline.COLUMNS)
+        assert found.count() <= odd.count()
+    known = pipeline.known_language(spark, odd, folder)
+    assert all(t is not None and language.LETTER.search(t) for (t,) in known.select("text").collect())
+    assert pipeline.without_personal_data(spark, odd, folder).count() == odd.count()
+    # Each group of like texts leaves one row, whatever the ids.
+    left = pipeline.without_near_duplicates(spark, odd, folder).collect()
+    prints = [slow_fingerprint(r.text) for r in left]
+    components = slow_components(list(enumerate(prints)))
+    assert len({c for *_, c in components}) == len(left)
+    assert {r.doc_id for r in left} >= {1, 3, 6, 7, None}
+    assert pipeline.packed(spark, odd, folder).select("doc_id").distinct().count() == len(
+        {r.doc_id for r in odd.collect()}
+    )
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, no_documents(spark), folder).count() == 0
