@@ -60,6 +60,13 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-ENDING:]) % CLASSES
 
 
+class Index(dict):
+    """Places of head words; for any other word its class, counted down from -1."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - zlib.crc32(word[-ENDING:]) % CLASSES
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word`` (binary) and its count ``n`` in the column ``text`` (binary)."""
 
@@ -109,8 +116,8 @@ class Vocabulary:
     def alphabet(self) -> int:
         return 1 + SYMBOLS + CLASSES
 
-    def index(self) -> dict[bytes, int]:
-        return {word: i for i, word in enumerate(self.words)}
+    def index(self) -> Index:
+        return Index((word, i) for i, word in enumerate(self.words))
 
     def symbol_of(self) -> np.ndarray:
         """The symbol of each head word."""
@@ -194,7 +201,7 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         if _prepared[0] is not v:
             _prepared[:] = v, v.index(), v.symbol_of()
         _, index, symbol_of = _prepared
-        get = index.get
+        place = index.__getitem__
         log_count = np.log10(v.counts + 1.0)
         log_class = np.log10(v.class_total + 1.0)
         head_class = symbol_of.astype(np.int64) - 1 - SYMBOLS
@@ -202,25 +209,27 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             head_class >= 0, log_count - log_class[np.maximum(head_class, 0)], 0.0
         )
         for batch in batches:
-            names = ("n_tokens", "known", "log_count", "log_class", "symbols", "tail")
+            names = ("n_tokens", "known", "log_count", "log_class", "symbols")
             out: dict[str, list] = {name: [] for name in names}
+            tail: list[bytes] = []
+            ends = [0]
             for text in byte_strings(batch.column("text")):
                 words = tokens(text)
-                at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+                at = np.fromiter(map(place, words), np.int64, len(words))
                 missing = np.flatnonzero(at < 0)
-                tail = [words[i] for i in missing.tolist()]
-                classes = np.fromiter(map(word_class, tail), np.int64, len(tail))
+                classes = -1 - at[missing]
                 in_head = at[at >= 0]
                 symbols = np.zeros(len(words) + 1, "<u2")
                 if len(v.words):
-                    symbols[:-1] = symbol_of[at]
+                    symbols[:-1] = symbol_of[at * (at >= 0)]
                 symbols[missing] = 1 + SYMBOLS + classes
                 out["n_tokens"].append(len(words) + 1)
                 out["known"].append(len(in_head) + (v.ends > 0))
                 out["log_count"].append(log_count[in_head].sum() + np.log10(v.ends + 1))
                 out["log_class"].append(log_factor[in_head].sum() - log_class[classes].sum())
                 out["symbols"].append(symbols.tobytes())
-                out["tail"].append(tail)
+                tail += map(words.__getitem__, missing.tolist())
+                ends.append(len(tail))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -230,9 +239,9 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     pa.array(out["log_count"], pa.float64()),
                     pa.array(out["log_class"], pa.float64()),
                     pa.array(out["symbols"], pa.binary()),
-                    pa.array(out["tail"], pa.list_(pa.binary())),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tail, pa.binary())),
                 ],
-                ["doc_id", "held_out", *out],
+                ["doc_id", "held_out", *out, "tail"],
             )
 
     schema = """doc_id long, held_out boolean, n_tokens long, known long, log_count double,
