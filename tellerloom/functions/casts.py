@@ -25,6 +25,15 @@ def lenient_cast(column: Column, source: DataType, target: DataType) -> Column:
 def money(column: Column, exact: bool) -> Column:
     """The amount to add up: as it is, or in whole cents so that sums do not depend on order.
 
-    An amount beyond sixteen digits before the point, or not a number, fails in cents.
+    An amount that is no number of cents fails the job, whatever the session's mode: one that is not
+    a number, has more than sixteen digits before the point, or parts of a cent beyond what floating
+    point makes of cents.
     """
-    return column.cast("decimal(18,2)") if exact else column
+    if not exact:
+        return column
+    cents = column.try_cast("decimal(18,2)")
+    amount = column.cast("double")
+    noise = F.greatest(F.lit(1e-6), F.abs(amount) * 1e-15)
+    lost = cents.isNull() | (F.abs(amount - cents.cast("double")) > noise)
+    message = F.concat(F.lit("not an amount in whole cents: "), column.cast("string"))
+    return F.when(column.isNotNull() & lost, F.raise_error(message)).otherwise(cents)

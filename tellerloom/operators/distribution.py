@@ -22,12 +22,10 @@ from tellerloom.staging import Staging
 QUARTILES = (0.25, 0.5, 0.75)
 MEDIAN = 0.5
 
-# At most this many amounts are ranked by one sort in one task.
+# At most this many amounts of one range are ranked by one sort in one task.
 WINDOW_ROWS = 1_000_000
 # Into how many intervals each further pass cuts a range that has more.
 INTERVALS = 1_000
-# Ranges are few: groups times probabilities. Up to this many are broadcast to the amounts.
-BROADCAST_RANGES = 50_000
 
 _VALUE, _WEIGHT, _TARGET, _RANK = "_value", "_weight", "_target", "_rank"
 
@@ -48,6 +46,9 @@ def distribution(
     The default estimates quantiles with rank error ``1/accuracy``, in one pass and bounded memory,
     though one task per group merges a sketch from every map task. ``exact`` finds the true ones
     and spreads a group's work over many tasks: the better form for few groups of very many rows.
+    Of a joined table it first writes the amounts, repetitions and all; ``factored_distribution``
+    gives the same from the three inputs without them and is the better choice where they are at
+    hand. NaN amounts count as the largest when exact; estimates leave them out.
     ``as_array=False`` gives one column per quantile, for databases without arrays.
     """
     groups = [ref(name) for name in by]
@@ -65,11 +66,17 @@ def distribution(
         # Totals added up in cents are cents already, and may have more digits than one amount.
         cents = isinstance(df.select(value).schema[0].dataType, DecimalType)
         mean = F.sum(money(value, not cents)).cast("double") / F.count(value)
-    quantiles = F.percentile_approx(value, [float(p) for p in probabilities], accuracy)
-    stats = df.groupBy(*groups).agg(
-        mean.alias("moyenne"),
-        F.percentile_approx(value, MEDIAN, accuracy).cast("double").alias("mediane"),
-        quantiles.cast("array<double>").alias("quantiles"),
+    # One sketch for all that is asked, the median included.
+    asked = list(dict.fromkeys(float(p) for p in (MEDIAN, *probabilities)))
+    sketch = F.percentile_approx(value, asked, accuracy).cast("array<double>")
+    found = df.groupBy(*groups).agg(mean.alias("moyenne"), sketch.alias("_asked"))
+    picked = {p: F.col("_asked")[i] for i, p in enumerate(asked)}
+    quantiles = F.array(*[picked[float(p)] for p in probabilities])
+    stats = found.select(
+        *groups,
+        "moyenne",
+        picked[MEDIAN].alias("mediane"),
+        F.when(F.col("_asked").isNotNull(), quantiles).alias("quantiles"),
     )
     return stats if as_array else flatten_quantiles(stats, probabilities)
 
@@ -119,30 +126,31 @@ def weighted_distribution(
     ``amounts`` has the columns ``by``, ``_value`` and ``_weight``. Repetition is a number here, so
     no fan-out is ever written out, and the amounts are shuffled neither by group nor by value.
 
-    Up to ``window_rows`` amounts are ranked by one window. More are counted in intervals first:
-    that is one small row per group and interval, summed before the shuffle. Each quantile falls
-    into one interval, which the next pass cuts again, until what it holds is few enough to rank.
-    No task ever sorts or holds a whole group.
+    The amounts are counted in intervals: that is one small row per group and interval, summed
+    before the shuffle, and gives the means. Each quantile falls into one interval; one with more
+    than ``window_rows`` amounts is cut again by the next pass, until what it holds is few enough
+    to rank. No task ever sorts or holds a whole group, and nothing depends on how many rows there
+    are in all.
+
+    The result is staged, one row per group; what it was made from is removed.
     """
     staging = staging or Staging(amounts.sparkSession)
     asked = [Decimal(str(p)) for p in dict.fromkeys((MEDIAN, *probabilities))]
-    table, rows = staging.counted(amounts, "amounts")
-    if rows <= window_rows:
-        stats = _ranked_at_once(table, by, asked, exact_money)
-    else:
-        stats = _narrowed(staging, table, by, asked, exact_money, window_rows)
-
-    picked = {p: F.col(f"_q{i}").cast("double") for i, p in enumerate(asked)}
-    median = picked[Decimal(str(MEDIAN))]
-    # A group without a single amount has no quantiles, rather than an array of NULLs.
-    array = F.when(median.isNotNull(), F.array(*[picked[Decimal(str(p))] for p in probabilities]))
-    stats = stats.select(
-        *[ref(name) for name in by],
-        (F.col("_sum").cast("double") / F.col("_all").cast("double")).alias("moyenne"),
-        median.alias("mediane"),
-        array.alias("quantiles"),
-    )
-    return stats if as_array else flatten_quantiles(stats, probabilities)
+    with Staging(amounts.sparkSession) as scratch:
+        table = scratch.table(amounts, "amounts")
+        stats = _narrowed(scratch, table, by, asked, exact_money, window_rows)
+        picked = {p: F.col(f"_q{i}").cast("double") for i, p in enumerate(asked)}
+        median = picked[Decimal(str(MEDIAN))]
+        # A group without a single amount has no quantiles, rather than an array of NULLs.
+        array = F.array(*[picked[Decimal(str(p))] for p in probabilities])
+        stats = stats.select(
+            *[ref(name) for name in by],
+            (F.col("_sum").cast("double") / F.col("_all").cast("double")).alias("moyenne"),
+            median.alias("mediane"),
+            F.when(median.isNotNull(), array).alias("quantiles"),
+        )
+        stats = stats if as_array else flatten_quantiles(stats, probabilities)
+        return staging.table(stats, "distribution")
 
 
 def _sum(amounts: DataFrame, exact_money: bool) -> Column:
@@ -165,25 +173,6 @@ def _running(order: str, *keys: Column | str) -> Window:
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _ranked_at_once(
-    amounts: DataFrame, by: Sequence[str], asked: Sequence[Decimal], exact_money: bool
-) -> DataFrame:
-    group = [ref(name) for name in by]
-    value = F.col(_VALUE)
-    counted = F.when(value.isNotNull(), F.col(_WEIGHT))
-    ranked = amounts.withColumns({
-        "_upto": F.sum(counted).over(_running(_VALUE, *group)),
-        "_rows": F.sum(counted).over(Window.partitionBy(*(group or [F.lit(0)]))),
-    })
-    picks = [
-        F.min(F.when(F.col("_upto") >= _rank(F.col("_rows"), p), value)).alias(f"_q{i}")
-        for i, p in enumerate(asked)
-    ]
-    return ranked.groupBy(*group).agg(
-        F.sum(counted).alias("_all"), _sum(amounts, exact_money), *picks
-    )
-
-
 def _scale(value: Column) -> Column:
     """A number that grows with the amount over its whole range; infinity and NaN share the end."""
     value = value.cast("double")
@@ -220,13 +209,19 @@ def _narrowed(
         return cells.where(inside).withColumn(_RANK, left).select(*[ref(name) for name in found])
 
     def within(targets: DataFrame) -> DataFrame:
-        """The amounts in the targets' ranges; a range that several targets share comes once."""
+        """The amounts in the targets' ranges; a range that several targets share comes once.
+
+        A range lies in one cell of the first pass, so the join is on group and cell: where Spark
+        does not broadcast the ranges, that spreads the amounts of a group.
+        """
         ranges = targets.select(*group, low.alias("_from"), high.alias("_to")).distinct()
-        ranges = ranges.withColumnsRenamed({name: f"_of_{name}" for name in by})
+        ranges = ranges.withColumn("_cell", percent(F.col("_from")))
+        key = [*by, "_cell"]
+        ranges = ranges.withColumnsRenamed({name: f"_of_{name}" for name in key})
         inside = (value >= F.col("_from")) & (value <= F.col("_to"))
-        inside &= _same(by, [f"_of_{name}" for name in by])
-        cut = amounts.join(F.broadcast(ranges) if few else ranges, inside)
-        return cut.drop(*[f"_of_{name}" for name in by])
+        inside &= _same(key, [f"_of_{name}" for name in key])
+        cut = amounts.withColumn("_cell", percent(value)).join(ranges, inside)
+        return cut.drop("_cell", *[f"_of_{name}" for name in key])
 
     def shared_out(cells: DataFrame, targets: DataFrame) -> DataFrame:
         """Each target with the cells of its range."""
@@ -236,9 +231,11 @@ def _narrowed(
         own = targets.select(*asked_of).withColumnsRenamed(renamed)
         return cells.join(own, _same(key, list(renamed.values()))).drop(*renamed.values())
 
-    # First pass: cells one percent wide, the same for every group.
-    percent = F.when(value.isNotNull(), F.floor(_scale(value) * 100))
-    first = amounts.groupBy(*group, percent.alias("_cell"))
+    def percent(amount: Column) -> Column:
+        """The cell of an amount: one percent wide, the same for every group."""
+        return F.when(amount.isNotNull(), F.floor(_scale(amount) * 100))
+
+    first = amounts.groupBy(*group, percent(value).alias("_cell"))
     cells = staging.table(first.agg(*held, _sum(amounts, exact_money)), "cells")
     counted = F.when(F.col("_cell").isNotNull(), F.col("_rows"))
     totals = cells.groupBy(*group).agg(F.sum(counted).alias("_all"), F.sum("_sum").alias("_sum"))
@@ -250,10 +247,9 @@ def _narrowed(
     ranks = F.array(*[_rank(F.col("_every"), p) for p in asked])
     # Amounts of equal scale are neighbours, a few thousand at most; cutting stops there.
     too_wide = (F.col("_amounts") > window_rows) & (_scale(low) < _scale(high))
-    counts = [F.count(F.lit(1)).alias("targets"), F.count_if(too_wide).alias("wide")]
+    counts = [F.count_if(too_wide).alias("wide")]
     first = hit(upto.select("*", F.posexplode(ranks).alias(_TARGET, _RANK)))
     targets, count = staging.measured(first, "targets", *counts)
-    few = count["targets"] <= BROADCAST_RANGES
     while count["wide"]:
         wide = targets.where(too_wide)
         cell = F.width_bucket(

@@ -33,7 +33,9 @@ from tellerloom.staging import Staging
 
 ROWS, TOTAL = "_rows", "_total"
 
-# Repetitions up to this add up as longs, which hold nine million million such rows.
+# Repetitions up to this add up as longs, which hold nine million million such rows. Both types hold
+# whole numbers and add them exactly, and both become the same doubles where amounts are weighed, so
+# the type is a matter of speed alone.
 SMALL_WEIGHT = 1_000_000
 
 
@@ -156,19 +158,19 @@ def distribution_of(
     shuffle and adaptive execution can split a customer that holds a large part of them.
     """
     staging = staging or Staging(transactions.sparkSession)
-    weights, most = staging.measured(
-        repetitions(rolled, by), "repetitions", F.max(_WEIGHT).alias("most")
-    )
-    if (most["most"] or 0) <= SMALL_WEIGHT:
-        weights = weights.withColumn(_WEIGHT, F.col(_WEIGHT).cast("bigint"))
-    own = [ref(name).alias(name) for name in by if name not in weights.columns]
-    amounts = transactions.select(
-        ref(TRANSACTION_CUSTOMER).cast("string").alias(CUSTOMER), *own, ref(amount).alias(_VALUE)
-    )
-    return weighted_distribution(
-        amounts.join(weights, CUSTOMER).drop(CUSTOMER),
-        by, probabilities, as_array, exact_money, window_rows, staging,
-    )
+    with Staging(transactions.sparkSession) as scratch:
+        weights, most = scratch.measured(
+            repetitions(rolled, by), "repetitions", F.max(_WEIGHT).alias("most")
+        )
+        if (most["most"] or 0) <= SMALL_WEIGHT:
+            weights = weights.withColumn(_WEIGHT, F.col(_WEIGHT).cast("bigint"))
+        own = [ref(name).alias(name) for name in by if name not in weights.columns]
+        customer = ref(TRANSACTION_CUSTOMER).cast("string").alias(CUSTOMER)
+        amounts = transactions.select(customer, *own, ref(amount).alias(_VALUE))
+        return weighted_distribution(
+            amounts.join(weights, CUSTOMER).drop(CUSTOMER),
+            by, probabilities, as_array, exact_money, window_rows, staging,
+        )
 
 
 def factored_distribution(

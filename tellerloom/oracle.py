@@ -90,6 +90,26 @@ ACCOUNT_DIMS = '"Country", "Gender", account_type'
 PAYMENT_DIMS = '"Country", "State", "MoyenPaiement"'
 HOT_JOIN = _join("hot_tx", "hot_acc")
 
+def _default_mart(dims: str) -> str:
+    return f"""{INPUTS}
+        SELECT {dims}, count(DISTINCT t."CustomerID") AS nb_clients,
+               round(sum("Montant"), 2) AS total_montant
+        {_join()} GROUP BY {dims}"""
+
+
+_DEFAULT_DISTRIBUTION = f"""{INPUTS}
+    SELECT "Country", round(avg("Montant"), 2) AS moyenne, 3 AS n_quantiles, {_stats('"Montant"')}
+    {_join()} GROUP BY "Country" """
+
+_DEFAULT_TOTALS = f"""{INPUTS}, totals AS (
+        SELECT "Country", round(sum("Montant"), 2) AS total {_join()} GROUP BY "Country")
+    SELECT round(avg(total), 2) AS moyenne, 3 AS n_quantiles, {_stats("total")} FROM totals"""
+
+_CLOSE = """true AS mediane_is_close, true AS p25_is_close, true AS p50_is_close, true AS p75_is_close"""
+
+_RANKS = f"""{INPUTS}
+    SELECT "Country", count(*) AS rows_counted, {_CLOSE} {_join()} GROUP BY "Country" """
+
 _TOTALS = f"""{INPUTS}, totals AS (
         SELECT "Country", sum(CAST("Montant" AS DECIMAL(18,2))) AS cents,
                CAST(sum(CAST("Montant" AS DECIMAL(18,2))) AS DOUBLE) AS total
@@ -132,16 +152,21 @@ def _length_prefixed(name: str) -> str:
     return f"coalesce(length({name}) || ':' || {name}, '-')"
 
 
+_NO_STATS = ", ".join(
+    f"CAST(NULL AS DOUBLE) AS {name}" for name in ("moyenne", "mediane", "p25", "p50", "p75")
+)
 _STORED_MARTS = f"""{INPUTS}, joined AS (SELECT * {_join()})
     SELECT 'df_agg_country_gender_account' AS mart, "Country" AS first, "Gender" AS second,
-           account_type AS third, count(DISTINCT "CustomerID") AS nb_clients, {CENTS} AS total_montant
+           account_type AS third, count(DISTINCT "CustomerID") AS nb_clients,
+           {CENTS} AS total_montant, {_NO_STATS}
     FROM joined GROUP BY {ACCOUNT_DIMS}
     UNION ALL
     SELECT 'df_agg_country_department_payment', "Country", "State", "MoyenPaiement",
-           count(DISTINCT "CustomerID"), {CENTS}
+           count(DISTINCT "CustomerID"), {CENTS}, {_NO_STATS}
     FROM joined GROUP BY {PAYMENT_DIMS}
     UNION ALL
-    SELECT 'df_stats_transact', "Country", NULL, NULL, NULL, quantile_disc("Montant", 0.5)
+    SELECT 'df_stats_transact', "Country", NULL, NULL, NULL, NULL,
+           round({CENTS} / count(*), 2), {_stats('"Montant"')}
     FROM joined GROUP BY "Country" """
 
 _MASTER_COLUMNS = ", ".join(f'"{field.name}"' for field in MASTER.schema)
@@ -153,16 +178,21 @@ ORACLE: dict[str, str] = {
     "mart_country_gender_account": _mart(ACCOUNT_DIMS),
     "mart_country_department_payment": _mart(PAYMENT_DIMS),
     "distribution_by_country": _distribution(),
+    "mart_country_gender_account_default": _default_mart(ACCOUNT_DIMS),
+    "mart_country_department_payment_default": _default_mart(PAYMENT_DIMS),
+    "distribution_by_country_default": _DEFAULT_DISTRIBUTION,
+    "distribution_of_country_totals_default": _DEFAULT_TOTALS,
     "distribution_by_country_in_passes": _distribution(),
     "distribution_of_country_totals": _TOTALS,
     "joined_detail": f"{INPUTS} SELECT {', '.join(f'{chr(34)}{c}{chr(34)}' for c in JOINED_COLUMNS)} {_join()}",
     "joined_country_gender_account": _mart(ACCOUNT_DIMS),
     "joined_country_department_payment": _mart(PAYMENT_DIMS),
-    "joined_distribution": _distribution(),
-    "joined_distribution_error": f"""{INPUTS}
-        SELECT "Country", count(*) AS rows_counted, true AS mediane_is_close, true AS p25_is_close,
-               true AS p50_is_close, true AS p75_is_close
+    "joined_country_gender_account_default": _default_mart(ACCOUNT_DIMS),
+    "joined_country_department_payment_default": _default_mart(PAYMENT_DIMS),
+    "joined_distribution": f"""{INPUTS}
+        SELECT "Country", round(avg("Montant"), 2) AS moyenne, 3 AS n_quantiles, {_CLOSE}
         {_join()} GROUP BY "Country" """,
+    "joined_distribution_error": _RANKS,
     "joined_distribution_exact": _distribution(),
     "joined_distribution_overall": _distribution(by=""),
     "joined_totals_distribution": _TOTALS,
@@ -193,6 +223,7 @@ ORACLE: dict[str, str] = {
     "hot_customer_detail": f"""{HOT_INPUTS}
         SELECT "TransactionID", "CustomerID", "Montant", account_number, "Country" {_join("hot_tx")}""",
     "typed_ingest_transactions": f"WITH {TX} SELECT * FROM tx",
+    "typed_ingest_folder": f"WITH {TX} SELECT * FROM tx",
     "typed_ingest_accounts": f"WITH {ACC} SELECT * FROM acc",
     "typed_ingest_master": f"WITH {MAS} SELECT {_MASTER_COLUMNS} FROM mas",
     "typed_stored_transactions": f"""WITH {TX}
@@ -247,6 +278,8 @@ ORACLE: dict[str, str] = {
                {_key('"NationalID"', 'CAST("Number" AS VARCHAR)')} AS global_pk, {VALIDITY}
         FROM mas WHERE "Gender" IS NOT NULL""",
     "batch_marts": _STORED_MARTS,
+    "batch_marts_default": _STORED_MARTS,
+    "batch_distribution_estimated": _RANKS,
     "staged_marts": _STORED_MARTS,
     "staged_joined": f"""{INPUTS}
         SELECT "TransactionID", account_number, "Country", "State" {_join()}""",
@@ -256,9 +289,15 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'comptes_bancaires', 2 * count(*), 2 * count(*) FROM acc
         UNION ALL SELECT 'info_global', 2 * count(*), 2 * count(*) FROM mas""",
     "quality_report": f"""{INPUTS},
-        kept_tx AS (SELECT * FROM tx WHERE "MoyenPaiement" <> '1-URGENT'),
+        raw_tx AS (
+          SELECT * FROM tx
+          UNION ALL
+          SELECT * REPLACE ('0-OTHER' AS "MoyenPaiement") FROM tx WHERE "MoyenPaiement" = '2-HIGH'),
+        kept_tx AS (SELECT * FROM raw_tx WHERE "MoyenPaiement" <> '1-URGENT'),
         kept_mas AS (SELECT * FROM mas WHERE "Country" <> 'ASIA'),
-        n AS (SELECT (SELECT count(*) FROM tx) AS tx, (SELECT count(*) FROM kept_tx) AS kept,
+        n AS (SELECT (SELECT count(*) FROM raw_tx) AS tx, (SELECT count(*) FROM kept_tx) AS kept,
+                     (SELECT count(*) - count(DISTINCT ("TransactionID", "CustomerID"))
+                      FROM kept_tx) AS repeated,
                      (SELECT count(*) FROM acc) AS acc, (SELECT count(*) FROM kept_mas) AS mas,
                      (SELECT count(*) FROM kept_tx WHERE "CustomerID" IN
                        (SELECT CAST("Number" AS VARCHAR) FROM kept_mas)
@@ -270,7 +309,7 @@ ORACLE: dict[str, str] = {
             {{'d': 'transactions', 'm': 'unparsed_Montant', 'v': 2.0 * (tx - kept)}},
             {{'d': 'transactions', 'm': 'rows_incomplete', 'v': 2.0 * (tx - kept)}},
             {{'d': 'transactions', 'm': 'rows_kept', 'v': 1.0 * kept}},
-            {{'d': 'transactions', 'm': 'repeated_keys', 'v': 0.0}},
+            {{'d': 'transactions', 'm': 'repeated_keys', 'v': 1.0 * repeated}},
             {{'d': 'comptes_bancaires', 'm': 'rows_read', 'v': 1.0 * acc}},
             {{'d': 'comptes_bancaires', 'm': 'rows_incomplete', 'v': 0.0}},
             {{'d': 'comptes_bancaires', 'm': 'rows_kept', 'v': 1.0 * acc}},

@@ -7,10 +7,13 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Mapping
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tellerloom.functions.names import ref
+from tellerloom.operators.distribution import distribution
 from tellerloom.operators.enrich import enrich
 from tellerloom.operators.factored import Rollups, distribution_of, mart_of, rollups
 from tellerloom.operators.marts import COUNTRY_DEPARTMENT_PAYMENT, COUNTRY_GENDER_ACCOUNT
@@ -35,10 +38,14 @@ MART_COLUMNS = {
 }
 
 
+_printing = Lock()
+
+
 def preview(df: DataFrame, rows: int = 5, truncate: bool = True) -> None:
     """Print a frame's schema and first rows. Runs a job; meant for a person at a console."""
-    df.printSchema()
-    df.show(rows, truncate=truncate)
+    with _printing:
+        df.printSchema()
+        df.show(rows, truncate=truncate)
 
 
 def marts(
@@ -46,11 +53,14 @@ def marts(
     staging: Staging,
     exact_money: bool = False,
     as_array: bool = True,
+    exact: bool = True,
+    accuracy: int = 10_000,
 ) -> dict[str, Callable[[], DataFrame]]:
     """How to build each mart of the prepared datasets, by table name.
 
     They share one set of staged rollups. The distribution runs jobs while it is built, which is why
     the marts are handed over unbuilt: the caller can build and write all of them side by side.
+    ``exact=False`` estimates the quantiles on the joined table, with rank error ``1/accuracy``.
     """
     transactions, accounts, master = (
         prepared[spec.name] for spec in (TRANSACTIONS, ACCOUNTS, MASTER)
@@ -59,10 +69,19 @@ def marts(
     frames = lazy.frames().items()
     writes = [lambda df=df, name=name: staging.table(df, f"rollup-{name}") for name, df in frames]
     rolled = Rollups(*side_by_side(staging.spark, writes))
+
+    def amounts() -> DataFrame:
+        if exact:
+            return distribution_of(
+                rolled, transactions, as_array=as_array, exact_money=exact_money, staging=staging
+            )
+        joined = enrich(transactions, accounts, master, ("Country", "Montant"), staging=staging)
+        return distribution(
+            joined, accuracy=accuracy, as_array=as_array, exact_money=exact_money
+        )
+
     return {
-        DISTRIBUTION_TABLE: lambda: distribution_of(
-            rolled, transactions, as_array=as_array, exact_money=exact_money, staging=staging
-        ),
+        DISTRIBUTION_TABLE: amounts,
         COUNTRY_GENDER_ACCOUNT_TABLE: lambda: mart_of(rolled, COUNTRY_GENDER_ACCOUNT, exact_money),
         COUNTRY_DEPARTMENT_PAYMENT_TABLE: lambda: mart_of(
             rolled, COUNTRY_DEPARTMENT_PAYMENT, exact_money
@@ -97,12 +116,15 @@ def run_pipeline(
     exact_money: bool = False,
     as_array: bool = True,
     previews: int = 0,
+    exact: bool = True,
+    accuracy: int = 10_000,
 ) -> dict[str, int]:
     """Prepare the three raw ``sources``, compute the marts, write them; rows written per table.
 
     Each source is read and deduplicated once. With ``store``, the prepared datasets are kept there
     in full, with hash keys and validity. Without, only the mart columns are staged for the run.
     ``previews`` prints that many rows of every input and result, at the price of a job each.
+    Quantiles are exact, or estimated with rank error ``1/accuracy``.
     """
     with Staging(spark) as staging:
         if store is not None:
@@ -117,7 +139,7 @@ def run_pipeline(
         if previews:
             for df in prepared.values():
                 preview(df, previews)
-        tables = marts(prepared, staging, exact_money, as_array)
+        tables = marts(prepared, staging, exact_money, as_array, exact, accuracy)
         return _write_all(spark, tables, sink, mode, previews)
 
 
@@ -127,7 +149,9 @@ def stage_prepare(
     store: str,
     as_of: datetime.date | None = None,
 ) -> dict[str, int]:
-    """First stage: the prepared datasets as tables under ``store``."""
+    """First stage: the prepared datasets as tables under ``store``, all of the same day."""
+    if as_of is None:
+        as_of = spark.range(1).select(F.current_date()).first()[0]
     prepared = {
         name: lambda name=name, spec=spec: prepare(sources[name], spec, as_of)
         for name, spec in SPECS.items()
@@ -161,10 +185,13 @@ def stage_marts(
     mode: str = "overwrite",
     exact_money: bool = False,
     as_array: bool = True,
+    exact: bool = True,
+    accuracy: int = 10_000,
 ) -> dict[str, int]:
     """Last stage: the marts of the stored datasets, to ``sink``."""
     with Staging(spark) as staging:
-        tables = marts(prepared_tables(spark, store), staging, exact_money, as_array)
+        prepared = prepared_tables(spark, store)
+        tables = marts(prepared, staging, exact_money, as_array, exact, accuracy)
         return _write_all(spark, tables, sink, mode)
 
 

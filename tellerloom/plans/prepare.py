@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -46,9 +47,26 @@ def prepare_all(
 def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], T]]) -> list[T]:
     """Run independent Spark jobs at the same time, so one job's last tasks do not idle the cluster.
 
-    The first failure is raised, once all of them have ended.
+    The first failure cancels the others, by a tag their Spark jobs carry, and is raised.
     """
     jobs = list(jobs)
+    context, tag = spark.sparkContext, f"side-by-side-{uuid.uuid4().hex}"
+
+    def tagged(job: Callable[[], T]) -> T:
+        context.addJobTag(tag)
+        try:
+            return job()
+        finally:
+            context.removeJobTag(tag)
+
     with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        started = [pool.submit(inheritable_thread_target(spark)(lambda j=j: tagged(j))) for j in jobs]
+        ended, running = wait(started, return_when=FIRST_EXCEPTION)
+        failed = [job for job in started if job in ended and job.exception()]
+        # A job that is between two Spark jobs starts the next one only to see it cancelled too.
+        while failed and running:
+            context.cancelJobsWithTag(tag)
+            _, running = wait(running, timeout=0.5)
+    for job in failed:
+        job.result()
     return [job.result() for job in started]

@@ -22,10 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Queries never depend on the day they run.
 AS_OF = datetime.date(2025, 8, 28)
-# So much finer than the default that the estimates are the true quantiles of the tables checked. It
-# costs a hundredfold of memory; large data wants the default, or the exact form.
-FINE_ACCURACY = 1_000_000
 DEFAULT_ACCURACY = 10_000
+# Groups whose estimates are sent to all tasks that check them.
+MOST_GROUPS = 100_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -62,6 +61,45 @@ def distribution_by_country(spark: SparkSession, folder: str) -> DataFrame:
     return ops.factored_distribution(*inputs(spark, folder), as_array=False, exact_money=True)
 
 
+def _of_array(stats: DataFrame, *first: str) -> DataFrame:
+    """The measures as a user gets them by default, the array's elements in columns."""
+    quantiles = F.col("quantiles")
+    return stats.select(
+        *first,
+        F.round("moyenne", 2).alias("moyenne"),
+        "mediane",
+        F.size(quantiles).alias("n_quantiles"),
+        *[quantiles[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
+    )
+
+
+def _rounded_total(mart: DataFrame) -> DataFrame:
+    """A mart in floating point, to the cent: its last digits depend on the order of the rows."""
+    return mart.withColumn("total_montant", F.round("total_montant", 2))
+
+
+@query
+def mart_country_gender_account_default(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded_total(ops.factored_mart(*inputs(spark, folder), ops.COUNTRY_GENDER_ACCOUNT))
+
+
+@query
+def mart_country_department_payment_default(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded_total(ops.factored_mart(*inputs(spark, folder), ops.COUNTRY_DEPARTMENT_PAYMENT))
+
+
+@query
+def distribution_by_country_default(spark: SparkSession, folder: str) -> DataFrame:
+    return _of_array(ops.factored_distribution(*inputs(spark, folder)), "Country")
+
+
+@query
+def distribution_of_country_totals_default(spark: SparkSession, folder: str) -> DataFrame:
+    stats = _of_array(ops.factored_totals_distribution(*inputs(spark, folder)))
+    cents = [F.round(name, 2).alias(name) for name in ("moyenne", "mediane", "p25", "p50", "p75")]
+    return stats.select("n_quantiles", *cents)
+
+
 @query
 def distribution_by_country_in_passes(spark: SparkSession, folder: str) -> DataFrame:
     """The same with little to rank at once, so that the amounts are narrowed down first."""
@@ -102,16 +140,35 @@ def joined_country_department_payment(spark: SparkSession, folder: str) -> DataF
 
 
 @query
-def joined_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    joined = _joined(spark, folder, "Country", "Montant")
-    return ops.distribution(joined, accuracy=FINE_ACCURACY, as_array=False, exact_money=True)
+def joined_country_gender_account_default(spark: SparkSession, folder: str) -> DataFrame:
+    columns = (*ops.COUNTRY_GENDER_ACCOUNT, "CustomerID", "Montant")
+    return _rounded_total(ops.country_gender_account(_joined(spark, folder, *columns)))
 
 
 @query
-def joined_distribution_error(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether the estimates at default accuracy have the rank they should, counted on every row."""
+def joined_country_department_payment_default(spark: SparkSession, folder: str) -> DataFrame:
+    columns = (*ops.COUNTRY_DEPARTMENT_PAYMENT, "CustomerID", "Montant")
+    return _rounded_total(ops.country_department_payment(_joined(spark, folder, *columns)))
+
+
+@query
+def joined_distribution(spark: SparkSession, folder: str) -> DataFrame:
+    """Means to the cent, and whether the estimates of the default array have the rank they should."""
     joined = Staging(spark).table(_joined(spark, folder, "Country", "Montant"), "joined")
-    estimated = ops.distribution(joined, accuracy=DEFAULT_ACCURACY, as_array=False)
+    estimated = _of_array(ops.distribution(joined), "Country")
+    checked = _rank_checks(joined, estimated).withColumnRenamed("Country", "group")
+    same = F.col("Country").eqNullSafe(F.col("group"))
+    return estimated.join(checked, same).select("Country", "moyenne", "n_quantiles", *_CLOSE)
+
+
+_CLOSE = [f"{name}_is_close" for name in ("mediane", "p25", "p50", "p75")]
+
+
+def _rank_checks(joined: DataFrame, estimated: DataFrame) -> DataFrame:
+    """Whether estimates at default accuracy have the rank they should, counted on every row."""
+    estimated, groups = Staging(joined.sparkSession).counted(estimated, "estimated")
+    if groups > MOST_GROUPS:
+        raise ValueError(f"{groups} groups are too many to send to every task")
     estimated = estimated.withColumnRenamed("Country", "group")
     rows = F.count(F.lit(1))
     allowed = rows / DEFAULT_ACCURACY + 1
@@ -121,10 +178,17 @@ def joined_distribution_error(spark: SparkSession, folder: str) -> DataFrame:
         upto = F.count_if(F.col("Montant") <= F.col(name))
         close = (below <= share * rows + allowed) & (upto >= share * rows - allowed)
         checks.append(close.alias(f"{name}_is_close"))
-    beside = joined.join(estimated, F.col("Country").eqNullSafe(F.col("group")))
+    same = F.col("Country").eqNullSafe(F.col("group"))
+    beside = joined.join(F.broadcast(estimated), same)
     return beside.groupBy("Country").agg(rows.alias("rows_counted"), *checks)
 
 
+@query
+def joined_distribution_error(spark: SparkSession, folder: str) -> DataFrame:
+    joined = Staging(spark).table(_joined(spark, folder, "Country", "Montant"), "joined")
+    return _rank_checks(joined, ops.distribution(joined, accuracy=DEFAULT_ACCURACY, as_array=False))
+
+
 @query
 def joined_distribution_exact(spark: SparkSession, folder: str) -> DataFrame:
     joined = _joined(spark, folder, "Country", "Montant")
@@ -257,6 +321,15 @@ def typed_ingest_master(spark: SparkSession, folder: str) -> DataFrame:
     return _ingested(spark, folder, MASTER.name)
 
 
+@query
+def typed_ingest_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions from a folder of several files."""
+    root = Staging(spark).root
+    several = standin.transactions(spark, folder).repartition(3, "TransactionID")
+    write_table(several, FileSink(root, "csv", {"header": "true", "sep": ";"}), "several")
+    return ops.conform(read_delimited(spark, f"{root}/several", ";"), TRANSACTIONS)
+
+
 @query
 def typed_stored_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions stored with other types than the declared ones."""
@@ -354,7 +427,8 @@ def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
 def dedup_subset(spark: SparkSession, folder: str) -> DataFrame:
     orders = standin.table(spark, folder, "orders")
     subset = ["o_custkey", "o_orderpriority"]
-    return ops.dedup(orders, subset).select(*subset)
+    # A row that is none of the input's would be missing.
+    return ops.dedup(orders, subset).join(orders, orders.columns, "left_semi").select(*subset)
 
 
 @query
@@ -439,14 +513,19 @@ def _mart_rows(spark: SparkSession, sink: FileSink) -> DataFrame:
     def dims(*names: str) -> list[Column]:
         return [F.col(n).alias(a) for n, a in zip(names, ("first", "second", "third"))]
 
-    measures = [F.col("nb_clients"), F.col("total_montant")]
+    measures = [F.col("nb_clients"), F.round("total_montant", 2).alias("total_montant")]
+    stats = ("moyenne", "mediane", "p25", "p50", "p75")
+    measures += [F.lit(None).cast("double").alias(name) for name in stats]
     none = F.lit(None).cast("string")
+    quantiles = [F.col("quantiles")[i].alias(name) for i, name in enumerate(stats[2:])]
     tables = {
         batch.COUNTRY_GENDER_ACCOUNT_TABLE: [*dims(*ops.COUNTRY_GENDER_ACCOUNT), *measures],
         batch.COUNTRY_DEPARTMENT_PAYMENT_TABLE: [*dims(*ops.COUNTRY_DEPARTMENT_PAYMENT), *measures],
         batch.DISTRIBUTION_TABLE: [
             *dims("Country"), none.alias("second"), none.alias("third"),
-            F.lit(None).cast("bigint").alias("nb_clients"), F.col("mediane").alias("total_montant"),
+            F.lit(None).cast("bigint").alias("nb_clients"),
+            F.lit(None).cast("double").alias("total_montant"),
+            F.round("moyenne", 2).alias("moyenne"), F.col("mediane"), *quantiles,
         ],
     }
     parts = [
@@ -464,6 +543,28 @@ def batch_marts(spark: SparkSession, folder: str) -> DataFrame:
     return _mart_rows(spark, sink)
 
 
+@query
+def batch_marts_default(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job with the money a user gets by default."""
+    sources = read_datasets(spark, _written(spark, standin.datasets(spark, folder)))
+    sink = FileSink(Staging(spark).root)
+    plans.run_pipeline(spark, sources, sink, AS_OF)
+    return _mart_rows(spark, sink)
+
+
+@query
+def batch_distribution_estimated(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole job with estimated quantiles, and the rank the stored ones have."""
+    sources = standin.datasets(spark, folder)
+    store = Staging(spark).root
+    sink = FileSink(f"{store}/marts")
+    plans.run_pipeline(spark, sources, sink, AS_OF, store=store, exact=False)
+    plans.stage_enrich(spark, store, ["Country", "Montant"])
+    joined = spark.read.parquet(f"{store}/joined")
+    stored = spark.read.parquet(sink.uri(batch.DISTRIBUTION_TABLE))
+    return _rank_checks(joined, _of_array(stored, "Country"))
+
+
 @query
 def staged_marts(spark: SparkSession, folder: str) -> DataFrame:
     store = Staging(spark).root
@@ -505,8 +606,11 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     transactions, accounts, master = inputs(spark, folder)
     payment = F.col("MoyenPaiement")
     amount = F.when(payment == "1-URGENT", F.lit("n/a")).otherwise(F.col("Montant").cast("string"))
+    # Rows that differ from others of the same key.
+    others = transactions.where(payment == "2-HIGH").withColumn("MoyenPaiement", F.lit("0-OTHER"))
+    texts = transactions.unionByName(others).withColumn("Montant", amount)
     raw = {
-        TRANSACTIONS.name: _repeated(transactions.withColumn("Montant", amount)),
+        TRANSACTIONS.name: _repeated(texts),
         ACCOUNTS.name: accounts,
         MASTER.name: master.where("Country <> 'ASIA'"),
     }

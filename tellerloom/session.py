@@ -28,10 +28,11 @@ def scale_options(
     """Partition counts for an input of ``input_bytes`` on ``cores`` task slots.
 
     A partition is about ``partition_bytes``, and there are at least two per slot. Beyond a terabyte
-    partitions grow instead of only getting more: a shuffle moves one block per map and reduce task,
-    so with ever more of both the blocks would shrink to nothing. They are kept at ``block_bytes``.
-    Adaptive execution merges what turns out small and splits what turns out skewed, even where that
-    costs a further shuffle.
+    shuffle partitions grow instead of only getting more: a shuffle moves one block per map and
+    reduce task, so with ever more of both the blocks would shrink to nothing. They are kept at
+    ``block_bytes``. Scans stay at ``partition_bytes``, which is compressed and several times that in
+    a task. Adaptive execution merges what turns out small and splits what turns out skewed, even
+    where that costs a further shuffle.
     """
     by_size = math.ceil(input_bytes / partition_bytes)
     by_blocks = math.isqrt(input_bytes // block_bytes)
@@ -40,7 +41,7 @@ def scale_options(
     return {
         "spark.checkpoint.dir": checkpoint_dir,
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(size),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size // 2),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",

@@ -12,9 +12,12 @@ from tellerloom.specs import SPECS, DatasetSpec
 def read_delimited(spark: SparkSession, uri: str, sep: str = ",", **options: str) -> DataFrame:
     """Read delimited files with a header line, every column as text.
 
-    ``uri`` is any path Spark can open: object store, HDFS or local; a file, folder or pattern.
+    ``uri`` is any path Spark can open: object store, HDFS or local; a file, folder or pattern. A file
+    whose header differs from the others' fails the read, as its columns would else be taken for
+    theirs; ``enforceSchema="true"`` takes them so.
     """
-    return spark.read.options(header=True, sep=sep, **options).csv(uri)
+    settings = {"header": "true", "sep": sep, "enforceSchema": "false", **options}
+    return spark.read.options(**settings).csv(uri)
 
 
 def read_dataset(spark: SparkSession, base_uri: str, spec: DatasetSpec) -> DataFrame:

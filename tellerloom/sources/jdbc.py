@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+FETCH_ROWS = 10_000
+
 
 @dataclass(frozen=True)
 class Database:
@@ -46,8 +48,11 @@ def read_table(
     Without bounds it is one partition on one connection. A numeric, date or timestamp ``column``
     with ``lower``, ``upper`` and ``partitions`` reads in parallel; rows outside the bounds are in
     the first and last partition. ``predicates`` gives one partition per condition instead.
+
+    Rows are fetched ``FETCH_ROWS`` at a time unless the database's options say otherwise: some
+    drivers would else hold a partition's whole result in one task.
     """
-    properties = database.properties()
+    properties = {"fetchsize": str(FETCH_ROWS), **database.properties()}
     if predicates is not None:
         if column is not None:
             raise ValueError("give a partition column or predicates, not both")

@@ -8,7 +8,6 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
-    DataType,
     DateType,
     DoubleType,
     IntegerType,
@@ -19,65 +18,55 @@ from pyspark.sql.types import (
 )
 
 # Column names and types of the three inputs, in file order.
-TRANSACTION_FIELDS = """
-    TransactionID string
-    CustomerID string
-    Montant double
-    DateTransaction timestamp
-    MoyenPaiement string
-    BICsender string
-    BICreceiver string
-"""
-
-ACCOUNT_FIELDS = """
-    customerid string
-    account_number string
-    account_type string
-    creation_date date
-"""
-
-MASTER_FIELDS = """
-    Number int
-    NameSet string
-    GivenName string
-    Surname string
-    Title string
-    Gender string
-    Birthday date
-    EmailAddress string
-    TelephoneNumber string
-    StreetAddress string
-    City string
-    ZipCode string
-    StateFull string
-    State string
-    Country string
-    CountryFull string
-    TelephoneCountryCode string
-    CCType string
-    CCNumber string
-    CCExpires string
-    Company string
-    Occupation string
-    NationalID string
-"""
-
-# The columns of the joined table, in order.
-JOINED_COLUMNS = (
-    "TransactionID CustomerID Montant DateTransaction MoyenPaiement BICsender BICreceiver "
-    "account_number account_type creation_date "
-    "NameSet GivenName Surname Title Gender Birthday EmailAddress TelephoneNumber StreetAddress "
-    "City ZipCode StateFull State Country CountryFull TelephoneCountryCode "
-    "CCType CCNumber CCExpires Company Occupation NationalID"
-).split()
-
-_TYPES: dict[str, DataType] = {
-    "string": StringType(),
-    "int": IntegerType(),
-    "double": DoubleType(),
-    "date": DateType(),
-    "timestamp": TimestampType(),
-}
+TRANSACTION_SCHEMA = StructType([
+    StructField("TransactionID", StringType()),
+    StructField("CustomerID", StringType()),
+    StructField("Montant", DoubleType()),
+    StructField("DateTransaction", TimestampType()),
+    StructField("MoyenPaiement", StringType()),
+    StructField("BICsender", StringType()),
+    StructField("BICreceiver", StringType()),
+])
+
+ACCOUNT_SCHEMA = StructType([
+    StructField("customerid", StringType()),
+    StructField("account_number", StringType()),
+    StructField("account_type", StringType()),
+    StructField("creation_date", DateType()),
+])
+
+MASTER_SCHEMA = StructType([
+    StructField("Number", IntegerType()),
+    StructField("NameSet", StringType()),
+    StructField("GivenName", StringType()),
+    StructField("Surname", StringType()),
+    StructField("Title", StringType()),
+    StructField("Gender", StringType()),
+    StructField("Birthday", DateType()),
+    StructField("EmailAddress", StringType()),
+    StructField("TelephoneNumber", StringType()),
+    StructField("StreetAddress", StringType()),
+    StructField("City", StringType()),
+    StructField("ZipCode", StringType()),
+    StructField("StateFull", StringType()),
+    StructField("State", StringType()),
+    StructField("Country", StringType()),
+    StructField("CountryFull", StringType()),
+    StructField("TelephoneCountryCode", StringType()),
+    StructField("CCType", StringType()),
+    StructField("CCNumber", StringType()),
+    StructField("CCExpires", StringType()),
+    StructField("Company", StringType()),
+    StructField("Occupation", StringType()),
+    StructField("NationalID", StringType()),
+])
+
+# The columns of the joined table: all of the transactions, then what the others add to them.
+JOINED_COLUMNS = [
+    *TRANSACTION_SCHEMA.names,
+    *(name for name in ACCOUNT_SCHEMA.names if name != "customerid"),
+    *(name for name in MASTER_SCHEMA.names if name != "Number"),
+]
 
 
 class UnknownDataset(ValueError, KeyError):
@@ -107,15 +96,9 @@ class DatasetSpec:
         return replace(self, required=columns or None)
 
 
-def fields(text: str) -> StructType:
-    """Schema from lines of ``name type``; every field is nullable."""
-    pairs = (line.split() for line in text.strip().splitlines())
-    return StructType([StructField(name, _TYPES[kind], True) for name, kind in pairs])
-
-
 TRANSACTIONS = DatasetSpec(
     name="transactions",
-    schema=fields(TRANSACTION_FIELDS),
+    schema=TRANSACTION_SCHEMA,
     key=("TransactionID", "CustomerID"),
     key_column="transaction_pk",
     path="transactions.csv",
@@ -124,7 +107,7 @@ TRANSACTIONS = DatasetSpec(
 
 ACCOUNTS = DatasetSpec(
     name="comptes_bancaires",
-    schema=fields(ACCOUNT_FIELDS),
+    schema=ACCOUNT_SCHEMA,
     key=("customerid", "account_number"),
     key_column="account_pk",
     path="comptes_bancaires.csv",
@@ -132,7 +115,7 @@ ACCOUNTS = DatasetSpec(
 
 MASTER = DatasetSpec(
     name="info_global",
-    schema=fields(MASTER_FIELDS),
+    schema=MASTER_SCHEMA,
     key=("NationalID", "Number"),
     key_column="global_pk",
     path="info_global.csv",

@@ -10,7 +10,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+
+from tellerloom.counting import counted
 
 _local_folders: dict[str, str] = {}
 _in_place: list[Staging] = []
@@ -33,14 +34,21 @@ class Staging:
     """The staged tables of one run, under a folder of their own.
 
     They are left in place for the lazy results that still read them. ``drop``, or leaving a
-    ``with`` block, removes them.
+    ``with`` block, removes them; the end of the process removes what is left.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/tellerloom/{uuid.uuid4().hex}"
+        files, path = self._place()
+        files.mkdirs(path)
+        files.deleteOnExit(path)
         _in_place.append(self)
 
+    def _place(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def table(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` once and return a scan of what was written."""
         path = f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
@@ -55,8 +63,8 @@ class Staging:
 
     def counted(self, df: DataFrame, label: str) -> tuple[DataFrame, int]:
         """A staged table and its number of rows."""
-        table, measures = self.measured(df, label, F.count(F.lit(1)).alias("rows"))
-        return table, measures["rows"]
+        observed, rows = counted(df, label)
+        return self.table(observed, label), rows.get["rows"]
 
     def __enter__(self) -> Staging:
         return self
@@ -66,8 +74,8 @@ class Staging:
 
     def drop(self) -> None:
         """Remove this run's tables; call it once nothing reads them any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = self._place()
+        files.delete(path, True)
         if self in _in_place:
             _in_place.remove(self)
 

@@ -1,4 +1,5 @@
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +120,21 @@ def test_preview(spark, capsys):
     assert "id: long" in printed and "only showing top 2 rows" in printed
 
 
+def test_a_failure_cancels_the_jobs_beside_it(spark):
+    def fail():
+        time.sleep(1)
+        raise ValueError("first")
+
+    def long():
+        slow = F.udf(lambda x: time.sleep(60) or x, "long")
+        return spark.range(0, 2, 1, 2).select(slow("id")).collect()
+
+    began = time.time()
+    with pytest.raises(ValueError, match="first"):
+        side_by_side(spark, [long, fail, long])
+    assert time.time() - began < 40
+
+
 def test_jobs_side_by_side(spark):
     assert side_by_side(spark, [lambda n=n: spark.range(n).count() for n in (1, 2, 3)]) == [1, 2, 3]
     assert side_by_side(spark, []) == []

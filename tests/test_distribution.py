@@ -1,16 +1,23 @@
-"""Exact quantiles, ranked at once and narrowed pass by pass, against brute force."""
+"""Exact quantiles, narrowed pass by pass, against brute force."""
 
+import importlib
 import math
+import os
 import random
+import re
 from decimal import Decimal
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from tellerloom.operators import distribution, flatten_quantiles, weighted_distribution
+from tellerloom.operators import (
+    distribution, flatten_quantiles, segment_mart, totals_distribution, weighted_distribution,
+)
 from tellerloom.operators.distribution import quantile_name
+from tellerloom.staging import Staging
 from tests.samples import collected
+from tests.test_scale import conf
 
 PERCENTS = (0.01, 0.25, 0.5, 0.75, 0.9, 1.0)
 
@@ -33,14 +40,18 @@ def values_of(spark, groups):
     return spark.createDataFrame(data, "Country string, _value double, _weight decimal(28,0)")
 
 
-def narrow(monkeypatch, intervals=7, broadcast=True):
-    """Few intervals per pass, so that small inputs take several passes."""
-    import importlib
+module = importlib.import_module("tellerloom.operators.distribution")
+
+# No broadcast, as with very many targets.
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
 
-    module = importlib.import_module("tellerloom.operators.distribution")
+
+def narrow(monkeypatch, intervals=7):
+    """Few intervals per pass, so that small inputs take several passes."""
     monkeypatch.setattr(module, "INTERVALS", intervals)
-    if not broadcast:
-        monkeypatch.setattr(module, "BROADCAST_RANGES", 0)
 
 
 def sample_groups(seed):
@@ -57,11 +68,12 @@ def sample_groups(seed):
 @pytest.mark.parametrize("window_rows", [1_000_000, 5])
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_weighted_quantiles_match_brute_force(spark, monkeypatch, window_rows, broadcast):
-    narrow(monkeypatch, broadcast=broadcast)
+    narrow(monkeypatch)
     groups = sample_groups(1)
-    stats = weighted_distribution(
-        values_of(spark, groups), ["Country"], PERCENTS, window_rows=window_rows
-    )
+    with conf(spark, {} if broadcast else SHUFFLED):
+        stats = weighted_distribution(
+            values_of(spark, groups), ["Country"], PERCENTS, window_rows=window_rows
+        )
     got = {r["Country"]: r for r in stats.collect()}
     assert set(got) == set(groups)
     for group, pairs in groups.items():
@@ -119,6 +131,122 @@ def test_percentile_rule(spark, exact):
     assert got == {k: (median, quartiles) for k, (_, median, quartiles) in cases.items()}
 
 
+def plans_of(monkeypatch, build):
+    """The plans of the tables that are staged meanwhile, by label."""
+    found = []
+    kept = Staging.table
+
+    def spy(self, df, label):
+        found.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return kept(self, df, label)
+
+    monkeypatch.setattr(Staging, "table", spy)
+    result = build()
+    monkeypatch.setattr(Staging, "table", kept)
+    return result, found
+
+
+def below(plan):
+    """Each line of a plan with the lines of its subtree."""
+    lines = plan.split("== Initial Plan ==")[-1].splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+    for at, line in enumerate(lines):
+        end = next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))
+        yield line, lines[at + 1 : end]
+
+
+def test_one_distribution_at_every_size(spark, monkeypatch):
+    """How many amounts are ranked at once changes neither results nor where the means come from."""
+    rng = random.Random(8)
+    groups = {g: [(round(rng.uniform(0, 900), 2), rng.randint(1, 9)) for _ in range(300)] for g in "ABC"}
+    results, fragments = [], []
+    for window_rows in (1_000_000, 20, 1):
+        values = values_of(spark, groups)
+        stats, plans = plans_of(
+            monkeypatch,
+            lambda v=values, w=window_rows: weighted_distribution(
+                v, ["Country"], PERCENTS, exact_money=True, window_rows=w
+            ),
+        )
+        results.append(collected(stats.withColumn("quantiles", F.col("quantiles").cast("string"))))
+        floats, float_plans = plans_of(
+            monkeypatch,
+            lambda v=values, w=window_rows: weighted_distribution(
+                v, ["Country"], PERCENTS, window_rows=w
+            ),
+        )
+        assert {r["Country"]: r["quantiles"] for r in floats.collect()} == {
+            r["Country"]: r["quantiles"] for r in stats.collect()
+        }
+        cells = [plan for label, plan in float_plans if label == "cells"]
+        assert len(cells) == 1
+        fragments.append(re.sub(r"#[0-9]+L?|plan_id=[0-9]+|file:[^ ,\]]*", "", cells[0]))
+    assert results[0] == results[1] == results[2]
+    assert fragments[0] == fragments[1] == fragments[2]
+
+
+@pytest.mark.parametrize("window_rows", [1_000_000, 3])
+def test_amounts_are_never_shuffled_by_group_alone(spark, monkeypatch, window_rows):
+    narrow(monkeypatch)
+    values = values_of(spark, sample_groups(2))
+    with conf(spark, SHUFFLED):
+        _, plans = plans_of(
+            monkeypatch,
+            lambda: weighted_distribution(values, ["Country"], PERCENTS, window_rows=window_rows),
+        )
+    joined = 0
+    for _, plan in plans:
+        for line, subtree in below(plan):
+            # An aggregate below has combined the amounts to a row per cell or range already.
+            raw = [x for x in subtree if "FileScan" in x and "_weight" in x]
+            combined = any("HashAggregate" in x or "SortAggregate" in x for x in subtree)
+            if "Exchange hashpartitioning" in line and raw and not combined:
+                joined += 1
+                assert "_cell" in line, line
+    assert joined > 0
+
+
+def test_one_sketch_for_all_that_is_asked(spark):
+    df = spark.createDataFrame([("FR", 1.0)], "Country string, Montant double")
+    plan = distribution(df, probabilities=(0.1, 0.5, 0.9))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("percentile_approx(") == 1
+
+
+def test_only_the_result_stays(spark):
+    staging = Staging(spark)
+    before = set(os.listdir(os.path.dirname(staging.root)))
+    amounts = values_of(spark, sample_groups(3))
+    stats = weighted_distribution(amounts, ["Country"], PERCENTS, staging=staging)
+    assert set(os.listdir(os.path.dirname(staging.root))) == before
+    assert [name.rpartition("-")[0] for name in os.listdir(staging.root)] == ["distribution"]
+    assert stats.count() == 6
+    staging.drop()
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("amount", [float("nan"), 1e17, 0.004, math.inf])
+def test_what_is_no_cents_fails(spark, ansi, amount):
+    df = spark.createDataFrame(
+        [("FR", "c", 1.0), ("FR", "c", amount)], "Country string, CustomerID string, Montant double"
+    )
+    with conf(spark, {"spark.sql.ansi.enabled": ansi}):
+        for build in (
+            lambda: segment_mart(df, ["Country"], exact_money=True),
+            lambda: distribution(df, exact_money=True),
+            lambda: distribution(df, exact=True, exact_money=True),
+            lambda: totals_distribution(df, exact_money=True),
+        ):
+            with pytest.raises(Exception, match="not an amount in whole cents"):
+                build().collect()
+
+
+def test_what_floating_point_makes_of_cents_passes(spark):
+    amounts = [0.1 + 0.2, 1e15 / 3 // 0.01 / 100, -4.35, 123456789012.34, None]
+    df = spark.createDataFrame([("FR", "c", x) for x in amounts], "Country string, CustomerID string, Montant double")
+    total = segment_mart(df, ["Country"], exact_money=True).first()["total_montant"]
+    assert total == pytest.approx(sum(x for x in amounts if x is not None))
+
+
 def test_estimates_stay_within_their_accuracy(spark):
     df = spark.range(200_000).select(
         F.lit("FR").alias("Country"), (F.xxhash64("id") % 1_000_000).cast("double").alias("Montant")

@@ -12,6 +12,7 @@ from tellerloom.operators import (
     unmatched,
 )
 from tellerloom.plans import prepare_all
+from tellerloom.session import scale_options
 from tellerloom.staging import Staging
 from tests.samples import collected
 
@@ -62,6 +63,23 @@ def hot(spark):
     )
 
 
+@pytest.fixture
+def scaled(spark, hot, tmp_path):
+    """What the session settings are for an input of this size, cut to the size of the test."""
+    options = scale_options(320_000, cores=8, checkpoint_dir=str(tmp_path), partition_bytes=20_000)
+    runtime = {k: v for k, v in options.items() if k.startswith("spark.sql.")}
+    return {**runtime, **{k: LARGE[k] for k in LARGE if "Broadcast" in k or "Factor" in k}}
+
+
+def test_hot_customer_is_split_under_the_session_settings(spark, hot, scaled):
+    columns = ["TransactionID", "account_number", "Country"]
+    expected = collected(enrich(*hot, columns))
+    with conf(spark, scaled):
+        plan, rows = executed(enrich(*hot, columns))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == len(expected) and set(rows) == expected
+
+
 def test_hot_customer_is_split_in_the_joined_table(spark, hot):
     columns = ["TransactionID", "account_number", "Country"]
     expected = collected(enrich(*hot, columns))

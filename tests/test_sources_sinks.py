@@ -9,7 +9,7 @@ from tellerloom import staging as staging_module
 from tellerloom.counting import counted
 from tellerloom.session import MIB, configure, s3a_options, scale_options
 from tellerloom.sinks import CatalogSink, FileSink, JdbcSink, write_table
-from tellerloom.sources import Database, postgres, read_table
+from tellerloom.sources import Database, postgres, read_delimited, read_table
 from tellerloom.staging import Staging, shared_folder
 
 PG = postgres("db.example", "bank", "me", "secret")
@@ -29,16 +29,20 @@ def test_table_scans():
     spark = mock.Mock()
     jdbc = spark.read.jdbc
     read_table(spark, PG, "marts")
-    jdbc.assert_called_with(PG.url, "marts", properties=PG.properties())
+    properties = {"fetchsize": "10000", **PG.properties()}
+    jdbc.assert_called_with(PG.url, "marts", properties=properties)
     read_table(spark, PG, "marts", "id", 0, 1000, 8)
     jdbc.assert_called_with(
         PG.url, "marts", column="id", lowerBound=0, upperBound=1000, numPartitions=8,
-        properties=PG.properties(),
+        properties=properties,
     )
     read_table(spark, PG, "marts", predicates=["a = 1", "a = 2"])
     jdbc.assert_called_with(
-        PG.url, "marts", predicates=["a = 1", "a = 2"], properties=PG.properties()
+        PG.url, "marts", predicates=["a = 1", "a = 2"], properties=properties
     )
+    own = Database("jdbc:x:y", options={"fetchsize": "50"})
+    read_table(spark, own, "marts")
+    jdbc.assert_called_with("jdbc:x:y", "marts", properties={"fetchsize": "50"})
     with pytest.raises(ValueError, match="needs column"):
         read_table(spark, PG, "marts", "id", partitions=8)
     with pytest.raises(ValueError, match="not both"):
@@ -77,6 +81,17 @@ def test_file_modes(spark, tmp_path):
     assert spark.read.csv(csv.uri("c"), header=True, sep=";").columns == ["id"]
 
 
+def test_folders_of_files_must_have_one_header(spark, tmp_path):
+    for folder, second in (("same", "x,y\n3,4\n"), ("mixed", "y,x\n20,10\n")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.csv").write_text("x,y\n1,2\n")
+        (tmp_path / folder / "b.csv").write_text(second)
+    rows = read_delimited(spark, str(tmp_path / "same")).collect()
+    assert sorted((r.x, r.y) for r in rows) == [("1", "2"), ("3", "4")]
+    with pytest.raises(Exception, match="header"):
+        read_delimited(spark, str(tmp_path / "mixed")).collect()
+
+
 def test_catalog_tables(spark):
     sink = CatalogSink()
     assert write_table(spark.range(5), sink, "rows_of_a_test") == 5
@@ -132,7 +147,7 @@ def test_session_options():
     partitions = int(scale["spark.sql.shuffle.partitions"])
     assert partitions == 40960
     assert 100 * 1024**2 * MIB / partitions**2 >= 64 * 1024
-    assert int(scale["spark.sql.files.maxPartitionBytes"]) == 2560 * MIB
+    assert int(scale["spark.sql.files.maxPartitionBytes"]) == 256 * MIB
     assert scale_options(1024 * 256 * MIB, 8, "x")["spark.sql.shuffle.partitions"] == "1024"
     assert scale_options(0, 8, "x")["spark.sql.shuffle.partitions"] == "16"
     builder = mock.Mock()
