@@ -6,9 +6,9 @@ of those that have it as neighbour, are introduced to one another, and every nod
 has met (Dong, Moses and Li, 2011). Only pairs that have not met before are compared. A query starts at its own
 node and follows the graph, always from its nearest nodes not yet visited, until they are all visited.
 
-Rows of the graph are packed lists, so a round shuffles a few rows a node. Vectors go to blocks of nodes and
-not to single nodes, each vector once to a block that needs it. A block has a fixed number of nodes, whatever
-the table, so what a task holds is bounded.
+The graph lies in blocks of a fixed number of nodes that lie together, and a neighbour is listed with its
+block, so whatever nodes have for one another goes from block to block in packed rows. A vector goes once to
+every block that needs it. What a task holds is bounded by the size of a block, whatever the table.
 """
 
 from __future__ import annotations
@@ -36,13 +36,14 @@ SETTLED = 0.02
 ROUNDS = 12
 # Nodes a search keeps and follows.
 BEAM = 64
-# Nodes whose vectors meet the searches in one task, on average.
-BUCKET = 1 << 14
 SAMPLE = 2048
 
-#: Squared distance to another node, and whether it was not a neighbour in the round before.
-NEAR = np.dtype([("id", "<i8"), ("d", "<f8"), ("new", "u1")])
-MEMBER = np.dtype([("id", "<i8"), ("new", "u1")])
+#: Another node, its block, the squared distance, and whether it was no neighbour in the round before.
+NEAR = np.dtype([("id", "<i8"), ("home", "<i8"), ("d", "<f8"), ("new", "u1")])
+#: A node, with its block, that meets others at the owner.
+MEMBER = np.dtype([("owner", "<i8"), ("id", "<i8"), ("home", "<i8"), ("new", "u1")])
+#: What an owner has learned.
+LEARNED = np.dtype([("owner", "<i8"), *NEAR.descr])
 FOUND = np.dtype([("id", "<i8"), ("d", "<f8"), ("seen", "u1")])
 
 
@@ -87,6 +88,13 @@ def nearest(
     return owners[kept], entries[kept]
 
 
+def by_block(blocks: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different blocks, and the entries of each."""
+    order = np.argsort(blocks, kind="stable")
+    different, starts = np.unique(blocks[order], return_index=True)
+    return different, np.split(entries[order], starts[1:])[: len(different)]
+
+
 def matrix(column: pa.Array, kind: str) -> np.ndarray:
     values = column.to_pylist()
     joined = np.frombuffer(b"".join(values), kind).astype(np.float64)
@@ -126,25 +134,24 @@ def classes(rows: DataFrame, id_col: str, vector_col: str, wanted: int) -> DataF
     return ranked.withColumn("node", F.first("vec_id").over(order)).drop("place")
 
 
-def _ordered(nodes: DataFrame, kind: str, staging: Staging) -> DataFrame:
-    """Every node once for each random order, with its block there.
+def _ordered(nodes: DataFrame, tours: range, kind: str, staging: Staging) -> DataFrame:
+    """Every row of ``nodes`` once for each of the random orders ``tours``, with its ``place`` there.
 
     In an order nodes stand by the signs of some projections against their medians, then by one more
-    projection. Ranks come from the sizes of the sorted partitions, of which there are few.
+    projection; a place is a block of neighbouring ranks. Ranks come from the sizes of the sorted
+    partitions, of which there are few.
     """
     spark = nodes.sparkSession
     count = nodes.count()
     bits = max(0, int(np.ceil(np.log2(max(1, count) / BLOCK))))
     sample = nodes.where(thinned(F.xxhash64("node"), SAMPLE, count)).limit(4 * SAMPLE)
     known = matrix(sample.select("vec").toArrow()["vec"].combine_chunks(), kind)
-    width = known.shape[1]
-    rng = np.random.default_rng(17)
-    directions = rng.normal(size=(ORDERS, width, bits + 1))
-    medians = [
-        np.median(known @ directions[i], axis=0) if len(known) else np.zeros(bits + 1)
-        for i in range(ORDERS)
+    directions = [
+        np.random.default_rng(17 + i).normal(size=(known.shape[1], bits + 1)) for i in tours
     ]
-    shared = spark.sparkContext.broadcast((directions, np.array(medians)))
+    medians = [np.median(known @ d, axis=0) if len(known) else np.zeros(bits + 1) for d in directions]
+    shared = spark.sparkContext.broadcast((directions, medians))
+    carried = [name for name in nodes.columns if name not in ("node", "vec")]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions, medians = shared.value
@@ -152,29 +159,29 @@ def _ordered(nodes: DataFrame, kind: str, staging: Staging) -> DataFrame:
             if not batch.num_rows:
                 continue
             vectors = matrix(batch.column("vec"), kind)
-            for i in range(ORDERS):
-                projected = vectors @ directions[i]
-                signs = projected[:, :bits] > medians[i][:bits]
+            for tour, direction, median in zip(tours, directions, medians, strict=True):
+                projected = vectors @ direction
+                signs = projected[:, :bits] > median[:bits]
                 code = (signs * (1 << np.arange(bits))).sum(axis=1).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(code), i), pa.int32()),
+                        pa.array(np.full(len(code), tour), pa.int32()),
                         pa.array(code),
                         pa.array(projected[:, bits]),
-                        batch.column("node"),
-                        batch.column("vec"),
+                        *[batch.column(name) for name in ("node", "vec", *carried)],
                     ],
-                    ["tour", "code", "along", "node", "vec"],
+                    ["tour", "code", "along", "node", "vec", *carried],
                 )
 
-    placed = nodes.select("node", "vec").mapInArrow(
-        rows, "tour int, code long, along double, node long, vec binary"
+    schema = "tour int, code long, along double, node long, vec binary"
+    placed = nodes.select("node", "vec", *carried).mapInArrow(
+        rows, schema + "".join(f", {name} long" for name in carried)
     )
     key = ["tour", "code", "along", "node"]
     sorted_rows = staging.table(
         placed.repartitionByRange(*key)
         .sortWithinPartitions(*key)
-        .select("tour", "node", "vec", F.monotonically_increasing_id().alias("at")),
+        .select("tour", "node", "vec", *carried, F.monotonically_increasing_id().alias("at")),
         "orders",
     )
     # The upper bits of an id name its partition, the lower 33 the row in it.
@@ -187,16 +194,48 @@ def _ordered(nodes: DataFrame, kind: str, staging: Staging) -> DataFrame:
     offsets = spark.createDataFrame(before, "part long, start long")
     ranked = sorted_rows.withColumn("part", part).join(F.broadcast(offsets), "part")
     rank = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    return ranked.select("tour", "node", "vec", F.floor(rank / BLOCK).alias("block"))
+    return ranked.select("tour", "node", "vec", *carried, F.floor(rank / BLOCK).alias("place"))
 
 
-def _merged(rows: DataFrame, limit: int) -> DataFrame:
-    """``rows`` (node, block, vec, near), of which one a node has the vector, as one row a node.
+def _first_graph(nodes: DataFrame, kind: str, staging: Staging) -> tuple[DataFrame, dict]:
+    """The nearest nodes of the same place in any order. A node's place in the first order is its block."""
+    first = _ordered(nodes, range(1), kind, staging).withColumn("block", F.col("place"))
+    blocks = staging.table(first, "blocks")
+    others = _ordered(blocks.select("node", "vec", "block"), range(1, ORDERS), kind, staging)
 
-    ``changed`` counts the neighbours that are new.
-    """
+    def within(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, home = table["node"].to_numpy(), table["block"].to_numpy()
+        vectors = matrix(pa.concat_arrays(table["vec"].chunks), kind)
+        count = min(FIRST, len(node) - 1)
+        lists = []
+        for at in range(0, len(node), 256):
+            d = squared(vectors[at : at + 256], vectors)
+            d[np.arange(len(d)), at + np.arange(len(d))] = np.inf
+            entries = np.zeros((len(d), max(0, count)), NEAR)
+            if count > 0:
+                near = np.argpartition(d, count - 1, axis=1)[:, :count]
+                entries["id"], entries["home"] = node[near], home[near]
+                entries["d"], entries["new"] = np.take_along_axis(d, near, 1), 1
+            lists += [e.tobytes() for e in entries]
+        # One order gives the vector of a node.
+        own = table["tour"][0].as_py() == 0
+        return pa.table(
+            {
+                "node": table["node"],
+                "block": table["block"],
+                "vec": table["vec"] if own else pa.nulls(len(node), pa.binary()),
+                "near": pa.array(lists, pa.binary()),
+            }
+        )
+
+    lists = (
+        blocks.unionByName(others)
+        .groupBy("tour", "place")
+        .applyInArrow(within, "node long, block long, vec binary, near binary")
+    )
     # The row with the vector first.
-    dealt = rows.repartition("node").sortWithinPartitions("node", F.col("vec").isNull())
+    dealt = lists.repartition("node").sortWithinPartitions("node", F.col("vec").isNull())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.RecordBatch] = []
@@ -216,63 +255,32 @@ def _merged(rows: DataFrame, limit: int) -> DataFrame:
     def whole(table: pa.RecordBatch) -> pa.RecordBatch:
         node = table.column("node").to_numpy()
         entries, row = unpacked(table.column("near"), NEAR)
-        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        number = np.cumsum(np.r_[True, node[1:] != node[:-1]]) - 1
-        owners, entries = nearest(number[row], entries, limit, "new")
-        lists: list[bytes] = [b""] * len(first)
-        for owner, value in zip(*packed(owners, entries), strict=True):
-            lists[owner] = value
-        changed = np.bincount(owners, weights=entries["new"], minlength=len(first))
-        chosen = table.take(pa.array(first))
-        return pa.RecordBatch.from_arrays(
-            [
-                chosen.column("node"),
-                chosen.column("block"),
-                chosen.column("vec"),
-                pa.array(lists, pa.binary()),
-                pa.array(changed.astype(np.int64)),
-            ],
-            ["node", "block", "vec", "near", "changed"],
-        )
-
-    return dealt.mapInArrow(
-        merge, "node long, block long, vec binary, near binary, changed long"
-    )
-
-
-def _first_graph(nodes: DataFrame, kind: str, staging: Staging) -> tuple[DataFrame, dict]:
-    """The nearest nodes of the same block in any order; blocks of the first order are kept."""
-    ordered = _ordered(nodes, kind, staging)
-
-    def within(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        node = table["node"].to_numpy()
-        block, tour = table["block"][0].as_py(), table["tour"][0].as_py()
-        vectors = matrix(pa.concat_arrays(table["vec"].chunks), kind)
-        lists = []
-        for at in range(0, len(node), 256):
-            d = squared(vectors[at : at + 256], vectors)
-            d[np.arange(len(d)), at + np.arange(len(d))] = np.inf
-            count = min(FIRST, len(node) - 1)
-            near = np.argpartition(d, count - 1, axis=1)[:, :count] if count else np.zeros((len(d), 0), int)
-            entries = np.zeros(near.shape, NEAR)
-            entries["id"], entries["d"], entries["new"] = node[near], np.take_along_axis(d, near, 1), 1
-            lists += [e.tobytes() for e in entries]
-        # One order gives the block and the vector of a node.
-        own = tour == 0
-        return pa.table(
-            {
-                "node": table["node"],
-                "block": pa.array([block if own else None] * len(node), pa.int64()),
-                "vec": table["vec"] if own else pa.nulls(len(node), pa.binary()),
-                "near": pa.array(lists, pa.binary()),
-            }
-        )
-
-    lists = ordered.groupBy("tour", "block").applyInArrow(
-        within, "node long, block long, vec binary, near binary"
+        new_node = np.r_[True, node[1:] != node[:-1]]
+        chosen = table.take(pa.array(np.flatnonzero(new_node)))
+        return _graph_rows(chosen, (np.cumsum(new_node) - 1)[row], entries)
+
+    graph = dealt.mapInArrow(merge, GRAPH)
+    return staging.measured(graph, "graph", *_measures())
+
+
+GRAPH = "node long, block long, vec binary, near binary, changed long"
+
+
+def _graph_rows(nodes: pa.RecordBatch, owners: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
+    """Rows of the graph from nodes and all entries of each, its owner the number of its row."""
+    owners, entries = nearest(owners, entries, DEGREE, "new")
+    lists: list[bytes] = [b""] * nodes.num_rows
+    for owner, value in zip(*packed(owners, entries), strict=True):
+        lists[owner] = value
+    changed = np.bincount(owners, weights=entries["new"], minlength=nodes.num_rows)
+    return pa.RecordBatch.from_arrays(
+        [
+            *[nodes.column(name) for name in ("node", "block", "vec")],
+            pa.array(lists, pa.binary()),
+            pa.array(changed.astype(np.int64)),
+        ],
+        ["node", "block", "vec", "near", "changed"],
     )
-    return staging.measured(_merged(lists, DEGREE), "graph", *_measures())
 
 
 def _measures() -> tuple[Column, Column]:
@@ -284,112 +292,93 @@ def _measures() -> tuple[Column, Column]:
     )
 
 
+def _whole(table: pa.Table) -> pa.RecordBatch:
+    """A table as one batch."""
+    return table.combine_chunks().to_batches()[0] if table.num_rows else pa.RecordBatch.from_pylist(
+        [], table.schema
+    )
+
+
 def _meetings(graph: DataFrame, number: int) -> DataFrame:
-    """For each node (``block``, ``node``) the ``members`` that meet there.
+    """For each ``block`` the packed ``members`` that meet at its nodes.
 
-    These are its neighbours and a hashed choice of ``REVERSE`` nodes that have it as neighbour, new ones
-    first; so many are chosen within each partition already.
+    At a node meet its neighbours and a hashed choice of ``REVERSE`` nodes that have it as neighbour,
+    new ones first; so many are chosen within each batch already.
     """
     salt = np.uint64(0x9E3779B97F4A7C15 * (2 * number + 1) % (1 << 64))
 
-    def chosen(owners: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def chosen(members: np.ndarray) -> np.ndarray:
+        ids, owners = members["id"].astype(np.uint64), members["owner"].astype(np.uint64)
         with np.errstate(over="ignore"):
-            mixed = (owners.astype(np.uint64) ^ (members["id"].astype(np.uint64) << np.uint64(21))) * salt
-        order = np.lexsort((members["id"], mixed >> np.uint64(7), 1 - members["new"], owners))
-        owners, members = owners[order], members[order]
-        kept = places(owners) < REVERSE
-        return owners[kept], members[kept]
+            mixed = (owners ^ ids << np.uint64(21)) * salt >> np.uint64(7)
+        order = np.lexsort((members["id"], mixed, 1 - members["new"], members["owner"]))
+        members = members[order]
+        return members[places(members["owner"]) < REVERSE]
 
-    def reversed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def backward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             entries, row = unpacked(batch.column("near"), NEAR)
             members = np.zeros(len(entries), MEMBER)
+            members["owner"], members["new"] = entries["id"], entries["new"]
             members["id"] = batch.column("node").to_numpy()[row]
-            members["new"] = entries["new"]
-            owners, lists = packed(*chosen(entries["id"].astype(np.int64), members))
+            members["home"] = batch.column("block").to_numpy()[row]
+            blocks, parts = by_block(entries["home"], members)
+            lists = [chosen(part).tobytes() for part in parts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(owners), pa.array(lists, pa.binary())], ["node", "members"]
+                [pa.array(blocks, pa.int64()), pa.array(lists, pa.binary())], ["block", "members"]
             )
 
-    def forward_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            entries, row = unpacked(batch.column("near"), NEAR)
-            members = np.zeros(len(entries), MEMBER)
-            members["id"], members["new"] = entries["id"], entries["new"]
-            lists: list[bytes] = [b""] * batch.num_rows
-            for owner, value in zip(*packed(row, members), strict=True):
-                lists[owner] = value
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("block"), pa.array(lists, pa.binary())],
-                ["node", "block", "members"],
-            )
-
-    forward = graph.select("node", "block", "near").mapInArrow(
-        forward_rows, "node long, block long, members binary"
-    )
-    backward = graph.select("node", "near").mapInArrow(reversed_rows, "node long, members binary")
-    both = forward.unionByName(backward, allowMissingColumns=True)
-    dealt = both.repartition("node").sortWithinPartitions("node", F.col("block").isNull())
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.concat_batches([*kept, batch])
-            node = table.column("node").to_numpy()
-            cut = int(np.searchsorted(node, node[-1], side="left"))
-            kept = [table.slice(cut)]
-            if cut:
-                yield met(table.slice(0, cut))
-        for rest in kept:
-            yield met(rest)
-
-    def met(table: pa.RecordBatch) -> pa.RecordBatch:
-        node = table.column("node").to_numpy()
-        new_node = np.r_[True, node[1:] != node[:-1]]
-        first, number_of = np.flatnonzero(new_node), np.cumsum(new_node) - 1
-        members, row = unpacked(table.column("members"), MEMBER)
-        back = ~new_node[row]
-        owners, members_back = chosen(number_of[row[back]], members[back])
-        owners = np.concatenate([number_of[row[~back]], owners])
-        members = np.concatenate([members[~back], members_back])
-        # A member met twice counts as new only if it is in both.
-        order = np.lexsort((members["new"], members["id"], owners))
-        owners, members = owners[order], members[order]
-        again = (owners[1:] == owners[:-1]) & (members["id"][1:] == members["id"][:-1])
-        kept = np.r_[True, ~again][: len(owners)]
-        owners, members = owners[kept], members[kept]
-        lists: list[bytes] = [b""] * len(first)
-        for owner, value in zip(*packed(owners, members), strict=True):
-            lists[owner] = value
-        return pa.RecordBatch.from_arrays(
-            [
-                table.column("block").take(pa.array(first)),
-                pa.array(node[first]),
-                pa.array(lists, pa.binary()),
-            ],
-            ["block", "node", "members"],
+    def meet(nodes: pa.Table, others: pa.Table) -> pa.Table:
+        nodes = _whole(nodes)
+        entries, row = unpacked(nodes.column("near"), NEAR)
+        own = np.zeros(len(entries), MEMBER)
+        own["owner"] = nodes.column("node").to_numpy()[row]
+        for name in ("id", "home", "new"):
+            own[name] = entries[name]
+        back, _ = unpacked(_whole(others).column("members"), MEMBER)
+        members = np.concatenate([own, chosen(back)])
+        # A member that is both counts as new only if it is so in both.
+        order = np.lexsort((members["new"], members["id"], members["owner"]))
+        members = members[order]
+        again = (members["owner"][1:] == members["owner"][:-1]) & (
+            members["id"][1:] == members["id"][:-1]
         )
+        members = members[np.r_[True, ~again][: len(members)]]
+        block = nodes.column("block")[:1]
+        return pa.table({"block": block, "members": pa.array([members.tobytes()] * len(block))})
 
-    return dealt.mapInArrow(meet, "block long, node long, members binary")
+    sent = graph.select("node", "block", "near").mapInArrow(backward, "block long, members binary")
+    return (
+        graph.select("block", "node", "near")
+        .groupBy("block")
+        .cogroup(sent.groupBy("block"))
+        .applyInArrow(meet, "block long, members binary")
+    )
 
 
 def _introduced(graph: DataFrame, meetings: DataFrame, kind: str) -> DataFrame:
-    """What nodes learn at the meetings of a block: per block and node the nearest it has met there.
+    """What the nodes of each ``block`` learn at the meetings of another, packed as ``learned``.
 
-    A vector goes once to every block where its node is a member, with the distance beyond which the
-    node has no use for others.
+    A block sends the vectors of its nodes once to every block where they are members, with the distance
+    beyond which a node has no use for others.
     """
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            members, row = unpacked(batch.column("members"), MEMBER)
-            block = batch.column("block").to_numpy()[row]
-            pairs = np.unique(np.stack([members["id"], block], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["node", "block"]
-            )
+            for block, value in zip(
+                batch.column("block").to_pylist(), batch.column("members").to_pylist(), strict=True
+            ):
+                members = np.frombuffer(value, MEMBER)
+                ids, first = np.unique(members["id"], return_index=True)
+                homes, parts = by_block(members["home"][first], ids)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(homes, pa.int64()),
+                        pa.array(np.full(len(homes), block), pa.int64()),
+                        pa.array([part.astype("<i8").tobytes() for part in parts], pa.binary()),
+                    ],
+                    ["block", "at", "nodes"],
+                )
 
     def with_limit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,63 +387,127 @@ def _introduced(graph: DataFrame, meetings: DataFrame, kind: str) -> DataFrame:
                 entries = np.frombuffer(value, NEAR)
                 limits.append(entries["d"][-1] if len(entries) >= DEGREE else np.inf)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("vec"), pa.array(limits, pa.float64())],
-                ["node", "vec", "limit"],
+                [
+                    *[batch.column(name) for name in ("node", "block", "vec")],
+                    pa.array(limits, pa.float64()),
+                ],
+                ["node", "block", "vec", "limit"],
             )
 
-    needs = meetings.mapInArrow(wanted, "node long, block long").distinct()
-    vectors = graph.select("node", "vec", "near").mapInArrow(
-        with_limit, "node long, vec binary, limit double"
+    def send(nodes: pa.Table, wants: pa.Table) -> pa.Table:
+        nodes = _whole(nodes)
+        node = nodes.column("node").to_numpy()
+        order = np.argsort(node)
+        node, limit = node[order], nodes.column("limit").to_numpy()[order]
+        vectors = np.array(nodes.column("vec").to_pylist(), object)[order]
+        limits, vecs = [], []
+        for value in wants["nodes"].to_pylist():
+            at = np.searchsorted(node, np.frombuffer(value, "<i8"))
+            limits.append(limit[at].astype("<f8").tobytes())
+            vecs.append(b"".join(vectors[at]))
+        return pa.table(
+            {
+                "block": wants["at"],
+                "home": wants["block"],
+                "nodes": wants["nodes"],
+                "limits": pa.array(limits, pa.binary()),
+                "vecs": pa.array(vecs, pa.binary()),
+            }
+        )
+
+    needs = meetings.mapInArrow(wanted, "block long, at long, nodes binary")
+    vectors = graph.select("node", "block", "vec", "near").mapInArrow(
+        with_limit, "node long, block long, vec binary, limit double"
+    )
+    sent = (
+        vectors.groupBy("block")
+        .cogroup(needs.groupBy("block"))
+        .applyInArrow(send, "block long, home long, nodes binary, limits binary, vecs binary")
     )
-    sent = needs.join(vectors, "node").select("block", "node", "vec", "limit")
 
     def meet(lists: pa.Table, known: pa.Table) -> pa.Table:
-        known = known.combine_chunks()
-        node = known["node"].to_numpy()
+        known = _whole(known)
+        node, row = unpacked(known.column("nodes"), np.dtype("<i8"))
         order = np.argsort(node)
-        node, limit = node[order], known["limit"].to_numpy()[order]
-        vectors = matrix(pa.concat_arrays(known["vec"].chunks), kind)[order] if len(node) else None
-        owners, ids, distances = [], [], []
-        held = 0
-        out: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, NEAR))
-
-        def shrunk(out: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-            met = np.zeros(held, NEAR)
-            met["id"], met["d"], met["new"] = np.concatenate(ids), np.concatenate(distances), 1
-            all_owners = np.concatenate([out[0], *owners])
-            return nearest(all_owners, np.concatenate([out[1], met]), DEGREE, "new")
-
-        for value in lists["members"].to_pylist():
-            members = np.frombuffer(value, MEMBER)
-            new = members["new"].astype(bool)
+        node, home = node[order], known.column("home").to_numpy()[row][order]
+        limit = np.frombuffer(b"".join(known.column("limits").to_pylist()), "<f8")[order]
+        joined = np.frombuffer(b"".join(known.column("vecs").to_pylist()), kind)
+        vectors = joined.astype(np.float64).reshape(len(node), -1)[order]
+        members, _ = unpacked(_whole(lists).column("members"), MEMBER)
+        starts = np.flatnonzero(np.r_[True, members["owner"][1:] != members["owner"][:-1]])
+        starts = starts[: len(members)]
+        at_all = np.searchsorted(node, members["id"])
+        new_all = members["new"].astype(bool)
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        owners, entries, held = np.zeros(0, np.int64), np.zeros(0, NEAR), 0
+
+        def shrunk() -> tuple[np.ndarray, np.ndarray]:
+            a, b, d = (np.concatenate([m[i] for m in met]) for i in range(3))
+            found = np.zeros(len(a), NEAR)
+            found["id"], found["home"], found["d"], found["new"] = node[b], home[b], d, 1
+            return nearest(
+                np.concatenate([owners, a]), np.concatenate([entries, found]), DEGREE, "new"
+            )
+
+        for start, end in zip(starts, [*starts[1:], len(members)], strict=False):
+            at, new = at_all[start:end], new_all[start:end]
             if not new.any():
                 continue
-            at = np.searchsorted(node, members["id"])
             # New ones meet all, the others have met one another before.
             d = squared(vectors[at[new]], vectors[at])
-            new_at = at[new]
-            for a, b, found in ((new_at, at, d), (at[~new], new_at, d[:, ~new].T)):
+            for a, b, found in ((at[new], at, d), (at[~new], at[new], d[:, ~new].T)):
                 useful = found < limit[a][:, None]
                 useful &= a[:, None] != b[None, :]
                 i, j = np.nonzero(useful)
-                owners.append(node[a[i]])
-                ids.append(node[b[j]])
-                distances.append(found[i, j])
+                met.append((a[i], b[j], found[i, j]))
                 held += len(i)
             if held > 1 << 20:
-                out = shrunk(out)
-                owners, ids, distances, held = [], [], [], 0
-        if held:
-            out = shrunk(out)
-        nodes, found = packed(*out)
+                owners, entries = shrunk()
+                met, held = [], 0
+        if met:
+            owners, entries = shrunk()
+        learned = np.zeros(len(owners), LEARNED)
+        learned["owner"] = node[owners]
+        for name in NEAR.names:
+            learned[name] = entries[name]
+        blocks, parts = by_block(home[owners], learned)
         return pa.table(
-            {"node": pa.array(nodes, pa.int64()), "near": pa.array(found, pa.binary())}
+            {
+                "block": pa.array(blocks, pa.int64()),
+                "learned": pa.array([part.tobytes() for part in parts], pa.binary()),
+            }
         )
 
     return (
         meetings.groupBy("block")
         .cogroup(sent.groupBy("block"))
-        .applyInArrow(meet, "node long, near binary")
+        .applyInArrow(meet, "block long, learned binary")
+    )
+
+
+def _improved(graph: DataFrame, learned: DataFrame) -> DataFrame:
+    """The graph after a round; ``changed`` counts the neighbours that are new."""
+
+    def merge(nodes: pa.Table, news: pa.Table) -> pa.Table:
+        nodes = _whole(nodes)
+        order = np.argsort(nodes.column("node").to_numpy())
+        nodes = nodes.take(pa.array(order))
+        old, row = unpacked(nodes.column("near"), NEAR)
+        old = old.copy()
+        old["new"] = 0
+        news_of, _ = unpacked(_whole(news).column("learned"), LEARNED)
+        found = np.zeros(len(news_of), NEAR)
+        for name in NEAR.names:
+            found[name] = news_of[name]
+        owners = np.searchsorted(nodes.column("node").to_numpy(), news_of["owner"])
+        rows = _graph_rows(nodes, np.concatenate([row, owners]), np.concatenate([old, found]))
+        return pa.Table.from_batches([rows])
+
+    return (
+        graph.select("node", "block", "vec", "near")
+        .groupBy("block")
+        .cogroup(learned.groupBy("block"))
+        .applyInArrow(merge, GRAPH)
     )
 
 
@@ -470,36 +523,16 @@ def build(nodes: DataFrame, kind: str, staging: Staging) -> DataFrame:
             break
         meetings = staging.table(_meetings(graph, number), "meetings")
         learned = _introduced(graph, meetings, kind)
-        old = graph.select("node", "block", "vec", _no_longer_new("near").alias("near"))
-        graph, state = staging.measured(
-            _merged(old.unionByName(learned, allowMissingColumns=True), DEGREE), "graph", *_measures()
-        )
+        graph, state = staging.measured(_improved(graph, learned), "graph", *_measures())
     return graph
 
 
-def _no_longer_new(column: str) -> Column:
-    @F.arrow_udf("binary")
-    def settled(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in lists:
-            out = []
-            for value in column.to_pylist():
-                entries = np.frombuffer(value, NEAR).copy()
-                entries["new"] = 0
-                out.append(entries.tobytes())
-            yield pa.array(out, pa.binary())
-
-    return settled(column)
-
-
 def search(graph: DataFrame, starts: DataFrame, kind: str, staging: Staging) -> DataFrame:
     """``node`` (a query's) and ``found``: the packed nearest nodes met on the way, its own left out.
 
     ``starts`` has the different nodes that are searched for, all of them in the graph.
     """
-    spark = graph.sparkSession
-    buckets = max(1, -(-graph.count() // BUCKET))
-    bucket = F.pmod(F.xxhash64("node"), F.lit(buckets)).cast("int")
-    vectors = graph.select(bucket.alias("bucket"), "node", "vec")
+    vectors = graph.select("block", "node", "vec")
 
     @F.arrow_udf("binary")
     def begun(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -518,34 +551,49 @@ def search(graph: DataFrame, starts: DataFrame, kind: str, staging: Staging) ->
             fresh = entries["seen"] == 0
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("query").take(pa.array(row[fresh])),
                     pa.array(entries["id"][fresh].astype(np.int64)),
+                    *[batch.column(c).take(pa.array(row[fresh])) for c in ("query", "vec")],
                 ],
-                ["query", "node"],
+                ["node", "query", "vec"],
             )
 
     def to_visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Neighbours of visited nodes, each once for a query within the batch."""
+        """Neighbours of followed nodes, each once for a query within the batch, by their block."""
         for batch in batches:
+            if not batch.num_rows:
+                continue
             entries, row = unpacked(batch.column("near"), NEAR)
-            query = batch.column("query").to_numpy()[row]
-            pairs = np.unique(np.stack([query, entries["id"]], axis=1), axis=0)
+            query = batch.column("query").to_numpy()
+            triples = np.stack([query[row], entries["home"], entries["id"]], axis=1)
+            triples, first = np.unique(triples, axis=0, return_index=True)
+            starts = np.flatnonzero(np.r_[True, (triples[1:, :2] != triples[:-1, :2]).any(axis=1)])
+            starts = starts[: len(triples)]
+            ends = [*starts[1:], len(triples)]
+            ids = [
+                triples[s:e, 2].astype("<i8").tobytes() for s, e in zip(starts, ends, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["query", "node"]
+                [
+                    pa.array(triples[starts, 1].copy()),
+                    pa.array(triples[starts, 0].copy()),
+                    batch.column("vec").take(pa.array(row[first[starts]])),
+                    pa.array(ids, pa.binary()),
+                ],
+                ["block", "query", "vec", "nodes"],
             )
 
     def measured(pairs: pa.Table, known: pa.Table) -> pa.Table:
-        """Distances of the nodes of a bucket to the queries that came for them."""
+        """Distances of the nodes of a block to the queries that came for them."""
         if not pairs.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "found": pa.array([], pa.binary())})
-        known = known.combine_chunks()
-        node = known["node"].to_numpy()
+        known = _whole(known)
+        node = known.column("node").to_numpy()
         order = np.argsort(node)
         node = node[order]
-        own = matrix(pa.concat_arrays(known["vec"].chunks), kind)[order]
+        own = matrix(known.column("vec"), kind)[order]
         lists = []
         for vector, wanted in zip(pairs["vec"].to_pylist(), pairs["nodes"].to_pylist(), strict=True):
-            ids = np.array(wanted, np.int64)
+            ids = np.frombuffer(wanted, "<i8")
             difference = own[np.searchsorted(node, ids)] - np.frombuffer(vector, kind)
             entries = np.zeros(len(ids), FOUND)
             entries["id"], entries["d"] = ids, (difference * difference).sum(axis=1)
@@ -609,19 +657,17 @@ def search(graph: DataFrame, starts: DataFrame, kind: str, staging: Staging) ->
         begin.withColumn("fresh", F.length("found")), "search", open_ends
     )
     while measure["fresh"]:
-        visited = state.select("query", "found").mapInArrow(frontier, "query long, node long")
+        followed = state.select("query", "vec", "found").mapInArrow(
+            frontier, "node long, query long, vec binary"
+        )
         pairs = (
-            visited.join(graph.select("node", "near"), "node")
-            .select("query", "near")
-            .mapInArrow(to_visit, "query long, node long")
-            .distinct()
-            .groupBy("query", bucket.alias("bucket"))
-            .agg(F.collect_list("node").alias("nodes"))
+            followed.join(graph.select("node", "near"), "node")
+            .select("query", "vec", "near")
+            .mapInArrow(to_visit, "block long, query long, vec binary, nodes binary")
         )
-        with_vector = pairs.join(state.select("query", "vec"), "query")
         met = (
-            with_vector.groupBy("bucket")
-            .cogroup(vectors.groupBy("bucket"))
+            pairs.groupBy("block")
+            .cogroup(vectors.groupBy("block"))
             .applyInArrow(measured, "query long, found binary")
         )
         before = state.select("query", "vec", "found").mapInArrow(

@@ -68,7 +68,6 @@ def test_rounds_and_search_on_many_blocks(spark, monkeypatch):
     # Blocks so small that the first graph is poor.
     monkeypatch.setattr(nn, "BLOCK", 64)
     monkeypatch.setattr(nn, "ORDERS", 2)
-    monkeypatch.setattr(nn, "BUCKET", 200)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 8))
     vectors = (centres[rng.integers(0, 20, 1500)] + 0.3 * rng.normal(size=(1500, 8))).tolist()
@@ -129,7 +128,8 @@ def test_doubles_and_other_names(spark):
 
 def test_nearest_keeps_the_older_of_two():
     owners = np.array([1, 0, 1, 1, 0])
-    entries = np.array([(5, 2.0, 1), (7, 1.0, 1), (5, 2.0, 0), (6, 1.0, 1), (8, 0.5, 0)], nn.NEAR)
+    rows = [(5, 0, 2.0, 1), (7, 0, 1.0, 1), (5, 0, 2.0, 0), (6, 0, 1.0, 1), (8, 0, 0.5, 0)]
+    entries = np.array(rows, nn.NEAR)
     kept_owners, kept = nn.nearest(owners, entries, 2, "new")
     assert kept_owners.tolist() == [0, 0, 1, 1]
     assert kept["id"].tolist() == [8, 7, 6, 5]
