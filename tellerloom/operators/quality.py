@@ -24,20 +24,38 @@ def _long(one_row: DataFrame, dataset: str) -> DataFrame:
     return exploded.select(F.lit(dataset).alias("dataset"), "pair.measure", "pair.value")
 
 
-def source_quality(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """One row, in one scan: rows read, values that did not parse, rows with a required gap."""
+LOST = "_lost"
+
+
+def typed_with_losses(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The conformed rows, and in ``_lost`` which columns of another type had a value and lost it.
+
+    Stored once, it serves the preparation (without ``_lost``) and the quality report, so that a
+    source is parsed once.
+    """
     typed = conform(raw.withColumn("_raw", F.struct(*[ref(name) for name in raw.columns])), spec)
     raw_types = {field.name: field.dataType for field in raw.schema}
-    failed = []
+    lost = []
     for field in spec.schema:
         source = matching(raw, field.name)[0]
         if raw_types[source] != field.dataType:
-            given = F.col("_raw")[source].isNotNull()
-            lost = F.count_if(given & ref(field.name).isNull())
-            failed.append(lost.alias(f"unparsed_{field.name}"))
+            gone = F.col("_raw")[source].isNotNull() & ref(field.name).isNull()
+            lost.append(gone.alias(field.name))
+    # A struct needs a field, also where every column has its type already.
+    return typed.withColumn(LOST, F.struct(*lost, F.lit(False).alias("_"))).drop("_raw")
+
+
+def source_quality(source: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """One row, in one scan: rows read, values that did not parse, rows with a required gap.
+
+    ``source`` is raw, or what ``typed_with_losses`` made of it.
+    """
+    typed = source if LOST in source.columns else typed_with_losses(source, spec)
+    lost = [name for name in typed.schema[LOST].dataType.names if name != "_"]
+    failed = [F.count_if(F.col(LOST)[name]).alias(f"unparsed_{name}") for name in lost]
     required = spec.required
     if required is None:
-        required = [name for name in typed.columns if name != "_raw"]
+        required = [name for name in typed.columns if name != LOST]
     incomplete = F.count_if(~is_complete(typed, required)).alias("rows_incomplete")
     return typed.agg(F.count(F.lit(1)).alias("rows_read"), *failed, incomplete)
 
@@ -56,7 +74,7 @@ def quality_report(
     specs: Mapping[str, DatasetSpec] = SPECS,
     rolled: Rollups | None = None,
 ) -> DataFrame:
-    """All measures as rows of dataset, measure, value.
+    """All measures as rows of dataset, measure, value. ``raw`` may be typed as for ``source_quality``.
 
     Rows read, minus the incomplete, minus the kept, are the full-row duplicates removed. The joined
     table's size and fan-out come from per-customer counts, without joining the rows.

@@ -288,6 +288,11 @@ ORACLE: dict[str, str] = {
         FROM tx
         UNION ALL SELECT 'comptes_bancaires', 2 * count(*), 2 * count(*) FROM acc
         UNION ALL SELECT 'info_global', 2 * count(*), 2 * count(*) FROM mas""",
+    "quality_report_of_raw": INPUTS + " UNION ALL ".join(
+        f"""SELECT '{name}' AS dataset, unnest(['rows_read', 'rows_kept', 'repeated_keys']) AS measure,
+               unnest([count(*), count(*), 0.0])::DOUBLE AS value FROM {table}"""
+        for name, table in (("transactions", "tx"), ("comptes_bancaires", "acc"), ("info_global", "mas"))
+    ),
     "quality_report": f"""{INPUTS},
         raw_tx AS (
           SELECT * FROM tx

@@ -9,11 +9,13 @@ from tellerloom.plans.batch import (
     stage_enrich,
     stage_marts,
     stage_prepare,
+    stage_prepare_checked,
     stage_quality,
 )
 from tellerloom.plans.prepare import cleaned, prepare, prepare_all
 
 __all__ = [
     "MART_DIMS", "cleaned", "marts", "prepare", "prepare_all", "prepared_tables", "preview",
-    "run_pipeline", "stage_enrich", "stage_marts", "stage_prepare", "stage_quality",
+    "run_pipeline", "stage_enrich", "stage_marts", "stage_prepare", "stage_prepare_checked",
+    "stage_quality",
 ]

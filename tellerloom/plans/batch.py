@@ -17,7 +17,7 @@ from tellerloom.operators.distribution import distribution
 from tellerloom.operators.enrich import enrich
 from tellerloom.operators.factored import Rollups, distribution_of, mart_of, rollups
 from tellerloom.operators.marts import COUNTRY_DEPARTMENT_PAYMENT, COUNTRY_GENDER_ACCOUNT
-from tellerloom.operators.quality import quality_report
+from tellerloom.operators.quality import LOST, quality_report, typed_with_losses
 from tellerloom.plans.prepare import cleaned, prepare, side_by_side
 from tellerloom.sinks import FileSink, Sink, write_table
 from tellerloom.sources import read_stored
@@ -195,6 +195,29 @@ def stage_marts(
         return _write_all(spark, tables, sink, mode)
 
 
+def stage_prepare_checked(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    store: str,
+    as_of: datetime.date | None = None,
+    staging: Staging | None = None,
+) -> DataFrame:
+    """First stage and its quality report, from one parse of every raw source.
+
+    The typed rows are staged, and stay for the lazy report.
+    """
+    staging = staging or Staging(spark)
+    writes = [
+        lambda name=name, spec=spec: staging.table(
+            typed_with_losses(sources[name], spec), f"typed-{name}"
+        )
+        for name, spec in SPECS.items()
+    ]
+    typed = dict(zip(SPECS, side_by_side(spark, writes)))
+    stage_prepare(spark, {name: df.drop(LOST) for name, df in typed.items()}, store, as_of)
+    return quality_report(typed, prepared_tables(spark, store))
+
+
 def stage_quality(
     spark: SparkSession, sources: Mapping[str, DataFrame], store: str
 ) -> DataFrame:

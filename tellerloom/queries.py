@@ -614,6 +614,14 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
         ACCOUNTS.name: accounts,
         MASTER.name: master.where("Country <> 'ASIA'"),
     }
+    return plans.stage_prepare_checked(spark, raw, Staging(spark).root, AS_OF)
+
+
+@query
+def quality_report_of_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of sources as they are, after the preparation."""
+    raw = {**standin.datasets(spark, folder)}
     store = Staging(spark).root
     plans.stage_prepare(spark, raw, store, AS_OF)
-    return plans.stage_quality(spark, raw, store)
+    report = plans.stage_quality(spark, raw, store)
+    return report.where("measure IN ('rows_read', 'rows_kept', 'repeated_keys')")

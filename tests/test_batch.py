@@ -8,7 +8,7 @@ from tellerloom import standin
 from tellerloom.operators import quality_report
 from tellerloom.plans import (
     prepare, prepared_tables, preview, run_pipeline, stage_enrich, stage_marts, stage_prepare,
-    stage_quality,
+    stage_prepare_checked, stage_quality,
 )
 from tellerloom.plans.prepare import side_by_side
 from tellerloom.sinks import FileSink, write_table
@@ -144,3 +144,21 @@ def test_jobs_side_by_side(spark):
 
     with pytest.raises(RuntimeError, match="broken job"):
         side_by_side(spark, [fail, lambda: spark.range(1).count()])
+
+
+def test_prepared_and_checked_from_one_parse(spark, tmp_path, monkeypatch):
+    """The report with the first stage is that of the raw sources, which are read once."""
+    raw = {
+        name: df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+        for name, df in standin.datasets(spark, FOLDER).items()
+    }
+    broken = F.when(F.col("MoyenPaiement") == "2-HIGH", "x").otherwise(F.col("Montant"))
+    raw["transactions"] = raw["transactions"].withColumn("Montant", broken)
+    stores = [str(tmp_path / name) for name in ("one", "two")]
+    report = stage_prepare_checked(spark, raw, stores[0], DAY)
+    stage_prepare(spark, raw, stores[1], DAY)
+    assert collected(report) == collected(stage_quality(spark, raw, stores[1]))
+    for name, table in prepared_tables(spark, stores[0]).items():
+        assert collected(table) == collected(prepared_tables(spark, stores[1])[name])
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "orders.parquet" not in plan and "o_orderkey" not in plan
