@@ -30,9 +30,9 @@ DICTIONARY_BYTES = 1 << 17
 LEVEL = 3
 # Texts are compressed in blocks of this size, so that the dictionary matters all the way.
 BLOCK = 1 << 13
-# Added to the sum of the sizes that the difference is divided by, so that a few bytes of a short text
-# weigh little.
-STEADY = 256
+# Added to the sum of the sizes that the difference is divided by: short texts are judged by the bytes
+# they differ, so that a few weigh little, and long ones by their share.
+STEADY = 2048
 # Compressed share of a text's bytes under which it counts as repeating itself.
 USUAL_RATE = 0.2
 
