@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerloom.llm.common import byte_strings, list_slices
+from tellerloom.llm.common import list_slices
 
 # Code points beyond which a text is encoded in parts.
 LONG = 1 << 16

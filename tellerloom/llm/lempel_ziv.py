@@ -8,9 +8,8 @@ Nicholas, 2017).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +17,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tellerloom.llm.common import thinned
+
 # Hashes a fingerprint keeps, 8 hexadecimal digits each.
 KEPT = 128
+# Ids sampled for each bucket of ids, and the most buckets; a bucket is read as a stream.
+SAMPLED_IDS = 32
+MAX_BUCKETS = 100_000
 
 
 def phrases(text: str) -> set[str]:
@@ -51,7 +55,7 @@ def likeness(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
     union = np.union1d(a, b)[:kept]
     if not len(union):
         return 1.0
-    return float(np.isin(union, a).__and__(np.isin(union, b)).sum() / len(union))
+    return float((np.isin(union, a) & np.isin(union, b)).sum() / len(union))
 
 
 def as_text(found: np.ndarray) -> str:
@@ -91,10 +95,16 @@ def similarity(a: Column, b: Column, kept: int = KEPT) -> Column:
 
 
 def _bounds(ids: DataFrame, buckets: int) -> list[int]:
-    """Ids that split the table into about equal buckets, from a sketch of known size."""
-    shares = [i / buckets for i in range(1, buckets)]
-    found = ids.agg(F.percentile_approx("doc_id", shares, 20 * buckets).alias("at")).first()["at"]
-    return sorted(set(found or []))
+    """Ids that split the table into about equal buckets, from a hashed sample of known size.
+
+    The buckets themselves hold every row; the sample only decides how even they are.
+    """
+    wanted = SAMPLED_IDS * buckets
+    known = ids.select("doc_id").where("doc_id is not null")
+    chosen = known.where(thinned(F.xxhash64("doc_id"), wanted, known.count())).limit(2 * wanted)
+    found = np.sort(chosen.toArrow()["doc_id"].to_numpy())
+    at = np.arange(1, buckets) * len(found) // buckets
+    return sorted(set(found[at].tolist())) if len(found) else []
 
 
 def in_turn(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
@@ -156,6 +166,7 @@ def neighbours(
     """
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(buckets, MAX_BUCKETS)
     rows_in_turn = (
         in_turn(docs, id_col, text_col, buckets)
         .repartition("bucket")

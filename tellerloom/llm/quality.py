@@ -1,10 +1,10 @@
 """Quality by compression: which of two zstandard dictionaries makes a text smaller.
 
 One dictionary is trained on good, one on bad labelled texts. The normalised difference of the two
-compressed sizes becomes a probability by a logistic curve fitted to labelled texts measured with
-dictionaries they are not in, those of the other half of the sample. Texts that repeat themselves shrink to next to nothing under either dictionary, so
-their difference says little; how far the smaller size lies under a usual rate is the curve's second
-term.
+compressed sizes becomes a probability by a logistic curve, fitted to labelled texts measured with
+dictionaries they are not in, those of the other half of the sample. Texts that repeat themselves shrink
+to next to nothing under either dictionary, so their difference says little; how far the smaller size
+lies under a usual rate is the curve's second term.
 """
 
 from __future__ import annotations
