@@ -25,7 +25,7 @@ FEATURES = 1 << SIZE_BITS
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 CENTROIDS = 4
-# Training rows of a language that seed its centroids, chosen by a hash of the text.
+# Different training texts of a language that seed its centroids, chosen by a hash of the text.
 SEED_ROWS = 32
 ROUNDS = 2
 # Standard deviations under the mean cosine of a length band at which a text is rejected.
@@ -128,14 +128,31 @@ def _document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
 
 def _seeds(training: DataFrame, idf: np.ndarray, clusters: int) -> tuple[list[str], np.ndarray]:
     """Languages and centroids of the bounded sample, by a few rounds on the driver."""
+    # Copies of a text count once, or a language made mostly of them could end up without a seed.
+    # Code points that Spark's Unicode tables do not know may be letters.
+    hashed = training.where(F.col("text").rlike(r"[\p{L}\p{Cn}]")).withColumn(
+        "_hash", F.xxhash64("text")
+    )
+    different = hashed.select("lang", "_hash").distinct()
     # One row a language. About four times what is wanted gets as far as the ranking.
-    sizes = training.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (
-        training.join(F.broadcast(sizes), "lang")
-        .where(thinned(F.xxhash64("text"), 4 * SEED_ROWS, F.col("_n")))
+    sizes = different.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_hash").alias("_least")
+    )
+    order = Window.partitionBy("lang").orderBy("_hash")
+    wanted = (
+        different.join(F.broadcast(sizes), "lang")
+        .where(
+            thinned(F.col("_hash"), 4 * SEED_ROWS, F.col("_n"))
+            | (F.col("_hash") == F.col("_least"))
+        )
         .withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") <= SEED_ROWS)
+        .select("lang", "_hash")
+    )
+    sample = (
+        hashed.join(F.broadcast(wanted), ["lang", "_hash"])
+        .groupBy("lang", "_hash")
+        .agg(F.min("text").alias("text"))
     )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +171,7 @@ def _seeds(training: DataFrame, idf: np.ndarray, clusters: int) -> tuple[list[st
         by_language.setdefault(lang, []).append(value)
     names, centres = [], []
     for lang in sorted(by_language):
-        own = np.stack([np.frombuffer(v, np.float32) for v in sorted(by_language[lang])])
+        own = np.stack([np.frombuffer(v, np.float32) for v in sorted(set(by_language[lang]))])
         centre = own.mean(axis=0, keepdims=True)
         chosen = [int((own @ centre.T).argmax())]
         while len(chosen) < min(clusters, len(own)):
@@ -267,7 +284,7 @@ def fit(
     """Learn from the rows of ``training`` that have a language and a letter.
 
     Document frequencies, centroids and rejection floors come from all of them; only the seeds come
-    from a bounded sample (``SEED_ROWS`` a language). What reaches the driver is as large as the model.
+    from a bounded sample (``SEED_ROWS`` different texts a language). What reaches the driver is as large as the model.
     """
     rows = training.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")

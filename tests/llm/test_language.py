@@ -75,6 +75,31 @@ def test_a_round_moves_centroids_to_the_means_of_their_rows(spark, documents):
         assert np.allclose(moved[c], mean / np.linalg.norm(mean), atol=1e-4)
 
 
+def test_a_language_of_copies_has_different_seeds(spark):
+    texts = [f"{word} " * 30 for word in ("alpha", "brumo", "cenito", "dorvak", "eluxin")]
+    copied = spark.range(10_000).select(
+        F.concat(F.lit("xx"), (F.col("id") % 20).cast("string")).alias("lang"),
+        F.element_at(
+            F.array(*[F.lit(t) for t in texts]),
+            F.when(F.col("id") < 9_000, 1).otherwise((F.col("id") / 20).cast("int") % 5 + 1),
+        ).alias("text"),
+    )
+    # Each of the languages has its own texts, so each has its chance to lose all of them.
+    rows = copied.select("lang", F.concat("text", F.lit(" "), F.repeat("lang", 9)).alias("text"))
+    large = spark.range(10_000).select(
+        F.lit("zz").alias("lang"), F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("id") % 5 + 1).cast("int")).alias("text")
+    )
+    idf = np.ones(language.FEATURES, np.float32)
+    names, centres = language._seeds(rows.unionByName(large), idf, 4)
+    assert {name: names.count(name) for name in names} == {
+        **{f"xx{i}": 4 for i in range(20)},
+        "zz": 4,
+    }
+    for name in set(names):
+        own = centres[[n == name for n in names]]
+        assert (own @ own.T - np.eye(4) < 0.999).all()
+
+
 def test_strange_text_is_rejected(spark, documents):
     model = language.fit(documents)
     strange = "".join(chr(0x4E00 + i * 7 % 5000) for i in range(3000))
