@@ -2,21 +2,22 @@
 
 A tree builder supplies the tags a page leaves out; a renderer walks the tree, leaves out what is not
 shown, and emits all other text with the spacing of its blocks, markers of lists and aligned cells of
-tables. Style sheets and scripts are not applied, but ``style`` and ``hidden`` attributes are.
+tables. Style sheets and scripts are not applied, but ``style`` and ``hidden`` attributes are. Elements
+may be nested to any depth: nothing here calls itself, ``run`` keeps the calls of the renderer in a list.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
+from dataclasses import dataclass
 from html import unescape
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Elements nested deeper than this become children of the last one that is not; their text stays.
-MAX_DEPTH = 200
 # Cells are padded to the width of their column up to here; longer ones are whole but not aligned.
 MAX_PADDING = 60
 # The limits of spans in tables.
@@ -101,6 +102,8 @@ class Builder:
         self.head: Node | None = Node("head")
         self.root.children += [self.head, self.body]
         self.stack = [self.root, self.head]
+        # By name, the places in the stack of the open elements within head or body.
+        self.places: dict[str, list[int]] = {}
 
     @property
     def top(self) -> Node:
@@ -110,6 +113,7 @@ class Builder:
         if self.head is not None:
             self.head = None
             self.stack = [self.root, self.body]
+            self.places = {}
 
     def text(self, text: str) -> None:
         if self.head is not None and len(self.stack) == 2:
@@ -121,18 +125,22 @@ class Builder:
 
     def open_place(self, names: frozenset[str], stop: frozenset[str]) -> int | None:
         """Where in the stack the innermost of ``names`` is, unless one of ``stop`` is further in."""
-        for at in range(len(self.stack) - 1, 1, -1):
-            name = self.stack[at].name
-            if name in names:
-                return at
-            if name in stop:
-                return None
-        return None
+        at = self.innermost(names)
+        return None if at < 0 or self.innermost(stop) > at else at
+
+    def innermost(self, names: frozenset[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
 
     def push(self, node: Node) -> None:
         self.top.children.append(node)
-        if len(self.stack) < MAX_DEPTH:
-            self.stack.append(node)
+        self.places.setdefault(node.name, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def close(self, at: int) -> None:
+        """Ends the open elements from a place of the stack on."""
+        for node in self.stack[at:]:
+            self.places[node.name].pop()
+        del self.stack[at:]
 
     def start(self, name: str, attributes: dict[str, str]) -> Node | None:
         if name in ("html", "body", "head"):
@@ -146,13 +154,13 @@ class Builder:
         if name in CLOSES_P:
             at = self.open_place(frozenset(["p"]), SCOPE | {"button"})
             if at is not None:
-                del self.stack[at:]
+                self.close(at)
         if name in HEADINGS and self.top.name in HEADINGS:
-            self.stack.pop()
+            self.close(len(self.stack) - 1)
         if name in IMPLIED_END:
             closes, stop = IMPLIED_END[name]
             while (at := self.open_place(closes, stop)) is not None:
-                del self.stack[at:]
+                self.close(at)
         if name in TABLE_TAGS and name != "table":
             self.table_parts(name)
         node = Node(name, attributes)
@@ -170,7 +178,7 @@ class Builder:
         # What is still open between the part and its table ends here.
         fits = {"tr": SECTIONS, "td": frozenset(["tr"]), "th": frozenset(["tr"])}.get(name, frozenset())
         at = self.open_place(fits | {"table"}, frozenset())
-        del self.stack[at + 1 :]
+        self.close(at + 1)
         if name in ("tr", "td", "th") and self.top.name == "table":
             self.push(Node("tbody"))
         if name in CELLS and self.top.name != "tr":
@@ -185,7 +193,7 @@ class Builder:
             stop = frozenset(["table"]) if name in TABLE_TAGS else SCOPE
             at = self.open_place(frozenset([name]), stop - {name})
             if at is not None:
-                del self.stack[at:]
+                self.close(at)
             elif name == "p":
                 self.start("p", {})
                 self.end("p")
@@ -247,11 +255,41 @@ def visible(node: Node, inherited: bool) -> bool:
     return inherited if found[-1].lower() == "inherit" else found[-1].lower() == "visible"
 
 
+@dataclass(frozen=True)
+class Inset:
+    """Lines with ``first`` before the first of them, the others as far in. They are only put together
+    at the end, so that a line is not copied for each of the lists and quotes it is in."""
+
+    first: str
+    lines: list[str | Inset]
+
+
+def flat(lines: list[str | Inset]) -> list[str]:
+    """All lines, those of insets indented unless they are empty."""
+    out: list[str] = []
+    # What stands before the next line, if that is the first of an inset.
+    head: list[str] = []
+    open_insets = [(iter(lines), 0)]
+    while open_insets:
+        entries, indent = open_insets[-1]
+        for entry in entries:
+            if isinstance(entry, Inset):
+                head = head or [" " * indent]
+                head.append(entry.first)
+                open_insets.append((iter(entry.lines), indent + len(entry.first)))
+                break
+            out.append(("".join(head) or " " * indent) + entry if entry else "")
+            head = []
+        else:
+            open_insets.pop()
+    return out
+
+
 class Lines:
     """Lines of text as they come, with collapsed spaces and margins."""
 
     def __init__(self) -> None:
-        self.lines: list[str] = []
+        self.lines: list[str | Inset] = []
         self.parts: list[str] = []
         self.after_space = True
         self.margin = 0
@@ -264,7 +302,7 @@ class Lines:
             self.parts.append(text)
             self.after_space = text[-1] == " "
 
-    def put(self, line: str) -> None:
+    def put(self, line: str | Inset) -> None:
         if self.lines and self.margin:
             self.lines += [""] * self.margin
         self.margin = 0
@@ -286,34 +324,52 @@ class Lines:
         self.end_line()
         self.margin = max(self.margin, margin)
 
-    def add(self, lines: list[str]) -> None:
+    def add(self, lines: list[str | Inset]) -> None:
         self.end_line()
         for line in lines:
             self.put(line)
 
-    def finish(self) -> list[str]:
+    def finish(self) -> list[str | Inset]:
         self.end_line()
         while self.lines and not self.lines[-1]:
             self.lines.pop()
-        while self.lines and not self.lines[0]:
-            self.lines.pop(0)
-        return self.lines
+        start = 0
+        while start < len(self.lines) and not self.lines[start]:
+            start += 1
+        return self.lines[start:]
+
+
+# A call that yields the calls it needs and is sent their results.
+Call = Generator["Call", Any, Any]
+
+
+def run(call: Call) -> Any:
+    """The result of a call and all those within it, however deep."""
+    calls, result = [call], None
+    while calls:
+        try:
+            calls.append(calls[-1].send(result))
+            result = None
+        except StopIteration as done:
+            calls.pop()
+            result = done.value
+    return result
 
 
-def lines_of(node: Node, painted: bool, as_is: bool = False, in_list: bool = False) -> list[str]:
+def lines_of(node: Node, painted: bool, as_is: bool = False, in_list: bool = False) -> Call:
     out = Lines()
-    flow(node, out, painted, as_is, in_list)
+    yield flow(node, out, painted, as_is, in_list)
     return out.finish()
 
 
-def flow(node: Node, out: Lines, painted: bool, as_is: bool, in_list: bool) -> None:
+def flow(node: Node, out: Lines, painted: bool, as_is: bool, in_list: bool) -> Call:
     """Puts the children of a node into ``out``."""
     for child in node.children:
         if isinstance(child, str):
             if painted:
                 verbatim(child, out) if as_is else out.text(child)
         elif shown(child):
-            element(child, out, painted, as_is, in_list)
+            yield element(child, out, painted, as_is, in_list)
 
 
 def verbatim(text: str, out: Lines) -> None:
@@ -325,7 +381,7 @@ def verbatim(text: str, out: Lines) -> None:
         out.parts = [line]
 
 
-def element(node: Node, out: Lines, painted: bool, as_is: bool, in_list: bool) -> None:
+def element(node: Node, out: Lines, painted: bool, as_is: bool, in_list: bool) -> Call:
     name = node.name
     painted = visible(node, painted)
     if name == "br":
@@ -335,11 +391,11 @@ def element(node: Node, out: Lines, painted: bool, as_is: bool, in_list: bool) -
     elif name in LISTS:
         margin = 0 if in_list else 1
         out.block(margin)
-        items(node, out, painted)
+        yield items(node, out, painted)
         out.block(margin)
     elif name == "table":
         out.block(1)
-        out.add(table_lines(node, painted))
+        out.add((yield table_lines(node, painted)))
         out.block(1)
     elif name in ("pre", "xmp", "listing", "textarea"):
         out.block(1)
@@ -347,36 +403,41 @@ def element(node: Node, out: Lines, painted: bool, as_is: bool, in_list: bool) -
         inner.children = list(node.children)
         if inner.children and isinstance(inner.children[0], str):
             inner.children[0] = inner.children[0].removeprefix("\n")
-        out.add([line.rstrip() for line in lines_of(inner, painted, as_is=True)])
+        lines = yield lines_of(inner, painted, as_is=True)
+        out.add([line.rstrip() for line in flat(lines)])
         out.block(1)
     elif name == "details" and "open" not in node.attributes:
         out.block(0)
         for child in node.children:
             if isinstance(child, Node) and child.name == "summary" and shown(child):
-                element(child, out, painted, as_is, in_list)
+                yield element(child, out, painted, as_is, in_list)
                 break
         out.block(0)
     elif name == "dd":
         out.block(0)
-        out.add(["    " + line if line else "" for line in lines_of(node, painted, as_is)])
+        lines = yield lines_of(node, painted, as_is)
+        if lines:
+            out.add([Inset("    ", lines)])
         out.block(0)
     elif name == "blockquote":
         out.block(1)
-        out.add(["  " + line if line else "" for line in lines_of(node, painted, as_is)])
+        lines = yield lines_of(node, painted, as_is)
+        if lines:
+            out.add([Inset("  ", lines)])
         out.block(1)
     elif name == "q":
         if painted:
             out.text("“")
-        flow(node, out, painted, as_is, in_list)
+        yield flow(node, out, painted, as_is, in_list)
         if painted:
             out.text("”")
     elif name in BLOCKS:
         margin = 1 if name in SPACED else 0
         out.block(margin)
-        flow(node, out, painted, as_is, in_list)
+        yield flow(node, out, painted, as_is, in_list)
         out.block(margin)
     else:
-        flow(node, out, painted, as_is, in_list)
+        yield flow(node, out, painted, as_is, in_list)
 
 
 def number_of(node: Node, key: str, otherwise: int) -> int:
@@ -384,7 +445,7 @@ def number_of(node: Node, key: str, otherwise: int) -> int:
     return int(found[1]) if found else otherwise
 
 
-def items(node: Node, out: Lines, painted: bool) -> None:
+def items(node: Node, out: Lines, painted: bool) -> Call:
     """The items of a list with their markers, further lines indented below the first."""
     ordered = node.name == "ol"
     step = -1 if ordered and "reversed" in node.attributes else 1
@@ -397,14 +458,13 @@ def items(node: Node, out: Lines, painted: bool) -> None:
         elif not shown(child):
             continue
         elif child.name != "li":
-            element(child, out, painted, False, True)
+            yield element(child, out, painted, False, True)
         else:
             number = number_of(child, "value", number) if ordered else number
             marker = f"{number}. " if ordered else "- "
-            lines = lines_of(child, visible(child, painted), in_list=True)
-            indent = " " * len(marker)
+            lines = yield lines_of(child, visible(child, painted), in_list=True)
             if lines:
-                out.add([marker + lines[0], *(indent + line if line else "" for line in lines[1:])])
+                out.add([Inset(marker, lines)])
             number += step
 
 
@@ -425,7 +485,7 @@ def rows_of(table: Node) -> Iterator[Node]:
         yield from part
 
 
-def table_lines(table: Node, painted: bool) -> list[str]:
+def table_lines(table: Node, painted: bool) -> Call:
     """Caption and stray content, then the rows, columns aligned and two spaces apart."""
     before = Lines()
     for child in table.children:
@@ -438,9 +498,9 @@ def table_lines(table: Node, painted: bool) -> list[str]:
                 stray.children = [
                     c for c in child.children if isinstance(c, str) or c.name != "tr"
                 ]
-                flow(stray, before, painted, False, False)
+                yield flow(stray, before, painted, False, False)
             elif child.name != "tr":
-                element(child, before, painted, False, False)
+                yield element(child, before, painted, False, False)
     grid: list[list[tuple[int, int, list[str]]]] = []
     taken: dict[int, int] = {}  # how many further rows a cell from above covers in a column
     for row in rows_of(table):
@@ -449,7 +509,7 @@ def table_lines(table: Node, painted: bool) -> list[str]:
         stray.children = [
             c for c in row.children if isinstance(c, str) or c.name not in CELLS
         ]
-        flow(stray, before, painted, False, False)
+        yield flow(stray, before, painted, False, False)
         taken = {c: n - 1 for c, n in covered.items() if n > 1}
         for cell in row.children:
             if not isinstance(cell, Node) or cell.name not in CELLS or not shown(cell):
@@ -459,7 +519,8 @@ def table_lines(table: Node, painted: bool) -> list[str]:
             across = min(max(1, number_of(cell, "colspan", 1)), MAX_COLSPAN)
             down = min(max(1, number_of(cell, "rowspan", 1)), MAX_ROWSPAN)
             own = visible(cell, visible(row, painted))
-            cells.append((column, across, lines_of(cell, own)))
+            lines = yield lines_of(cell, own)
+            cells.append((column, across, flat(lines)))
             if down > 1:
                 taken |= dict.fromkeys(range(column, column + across), down - 1)
             column += across
@@ -476,7 +537,7 @@ def table_lines(table: Node, painted: bool) -> list[str]:
         starts[column] = at
         at += widths[column] + 2 if widths[column] else 0
     edges = sorted(starts)
-    out = before.finish()
+    out = flat(before.finish())
     if out and any(cells for cells in grid):
         out = [*out, ""]
     for cells in grid:
@@ -503,7 +564,7 @@ def render(html: str) -> str:
     body = root.children[1]
     if not isinstance(body, Node) or not shown(body):
         return ""
-    return "\n".join(lines_of(body, visible(body, True))).replace("\xa0", " ")
+    return "\n".join(flat(run(lines_of(body, visible(body, True))))).replace("\xa0", " ")
 
 
 def rendered(html: Column) -> Column:

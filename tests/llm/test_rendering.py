@@ -103,6 +103,40 @@ def test_deep_broken_and_long_pages(html):
         assert "x" in text
 
 
+PARTS = (
+    "<div hidden>no</div><p style='display:none'>no</p><i style='visibility:hidden'>no</i>"
+    "<details><summary>s</summary>no</details><template>no</template>"
+    "<ul><li>a<li>b</ul><table><tr><td>long<td>c<tr><td>d<td>e</table>"
+)
+
+
+@pytest.mark.parametrize("tag", ["div", "font", "span", "section"])
+def test_parts_far_down_are_those_at_the_top(tag):
+    open_tags, end_tags = f"<{tag}>" * 300, f"</{tag}>" * 300
+    expected = lines("s", "", "- a", "- b", "", "long  c", "d     e")
+    assert render(PARTS) == expected
+    assert render(open_tags + PARTS) == expected
+    assert render(open_tags + PARTS + end_tags + "<p>tail") == lines(expected, "", "tail")
+
+
+def test_ends_of_deep_elements_leave_their_ancestors_open():
+    fonts = "<font>" * 300
+    assert render(f"<div hidden>{fonts}<div>no</div>no</div>yes") == "yes"
+    assert render(f"<ul><li>a{fonts}<ul><li>b</ul><li>c</ul>") == lines("- a", "  - b", "- c")
+    nested = "<div style='visibility:hidden'>" + "<div>" * 300 + "no" + "</div>" * 300
+    assert render(nested + "no</div>yes") == "yes"
+
+
+def test_deep_lists_quotes_and_tables():
+    assert render("<ul><li>a" * 300) == lines(*("  " * i + "- a" for i in range(300)))
+    assert render("<ol><li>" * 300 + "x<br>y") == lines("1. " * 300 + "x", "   " * 300 + "y")
+    quoted = "<blockquote>" * 300 + "x<br><br>y" + "</blockquote>" * 300
+    assert render(quoted) == lines("  " * 300 + "x", "", "  " * 300 + "y")
+    table = "<table><tr><td>a<td>b<tr><td colspan=2>" * 300 + "x"
+    assert render(table).count("a  b") == 300
+    assert len(render("<blockquote>" * 2000 + "x<br>" * 2000)) == 2000 * 4002 - 1
+
+
 def test_odd_rows(spark):
     pages = spark.createDataFrame(
         [(1, None, "u"), (2, "", "u"), (None, "<p>a", "u"), (3, "<p>b", "u"), (3, "<p>b", "u")],
