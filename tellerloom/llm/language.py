@@ -3,7 +3,8 @@
 A text is the TF-IDF vector of its hashed byte bigrams and trigrams, normalised. Every language has
 several centroids, found by spherical k-means: seeded from a bounded sample of each language, then
 moved over all training rows. A text gets the language of the centroid with the largest cosine, and
-is rejected where that cosine is far below what training texts of its length have.
+is rejected where that cosine is far below what training texts, or beginnings of them, of its length
+have.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,8 +30,13 @@ CENTROIDS = 4
 # Different training texts of a language that seed its centroids, chosen by a hash of the text.
 SEED_ROWS = 32
 ROUNDS = 2
-# Standard deviations under the mean cosine of a length band at which a text is rejected.
-REJECT_AT = 6.0
+# Share of the median cosine of a length band under which a text is rejected, and the texts that a
+# median is taken of, from the nearest bands where the band itself has fewer.
+REJECT_AT = 0.3
+MEDIAN_TEXTS = 30
+# Length bands, and cells that the cosines of a band are counted in.
+BANDS = 64
+CELLS = 512
 # Texts turned into one matrix at a time, and n-grams hashed at a time.
 MATRIX_ROWS = 256
 CHUNK = 1 << 20
@@ -237,40 +244,63 @@ def _moved(training: DataFrame, model: Model) -> np.ndarray:
     )
 
 
-def _floors(training: DataFrame, model: Model) -> np.ndarray:
-    """The cosine under which a text of a length band is rejected."""
+def _beginning(text: str) -> str:
+    """The first 2^k letters of a text, k by its hash, all k that fit being as likely."""
+    return text[: 1 << xxhash.xxh64_intdigest(text.encode()) % max(1, len(text).bit_length())]
+
+
+def _cosines(training: DataFrame, model: Model) -> np.ndarray:
+    """By length band and cell, how many texts have that cosine to a centroid of their own language.
+
+    Each training text counts, and a beginning of it, so that all lengths up to the longest are met.
+    """
     shared = training.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        total = np.zeros((64, 3))
+        total = np.zeros((BANDS, CELLS), np.int64)
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for part, texts in matrices(batch.column("text")):
-                found, sizes = vectors(texts, model.idf)
-                best, cosine = _own(model, langs[part], found)
-                kept = (best >= 0) & (sizes > 0)
-                for band, value in zip(bands(sizes)[kept], cosine[kept].astype(float), strict=True):
-                    total[band] += (1, value, value * value)
-        band = np.flatnonzero(total[:, 0])
+                for measured in (texts, [_beginning(text) for text in texts]):
+                    found, sizes = vectors(measured, model.idf)
+                    best, cosine = _own(model, langs[part], found)
+                    kept = (best >= 0) & (sizes > 0)
+                    cells = np.clip(cosine[kept] * CELLS, 0, CELLS - 1).astype(np.int64)
+                    np.add.at(total, (bands(sizes)[kept], cells), 1)
+        band, cell = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(band), *map(pa.array, total[band].T)], ["band", "n", "one", "two"]
+            [pa.array(band), pa.array(cell), pa.array(total[band, cell])], ["band", "cell", "n"]
         )
 
     summed = (
         training.select("lang", "text")
-        .mapInArrow(rows, "band long, n double, one double, two double")
-        .groupBy("band")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "one", "two")])
+        .mapInArrow(rows, "band long, cell long, n long")
+        .groupBy("band", "cell")
+        .agg(F.sum("n").alias("n"))
         .toArrow()
-        .to_pylist()
     )
-    floors = np.zeros(64)
-    for row in summed:
-        mean = row["one"] / row["n"]
-        spread = max(row["two"] / row["n"] - mean * mean, 0) ** 0.5
-        # Too few texts of that length say nothing about the spread.
-        floors[row["band"]] = mean - REJECT_AT * spread if row["n"] >= 30 else 0
+    counted = np.zeros((BANDS, CELLS), np.int64)
+    counted[summed["band"].to_numpy(), summed["cell"].to_numpy()] = summed["n"].to_numpy()
+    return counted
+
+
+def _floors(counted: np.ndarray) -> np.ndarray:
+    """The cosine under which a text of a length band is rejected, a share of the band's median.
+
+    Up to half of a band may be junk before it moves the median far. A band with few texts, or longer
+    than any, takes in its nearest neighbours, shorter ones first, until there are enough.
+    """
+    floors = np.zeros(len(counted))
+    for band in range(len(counted)):
+        pooled = np.zeros(CELLS, np.int64)
+        for near in sorted(range(len(counted)), key=lambda other: (abs(other - band), other)):
+            pooled += counted[near]
+            if pooled.sum() >= MEDIAN_TEXTS:
+                break
+        if pooled.any():
+            median = int(np.searchsorted(pooled.cumsum(), (pooled.sum() + 1) // 2))
+            floors[band] = REJECT_AT * median / CELLS
     return floors
 
 
@@ -292,11 +322,11 @@ def fit(
     frequency, texts = _document_frequencies(rows)
     idf = (np.log((1 + texts) / (1 + frequency)) + 0.05).astype(np.float32)
     names, centres = _seeds(rows, idf, clusters)
-    model = Model(idf, names, centres, np.zeros(64))
+    model = Model(idf, names, centres, np.zeros(BANDS))
     if names:
         for _ in range(rounds):
             model.centroids = _moved(rows, model)
-        model.floors = _floors(rows, model)
+        model.floors = _floors(_cosines(rows, model))
     return model
 
 

@@ -108,6 +108,59 @@ def test_strange_text_is_rejected(spark, documents):
     assert [r.p.rejected for r in found] == [True, False]
 
 
+def strange_texts(length):
+    """Texts of about a length in scripts and letters that the corpus does not have."""
+    random = np.random.default_rng(length)
+
+    def words(first, last):
+        ends = random.integers(0, 7, length) == 0
+        drawn = random.integers(first, last, length)
+        return "".join(" " if end else chr(c) for end, c in zip(ends, drawn, strict=True))
+
+    return [words(0x4E00, 0x8000), words(0x430, 0x450), words(0x3B1, 0x3CA), words(0x627, 0x64A)]
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_strange_texts_of_any_length_are_rejected(spark, size):
+    documents = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    model = language.fit(documents)
+    longest = documents.select(F.max(F.length("text"))).first()[0]
+    strange = [t for n in (30, 100, 1000, 10_000, 4 * longest) for t in strange_texts(n)]
+    plain = documents.where("lang = 'en' and length(text) > 2000").orderBy("doc_id").limit(400)
+    joined = " ".join(r.text for r in plain.collect())
+    own = [joined[:n] for n in (100, 1000, 10_000, 100_000)] + [joined]
+    assert len(joined) > 3 * longest
+    both = [(t, True) for t in strange] + [(t, False) for t in own]
+    predicted = language.prediction(spark, model, F.col("t")).alias("p")
+    rows = spark.createDataFrame(both, "t string, strange boolean")
+    found = rows.select("strange", F.length("t").alias("n"), predicted).collect()
+    wrong = [(r.n, r.p.lang_pred, r.p.score) for r in found if r.p.rejected != r.strange]
+    assert not wrong
+
+
+def test_junk_in_the_training_rows_does_not_open_a_band(spark, documents):
+    long = documents.where("lang = 'en' and length(text) > 2000")
+    texts = [r.text[:2000] for r in long.collect()]
+    junk = [t for n in range(1000, 1000 + len(texts) // 12) for t in strange_texts(n)[1:2]]
+    rows = [("en", t) for t in texts + junk]
+    model = language.fit(spark.createDataFrame(rows, "lang string, text string"), clusters=1)
+    others = [(t,) for n in (500, 3000) for t in strange_texts(n)[::2]]
+    strange = spark.createDataFrame(others, "t string")
+    found = strange.select(language.prediction(spark, model, F.col("t")).alias("p")).collect()
+    assert [r.p.rejected for r in found] == [True] * 4
+
+
+def test_floors_of_thin_bands_are_those_of_their_neighbours():
+    counted = np.zeros((language.BANDS, language.CELLS), np.int64)
+    counted[5, 100], counted[9, 300], counted[10, 0] = 40, 50, 3
+    floors = language._floors(counted)
+    assert np.allclose(floors[:7], 0.3 * 100 / language.CELLS)
+    # The tie goes to the shorter texts.
+    assert floors[7] == floors[5] and floors[8] > floors[5]
+    assert np.allclose(floors[9:], 0.3 * 300 / language.CELLS)
+    assert (language._floors(counted * 0) == 0).all()
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     model = language.fit(docs.where("doc_id % 5 <> 0"))
