@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 
 from tellerloom.llm import (
     bpe,
+    filter_audit,
+    grammar_runs,
     hidden_markov,
     language,
     lempel_ziv,
     neighbours,
+    oracle,
     packing,
     private,
     quality,
     rendering,
     simhash,
+    url_filters,
 )
 from tellerloom.llm.common import documents, remainder
 from tellerloom.staging import Staging
@@ -27,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 # DuckDB SQL of those queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE = {"op11_potential": oracle.FILTER_AUDIT, "op12_link_graph": oracle.URL_VERDICTS}
 
 
 def query(function: Query) -> Query:
@@ -126,3 +130,39 @@ def op10_private(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(private.listed("base"), 256).alias("base_sha256"),
         private.listed("all").alias("spans"),
     )
+
+
+@query
+def op11_potential(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return filter_audit.audit(documents(spark, folder), labels)
+
+
+@query
+def op12_link_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.verdicts(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query
+def op13_grammar_runs(spark: SparkSession, folder: str) -> DataFrame:
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = documents(spark, folder)
+    found = grammar_runs.runs(docs.withColumn("text", grammar_runs.repeated(F.col("text"), number)))
+    # The longest, of equally long ones the first, then that of the smaller period.
+    order = F.transform(
+        "runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"])
+    )
+    best = F.array_min(order)
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.less") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -1,0 +1,151 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tellerloom.llm import grammar_runs
+from tellerloom.llm.queries import QUERIES
+from tests.llm.odd import TEXTS, no_documents, odd_documents
+
+
+def plain_runs(words):
+    """All runs by comparing the words with themselves moved by every period."""
+    found = {}
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                found.setdefault((i, j + q - i), q)
+            i = max(j, i + 1)
+    return sorted((start, length, q) for (start, length), q in found.items())
+
+
+def collapsed(words, runs):
+    gone = {i for start, length, q in runs for i in range(start + q, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def made(rng):
+    kinds, n = rng.choice([1, 2, 2, 3, 5, 50]), rng.choice([0, 1, 5, 6, 7, 12, 40, 100, 300])
+    words = [str(rng.randrange(kinds)).encode() for _ in range(n)]
+    for _ in range(rng.randrange(4)):
+        if words:
+            at, length = rng.randrange(len(words)), rng.randint(1, max(1, len(words) // 5))
+            words = words[:at] + words[at : at + length] * rng.randint(2, 9) + words[at + length :]
+    return words
+
+
+@pytest.mark.parametrize("short", [grammar_runs.SHORT_PERIOD, 1])
+def test_runs_of_many_texts_are_the_plain_ones(monkeypatch, short):
+    monkeypatch.setattr(grammar_runs, "SHORT_PERIOD", short)
+    if short == 1:
+        monkeypatch.setattr(grammar_runs, "PROBES", (1,))
+    rng = random.Random(1)
+    for _ in range(40):
+        texts = [made(rng) for _ in range(rng.randint(1, 8))]
+        (first, last, period), starts = grammar_runs.runs_of(texts)
+        text = np.searchsorted(starts, first, side="right") - 1
+        for i, words in enumerate(texts):
+            own = text == i
+            got = zip(first[own] - starts[i], (last - first + 1)[own], period[own], strict=True)
+            assert [tuple(map(int, r)) for r in got] == plain_runs(words)
+
+
+def test_grammar_gives_back_the_words():
+    rng = random.Random(3)
+    texts = [made(rng) for _ in range(10)]
+    words, starts, _, _ = grammar_runs._numbered(texts)
+    grammar = grammar_runs.Grammar(words, starts)
+    # A nonterminal stands for the same words wherever it was derived.
+    for symbol, place in zip(grammar.symbol, grammar.place, strict=True):
+        number = symbol - grammar.first_symbol
+        length = grammar.end[number] - grammar.start[number]
+        same = words[place : place + length] == words[grammar.start[number] : grammar.end[number]]
+        assert same.all()
+    # No pair of the symbols left occurs twice, but for overlapping ones.
+    pairs = {}
+    for i in np.flatnonzero(~grammar.last).tolist():
+        pairs.setdefault(tuple(grammar.symbols[i : i + 2].tolist()), []).append(i)
+    assert all(len(p) == 1 or max(p) - min(p) == len(p) - 1 for p in pairs.values())
+    # Every place between two words of a text is a border once for each symbol it lies in.
+    assert (grammar.start < grammar.middle).all() and (grammar.middle < grammar.end).all()
+
+
+def test_long_runs_of_one_word_and_of_long_periods():
+    rng = random.Random(4)
+    block = [b"%d" % rng.randrange(50) for _ in range(5000)]
+    for words, want in (
+        ([b"x"] * 300_000, [(0, 299_999, 1)]),
+        ([b"a"] + block * 20 + [b"b"], [(1, 100_000, 5000)]),
+    ):
+        found, _ = grammar_runs.runs_of([words])
+        assert want[0] in {tuple(r) for r in found.T.tolist()}
+
+
+def expected(doc_id, text):
+    words = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and words:
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+    words = [w.decode() for w in words]
+    runs = plain_runs(words)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    return (
+        doc_id,
+        len(runs),
+        *best,
+        1000 * best[1] // best[2] if runs else None,
+        sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)),
+        sha(collapsed(words, runs)),
+    )
+
+
+def test_query_is_the_plain_one(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    frame = QUERIES["op13_grammar_runs"](spark, folder)
+    assert frame.columns == (
+        "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256".split()
+    )
+    want = {d.doc_id: expected(d.doc_id, d.text) for d in docs}
+    got = {r.doc_id: tuple(r) for r in frame.collect()}
+    assert got == want
+    assert sum(r[1] > 0 for r in got.values()) > 5
+
+
+def test_parts_of_a_batch_do_not_change_results(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, "a b c " * (i % 9) + "x " * (i % 7) + "y") for i in range(200)], "doc_id long, text string"
+    )
+    whole = {r.doc_id: r for r in grammar_runs.runs(docs).collect()}
+    for doc_id, row in whole.items():
+        words = docs.where(f"doc_id = {doc_id}").first().text.split() if doc_id < 20 else None
+        if words:
+            assert [tuple(r) for r in row.runs] == plain_runs(words)
+            assert row.collapsed == collapsed(words, plain_runs(words))
+    monkeypatch.setattr(grammar_runs, "CHUNK_WORDS", 1)
+    assert {r.doc_id: r for r in grammar_runs.runs(docs).collect()} == whole
+
+
+def test_odd_rows(spark):
+    rows = grammar_runs.runs(odd_documents(spark)).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.n_words) for r in rows if r.doc_id) == sorted(
+        (False, i, len((t or "").encode().split())) for i, t in TEXTS if i
+    )
+    by_id = {r.doc_id: r for r in rows}
+    assert [tuple(r) for r in by_id[7].runs] == [(0, 16_000, 4)]
+    assert by_id[7].collapsed == "thanouble reanding of the"
+    assert (by_id[4].collapsed, by_id[5].collapsed, by_id[5].runs) == ("", "", [])
+    assert grammar_runs.runs(no_documents(spark)).count() == 0
