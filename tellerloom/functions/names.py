@@ -24,6 +24,13 @@ def matching(df: DataFrame, name: str) -> list[str]:
     return [column for column in df.columns if fold(column) == fold(name)]
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with as many underscores before it as it takes to be no column of ``df``."""
+    while matching(df, wanted):
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def owners(frames: dict[str, DataFrame], names: Iterable[str]) -> dict[str, str]:
     """The one frame each name belongs to; unknown and ambiguous names raise."""
     found = {}

@@ -4,6 +4,7 @@ from tellerloom.operators.clean import conform, dedup, drop_incomplete, is_compl
 from tellerloom.operators.distribution import (
     distribution,
     flatten_quantiles,
+    sketch_size,
     totals_distribution,
     weighted_distribution,
 )
@@ -29,6 +30,6 @@ __all__ = [
     "country_department_payment", "country_gender_account", "dedup", "distribution",
     "drop_incomplete", "enrich", "factored_distribution", "factored_mart",
     "factored_totals_distribution", "fan_out", "flatten_quantiles", "is_complete",
-    "quality_report", "rollups", "segment_mart", "totals_distribution", "unmatched",
+    "quality_report", "rollups", "segment_mart", "sketch_size", "totals_distribution", "unmatched",
     "weighted_distribution",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tellerloom.functions.casts import lenient_cast
-from tellerloom.functions.names import folding, matching, ref
+from tellerloom.functions.names import folding, free_name, matching, ref
 from tellerloom.specs import DatasetSpec
 
 
@@ -82,5 +82,6 @@ def dedup(
     kept = {column for name in subset for column in matching(df, name)}
     rest = [ref(name) for name in df.columns if name not in kept]
     ranked = Window.partitionBy(*[ref(name) for name in subset]).orderBy(*order_by, *rest)
-    numbered = df.withColumn("_position", F.row_number().over(ranked))
-    return numbered.where("_position = 1").drop("_position")
+    position = free_name(df, "_position")
+    numbered = df.withColumn(position, F.row_number().over(ranked))
+    return numbered.where(ref(position) == 1).drop(position)

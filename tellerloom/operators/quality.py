@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tellerloom.functions.names import matching, ref
+from tellerloom.functions.names import free_name, matching, ref
 from tellerloom.operators.clean import conform, is_complete
 from tellerloom.operators.factored import Rollups, fan_out, rollups
 from tellerloom.specs import ACCOUNTS, MASTER, SPECS, TRANSACTIONS, DatasetSpec
@@ -31,18 +31,21 @@ def typed_with_losses(raw: DataFrame, spec: DatasetSpec) -> DataFrame:
     """The conformed rows, and in ``_lost`` which columns of another type had a value and lost it.
 
     Stored once, it serves the preparation (without ``_lost``) and the quality report, so that a
-    source is parsed once.
+    source is parsed once. A source may not have a column ``_lost`` of its own.
     """
-    typed = conform(raw.withColumn("_raw", F.struct(*[ref(name) for name in raw.columns])), spec)
+    if matching(raw, LOST):
+        raise ValueError(f"{spec.name}: column {LOST!r} is taken by the report")
+    before = free_name(raw, "_raw")
+    typed = conform(raw.withColumn(before, F.struct(*[ref(name) for name in raw.columns])), spec)
     raw_types = {field.name: field.dataType for field in raw.schema}
     lost = []
     for field in spec.schema:
         source = matching(raw, field.name)[0]
         if raw_types[source] != field.dataType:
-            gone = F.col("_raw")[source].isNotNull() & ref(field.name).isNull()
+            gone = F.col(before)[source].isNotNull() & ref(field.name).isNull()
             lost.append(gone.alias(field.name))
     # A struct needs a field, also where every column has its type already.
-    return typed.withColumn(LOST, F.struct(*lost, F.lit(False).alias("_"))).drop("_raw")
+    return typed.withColumn(LOST, F.struct(*lost, F.lit(False).alias("_"))).drop(before)
 
 
 def source_quality(source: DataFrame, spec: DatasetSpec) -> DataFrame:

@@ -107,8 +107,21 @@ _DEFAULT_TOTALS = f"""{INPUTS}, totals AS (
 
 _CLOSE = """true AS mediane_is_close, true AS p25_is_close, true AS p50_is_close, true AS p75_is_close"""
 
-_RANKS = f"""{INPUTS}
-    SELECT "Country", count(*) AS rows_counted, {_CLOSE} {_join()} GROUP BY "Country" """
+# Where every group has fewer rows than its sketch, the ranks of the estimates are those of the quantiles.
+_RANK_COUNTS = ", ".join(
+    f"""count(*) FILTER ("Montant" < {name}) AS below_{name},
+        count(*) FILTER ("Montant" <= {name}) AS upto_{name}"""
+    for name in ("mediane", "p25", "p50", "p75")
+)
+_RANKED = f"""{INPUTS}, joined AS (SELECT "Country", "Montant" {_join()}),
+    stats AS (
+      SELECT "Country", round(avg("Montant"), 2) AS moyenne, 3 AS n_quantiles, {_stats('"Montant"')}
+      FROM joined GROUP BY "Country"),
+    ranks AS (
+      SELECT "Country", count(*) AS rows_counted, {_RANK_COUNTS}
+      FROM joined JOIN stats USING ("Country") GROUP BY "Country")
+"""
+_RANKS = f"""{_RANKED} SELECT *, {_CLOSE} FROM ranks"""
 
 _TOTALS = f"""{INPUTS}, totals AS (
         SELECT "Country", sum(CAST("Montant" AS DECIMAL(18,2))) AS cents,
@@ -174,6 +187,42 @@ _FULL_MASTER_COLUMNS = ", ".join(
     f"""coalesce("{name}", '-') AS "{name}" """ for name in (*_TEXTS, "NationalID", "Country", "State")
 )
 
+_QUALITY = f"""{INPUTS},
+    raw_tx AS (
+      SELECT * FROM tx
+      UNION ALL
+      SELECT * REPLACE ('0-OTHER' AS "MoyenPaiement") FROM tx WHERE "MoyenPaiement" = '2-HIGH'),
+    kept_tx AS (SELECT * FROM raw_tx WHERE "MoyenPaiement" <> '1-URGENT'),
+    kept_mas AS (SELECT * FROM mas WHERE "Country" <> 'ASIA'),
+    n AS (SELECT (SELECT count(*) FROM raw_tx) AS tx, (SELECT count(*) FROM kept_tx) AS kept,
+                 (SELECT count(*) - count(DISTINCT ("TransactionID", "CustomerID"))
+                  FROM kept_tx) AS repeated,
+                 (SELECT count(*) FROM acc) AS acc, (SELECT count(*) FROM kept_mas) AS mas,
+                 (SELECT count(*) FROM kept_tx WHERE "CustomerID" IN
+                   (SELECT CAST("Number" AS VARCHAR) FROM kept_mas)
+                   AND "CustomerID" IN (SELECT customerid FROM acc)) AS matched,
+                 (SELECT count(*) {_join("kept_tx", "acc", "kept_mas")}) AS joined),
+    measures AS (
+      SELECT unnest([
+        {{'d': 'transactions', 'm': 'rows_read', 'v': 2.0 * tx}},
+        {{'d': 'transactions', 'm': 'unparsed_Montant', 'v': 2.0 * (tx - kept)}},
+        {{'d': 'transactions', 'm': 'rows_incomplete', 'v': 2.0 * (tx - kept)}},
+        {{'d': 'transactions', 'm': 'rows_kept', 'v': 1.0 * kept}},
+        {{'d': 'transactions', 'm': 'repeated_keys', 'v': 1.0 * repeated}},
+        {{'d': 'comptes_bancaires', 'm': 'rows_read', 'v': 1.0 * acc}},
+        {{'d': 'comptes_bancaires', 'm': 'rows_incomplete', 'v': 0.0}},
+        {{'d': 'comptes_bancaires', 'm': 'rows_kept', 'v': 1.0 * acc}},
+        {{'d': 'comptes_bancaires', 'm': 'repeated_keys', 'v': 0.0}},
+        {{'d': 'info_global', 'm': 'rows_read', 'v': 1.0 * mas}},
+        {{'d': 'info_global', 'm': 'rows_incomplete', 'v': 0.0}},
+        {{'d': 'info_global', 'm': 'rows_kept', 'v': 1.0 * mas}},
+        {{'d': 'info_global', 'm': 'repeated_keys', 'v': 0.0}},
+        {{'d': 'joined', 'm': 'transactions', 'v': 1.0 * kept}},
+        {{'d': 'joined', 'm': 'unmatched', 'v': 1.0 * (kept - matched)}},
+        {{'d': 'joined', 'm': 'joined_rows', 'v': 1.0 * joined}},
+        {{'d': 'joined', 'm': 'fan_out', 'v': CAST(joined AS DOUBLE) / matched}}]) AS x FROM n)
+    SELECT x.d AS dataset, x.m AS measure, CAST(x.v AS DOUBLE) AS value FROM measures"""
+
 ORACLE: dict[str, str] = {
     "mart_country_gender_account": _mart(ACCOUNT_DIMS),
     "mart_country_department_payment": _mart(PAYMENT_DIMS),
@@ -189,9 +238,11 @@ ORACLE: dict[str, str] = {
     "joined_country_department_payment": _mart(PAYMENT_DIMS),
     "joined_country_gender_account_default": _default_mart(ACCOUNT_DIMS),
     "joined_country_department_payment_default": _default_mart(PAYMENT_DIMS),
-    "joined_distribution": f"""{INPUTS}
-        SELECT "Country", round(avg("Montant"), 2) AS moyenne, 3 AS n_quantiles, {_CLOSE}
-        {_join()} GROUP BY "Country" """,
+    "joined_distribution": _DEFAULT_DISTRIBUTION,
+    "joined_distribution_by_segment": f"""{INPUTS}
+        SELECT {PAYMENT_DIMS}, round(avg("Montant"), 2) AS moyenne, 3 AS n_quantiles,
+               {_stats('"Montant"')}
+        {_join()} GROUP BY {PAYMENT_DIMS}""",
     "joined_distribution_error": _RANKS,
     "joined_distribution_exact": _distribution(),
     "joined_distribution_overall": _distribution(by=""),
@@ -249,7 +300,10 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN isnan("Montant") THEN -1.0 ELSE "Montant" END AS "Montant")
         FROM gaps WHERE "MoyenPaiement" IS NOT NULL""",
     "dedup_rows": "SELECT DISTINCT o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders",
-    "dedup_subset": "SELECT DISTINCT o_custkey, o_orderpriority FROM orders",
+    "dedup_subset": """
+        SELECT o_custkey, o_orderpriority, count(*) AS rows_of_key, CAST(1 AS BIGINT) AS rows_chosen,
+               CAST(1 AS BIGINT) AS chosen_from_input
+        FROM orders GROUP BY o_custkey, o_orderpriority""",
     "dedup_latest": f"""WITH {TX}
         SELECT * EXCLUDE (position) FROM (
           SELECT *, row_number() OVER (
@@ -279,7 +333,8 @@ ORACLE: dict[str, str] = {
         FROM mas WHERE "Gender" IS NOT NULL""",
     "batch_marts": _STORED_MARTS,
     "batch_marts_default": _STORED_MARTS,
-    "batch_distribution_estimated": _RANKS,
+    "batch_distribution_estimated": f"""{_RANKED}
+        SELECT * FROM stats JOIN ranks USING ("Country")""",
     "staged_marts": _STORED_MARTS,
     "staged_joined": f"""{INPUTS}
         SELECT "TransactionID", account_number, "Country", "State" {_join()}""",
@@ -288,44 +343,6 @@ ORACLE: dict[str, str] = {
         FROM tx
         UNION ALL SELECT 'comptes_bancaires', 2 * count(*), 2 * count(*) FROM acc
         UNION ALL SELECT 'info_global', 2 * count(*), 2 * count(*) FROM mas""",
-    "quality_report_of_raw": INPUTS + " UNION ALL ".join(
-        f"""SELECT '{name}' AS dataset, unnest(['rows_read', 'rows_kept', 'repeated_keys']) AS measure,
-               unnest([count(*), count(*), 0.0])::DOUBLE AS value FROM {table}"""
-        for name, table in (("transactions", "tx"), ("comptes_bancaires", "acc"), ("info_global", "mas"))
-    ),
-    "quality_report": f"""{INPUTS},
-        raw_tx AS (
-          SELECT * FROM tx
-          UNION ALL
-          SELECT * REPLACE ('0-OTHER' AS "MoyenPaiement") FROM tx WHERE "MoyenPaiement" = '2-HIGH'),
-        kept_tx AS (SELECT * FROM raw_tx WHERE "MoyenPaiement" <> '1-URGENT'),
-        kept_mas AS (SELECT * FROM mas WHERE "Country" <> 'ASIA'),
-        n AS (SELECT (SELECT count(*) FROM raw_tx) AS tx, (SELECT count(*) FROM kept_tx) AS kept,
-                     (SELECT count(*) - count(DISTINCT ("TransactionID", "CustomerID"))
-                      FROM kept_tx) AS repeated,
-                     (SELECT count(*) FROM acc) AS acc, (SELECT count(*) FROM kept_mas) AS mas,
-                     (SELECT count(*) FROM kept_tx WHERE "CustomerID" IN
-                       (SELECT CAST("Number" AS VARCHAR) FROM kept_mas)
-                       AND "CustomerID" IN (SELECT customerid FROM acc)) AS matched,
-                     (SELECT count(*) {_join("kept_tx", "acc", "kept_mas")}) AS joined),
-        measures AS (
-          SELECT unnest([
-            {{'d': 'transactions', 'm': 'rows_read', 'v': 2.0 * tx}},
-            {{'d': 'transactions', 'm': 'unparsed_Montant', 'v': 2.0 * (tx - kept)}},
-            {{'d': 'transactions', 'm': 'rows_incomplete', 'v': 2.0 * (tx - kept)}},
-            {{'d': 'transactions', 'm': 'rows_kept', 'v': 1.0 * kept}},
-            {{'d': 'transactions', 'm': 'repeated_keys', 'v': 1.0 * repeated}},
-            {{'d': 'comptes_bancaires', 'm': 'rows_read', 'v': 1.0 * acc}},
-            {{'d': 'comptes_bancaires', 'm': 'rows_incomplete', 'v': 0.0}},
-            {{'d': 'comptes_bancaires', 'm': 'rows_kept', 'v': 1.0 * acc}},
-            {{'d': 'comptes_bancaires', 'm': 'repeated_keys', 'v': 0.0}},
-            {{'d': 'info_global', 'm': 'rows_read', 'v': 1.0 * mas}},
-            {{'d': 'info_global', 'm': 'rows_incomplete', 'v': 0.0}},
-            {{'d': 'info_global', 'm': 'rows_kept', 'v': 1.0 * mas}},
-            {{'d': 'info_global', 'm': 'repeated_keys', 'v': 0.0}},
-            {{'d': 'joined', 'm': 'transactions', 'v': 1.0 * kept}},
-            {{'d': 'joined', 'm': 'unmatched', 'v': 1.0 * (kept - matched)}},
-            {{'d': 'joined', 'm': 'joined_rows', 'v': 1.0 * joined}},
-            {{'d': 'joined', 'm': 'fan_out', 'v': CAST(joined AS DOUBLE) / matched}}]) AS x FROM n)
-        SELECT x.d AS dataset, x.m AS measure, CAST(x.v AS DOUBLE) AS value FROM measures""",
+    "quality_report": _QUALITY,
+    "quality_report_of_raw": _QUALITY,
 }

@@ -23,8 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Queries never depend on the day they run.
 AS_OF = datetime.date(2025, 8, 28)
 DEFAULT_ACCURACY = 10_000
-# Groups whose estimates are sent to all tasks that check them.
-MOST_GROUPS = 100_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -153,40 +151,43 @@ def joined_country_department_payment_default(spark: SparkSession, folder: str)
 
 @query
 def joined_distribution(spark: SparkSession, folder: str) -> DataFrame:
-    """Means to the cent, and whether the estimates of the default array have the rank they should."""
-    joined = Staging(spark).table(_joined(spark, folder, "Country", "Montant"), "joined")
-    estimated = _of_array(ops.distribution(joined), "Country")
-    checked = _rank_checks(joined, estimated).withColumnRenamed("Country", "group")
-    same = F.col("Country").eqNullSafe(F.col("group"))
-    return estimated.join(checked, same).select("Country", "moyenne", "n_quantiles", *_CLOSE)
+    """The estimates a user gets by default; up to ``ops.sketch_size`` rows a group they are exact."""
+    return _of_array(ops.distribution(_joined(spark, folder, "Country", "Montant")), "Country")
 
 
-_CLOSE = [f"{name}_is_close" for name in ("mediane", "p25", "p50", "p75")]
+@query
+def joined_distribution_by_segment(spark: SparkSession, folder: str) -> DataFrame:
+    """Estimates of many small groups, merged from few slices."""
+    dims = ops.COUNTRY_DEPARTMENT_PAYMENT
+    joined = _joined(spark, folder, *dims, "Montant")
+    return _of_array(ops.distribution(joined, dims, slices=3), *dims)
 
 
-def _rank_checks(joined: DataFrame, estimated: DataFrame) -> DataFrame:
-    """Whether estimates at default accuracy have the rank they should, counted on every row."""
-    estimated, groups = Staging(joined.sparkSession).counted(estimated, "estimated")
-    if groups > MOST_GROUPS:
-        raise ValueError(f"{groups} groups are too many to send to every task")
+def _ranks(joined: DataFrame, estimated: DataFrame) -> DataFrame:
+    """Rows of a group, and for each estimate those below it and those up to it, counted on every row."""
+    estimated = Staging(joined.sparkSession).table(estimated, "estimated")
     estimated = estimated.withColumnRenamed("Country", "group")
-    rows = F.count(F.lit(1))
-    allowed = rows / DEFAULT_ACCURACY + 1
-    checks = []
-    for name, share in (("mediane", 0.5), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
-        below = F.count_if(F.col("Montant") < F.col(name))
-        upto = F.count_if(F.col("Montant") <= F.col(name))
-        close = (below <= share * rows + allowed) & (upto >= share * rows - allowed)
-        checks.append(close.alias(f"{name}_is_close"))
+    counts = []
+    for name in ("mediane", "p25", "p50", "p75"):
+        counts.append(F.count_if(F.col("Montant") < F.col(name)).alias(f"below_{name}"))
+        counts.append(F.count_if(F.col("Montant") <= F.col(name)).alias(f"upto_{name}"))
     same = F.col("Country").eqNullSafe(F.col("group"))
-    beside = joined.join(F.broadcast(estimated), same)
-    return beside.groupBy("Country").agg(rows.alias("rows_counted"), *checks)
+    rows = F.count(F.lit(1)).alias("rows_counted")
+    return joined.join(estimated, same).groupBy("Country").agg(rows, *counts)
 
 
 @query
 def joined_distribution_error(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranks that estimates have, and whether they are within the stated error."""
     joined = Staging(spark).table(_joined(spark, folder, "Country", "Montant"), "joined")
-    return _rank_checks(joined, ops.distribution(joined, accuracy=DEFAULT_ACCURACY, as_array=False))
+    found = _ranks(joined, ops.distribution(joined, accuracy=DEFAULT_ACCURACY, as_array=False))
+    allowed = F.col("rows_counted") / DEFAULT_ACCURACY + 1
+    checks = []
+    for name, share in (("mediane", 0.5), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        asked = share * F.col("rows_counted")
+        below, upto = F.col(f"below_{name}"), F.col(f"upto_{name}")
+        checks.append(((below <= asked + allowed) & (upto >= asked - allowed)).alias(f"{name}_is_close"))
+    return found.select("*", *checks)
 
 
 @query
@@ -425,10 +426,17 @@ def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedup_subset(spark: SparkSession, folder: str) -> DataFrame:
+    """Per key its rows, those chosen, and how many of the chosen are rows of the input."""
     orders = standin.table(spark, folder, "orders")
     subset = ["o_custkey", "o_orderpriority"]
-    # A row that is none of the input's would be missing.
-    return ops.dedup(orders, subset).join(orders, orders.columns, "left_semi").select(*subset)
+    chosen = ops.dedup(orders, subset).withColumn("_chosen", F.lit(True))
+    # Orders are unique, so an input row meets at most one chosen row; what was never read stays alone.
+    both = orders.withColumn("_input", F.lit(True)).join(chosen, orders.columns, "full")
+    return both.groupBy(subset).agg(
+        F.count("_input").alias("rows_of_key"),
+        F.count("_chosen").alias("rows_chosen"),
+        F.count_if(F.col("_input") & F.col("_chosen")).alias("chosen_from_input"),
+    )
 
 
 @query
@@ -554,15 +562,17 @@ def batch_marts_default(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def batch_distribution_estimated(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole job with estimated quantiles, and the rank the stored ones have."""
+    """The estimates that the whole job stores, and the ranks they have."""
     sources = standin.datasets(spark, folder)
     store = Staging(spark).root
     sink = FileSink(f"{store}/marts")
     plans.run_pipeline(spark, sources, sink, AS_OF, store=store, exact=False)
     plans.stage_enrich(spark, store, ["Country", "Montant"])
     joined = spark.read.parquet(f"{store}/joined")
-    stored = spark.read.parquet(sink.uri(batch.DISTRIBUTION_TABLE))
-    return _rank_checks(joined, _of_array(stored, "Country"))
+    stored = _of_array(spark.read.parquet(sink.uri(batch.DISTRIBUTION_TABLE)), "Country")
+    ranks = _ranks(joined, stored).withColumnRenamed("Country", "group")
+    same = F.col("Country").eqNullSafe(F.col("group"))
+    return stored.join(ranks, same).drop("group")
 
 
 @query
@@ -601,27 +611,33 @@ def written_rows(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, stored)
 
 
-@query
-def quality_report(spark: SparkSession, folder: str) -> DataFrame:
+def _damaged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Sources with repeated rows and keys, amounts that don't parse, and customers without a master row."""
     transactions, accounts, master = inputs(spark, folder)
     payment = F.col("MoyenPaiement")
     amount = F.when(payment == "1-URGENT", F.lit("n/a")).otherwise(F.col("Montant").cast("string"))
     # Rows that differ from others of the same key.
     others = transactions.where(payment == "2-HIGH").withColumn("MoyenPaiement", F.lit("0-OTHER"))
     texts = transactions.unionByName(others).withColumn("Montant", amount)
-    raw = {
+    return {
         TRANSACTIONS.name: _repeated(texts),
         ACCOUNTS.name: accounts,
         MASTER.name: master.where("Country <> 'ASIA'"),
     }
-    return plans.stage_prepare_checked(spark, raw, Staging(spark).root, AS_OF)
+
+
+@query
+def quality_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report from the parse that the preparation makes."""
+    return plans.stage_prepare_checked(
+        spark, _damaged(spark, folder), Staging(spark).root, AS_OF
+    )
 
 
 @query
 def quality_report_of_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The report of sources as they are, after the preparation."""
-    raw = {**standin.datasets(spark, folder)}
+    raw = _damaged(spark, folder)
     store = Staging(spark).root
     plans.stage_prepare(spark, raw, store, AS_OF)
-    report = plans.stage_quality(spark, raw, store)
-    return report.where("measure IN ('rows_read', 'rows_kept', 'repeated_keys')")
+    return plans.stage_quality(spark, raw, store)

@@ -9,6 +9,7 @@ from pyspark.sql.types import (
 
 from tellerloom.functions.casts import lenient_cast
 from tellerloom.operators import conform, dedup, drop_incomplete
+from tellerloom.operators.quality import typed_with_losses
 from tellerloom.plans import prepare
 from tellerloom.sources import read_delimited
 from tellerloom.specs import ACCOUNTS, SPECS, DatasetSpec, UnknownDataset, dataset_spec
@@ -212,3 +213,20 @@ def test_null_rules(spark):
     raw = spark.createDataFrame([("a", None), (None, "b"), ("c", "d")], schema)
     assert {r["k"] for r in prepare(raw, spec).collect()} == {"a", "c"}
     assert {r["k"] for r in prepare(raw, spec.requiring()).collect()} == {"c"}
+
+
+def test_ranked_dedup_keeps_a_column_called_position(spark):
+    df = spark.createDataFrame([(1, 5, 10), (1, 6, 20), (2, 7, 30)], "k int, _position int, __position int")
+    rows = dedup(df, ["k"], [F.col("_position").desc()]).collect()
+    assert sorted(map(tuple, rows)) == [(1, 6, 20), (2, 7, 30)]
+    assert rows[0].asDict().keys() == {"k", "_position", "__position"}
+
+
+def test_quality_keeps_a_column_called_raw_and_refuses_its_own(spark):
+    columns = [F.lit(None).cast("string").alias(f.name) for f in ACCOUNTS.schema]
+    df = spark.range(1).select(*columns, F.lit("kept").alias("_raw"))
+    typed = typed_with_losses(df.withColumn("creation_date", F.lit("28/08/2025")), ACCOUNTS)
+    row = typed.first()
+    assert row["_raw"] == "kept" and row["_lost"]["creation_date"] is True
+    with pytest.raises(ValueError, match="_lost"):
+        typed_with_losses(df.withColumn("_lost", F.lit(1)), ACCOUNTS)

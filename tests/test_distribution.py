@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tellerloom.operators import (
-    distribution, flatten_quantiles, segment_mart, totals_distribution, weighted_distribution,
+    distribution, flatten_quantiles, segment_mart, sketch_size, totals_distribution, weighted_distribution,
 )
 from tellerloom.operators.distribution import quantile_name
 from tellerloom.staging import Staging
@@ -209,7 +209,69 @@ def test_amounts_are_never_shuffled_by_group_alone(spark, monkeypatch, window_ro
 def test_one_sketch_for_all_that_is_asked(spark):
     df = spark.createDataFrame([("FR", 1.0)], "Country string, Montant double")
     plan = distribution(df, probabilities=(0.1, 0.5, 0.9))._jdf.queryExecution().optimizedPlan()
-    assert plan.toString().count("percentile_approx(") == 1
+    assert plan.toString().lower().count("kll_sketch_agg_double(") == 1
+    assert plan.toString().lower().count("kll_merge_agg_double(") == 1
+
+
+def test_no_task_meets_the_sketches_of_all_tasks(spark):
+    """96 tasks of two groups: sketches meet in 8 slices a group, and those in one row a group."""
+    df = spark.range(0, 96_000, 1, 96).selectExpr(
+        "if(id % 3 = 0, 'FR', 'US') AS Country", "id * 7919 % 96000 AS Montant", "id % 5 AS _slice"
+    )
+    with conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        stats = distribution(df, slices=8)
+        got = {r["Country"]: (r["mediane"], r["quantiles"]) for r in stats.collect()}
+    amounts = {"FR": [], "US": []}
+    for i in range(96_000):
+        amounts["FR" if i % 3 == 0 else "US"].append(i * 7919 % 96000)
+    for country, values in amounts.items():
+        values.sort()
+        quartiles = [values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.5, 0.75)]
+        # Fewer rows than the sketch: exact, FR; more: within the stated error, US.
+        assert got[country][0] == got[country][1][1]
+        for estimate, exact in zip(got[country][1], quartiles):
+            assert abs(estimate - exact) <= 1.5 * len(values) / 10_000 + 2
+
+
+@pytest.mark.parametrize(("accuracy", "rows"), [(20, 30_000), (200, 60_000), (2_000, 200_000)])
+def test_merged_sketches_keep_the_rank_error(spark, accuracy, rows):
+    """Sorted input, the worst for tasks that see a part of it each, with many repeated amounts."""
+    df = spark.range(0, rows, 1, 40).selectExpr("'x' AS Country", "id div 3 AS Montant")
+    percents = tuple(i / 20 for i in range(1, 20))
+    row = distribution(df, probabilities=percents, accuracy=accuracy, slices=6).first()
+    for p, estimate in zip(percents, row["quantiles"]):
+        below, upto = estimate * 3, estimate * 3 + 3
+        assert below <= p * rows + rows / accuracy + 1
+        assert upto >= p * rows - rows / accuracy - 1
+
+
+def test_estimates_leave_nan_out_and_take_any_number(spark):
+    nan, inf = math.nan, math.inf
+    df = spark.createDataFrame(
+        [("a", nan), ("a", 1.0), ("a", 2.0), ("b", nan), ("c", -inf), ("c", inf), (None, 5.0)],
+        "Country string, Montant double",
+    )
+    got = {r["Country"]: r["quantiles"] for r in distribution(df).collect()}
+    assert got == {"a": [1.0, 1.0, 2.0], "b": None, "c": [-inf, -inf, inf], None: [5.0, 5.0, 5.0]}
+    for kind in ("decimal(20,2)", "int", "float"):
+        numbers = df.where("Country = 'a' AND NOT isnan(Montant)").selectExpr(
+            "Country", f"cast(Montant AS {kind}) AS Montant"
+        )
+        row = distribution(numbers, exact_money=kind.startswith("decimal")).first()
+        assert (row["moyenne"], row["mediane"], row["quantiles"]) == (1.5, 1.0, [1.0, 1.0, 2.0])
+    assert distribution(df.limit(0)).count() == 0
+    overall = distribution(df.limit(0), by=()).collect()
+    assert [tuple(r) for r in overall] == [(None, None, None)]
+
+
+def test_sizes_of_sketches():
+    sizes = [sketch_size(a) for a in (1, 100, 10_000, 21_000)]
+    assert sizes == sorted(sizes) and 8 <= sizes[0] and sizes[-1] == 65_535
+    for accuracy in (10, 1_000, 10_000):
+        assert 2.296 / sketch_size(accuracy) ** 0.9723 <= 0.5 / accuracy
+    for accuracy in (0, 21_001):
+        with pytest.raises(ValueError):
+            sketch_size(accuracy)
 
 
 def test_only_the_result_stays(spark):
