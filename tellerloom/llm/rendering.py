@@ -2,15 +2,20 @@
 
 A tree builder supplies the tags a page leaves out; a renderer walks the tree, leaves out what is not
 shown, and emits all other text with the spacing of its blocks, markers of lists and aligned cells of
-tables. Style sheets and scripts are not applied, but ``style`` and ``hidden`` attributes are. Elements
-may be nested to any depth: nothing here calls itself, ``run`` keeps the calls of the renderer in a list.
+tables. Scripts are not run; ``display`` and ``visibility`` are taken from ``hidden`` and ``style``
+attributes and from the style sheets in the page, see ``styles``. Elements may be nested to any depth:
+nothing here calls itself, ``run`` keeps the calls of the renderer in a list.
+
+Blocks know their width and height and are put together once, when the whole page is painted, so a line is
+not copied for each of the lists, quotes and tables it is in.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Generator, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from html import unescape
 from typing import Any
 
@@ -18,8 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Cells are padded to the width of their column up to here; longer ones are whole but not aligned.
-MAX_PADDING = 60
+from tellerloom.llm import styles
+
+# What is put before and between texts may take so many times the characters of a page's lines and this
+# much more. Where it would take more, nothing begins further right than a column for which it does not.
+PADDING, FREE_PADDING = 20, 1 << 24
 # The limits of spans in tables.
 MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
 
@@ -78,12 +86,15 @@ ATTRIBUTE = re.compile(
 
 
 class Node:
-    __slots__ = ("name", "attributes", "children")
+    __slots__ = ("name", "attributes", "children", "display", "visibility")
 
     def __init__(self, name: str, attributes: dict[str, str] | None = None):
         self.name = name
         self.attributes = attributes or {}
         self.children: list[Node | str] = []
+        # What the style attribute and style sheets say, if they do.
+        self.display: str | None = None
+        self.visibility: str | None = None
 
 
 def attributes_of(text: str) -> dict[str, str]:
@@ -104,6 +115,7 @@ class Builder:
         self.stack = [self.root, self.head]
         # By name, the places in the stack of the open elements within head or body.
         self.places: dict[str, list[int]] = {}
+        self.sheets: list[str] = []
 
     @property
     def top(self) -> Node:
@@ -146,8 +158,9 @@ class Builder:
         if name in ("html", "body", "head"):
             if name == "body":
                 self.leave_head()
-                for key, value in attributes.items():
-                    self.body.attributes.setdefault(key, value)
+            own = {"html": self.root, "body": self.body}.get(name)
+            for key, value in attributes.items() if own else ():
+                own.attributes.setdefault(key, value)
             return None
         if self.head is not None and len(self.stack) == 2 and name not in HEAD_ONLY:
             self.leave_head()
@@ -207,6 +220,7 @@ def parse(html: str) -> Node:
         found = TAG.search(html, at)
         builder.text(unescape(html[at : found.start() if found else len(html)]))
         if not found:
+            styles.apply(builder.root, builder.sheets)
             return builder.root
         at = found.end()
         name = (found["name"] or found["name2"] or "").lower()
@@ -222,6 +236,8 @@ def parse(html: str) -> Node:
             inner = html[at : closing.start() if closing else len(html)]
             if node is not None:
                 node.children.append(unescape(inner) if name in ESCAPABLE_RAW else inner)
+                if name == "style" and styles.is_for_screens(node.attributes):
+                    builder.sheets.append(inner)
             builder.end(name)
             if closing:
                 end = html.find(">", closing.end())
@@ -233,55 +249,101 @@ def parse(html: str) -> Node:
 def shown(node: Node) -> bool:
     """Whether an element has a box at all."""
     name, attributes = node.name, node.attributes
-    if name in NOT_SHOWN or "hidden" in attributes:
+    if name in NOT_SHOWN:
         return False
     if name == "input" and attributes.get("type", "").lower() == "hidden":
         return False
-    if name == "dialog" and "open" not in attributes:
-        return False
-    return not (
-        "style" in attributes
-        and re.search(r"(?:^|;)\s*display\s*:\s*none\b", attributes["style"], re.I)
-    )
+    if node.display is not None:
+        return node.display != "none"
+    return "hidden" not in attributes and (name != "dialog" or "open" in attributes)
 
 
 def visible(node: Node, inherited: bool) -> bool:
     """Whether the text of an element is painted; its children may differ."""
-    found = re.findall(
-        r"(?:^|;)\s*visibility\s*:\s*([a-z]+)", node.attributes.get("style", ""), re.I
-    )
-    if not found:
+    if node.visibility in (None, "inherit", "unset"):
         return inherited
-    return inherited if found[-1].lower() == "inherit" else found[-1].lower() == "visible"
+    return node.visibility in ("visible", "initial")
 
 
 @dataclass(frozen=True)
 class Inset:
-    """Lines with ``first`` before the first of them, the others as far in. They are only put together
-    at the end, so that a line is not copied for each of the lists and quotes it is in."""
+    """Lines with ``first`` before the first of them, the others as far in."""
 
     first: str
-    lines: list[str | Inset]
+    lines: list[Entry]
+    height: int = field(init=False)
+    width: int = field(init=False)
 
+    def __post_init__(self) -> None:
+        height, width = extent(self.lines)
+        object.__setattr__(self, "height", height)
+        object.__setattr__(self, "width", len(self.first) + width)
 
-def flat(lines: list[str | Inset]) -> list[str]:
-    """All lines, those of insets indented unless they are empty."""
-    out: list[str] = []
-    # What stands before the next line, if that is the first of an inset.
-    head: list[str] = []
-    open_insets = [(iter(lines), 0)]
-    while open_insets:
-        entries, indent = open_insets[-1]
-        for entry in entries:
-            if isinstance(entry, Inset):
-                head = head or [" " * indent]
-                head.append(entry.first)
-                open_insets.append((iter(entry.lines), indent + len(entry.first)))
-                break
-            out.append(("".join(head) or " " * indent) + entry if entry else "")
-            head = []
+
+@dataclass(frozen=True)
+class Grid:
+    """Cells, each with its top line, its first column, and its lines; by rows, from left to right."""
+
+    cells: list[tuple[int, int, list[Entry]]]
+    height: int
+    width: int
+
+
+Entry = str | Inset | Grid
+
+
+def extent(lines: list[Entry]) -> tuple[int, int]:
+    """Height and width of what lines hold."""
+    height = width = 0
+    for entry in lines:
+        if isinstance(entry, str):
+            height += 1
+            width = max(width, len(entry))
         else:
-            open_insets.pop()
+            height += entry.height
+            width = max(width, entry.width)
+    return height, width
+
+
+def flat(lines: list[Entry]) -> list[str]:
+    """All lines as they stand. Pieces of a line keep their order and cells two spaces between them.
+
+    Depth and wide cells push texts to the right without a bound, and a page of many such lines would be
+    blanks for the most part; see PADDING for what is done there. No text is lost.
+    """
+    canvas: list[list[tuple[int, bool, str]]] = [[] for _ in range(extent(lines)[0])]
+    # Lines with the place of their first character, and whether they begin a cell. What is put on top
+    # is painted first, so the pieces of a line come from left to right.
+    blocks: list[tuple[list[Entry], int, int, bool]] = [(lines, 0, 0, False)]
+    while blocks:
+        entries, row, column, in_cell = blocks.pop()
+        for entry in entries:
+            if isinstance(entry, str):
+                if entry:
+                    canvas[row].append((column, in_cell, entry))
+                row += 1
+            elif isinstance(entry, Inset):
+                canvas[row].append((column, in_cell, entry.first))
+                blocks.append((entry.lines, row, column + len(entry.first), False))
+                row += entry.height
+            else:
+                for top, start, cell in reversed(entry.cells):
+                    blocks.append((cell, row + top, column + start, True))
+                row += entry.height
+    furthest = [pieces[-1][0] if pieces else 0 for pieces in canvas]
+    room = FREE_PADDING + PADDING * sum(len(text) for pieces in canvas for *_, text in pieces)
+    limit = max(furthest, default=0)
+    while sum(min(column, limit) for column in furthest) > room:
+        limit //= 2
+    out = []
+    for pieces in canvas:
+        line: list[str] = []
+        end = 0
+        for column, in_cell, text in pieces:
+            gap = max(min(column, limit) - end, 2 if in_cell and end else 0)
+            line.append(" " * gap + text)
+            end += gap + len(text)
+        out.append("".join(line))
     return out
 
 
@@ -289,7 +351,7 @@ class Lines:
     """Lines of text as they come, with collapsed spaces and margins."""
 
     def __init__(self) -> None:
-        self.lines: list[str | Inset] = []
+        self.lines: list[Entry] = []
         self.parts: list[str] = []
         self.after_space = True
         self.margin = 0
@@ -302,7 +364,7 @@ class Lines:
             self.parts.append(text)
             self.after_space = text[-1] == " "
 
-    def put(self, line: str | Inset) -> None:
+    def put(self, line: Entry) -> None:
         if self.lines and self.margin:
             self.lines += [""] * self.margin
         self.margin = 0
@@ -324,12 +386,12 @@ class Lines:
         self.end_line()
         self.margin = max(self.margin, margin)
 
-    def add(self, lines: list[str | Inset]) -> None:
+    def add(self, lines: list[Entry]) -> None:
         self.end_line()
         for line in lines:
             self.put(line)
 
-    def finish(self) -> list[str | Inset]:
+    def finish(self) -> list[Entry]:
         self.end_line()
         while self.lines and not self.lines[-1]:
             self.lines.pop()
@@ -404,7 +466,7 @@ def element(node: Node, out: Lines, painted: bool, as_is: bool, in_list: bool) -
         if inner.children and isinstance(inner.children[0], str):
             inner.children[0] = inner.children[0].removeprefix("\n")
         lines = yield lines_of(inner, painted, as_is=True)
-        out.add([line.rstrip() for line in flat(lines)])
+        out.add([line.rstrip() if isinstance(line, str) else line for line in lines])
         out.block(1)
     elif name == "details" and "open" not in node.attributes:
         out.block(0)
@@ -485,6 +547,113 @@ def rows_of(table: Node) -> Iterator[Node]:
         yield from part
 
 
+class Columns:
+    """The columns that cells from rows above cover, and those that are free, as intervals."""
+
+    def __init__(self) -> None:
+        # Free intervals from left to right.
+        self.starts = [0]
+        self.ends = [1 << 62]
+        # Covered ones from left to right: first column, the one after the last, first row that is free.
+        self.covered: list[tuple[int, int, int]] = []
+        self.expiring: dict[int, list[tuple[int, int, int]]] = {}
+
+    def next_row(self, row: int) -> None:
+        """Columns whose cell from above ended with the row before are free again."""
+        for piece in self.expiring.pop(row, ()):
+            i = bisect_left(self.covered, piece)
+            # It may have been cut, or covered for longer, since.
+            if i < len(self.covered) and self.covered[i] == piece:
+                del self.covered[i]
+                self._free(piece[0], piece[1])
+
+    def _free(self, start: int, end: int) -> None:
+        i = bisect_left(self.starts, start)
+        if i and self.ends[i - 1] == start:
+            i -= 1
+            start = self.starts[i]
+            del self.starts[i], self.ends[i]
+        if i < len(self.starts) and self.starts[i] == end:
+            end = self.ends[i]
+            del self.starts[i], self.ends[i]
+        self.starts.insert(i, start)
+        self.ends.insert(i, end)
+
+    def free_from(self, column: int) -> int:
+        i = bisect_right(self.starts, column) - 1
+        if i >= 0 and column < self.ends[i]:
+            return column
+        return self.starts[i + 1]
+
+    def _replace(self, low: int, high: int, pieces: list[tuple[int, int, int]]) -> int:
+        """Put pieces that are not empty in the place of others; the place after them."""
+        pieces = [piece for piece in pieces if piece[0] < piece[1]]
+        self.covered[low:high] = pieces
+        for piece in pieces:
+            self.expiring.setdefault(piece[2], []).append(piece)
+        return low + len(pieces)
+
+    def cover(self, start: int, end: int, row: int) -> None:
+        """From ``start`` to before ``end``, columns are covered up to before ``row`` at least."""
+        i = max(0, bisect_left(self.covered, (start,)) - 1)
+        while i < len(self.covered) and self.covered[i][0] < end:
+            low, high, until = self.covered[i]
+            if high <= start or until >= row:
+                i += 1
+                continue
+            a, b = max(low, start), min(high, end)
+            i = self._replace(i, i + 1, [(low, a, until), (a, b, row), (b, high, until)])
+        i = max(0, bisect_right(self.starts, start) - 1)
+        while i < len(self.starts) and self.starts[i] < end:
+            low, high = max(start, self.starts[i]), min(end, self.ends[i])
+            if low >= high:
+                i += 1
+                continue
+            left = [(self.starts[i], low), (high, self.ends[i])]
+            left = [(a, b) for a, b in left if a < b]
+            self.starts[i : i + 1] = [a for a, _ in left]
+            self.ends[i : i + 1] = [b for _, b in left]
+            i += len(left)
+            at = bisect_left(self.covered, (low,))
+            self._replace(at, at, [(low, high, row)])
+
+
+Cells = list[tuple[int, int, list[Entry]]]
+
+
+def widths_of(grid: list[Cells]) -> dict[int, int]:
+    """The widest cell of each column that has a cell of its own."""
+    widths: dict[int, int] = {}
+    for cells in grid:
+        for column, across, lines in cells:
+            if across == 1:
+                widths[column] = max(widths.get(column, 0), extent(lines)[1])
+    return widths
+
+
+def grid_of(grid: list[Cells]) -> list[Entry]:
+    """The rows as one block, columns aligned and two spaces apart; none if all cells are empty."""
+    widths = widths_of(grid)
+    # Columns without a cell of their own take no room.
+    columns, starts, at = sorted(widths), [], 0
+    for column in columns:
+        starts.append(at)
+        at += widths[column] + 2 if widths[column] else 0
+    starts.append(at)
+    placed: list[tuple[int, int, list[Entry]]] = []
+    top = width = 0
+    for cells in grid:
+        height = 0
+        for column, _, lines in cells:
+            if lines:
+                start = starts[bisect_left(columns, column)]
+                own_height, own_width = extent(lines)
+                placed.append((top, start, lines))
+                height, width = max(height, own_height), max(width, start + own_width)
+        top += height
+    return [Grid(placed, top, width)] if placed else []
+
+
 def table_lines(table: Node, painted: bool) -> Call:
     """Caption and stray content, then the rows, columns aligned and two spaces apart."""
     before = Lines()
@@ -501,70 +670,45 @@ def table_lines(table: Node, painted: bool) -> Call:
                 yield flow(stray, before, painted, False, False)
             elif child.name != "tr":
                 yield element(child, before, painted, False, False)
-    grid: list[list[tuple[int, int, list[str]]]] = []
-    taken: dict[int, int] = {}  # how many further rows a cell from above covers in a column
-    for row in rows_of(table):
-        cells, column, covered = [], 0, dict(taken)
+    grid: list[Cells] = []
+    columns = Columns()
+    for number, row in enumerate(rows_of(table)):
+        columns.next_row(number)
+        cells, column = [], 0
+        # What cells of this row cover is covered from the next row on.
+        covered = []
         stray = Node("tr")
         stray.children = [
             c for c in row.children if isinstance(c, str) or c.name not in CELLS
         ]
         yield flow(stray, before, painted, False, False)
-        taken = {c: n - 1 for c, n in covered.items() if n > 1}
         for cell in row.children:
             if not isinstance(cell, Node) or cell.name not in CELLS or not shown(cell):
                 continue
-            while column in covered:
-                column += 1
+            column = columns.free_from(column)
             across = min(max(1, number_of(cell, "colspan", 1)), MAX_COLSPAN)
             down = min(max(1, number_of(cell, "rowspan", 1)), MAX_ROWSPAN)
             own = visible(cell, visible(row, painted))
-            lines = yield lines_of(cell, own)
-            cells.append((column, across, flat(lines)))
+            cells.append((column, across, (yield lines_of(cell, own))))
             if down > 1:
-                taken |= dict.fromkeys(range(column, column + across), down - 1)
+                covered.append((column, column + across, number + down))
             column += across
+        for start, end, until in covered:
+            columns.cover(start, end, until)
         grid.append(cells)
-    widths: dict[int, int] = {}
-    for cells in grid:
-        for column, across, lines in cells:
-            if across == 1:
-                width = min(MAX_PADDING, max(map(len, lines), default=0))
-                widths[column] = max(widths.get(column, 0), width)
-    # Columns without a cell of their own take no room.
-    starts, at = {}, 0
-    for column in sorted(widths):
-        starts[column] = at
-        at += widths[column] + 2 if widths[column] else 0
-    edges = sorted(starts)
-    out = flat(before.finish())
-    if out and any(cells for cells in grid):
-        out = [*out, ""]
-    for cells in grid:
-        for number in range(max((len(lines) for *_, lines in cells), default=0)):
-            line = ""
-            for column, _, lines in cells:
-                text = lines[number] if number < len(lines) else ""
-                if text:
-                    place = starts.get(column)
-                    if place is None:
-                        later = [c for c in edges if c > column]
-                        place = starts[later[0]] if later else at
-                    gap = max(place - len(line), 2 if line else 0)
-                    line += " " * gap + text
-            out.append(line.rstrip())
-    while out and not out[-1]:
-        out.pop()
-    return out
+    out = before.finish()
+    aligned = grid_of(grid)
+    return [*out, "", *aligned] if out and aligned else out + aligned
 
 
 def render(html: str) -> str:
     """All visible text of a page as lines; no-break spaces become spaces."""
     root = parse(html)
     body = root.children[1]
-    if not isinstance(body, Node) or not shown(body):
+    if not isinstance(body, Node) or not shown(root) or not shown(body):
         return ""
-    return "\n".join(flat(run(lines_of(body, visible(body, True))))).replace("\xa0", " ")
+    painted = visible(body, visible(root, True))
+    return "\n".join(flat(run(lines_of(body, painted)))).replace("\xa0", " ")
 
 
 def rendered(html: Column) -> Column:
@@ -579,7 +723,13 @@ def rendered(html: Column) -> Column:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """``page_id`` and ``text``, one row for each of ``pages``; null ids and repeated rows stay."""
+    """``page_id`` and ``text``, one row for each of ``pages``.
+
+    A null or empty page has an empty text. Null ids and repeated rows stay, columns beyond the two are
+    not looked at, whatever their names, and an empty table gives an empty result. A page of any length
+    and depth is rendered whole, in a time in proportion to it and to the text with its padding; it has to
+    fit in a task.
+    """
     return pages.select(
         F.col(id_col).cast("long").alias("page_id"), rendered(F.col(html_col)).alias("text")
     )
