@@ -1,4 +1,11 @@
-"""Byte-level BPE by a rank file, with the tiktoken library inside the tasks."""
+"""Byte-level BPE by a rank file, with the tiktoken library inside the tasks.
+
+Long texts are cut where no match of the splitting pattern can span the cut, which is known for one
+pattern. White space needs a cut of its own: that pattern takes a run of it as one match, less the last
+character if a text follows, and the library's matcher, which would take back character by character,
+ends in an error from about a million on. A long run is therefore cut out as the pattern would match it
+and merged as one piece.
+"""
 
 from __future__ import annotations
 
@@ -15,10 +22,12 @@ from pyspark.sql import functions as F
 
 from tellerloom.llm.common import list_slices
 
-# Code points beyond which a text is encoded in parts.
+# Code points beyond which a text is encoded in parts, and white space is cut out of it.
 LONG = 1 << 16
-# Places that no match of the splitting pattern can span: after a letter, number or symbol where
-# another kind of character follows. An apostrophe may belong to the letters after it.
+# Fixed value: the pattern whose cuts are known. Texts are encoded whole under any other.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Places that no match of that pattern can span: after a letter, number or symbol where another kind
+# of character follows. An apostrophe may belong to the letters after it.
 SAFE = regex.compile(
     r"(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})|(?<=[^\s\p{L}\p{N}'])(?=[\s\p{L}\p{N}])"
 )
@@ -47,25 +56,60 @@ def safe_parts(text: str, size: int = LONG) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+@lru_cache(maxsize=4)
+def _white_space(size: int) -> regex.Pattern:
+    return regex.compile(r"\s{%d,}" % size)
+
+
+def matched_parts(text: str, size: int = LONG) -> Iterator[tuple[str, bool]]:
+    """``text`` in parts, each with whether it is a single match: white space of over ``size`` code points.
+
+    The parts' matches one after the other are those of the text. A run of white space starts a match,
+    since none has white space after another character. Its last character goes with what follows.
+    """
+    if len(text) <= size:
+        yield text, False
+        return
+    start = 0
+    for run in _white_space(size + 2).finditer(text):
+        if run.start() > start:
+            yield from ((part, False) for part in safe_parts(text[start : run.start()], size))
+        start = run.end() if run.end() == len(text) else run.end() - 1
+        yield text[run.start() : start], True
+    if start < len(text):
+        yield from ((part, False) for part in safe_parts(text[start:] if start else text, size))
+
+
 def encode(
     docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id`` and the token ``ids`` (array<int>) of the whole text, one row for each of ``docs``.
 
     Each match of ``pattern`` is merged separately and no special token is recognised. Null texts
-    give no ids, like empty ones; a row without an id keeps its null. The rank file is read where the
-    driver runs and sent to the tasks; its size is that of the vocabulary.
+    give no ids, like empty ones; a row without an id keeps its null, repeated rows stay repeated, an
+    empty table gives an empty result and columns beyond the two are not looked at. The rank file is
+    read where the driver runs and sent to the tasks; its size is that of the vocabulary.
+
+    Under PATTERN texts of any length are encoded, white space of any length included; a text and its ids
+    have to fit in a task. Any other ``pattern`` is matched against whole texts, since its cuts are not
+    known; how long they may be is then the library's limit.
     """
     with open(rank_file, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merge = _encoding(ranks.value, pattern).encode_ordinary
+        encoding = _encoding(ranks.value, pattern)
         for batch in batches:
             parts, ends = [], [0]
             for text in batch.column("text").to_pylist():
-                for part in safe_parts(text or ""):
-                    parts.append(np.array(merge(part), np.int32))
+                text = text or ""
+                cut = matched_parts(text) if pattern == PATTERN else [(text, False)]
+                for part, single in cut:
+                    if single:
+                        ids = encoding._encode_single_piece(part.encode())
+                    else:
+                        ids = encoding.encode_ordinary(part)
+                    parts.append(np.array(ids, np.int32))
                 ends.append(len(parts))
             lengths = np.cumsum([0, *map(len, parts)])
             ids = pa.ListArray.from_arrays(
@@ -83,7 +127,8 @@ def encode(
 def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
     """``encoded`` (``doc_id``, ``ids``) with the ``decoded`` bytes of the ids; null ids give none.
 
-    The bytes are those of the tokens, whether or not they are valid UTF-8.
+    The bytes are those of the tokens, whether or not they are valid UTF-8. Repeated rows stay repeated,
+    other columns are left out, an empty table gives an empty result.
     """
     with open(rank_file, "rb") as file:
         ranks = encoded.sparkSession.sparkContext.broadcast(file.read())

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -49,6 +50,80 @@ def test_parts_give_the_ids_of_the_whole(library, text):
         assert sum(map(library.encode_ordinary, parts), []) == library.encode_ordinary(text)
 
 
+def of_parts(library, parts):
+    ids = []
+    for part, single in parts:
+        ids += library._encode_single_piece(part.encode()) if single else library.encode_ordinary(part)
+    return ids
+
+
+def test_white_space_of_some_length_gives_the_ids_of_the_whole(library):
+    rng = random.Random(3)
+    for _ in range(400):
+        runs = ["".join(rng.choices(" \n\t\u3000\x1c\u0085", k=rng.randint(1, 12))) for _ in range(5)]
+        words = [rng.choice(["", "a", "it's", "'s", "9", "!?", "é", "日本", "\x1c"]) for _ in range(6)]
+        text = "".join(w + r for w, r in zip(words, [*runs, ""], strict=True))
+        for size in (1, 2, 5, 9):
+            parts = list(bpe.matched_parts(text, size))
+            assert "".join(part for part, _ in parts) == text
+            assert of_parts(library, parts) == library.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\u3000"])
+def test_white_space_of_any_length(spark, library, space):
+    """Runs that the library can't match, at the start, in the middle and at the end of a text."""
+    n = 1_000_000
+    texts = {
+        1: space * n + "x",
+        2: "it's" + space * n + "'s 9",
+        3: "a b" + space * n,
+        4: space * 10 * n,
+        5: "a" + space * n + "b" + space * n + " c",
+    }
+    single = library._encode_single_piece
+    short = library.encode_ordinary
+
+    def run(length):
+        return single((space * length).encode())
+
+    tails = {1: short(space + "x"), 2: short(space + "'s 9"), 3: []}
+    want = {
+        1: run(n - 1) + tails[1],
+        2: short("it's") + run(n - 1) + tails[2],
+        3: short("a b") + run(n),
+        4: run(10 * n),
+        # The last run ends with a space that goes with the letter.
+        5: short("a") + run(n - 1) + short(space + "b") + run(n) + short(" c"),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    sums = rows.selectExpr(
+        "doc_id", "size(ids) AS n", "sha2(decoded, 256) AS bytes",
+        "sha2(array_join(cast(ids AS array<string>), ','), 256) AS ids",
+    ).collect()
+    assert len(sums) == len(texts)
+    for row in sums:
+        ids = want[row.doc_id]
+        assert row.n == len(ids)
+        assert row.ids == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row.bytes == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_the_known_pattern_is_the_given_one():
+    assert bpe.PATTERN == public_tokenizers.PATTERN
+
+
+def test_other_patterns_see_whole_texts(spark):
+    pattern = r"\p{L}+\s*|\P{L}+"
+    with open(RANKS, "rb") as file:
+        pairs = [line.split() for line in file]
+    ranks = {base64.b64decode(a): int(b) for a, b in pairs}
+    plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    text = "abc \n\n" * 30_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert bpe.encode(docs, RANKS, pattern).first().ids == plain.encode_ordinary(text)
+
+
 def test_odd_rows(spark, library):
     encoded = bpe.encode(odd_documents(spark), RANKS, public_tokenizers.PATTERN)
     rows = bpe.decode(encoded, RANKS).collect()
