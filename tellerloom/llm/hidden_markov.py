@@ -7,9 +7,14 @@ training texts, whatever the state. So the likelihood of a text is that of its s
 forward recursion over all state paths, times a factor for each word that is no symbol of its own. Under
 one state and one class this is the unigram model that gives the base score.
 
-Counts cover all training texts, and so does each round of Baum-Welch; the start values of the rounds
-come from a bounded sample. Tasks hold the counts of the head of the vocabulary, a table of known size;
-the counts of all other words are joined. Everything is the same plan at any size.
+Counts cover all training texts, and so does each round of Baum-Welch; rounds end when the likelihood
+gains little. The start values of the rounds come from a bounded sample of rows, a block of each. A text of
+any length is one sequence: what its parts need of one another is kept where they meet, so a task holds
+the symbols of a text and the recursion of one part. Tasks hold the counts of the head of the vocabulary, a
+table of known size; the counts of all other words are joined. Everything is the same plan at any size.
+
+Expected counts are sums of floating-point numbers over tasks, so scores may differ in their last digits
+from one run to the next.
 """
 
 from __future__ import annotations
@@ -35,8 +40,10 @@ SYMBOLS = 1 << 14
 CLASSES = 512
 ENDING = 3
 STATES = 8
-ROUNDS = 2
-# Texts of the sample, the longest of them, and the rounds over it.
+# Rounds end when a token gains less than so many digits by the last one, or at the limit.
+SETTLED = 0.002
+ROUNDS = 12
+# Texts of the sample, the tokens of the block that is taken of each, and the rounds over it.
 SEED_TEXTS = 1024
 SEED_TOKENS = 1024
 SEED_ROUNDS = 12
@@ -189,7 +196,7 @@ _prepared: list = [None, None, None]
 
 
 def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Symbols and head sums of every text; its other words in ``tail``, as often as they occur.
+    """Symbols and head sums of every text; its other words in ``tail``, each once with its count.
 
     ``log_count`` sums log10(c + 1) over the end and the words of the head, ``log_class`` what is known of
     the factors of words that are no symbols: all of it for head words, the denominators for others.
@@ -212,6 +219,7 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             names = ("n_tokens", "known", "log_count", "log_class", "symbols")
             out: dict[str, list] = {name: [] for name in names}
             tail: list[bytes] = []
+            times: list[int] = []
             ends = [0]
             for text in byte_strings(batch.column("text")):
                 words = tokens(text)
@@ -228,7 +236,9 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 out["log_count"].append(log_count[in_head].sum() + np.log10(v.ends + 1))
                 out["log_class"].append(log_factor[in_head].sum() - log_class[classes].sum())
                 out["symbols"].append(symbols.tobytes())
-                tail += map(words.__getitem__, missing.tolist())
+                others = Counter(map(words.__getitem__, missing.tolist()))
+                tail += others.keys()
+                times += others.values()
                 ends.append(len(tail))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -239,13 +249,19 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     pa.array(out["log_count"], pa.float64()),
                     pa.array(out["log_class"], pa.float64()),
                     pa.array(out["symbols"], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tail, pa.binary())),
+                    pa.ListArray.from_arrays(
+                        pa.array(ends, pa.int32()),
+                        pa.StructArray.from_arrays(
+                            [pa.array(tail, pa.binary()), pa.array(times, pa.int64())],
+                            ["word", "times"],
+                        ),
+                    ),
                 ],
                 ["doc_id", "held_out", *out, "tail"],
             )
 
     schema = """doc_id long, held_out boolean, n_tokens long, known long, log_count double,
-        log_class double, symbols binary, tail array<binary>"""
+        log_class double, symbols binary, tail array<struct<word: binary, times: long>>"""
     return docs.mapInArrow(rows, schema).withColumn("row", F.monotonically_increasing_id())
 
 
@@ -291,6 +307,21 @@ def log10_likelihood(chain: Chain, sequences: list[np.ndarray]) -> np.ndarray:
     return result
 
 
+def _forward(
+    chain: Chain, part: np.ndarray, before: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward values and scales of a part of one sequence, after ``before`` if it is not the first."""
+    forward = np.empty((len(part), len(chain.start)))
+    scales = np.empty(len(part))
+    now = before
+    for t, emit in enumerate(chain.emit[part]):
+        now = (chain.start if now is None else now @ chain.move) * emit
+        scales[t] = now.sum()
+        now = now / scales[t]
+        forward[t] = now
+    return forward, scales
+
+
 class Expected:
     """Expected counts of the start, the moves and the emissions, and the log10 likelihood."""
 
@@ -300,9 +331,48 @@ class Expected:
         self.emit = np.zeros((states, alphabet))
         self.log = 0.0
 
-    def add(self, chain: Chain, sequences: list[np.ndarray]) -> None:
-        for _, symbols, going in batches_of(sequences):
+    def add(self, chain: Chain, sequences: list[np.ndarray], longest: int = BATCH_TOKENS) -> None:
+        """Add those of whole sequences; one of more than ``longest`` symbols is gone through in parts."""
+        short = [sequence for sequence in sequences if len(sequence) <= longest]
+        for _, symbols, going in batches_of(short):
             self._add(chain, symbols, going)
+        for sequence in sequences:
+            if len(sequence) > longest:
+                self._add_long(chain, sequence, longest)
+
+    def _add_long(self, chain: Chain, sequence: np.ndarray, size: int) -> None:
+        """A forward pass that keeps its values between parts, then the parts from the last to the first."""
+        before: list[np.ndarray | None] = [None]
+        now = None
+        for at in range(0, len(sequence) - size, size):
+            now = _forward(chain, sequence[at : at + size], now)[0][-1]
+            before.append(now)
+        back = np.ones(len(chain.start))
+        for number in range(len(before) - 1, -1, -1):
+            part = sequence[number * size : (number + 1) * size]
+            back = self._add_part(chain, part, before[number], back)
+
+    def _add_part(
+        self, chain: Chain, part: np.ndarray, before: np.ndarray | None, back: np.ndarray
+    ) -> np.ndarray:
+        """Add a part that follows the forward value ``before``; what its first symbol hands back."""
+        forward, scales = _forward(chain, part, before)
+        self.log += float(np.log10(scales).sum())
+        real = np.empty_like(forward)
+        later = np.empty_like(forward)
+        for t in range(len(part) - 1, -1, -1):
+            real[t] = forward[t] * back
+            later[t] = chain.emit[part[t]] * back / scales[t]
+            back = chain.move @ later[t]
+        if before is None:
+            self.start += real[0]
+            moved_from, moved_to = forward[:-1], later[1:]
+        else:
+            moved_from, moved_to = np.concatenate([before[None], forward[:-1]]), later
+        self.move += chain.move * (moved_from.T @ moved_to)
+        for state, weights in enumerate(real.T):
+            self.emit[state] += np.bincount(part, weights=weights, minlength=self.emit.shape[1])
+        return back
 
     def _add(self, chain: Chain, symbols: np.ndarray, going: np.ndarray) -> None:
         length, width = symbols.shape
@@ -365,15 +435,18 @@ def _shares(vocabulary: Vocabulary) -> np.ndarray:
 
 
 def _seeded(training: DataFrame, shares: np.ndarray, states: int) -> Chain:
-    """A first model from a bounded sample of texts, on the driver.
+    """A first model from a bounded sample of rows, on the driver.
 
-    The states start as random tilts of the shares that seldom change, so that a whole text falls to the
-    state that suits it, which is what the first rounds make of them.
+    Rows are drawn by their number, so copies are drawn as often as they occur, and of a longer text a
+    block that starts somewhere in it. The states start as random tilts of the shares that seldom change,
+    so that a whole text falls to the state that suits it, which is what the first rounds make of them.
     """
-    short = training.where(F.length("symbols") <= 2 * SEED_TOKENS)
-    count = short.count()
-    sample = short.where(thinned(F.xxhash64("symbols"), SEED_TEXTS, count)).limit(4 * SEED_TEXTS)
-    sequences = sequences_of(sample.select("symbols").toArrow()["symbols"].combine_chunks())
+    key = F.xxhash64("row")
+    drawn = training.where(thinned(key, SEED_TEXTS, training.count())).limit(4 * SEED_TEXTS)
+    spare = F.greatest(F.lit(1).cast("long"), F.col("n_tokens") - SEED_TOKENS + 1)
+    first = (1 + 2 * F.pmod(F.xxhash64("row", F.lit(1)), spare)).cast("int")
+    block = F.substring("symbols", first, F.lit(2 * SEED_TOKENS)).alias("symbols")
+    sequences = sequences_of(drawn.select(block).toArrow()["symbols"].combine_chunks())
     sequences.sort(key=lambda s: s.tobytes())
     rng = np.random.default_rng(11)
     tilted = shares[:, None] * rng.gamma(2.0, 0.5, (len(shares), states))
@@ -387,8 +460,11 @@ def _seeded(training: DataFrame, shares: np.ndarray, states: int) -> Chain:
     return chain
 
 
-def _round(training: DataFrame, chain: Chain, shares: np.ndarray) -> Chain:
-    """One round of Baum-Welch over all training texts; partitions add up their expected counts."""
+def _round(training: DataFrame, chain: Chain, shares: np.ndarray) -> tuple[Chain, float]:
+    """One round of Baum-Welch over all training texts; partitions add up their expected counts.
+
+    The next model, and the log10 likelihood of the texts under the given one.
+    """
     states = len(chain.start)
     shared = training.sparkSession.sparkContext.broadcast(chain)
     sums = [f"s{i}" for i in range(states)]
@@ -396,17 +472,13 @@ def _round(training: DataFrame, chain: Chain, shares: np.ndarray) -> Chain:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expected = Expected(states, len(shares))
         for batch in batches:
-            # Very long texts count as several here, so that what a task holds is bounded.
-            parts = [
-                sequence[at : at + BATCH_TOKENS]
-                for sequence in sequences_of(batch.column("symbols"))
-                for at in range(0, len(sequence), BATCH_TOKENS)
-            ]
-            expected.add(shared.value, parts)
+            expected.add(shared.value, sequences_of(batch.column("symbols")))
         seen = np.flatnonzero(expected.emit.any(axis=0))
-        table = np.concatenate([expected.emit[:, seen].T, expected.move, [expected.start]])
-        # Moves have the numbers from -1 down, the start the last.
-        number = np.concatenate([seen, -1 - np.arange(states + 1)])
+        log = np.zeros(states)
+        log[0] = expected.log
+        table = np.concatenate([expected.emit[:, seen].T, expected.move, [expected.start, log]])
+        # Moves have the numbers from -1 down, then come the start and the likelihood.
+        number = np.concatenate([seen, -1 - np.arange(states + 2)])
         yield pa.RecordBatch.from_arrays(
             [pa.array(number), *map(pa.array, table.T.copy())], ["number", *sums]
         )
@@ -429,19 +501,45 @@ def _round(training: DataFrame, chain: Chain, shares: np.ndarray) -> Chain:
         if state in others:
             expected.move[state] = others[state]
     expected.start = others.get(states, expected.start)
-    return expected.chain(shares)
+    return expected.chain(shares), float(others[states + 1][0]) if others else 0.0
+
+
+def train(
+    training: DataFrame,
+    shares: np.ndarray,
+    states: int,
+    tokens: int,
+    rounds: int = ROUNDS,
+    settled: float = SETTLED,
+) -> tuple[Chain, list[float]]:
+    """A model after rounds over all ``training`` texts, and their likelihood before each round.
+
+    Rounds end when one has gained less than ``settled`` digits for each of the ``tokens``, or after
+    ``rounds``. ``training`` must be a table.
+    """
+    chain = _seeded(training, shares, states)
+    logs: list[float] = []
+    for _ in range(rounds):
+        chain, log = _round(training, chain, shares)
+        logs.append(log)
+        if len(logs) > 1 and logs[-1] - logs[-2] < settled * tokens:
+            break
+    return chain, logs
 
 
 def _tail_sums(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """For each row, log10(c + 1) summed over the training words of its tail, and their number."""
-    words = encoded.select("row", F.explode("tail").alias("word"))
+    """For each row, log10(c + 1) summed over the training words of its tail, and their number.
+
+    A word that a text repeats is one row here, however common it is in the text.
+    """
+    words = encoded.select("row", F.inline("tail"))
     tail = counts.where(vocabulary.is_tail(F.col("word"), F.col("n")))
     return (
         words.join(tail, "word")
         .groupBy("row")
         .agg(
-            F.sum(F.log10(F.col("n") + 1)).alias("tail_log"),
-            F.count(F.lit(1)).alias("tail_known"),
+            F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("tail_log"),
+            F.sum("times").alias("tail_known"),
         )
     )
 
@@ -460,8 +558,9 @@ def score(
     Columns, one row for each of ``docs``: ``doc_id``, ``held_out``, ``n_tokens`` and ``n_known`` (the end
     included), ``train_tokens``, ``base_score`` (log10 probability under the unigram model) and ``score``
     (under the hidden Markov model). A null text is empty: its end is all there is. A row whose
-    ``held_out`` is null is trained on. Without training texts every symbol is as likely as any other. An
-    empty table gives an empty result.
+    ``held_out`` is null is trained on. Without training texts every symbol is as likely as any other. A
+    text of any length is learned from and scored as a whole; it has to fit in a task. Repeated rows stay
+    repeated and count as often, other columns are not looked at, and an empty table gives an empty result.
     """
     staging = staging or Staging(docs.sparkSession)
     rows = docs.select(
@@ -475,9 +574,7 @@ def score(
     encoded = staging.table(_encode(rows, vocabulary), "encoded")
     learned_from = encoded.where(~F.col("held_out"))
     shares = _shares(vocabulary)
-    chain = _seeded(learned_from, shares, states)
-    for _ in range(rounds):
-        chain = _round(learned_from, chain, shares)
+    chain, _ = train(learned_from, shares, states, vocabulary.total, rounds)
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     @F.arrow_udf("double")

@@ -93,6 +93,95 @@ def test_expected_counts_against_all_paths():
     assert math.isclose(expected.log, hm.log10_likelihood(chain, sequences).sum())
 
 
+@pytest.mark.parametrize("longest", [1, 7, 40, 41])
+def test_parts_of_a_sequence_count_like_the_whole(longest):
+    chain = random_chain(3, 6)
+    rng = np.random.default_rng(4)
+    sequences = [rng.integers(0, 6, n) for n in (120, 41, 40, 81, 3, 1)]
+    whole, parts = hm.Expected(3, 6), hm.Expected(3, 6)
+    whole.add(chain, sequences)
+    parts.add(chain, sequences, longest)
+    for name in ("start", "move", "emit"):
+        assert np.allclose(getattr(parts, name), getattr(whole, name))
+    assert math.isclose(parts.log, whole.log)
+    assert math.isclose(parts.start.sum(), 6) and math.isclose(parts.move.sum(), 286 - 6)
+
+
+def encoded_of(spark, texts, staging):
+    rows = spark.createDataFrame([(i, False, t.encode()) for i, t in enumerate(texts)],
+                                 "doc_id long, held_out boolean, text binary")
+    vocabulary = hm._vocabulary(staging.table(hm.word_counts(rows), "words"), rows.count())
+    return staging.table(hm._encode(rows, vocabulary), "encoded"), vocabulary
+
+
+def test_seeds_come_from_texts_of_any_length(spark, monkeypatch):
+    """Texts longer than a block and copies of one text both give a sample."""
+    monkeypatch.setattr(hm, "SEED_TOKENS", 30)
+    drawn = []
+    plain = hm.sequences_of
+    monkeypatch.setattr(hm, "sequences_of", lambda column: drawn.append(plain(column)) or drawn[-1])
+    staging = Staging(spark)
+    for texts, size in (
+        (["a b c " * 100 + f"w{i}" for i in range(40)], 30),
+        (["same text here"] * 3000, 4),
+    ):
+        encoded, vocabulary = encoded_of(spark, texts, staging)
+        hm._seeded(encoded, hm._shares(vocabulary), 2)
+        assert 40 <= len(drawn[-1]) <= 2 * hm.SEED_TEXTS
+        assert {len(s) for s in drawn[-1]} == {size}
+    # Blocks start at different places.
+    assert len({s.tobytes() for s in drawn[0]}) > 2
+    staging.drop()
+
+
+def test_rounds_end_when_little_is_gained(spark):
+    staging = Staging(spark)
+    rng = np.random.default_rng(1)
+    topics = [[f"{t}{i}" for i in range(20)] for t in "abc"]
+    texts = [" ".join(rng.choice(topics[i % 3], 50)) for i in range(200)]
+    encoded, vocabulary = encoded_of(spark, texts, staging)
+    shares = hm._shares(vocabulary)
+    _, logs = hm.train(encoded, shares, 3, vocabulary.total)
+    assert 2 <= len(logs) < hm.ROUNDS
+    gains = np.diff(logs) / vocabulary.total
+    assert (gains[:-1] >= hm.SETTLED).all() and gains[-1] < hm.SETTLED
+    assert len(hm.train(encoded, shares, 3, vocabulary.total, rounds=4, settled=-1.0)[1]) == 4
+    staging.drop()
+
+
+def test_a_text_longer_than_a_part_is_learned_whole(spark, monkeypatch):
+    text = " ".join(f"w{i % 7}" for i in range(500))
+    staging = Staging(spark)
+    encoded, vocabulary = encoded_of(spark, [text, "w1 w2", text], staging)
+    shares, chain = hm._shares(vocabulary), random_chain(2, vocabulary.alphabet)
+    whole, log = hm._round(encoded, chain, shares)
+    add = hm.Expected.add
+    monkeypatch.setattr(hm.Expected, "add", lambda self, c, s: add(self, c, s, 100))
+    sequences = hm.sequences_of(encoded.select("symbols").toArrow()["symbols"].combine_chunks())
+    expected = hm.Expected(2, vocabulary.alphabet)
+    expected.add(chain, sequences)
+    assert math.isclose(expected.log, log) and math.isclose(expected.start.sum(), 3)
+    parts = expected.chain(shares)
+    for name in ("start", "move", "emit"):
+        assert np.allclose(getattr(parts, name), getattr(whole, name))
+    staging.drop()
+
+
+def test_a_common_long_word_is_one_row_of_a_text(spark):
+    ruler = "-" * 80
+    docs = spark.createDataFrame([(i, f"{ruler} x " * 50) for i in range(20)], "doc_id long, text string")
+    staging = Staging(spark)
+    encoded, _ = encoded_of(spark, [r.text for r in docs.collect()], staging)
+    assert {tuple((bytes(t.word), t.times) for t in r.tail) for r in encoded.collect()} == {
+        ((ruler.encode(), 50),)
+    }
+    rows = hm.score(docs, F.col("doc_id") > 9).collect()
+    want = slow_base([(f"{ruler} x " * 50, i > 9) for i in range(20)])
+    assert [(r.n_tokens, r.n_known) for r in rows] == [w[:2] for w in want]
+    assert np.allclose([r.base_score for r in rows], [w[3] for w in want])
+    staging.drop()
+
+
 def test_rounds_raise_the_likelihood(monkeypatch):
     monkeypatch.setattr(hm, "SMOOTHING", 1e-9)
     truth = random_chain(3, 12, seed=5)
@@ -151,7 +240,7 @@ def test_one_state_and_one_class_are_the_base(spark, monkeypatch):
     assert math.isclose(shares.sum(), 1)
     encoded = staging.table(hm._encode(rows, vocabulary), "encoded")
     chain = hm._seeded(encoded, shares, 3)
-    for model in (chain, hm._round(encoded, chain, shares)):
+    for model in (chain, hm._round(encoded, chain, shares)[0]):
         assert np.allclose(model.emit.sum(axis=0), 1)
         assert np.allclose(model.move.sum(axis=1), 1)
         assert math.isclose(model.start.sum(), 1)
@@ -169,10 +258,11 @@ def test_a_round_is_what_one_task_would_get(spark):
     encoded = staging.table(hm._encode(rows, vocabulary), "encoded")
     shares = hm._shares(vocabulary)
     chain = random_chain(4, vocabulary.alphabet)
-    moved = hm._round(encoded, chain, shares)
+    moved, log = hm._round(encoded, chain, shares)
     expected = hm.Expected(4, vocabulary.alphabet)
     expected.add(chain, hm.sequences_of(encoded.select("symbols").toArrow()["symbols"].combine_chunks()))
     alone = expected.chain(shares)
+    assert math.isclose(log, expected.log)
     for name in ("start", "move", "emit"):
         assert np.allclose(getattr(moved, name), getattr(alone, name))
     staging.drop()
