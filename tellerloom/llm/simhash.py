@@ -1,22 +1,28 @@
 """SimHash near-duplicates, linked exactly within a bit distance through anchors of a covering code.
 
-The 64 bits of a fingerprint fall into three blocks of 21, 21 and 22 bits. Two fingerprints that
-differ in at most four bits differ in at most one bit of some block. Each block has a covering code
-of radius 1: the perfect Hamming(15, 11) code on its first 15 bits, all words on the others. So every
-block value has an anchor within distance 1, its home, and whatever is within one bit of that value
-lies within distance 1 + 1 of the same anchor. A fingerprint therefore goes to every anchor within
-distance 2 of each block, 14 or 22 of them, and at each anchor those at home are compared with all
-that came, by their whole 64 bits. No link is lost, and the number of copies does not depend on the
-data.
-
-Equal fingerprints are one class before any of this. There are at most 2**19 anchors, so their row
-counts are a table of known size; an anchor with many rows is dealt into cells, every pair of slices
-meeting in one, and a cell gives the edges of a spanning forest and not all its pairs.
+The 64 bits of a fingerprint fall into blocks. Two fingerprints that differ in at most four bits differ in
+few bits of some block: in at most one of the three blocks of 21, 21 and 22 bits, in at most two of the two
+blocks of 32 bits. Each block has a covering code of radius 1: a perfect Hamming code on its first 15 (or
+31) bits, all words on the others. So every block value has an anchor within distance 1, its home, and
+whatever differs from that value in t bits lies within distance 1 + t of the same anchor. A fingerprint
+therefore goes to every anchor within that distance of each block, and at each anchor those at home are
+compared with all that came, by their whole 64 bits. No link is lost under either code.
+
+The codes differ in cost alone. With three blocks a fingerprint has about 44 copies at 2**19 anchors, with
+two about 343 at 2**28. An anchor with more rows than a cell takes is dealt into cells, every pair of
+slices meeting in one, which multiplies the copies by the slices; so three blocks cost less up to some
+hundred million different fingerprints, and with two the copies stay the same up to some ten thousand
+million. ``code_for`` takes the cheaper for a counted number.
+
+Equal fingerprints are one class before any of this, and a cell gives the edges of a spanning forest and
+not all its pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +31,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tellerloom.llm.common import byte_strings, keyed_texts
-from tellerloom.llm.components import components
+from tellerloom.llm.components import components, with_summary
 from tellerloom.staging import Staging
 
 SEED = 42
-BLOCKS = ((0, 21), (21, 21), (42, 22))
 MAX_BITS = 4
-HAMMING_BITS = 15
-# Rows of one anchor that meet in one task. More are cut into slices.
-CELL_ROWS = 4096
 # Shingles whose hashes are counted at once.
 CHUNK = 1 << 16
+# Pairs of a cell that are compared at once.
+PAIRS = 1 << 20
+# Crowded anchors up to this number are known to every task; with more, their copies meet them in a join.
+KNOWN_ANCHORS = 1 << 19
+
+
+@dataclass(frozen=True)
+class Code:
+    """A covering code for each block of a fingerprint.
+
+    ``blocks`` are (lowest bit, bits). The code of a block is the Hamming code on ``hamming_bits`` bits
+    times all words on the others; its radius is 1. ``reach`` is that plus the bits in which linked
+    fingerprints differ at most in their closest block. ``cell_rows`` rows of an anchor meet in one task.
+    """
+
+    blocks: tuple[tuple[int, int], ...]
+    hamming_bits: int
+    reach: int
+    cell_rows: int
+
+    @property
+    def anchors(self) -> int:
+        return sum(1 << bits for _, bits in self.blocks) // (self.hamming_bits + 1)
+
+    @property
+    def copies(self) -> float:
+        """How many anchors a fingerprint goes to, on average."""
+        return sum(
+            sum(1 for size in range(self.reach + 1) for _ in combinations(range(bits), size))
+            for _, bits in self.blocks
+        ) / (self.hamming_bits + 1)
+
+    def cost(self, prints: int) -> float:
+        """Copies of a fingerprint where so many are spread evenly."""
+        rows = prints * self.copies / self.anchors
+        return self.copies * max(1.0, rows / self.cell_rows)
+
+
+THREE_BLOCKS = Code(((0, 21), (21, 21), (42, 22)), 15, 2, 1 << 12)
+TWO_BLOCKS = Code(((0, 32), (32, 32)), 31, 3, 1 << 15)
+
+
+def code_for(prints: int) -> Code:
+    """The code with fewer copies for so many different fingerprints; both give the same links."""
+    return min((THREE_BLOCKS, TWO_BLOCKS), key=lambda code: code.cost(prints))
 
 
 def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
@@ -82,44 +129,41 @@ def fingerprints(
     return keyed_texts(docs, id_col, text_col).mapInArrow(rows, "doc_id long, fingerprint long")
 
 
-def _ball_masks(bits: int) -> list[np.ndarray]:
-    """By syndrome, what to add to a block value to get each codeword within distance 2, nearest first."""
-    free = [1 << i for i in range(HAMMING_BITS, bits)]
-    pairs = [a | b for i, a in enumerate(free) for b in free[i + 1 :]]
-    masks = [[0, *free, *pairs]]
-    for syndrome in range(1, HAMMING_BITS + 1):
-        # Position i of the Hamming part has the parity column i + 1.
-        one = 1 << (syndrome - 1)
-        two = [
-            1 << (i - 1) | 1 << ((i ^ syndrome) - 1)
-            for i in range(1, HAMMING_BITS + 1)
-            if i < i ^ syndrome
-        ]
-        masks.append([one, *(one | bit for bit in free), *two])
+def _ball_masks(bits: int, hamming_bits: int, reach: int) -> list[np.ndarray]:
+    """By syndrome, what to add to a block value to get each codeword within ``reach``, nearest first."""
+    masks: list[list[int]] = [[] for _ in range(hamming_bits + 1)]
+    for size in range(reach + 1):
+        for chosen in combinations(range(bits), size):
+            syndrome = 0
+            for bit in chosen:
+                # Position i of the Hamming part has the parity column i + 1.
+                syndrome ^= bit + 1 if bit < hamming_bits else 0
+            masks[syndrome].append(sum(1 << bit for bit in chosen))
     return [np.array(m, np.int64) for m in masks]
 
 
-def _syndromes() -> np.ndarray:
-    table = np.zeros(1 << HAMMING_BITS, np.int8)
-    values = np.arange(1 << HAMMING_BITS)
-    for i in range(HAMMING_BITS):
-        table ^= np.where(values >> i & 1, i + 1, 0).astype(np.int8)
-    return table
+def _syndromes(values: np.ndarray, hamming_bits: int) -> np.ndarray:
+    found = np.zeros(len(values), np.int64)
+    for i in range(hamming_bits):
+        found ^= np.where(values >> i & 1, i + 1, 0)
+    return found
 
 
 class Anchors:
-    """The covering codes of the three blocks."""
+    """The anchors that fingerprints go to under a code."""
 
-    def __init__(self) -> None:
-        self.masks = {bits: _ball_masks(bits) for _, bits in BLOCKS}
-        self.syndromes = _syndromes()
+    def __init__(self, code: Code) -> None:
+        self.code = code
+        self.masks = {
+            bits: _ball_masks(bits, code.hamming_bits, code.reach) for _, bits in code.blocks
+        }
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row of ``prints``, anchor, and whether it is the home, for all anchors within reach."""
         rows, anchors, homes = [], [], []
-        for number, (shift, bits) in enumerate(BLOCKS):
+        for number, (shift, bits) in enumerate(self.code.blocks):
             values = (prints.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & (1 << bits) - 1
-            syndromes = self.syndromes[values & (1 << HAMMING_BITS) - 1]
+            syndromes = _syndromes(values, self.code.hamming_bits)
             for syndrome, masks in enumerate(self.masks[bits]):
                 at = np.flatnonzero(syndromes == syndrome)
                 reached = values[at][:, None] ^ masks[None, :]
@@ -131,99 +175,154 @@ class Anchors:
         return np.concatenate(rows), np.concatenate(anchors), np.concatenate(homes)
 
 
-def _anchor_counts(classes: DataFrame) -> dict[int, int]:
-    """Rows at each crowded anchor. The code has 2**19 anchors, whatever the number of rows."""
+def _crowded(classes: DataFrame, code: Code, staging: Staging) -> tuple[DataFrame, int]:
+    """``anchor`` and number of ``slices`` of each anchor with more rows than a cell, and their number."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Anchors()
-        for batch in batches:
-            _, anchors, _ = code.near(batch.column("fingerprint").to_numpy())
+        near = Anchors(code).near
+        for batch in _small(batches, code):
+            _, anchors, _ = near(batch)
             found, counts = np.unique(anchors, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["anchor", "n"])
 
     counted = classes.select("fingerprint").mapInArrow(rows, "anchor long, n long")
-    crowded = counted.groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") > CELL_ROWS)
-    return {row["anchor"]: row["n"] for row in crowded.collect()}
+    slices = F.ceil(F.sum("n") / F.lit(code.cell_rows)).alias("slices")
+    return staging.counted(
+        counted.groupBy("anchor").agg(slices).where(F.col("slices") > 1), "crowded"
+    )
+
+
+def _small(batches: Iterator[pa.RecordBatch], code: Code) -> Iterator[np.ndarray]:
+    """The fingerprints of batches, so many at once that their copies are about a million rows."""
+    size = max(1, int((1 << 20) / code.copies))
+    for batch in batches:
+        prints = batch.column("fingerprint").to_numpy()
+        for at in range(0, len(prints), size):
+            yield prints[at : at + size]
+
+
+def _dealt(
+    anchors: np.ndarray, home: np.ndarray, prints: np.ndarray, slices: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """The copies in their cells: every row meets the homes of all slices, every home all rows."""
+    own = (prints.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+    own %= slices
+    for side in (False, True):
+        chosen = np.flatnonzero(home) if side else np.arange(len(anchors))
+        many = slices[chosen]
+        index = np.repeat(chosen, many)
+        other = np.arange(len(index)) - np.repeat(np.cumsum(many) - many, many)
+        n = slices[index]
+        cell = own[index] * n + other if side else other * n + own[index]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(anchors[index]),
+                pa.array(cell),
+                pa.array(np.full(len(index), side)),
+                pa.array(prints[index]),
+            ],
+            ["anchor", "cell", "home", "fingerprint"],
+        )
 
 
-def _cells(classes: DataFrame, crowded: dict[int, int]) -> DataFrame:
+def _cells(classes: DataFrame, code: Code, staging: Staging) -> DataFrame:
     """Fingerprints by anchor and cell; ``home`` tells the two sides of the comparison apart.
 
-    An anchor of n rows has s = ceil(n / CELL_ROWS) slices of either side and s * s cells.
+    An anchor of s slices has s slices of either side and s * s cells.
     """
-    slices = {anchor: -(-n // CELL_ROWS) for anchor, n in crowded.items()}
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Anchors()
+    crowded, number = _crowded(classes, code, staging)
+    prints = classes.select("fingerprint")
+    schema = "anchor long, cell long, home boolean, fingerprint long"
+    if number <= KNOWN_ANCHORS:
+        slices = {row["anchor"]: row["slices"] for row in crowded.collect()}
         full = np.array(sorted(slices), np.int64)
         counts = np.array([slices[a] for a in sorted(slices)], np.int64)
+
+        def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            near = Anchors(code).near
+            for batch in _small(batches, code):
+                row, anchors, home = near(batch)
+                n = np.ones(len(anchors), np.int64)
+                if len(full):
+                    place = np.minimum(np.searchsorted(full, anchors), len(full) - 1)
+                    n = np.where(full[place] == anchors, counts[place], 1)
+                yield from _dealt(anchors, home, batch[row], n)
+
+        return prints.mapInArrow(known, schema)
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = Anchors(code).near
+        for batch in _small(batches, code):
+            row, anchors, home = near(batch)
+            columns = [pa.array(x) for x in (anchors, home, batch[row])]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "home", "fingerprint"])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            all_prints = batch.column("fingerprint").to_numpy()
-            row, anchors, home = code.near(all_prints)
-            prints = all_prints[row]
-            n = np.ones(len(anchors), np.int64)
-            if len(full):
-                place = np.minimum(np.searchsorted(full, anchors), len(full) - 1)
-                n = np.where(full[place] == anchors, counts[place], 1)
-            own = (prints.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(
-                np.int64
-            ) % n
-            # Every row meets the homes of all slices; every home meets the rows of all slices.
-            for side in (False, True):
-                chosen = np.flatnonzero(home) if side else np.arange(len(anchors))
-                copies = n[chosen]
-                index = np.repeat(chosen, copies)
-                other = np.arange(len(index)) - np.repeat(np.cumsum(copies) - copies, copies)
-                cell = own[index] * n[index] + other if side else other * n[index] + own[index]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(anchors[index]),
-                        pa.array(cell),
-                        pa.array(np.full(len(index), side)),
-                        pa.array(prints[index]),
-                    ],
-                    ["anchor", "cell", "home", "fingerprint"],
-                )
+            yield from _dealt(
+                *[
+                    batch.column(name).to_numpy(zero_copy_only=False)
+                    for name in ("anchor", "home", "fingerprint", "slices")
+                ]
+            )
 
-    schema = "anchor long, cell long, home boolean, fingerprint long"
-    return classes.select("fingerprint").mapInArrow(rows, schema)
+    copied = prints.mapInArrow(copies, "anchor long, home boolean, fingerprint long")
+    met = copied.join(crowded, "anchor", "left").fillna(1, ["slices"])
+    return met.mapInArrow(dealt, schema)
 
 
-def _forest(homes: np.ndarray, others: np.ndarray, max_bits: int) -> list[np.ndarray]:
-    """Edges that connect what the links between the two sides connect, at most one per member."""
-    left, right = homes.view(np.uint64), others.view(np.uint64)
-    near = np.empty((len(left), len(right)), bool)
-    for at in range(0, len(left), 256):
-        near[at : at + 256] = (
-            np.bitwise_count(left[at : at + 256, None] ^ right[None, :]) <= max_bits
-        )
-    a, b = np.nonzero(near)
-    apart = homes[a] != others[b]
-    a, b = a[apart], b[apart]
-    if len(a) <= len(left) + len(right):
-        return [np.stack([homes[a], others[b]])]
-    nodes = np.unique(np.concatenate([homes[a], others[b]]))
-    u, v = np.searchsorted(nodes, homes[a]), np.searchsorted(nodes, others[b])
-    label = np.arange(len(nodes))
+def _joined(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Labels that are equal where they were before or where an edge joins them, the least of all."""
+    u, v = label[u], label[v]
     while True:
         least = label.copy()
         np.minimum.at(least, u, label[v])
         np.minimum.at(least, v, label[u])
         least = np.minimum(least, least[least])
+        least = least[label]
         if np.array_equal(least, label):
-            break
+            return label
         label = least
-    return [np.stack([nodes, nodes[label]])]
+        u, v = label[u], label[v]
 
 
-def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def _forest(homes: np.ndarray, others: np.ndarray, max_bits: int) -> list[np.ndarray]:
+    """Edges that connect what the links between the two sides connect, at most one per member."""
+    left, right = homes.view(np.uint64), others.view(np.uint64)
+    step = max(1, PAIRS // len(right)) if len(right) else len(left)
+    nodes = label = None
+    for at in range(0, len(left), step):
+        part = left[at : at + step, None]
+        a, b = np.nonzero(np.bitwise_count(part ^ right[None, :]) <= max_bits)
+        apart = homes[a + at] != others[b]
+        a, b = a[apart] + at, b[apart]
+        if step >= len(left) and len(a) <= len(left) + len(right):
+            return [np.stack([homes[a], others[b]])]
+        if label is None:
+            nodes, place = np.unique(np.concatenate([homes, others]), return_inverse=True)
+            label = np.arange(len(nodes))
+            at_homes, at_others = place[: len(homes)], place[len(homes) :]
+        label = _joined(label, at_homes[a], at_others[b])
+    if label is None:
+        return []
+    linked = np.flatnonzero(label != np.arange(len(label)))
+    return [np.stack([nodes[linked], nodes[label[linked]]])]
+
+
+def links(
+    classes: DataFrame,
+    max_bits: int = MAX_BITS,
+    code: Code = THREE_BLOCKS,
+    staging: Staging | None = None,
+) -> DataFrame:
     """Edges ``u``, ``v`` between distinct fingerprints that connect all within ``max_bits`` bits.
 
-    ``max_bits`` may be at most 4. The edges of a cell are a spanning forest of its links.
+    ``max_bits`` may be at most 4. The edges of a cell are a spanning forest of its links. ``code`` decides
+    what it costs and nothing else.
     """
     if max_bits > MAX_BITS:
-        raise ValueError(f"the three-block code finds links of at most {MAX_BITS} bits")
-    cells = _cells(classes, _anchor_counts(classes))
+        raise ValueError(f"the codes find links of at most {MAX_BITS} bits")
+    cells = _cells(classes, code, staging or Staging(classes.sparkSession))
     dealt = cells.repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,14 +379,14 @@ def near_duplicates(
     """
     staging = staging or Staging(docs.sparkSession)
     prints = staging.table(fingerprints(docs, id_col, text_col, width), "prints")
-    classes = staging.table(
+    classes, number = staging.counted(
         prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes"
     )
-    roots = components(links(classes, max_bits), staging)
+    roots = components(links(classes, max_bits, code_for(number), staging), staging)
     rooted = classes.join(roots.withColumnRenamed("u", "fingerprint"), "fingerprint", "left")
-    rooted = rooted.select(
-        "fingerprint", "first", F.coalesce("v", "fingerprint").alias("root")
+    rooted = staging.table(
+        rooted.select("fingerprint", "first", F.coalesce("v", "fingerprint").alias("root")), "rooted"
     )
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fingerprint", "component_id")
+    named = with_summary(rooted, "root", F.min("first"), "component_id", number)
+    named = named.select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")

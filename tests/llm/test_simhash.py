@@ -1,9 +1,13 @@
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
+from tellerloom.llm import components as components_module
 from tellerloom.llm import simhash
 from tellerloom.llm.components import components
 from tellerloom.llm.queries import QUERIES
@@ -44,18 +48,35 @@ def unsigned(value):
     return value % (1 << 64)
 
 
-def test_anchors_cover_every_pair():
+CODES = [simhash.THREE_BLOCKS, simhash.TWO_BLOCKS]
+
+
+@pytest.mark.parametrize("code", CODES)
+def test_anchors_cover_every_pair(code):
     rng = random.Random(5)
-    code = simhash.Anchors()
-    for _ in range(400):
+    anchors = simhash.Anchors(code)
+    copies = []
+    for _ in range(200):
         x = rng.getrandbits(64)
         y = x
         for bit in rng.sample(range(64), 4):
             y ^= 1 << bit
-        row, anchor, home = code.near(np.array([x, y], np.uint64).view(np.int64))
+        row, anchor, home = anchors.near(np.array([x, y], np.uint64).view(np.int64))
         at_home = set(anchor[(row == 0) & home].tolist())
-        assert len(at_home) == 3
+        assert len(at_home) == len(code.blocks)
         assert at_home & set(anchor[row == 1].tolist())
+        copies.append((row == 0).sum())
+        # An anchor is a codeword: the syndrome of its Hamming part is zero.
+        values = anchor & (1 << 32) - 1
+        assert not simhash._syndromes(values, code.hamming_bits).any()
+    assert np.mean(copies) == pytest.approx(code.copies, rel=0.05)
+
+
+def test_cheaper_code_by_number_of_fingerprints():
+    assert simhash.code_for(0) == simhash.code_for(10**8) == simhash.THREE_BLOCKS
+    assert simhash.code_for(10**9) == simhash.code_for(10**11) == simhash.TWO_BLOCKS
+    assert simhash.THREE_BLOCKS.anchors == 1 << 19 and simhash.TWO_BLOCKS.anchors == 1 << 28
+    assert simhash.TWO_BLOCKS.cost(10**10) == simhash.TWO_BLOCKS.cost(10**7) == pytest.approx(343, 0.01)
 
 
 def planted(spark, size, seed):
@@ -75,13 +96,20 @@ def planted(spark, size, seed):
 
 
 @pytest.mark.parametrize("cell_rows", [4096, 16])
-def test_links_connect_what_brute_force_connects(spark, monkeypatch, cell_rows):
-    monkeypatch.setattr(simhash, "CELL_ROWS", cell_rows)
+@pytest.mark.parametrize("known", [simhash.KNOWN_ANCHORS, 0])
+@pytest.mark.parametrize("code", CODES)
+def test_links_connect_what_brute_force_connects(spark, monkeypatch, code, known, cell_rows):
+    monkeypatch.setattr(simhash, "KNOWN_ANCHORS", known)
+    monkeypatch.setattr(simhash, "PAIRS", 50 if known else 1 << 20)
+    code = replace(code, cell_rows=cell_rows)
     prints = planted(spark, 300, 3)
     signed = [(np.array([p], np.uint64).view(np.int64)[0].item(),) for p in prints]
     classes = spark.createDataFrame(signed, "fingerprint long").distinct()
     staging = Staging(spark)
-    roots = {r.u: r.v for r in components(simhash.links(classes), staging).collect()}
+    classes = staging.table(classes, "classes")
+    roots = simhash.links(classes, code=code, staging=staging)
+    roots = components(roots, staging)
+    roots = {r.u: r.v for r in roots.collect()}
     groups = {}
     for (p,) in set(signed):
         groups.setdefault(roots.get(p, p), set()).add(unsigned(p))
@@ -92,6 +120,46 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch, cell_rows):
     staging.drop()
 
 
+@pytest.mark.parametrize("hubs", [components_module.HUBS, 2])
+def test_components_of_graphs_with_hubs(spark, monkeypatch, hubs):
+    """Hubs whose minima are sent to their edges, and chains, give the least node of each component."""
+    monkeypatch.setattr(components_module, "HUBS", hubs)
+    rng = random.Random(7)
+    edges = [(5, v) for v in range(1000, 2500)] + [(5000 - v, 4990) for v in range(9, 800)]
+    edges += [(v, v + 1) for v in range(100, 200)] + [(1200, 4989), (77, 77)]
+    edges += [(rng.randrange(9000, 9400), rng.randrange(9000, 9400)) for _ in range(150)]
+    rng.shuffle(edges)
+    frame = spark.createDataFrame([*edges, (None, 5), (6, None)], "u long, v long")
+    staging = Staging(spark)
+    got = {r.u: r.v for r in components(frame, staging).collect()}
+    least = {}
+    for u, v in edges:
+        least.setdefault(u, u), least.setdefault(v, v)
+    for _ in range(300):
+        before = dict(least)
+        for u, v in edges:
+            least[u] = least[v] = min(least[u], least[v])
+        if before == least:
+            break
+    assert got == {u: v for u, v in least.items() if u != v}
+    staging.drop()
+
+
+def test_hub_rows_meet_their_summary_in_no_shuffle(spark):
+    rows = spark.range(20_000).selectExpr("if(id < 9000, 0, id) AS k", "id AS x")
+    staging = Staging(spark)
+    rows = staging.table(rows, "rows")
+    found = components_module.with_summary(rows, "k", F.min("x"), "least", 20_000)
+    assert found.where("k = 0").agg({"least": "max", "x": "count"}).first().asDict() == {
+        "max(least)": 0, "count(x)": 9000,
+    }
+    assert found.count() == 20_000 and found.where("k > 0 and least <> x").count() == 0
+    # The rows of the hub are in the partitions of the scan, one by one, and not in one after a shuffle.
+    sizes = found.where("k = 0").groupBy(F.spark_partition_id()).count()
+    assert sizes.agg({"count": "max"}).first()[0] <= 9000 / 2
+    staging.drop()
+
+
 def test_query_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     found = QUERIES["op4_simhash"](spark, folder).collect()
