@@ -8,7 +8,12 @@ node and follows the graph, always from its nearest nodes not yet visited, until
 
 The graph lies in blocks of a fixed number of nodes that lie together, and a neighbour is listed with its
 block, so whatever nodes have for one another goes from block to block in packed rows. A vector goes once to
-every block that needs it. What a task holds is bounded by the size of a block, whatever the table.
+every block that needs it.
+
+A node may be near to very many others, so a block may hear from any number of blocks and queries. What is
+said to it is therefore chosen from in a tree, each step taking some rows of a block, and those who ask it
+are dealt into slices that each get the vectors of the block. So a group holds the nodes of one block and
+at most a fixed number of rows of others, on average, whatever the table.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tellerloom.llm.common import thinned
+from tellerloom.llm.components import with_summary
 from tellerloom.staging import Staging
 
 # Neighbours a node keeps, and how many nodes that have it as neighbour it meets in a round.
@@ -37,6 +43,9 @@ ROUNDS = 12
 # Nodes a search keeps and follows.
 BEAM = 64
 SAMPLE = 2048
+# Rows for one block that meet in one group: messages that are chosen from, and blocks or queries that ask.
+MESSAGES = 64
+ASKING = 1024
 
 #: Another node, its block, the squared distance, and whether it was no neighbour in the round before.
 NEAR = np.dtype([("id", "<i8"), ("home", "<i8"), ("d", "<f8"), ("new", "u1")])
@@ -299,11 +308,67 @@ def _whole(table: pa.Table) -> pa.RecordBatch:
     )
 
 
-def _meetings(graph: DataFrame, number: int) -> DataFrame:
+def _counted(rows: DataFrame, staging: Staging) -> DataFrame:
+    """``rows`` as a table, each with the number of ``rows`` of its ``block`` and a ``ticket`` of its own."""
+    ticket = F.monotonically_increasing_id().alias("ticket")
+    rows, total = staging.counted(rows.select("*", ticket), "counted")
+    return with_summary(rows, "block", F.count(F.lit(1)), "rows", total)
+
+
+def _gathered(rows: DataFrame, kind: np.dtype, choose, staging: Staging) -> DataFrame:
+    """The messages to each ``block``, entries of ``kind`` in one packed column, as few enough rows.
+
+    ``choose`` says which of some entries stay; choosing from what was chosen gives what choosing from all
+    gives. Blocks with more than MESSAGES rows choose within groups of them, again and again.
+    """
+    column = next(name for name in rows.columns if name != "block")
+
+    def chosen(key: tuple, table: pa.Table) -> pa.Table:
+        entries, _ = unpacked(_whole(table).column(column), kind)
+        kept = choose(entries).tobytes()
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), column: [kept]})
+
+    while True:
+        counted = _counted(rows, staging)
+        if (counted.agg(F.max("rows")).first()[0] or 0) <= MESSAGES:
+            return counted.select("block", column)
+        # Twice as many groups as needed, so that those of unequal size are small enough.
+        groups = F.ceil(F.col("rows") * 2 / F.lit(MESSAGES))
+        many = counted.where(F.col("rows") > MESSAGES)
+        few = counted.where(F.col("rows") <= MESSAGES).select("block", column)
+        rows = few.unionByName(
+            many.select("block", F.pmod(F.xxhash64("ticket"), groups).alias("group"), column)
+            .groupBy("block", "group")
+            .applyInArrow(chosen, f"block long, {column} binary")
+        )
+
+
+def _sliced(
+    asking: DataFrame, vectors: DataFrame, staging: Staging
+) -> tuple[DataFrame, DataFrame]:
+    """Both with a ``slice``: the rows that ask a block dealt to some, and the block's vectors in each."""
+    counted = _counted(asking, staging)
+    slices = F.ceil(F.col("rows") / F.lit(ASKING)).cast("int")
+    dealt = counted.withColumn("slice", F.pmod(F.xxhash64("ticket"), slices).cast("int"))
+    crowded = (
+        counted.where(F.col("rows") > ASKING)
+        .groupBy("block")
+        .agg(F.max(slices).alias("slices"))
+    )
+    last = F.coalesce("slices", F.lit(1)) - 1
+    copied = (
+        vectors.join(crowded, "block", "left")
+        .withColumn("slice", F.explode(F.sequence(F.lit(0), last)))
+        .drop("slices")
+    )
+    return dealt.drop("rows", "ticket"), copied
+
+
+def _meetings(graph: DataFrame, number: int, staging: Staging) -> DataFrame:
     """For each ``block`` the packed ``members`` that meet at its nodes.
 
     At a node meet its neighbours and a hashed choice of ``REVERSE`` nodes that have it as neighbour,
-    new ones first; so many are chosen within each batch already.
+    new ones first; so many are chosen within each batch already, and of the batches in ``_gathered``.
     """
     salt = np.uint64(0x9E3779B97F4A7C15 * (2 * number + 1) % (1 << 64))
 
@@ -348,6 +413,7 @@ def _meetings(graph: DataFrame, number: int) -> DataFrame:
         return pa.table({"block": block, "members": pa.array([members.tobytes()] * len(block))})
 
     sent = graph.select("node", "block", "near").mapInArrow(backward, "block long, members binary")
+    sent = _gathered(sent, MEMBER, chosen, staging)
     return (
         graph.select("block", "node", "near")
         .groupBy("block")
@@ -356,11 +422,11 @@ def _meetings(graph: DataFrame, number: int) -> DataFrame:
     )
 
 
-def _introduced(graph: DataFrame, meetings: DataFrame, kind: str) -> DataFrame:
+def _introduced(graph: DataFrame, meetings: DataFrame, kind: str, staging: Staging) -> DataFrame:
     """What the nodes of each ``block`` learn at the meetings of another, packed as ``learned``.
 
     A block sends the vectors of its nodes once to every block where they are members, with the distance
-    beyond which a node has no use for others.
+    beyond which a node has no use for others. Of what is learned in many blocks a node keeps the nearest.
     """
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,9 +485,10 @@ def _introduced(graph: DataFrame, meetings: DataFrame, kind: str) -> DataFrame:
     vectors = graph.select("node", "block", "vec", "near").mapInArrow(
         with_limit, "node long, block long, vec binary, limit double"
     )
+    needs, vectors = _sliced(needs, vectors, staging)
     sent = (
-        vectors.groupBy("block")
-        .cogroup(needs.groupBy("block"))
+        vectors.groupBy("block", "slice")
+        .cogroup(needs.groupBy("block", "slice"))
         .applyInArrow(send, "block long, home long, nodes binary, limits binary, vecs binary")
     )
 
@@ -478,11 +545,23 @@ def _introduced(graph: DataFrame, meetings: DataFrame, kind: str) -> DataFrame:
             }
         )
 
-    return (
+    def nearest_learned(entries: np.ndarray) -> np.ndarray:
+        near = np.zeros(len(entries), NEAR)
+        for name in NEAR.names:
+            near[name] = entries[name]
+        owners, near = nearest(entries["owner"], near, DEGREE, "new")
+        kept = np.zeros(len(owners), LEARNED)
+        kept["owner"] = owners
+        for name in NEAR.names:
+            kept[name] = near[name]
+        return kept
+
+    learned = (
         meetings.groupBy("block")
         .cogroup(sent.groupBy("block"))
         .applyInArrow(meet, "block long, learned binary")
     )
+    return _gathered(learned, LEARNED, nearest_learned, staging)
 
 
 def _improved(graph: DataFrame, learned: DataFrame) -> DataFrame:
@@ -521,9 +600,10 @@ def build(nodes: DataFrame, kind: str, staging: Staging) -> DataFrame:
     for number in range(ROUNDS):
         if state["changed"] <= SETTLED * state["edges"]:
             break
-        meetings = staging.table(_meetings(graph, number), "meetings")
-        learned = _introduced(graph, meetings, kind)
-        graph, state = staging.measured(_improved(graph, learned), "graph", *_measures())
+        with Staging(graph.sparkSession) as scratch:
+            meetings = scratch.table(_meetings(graph, number, scratch), "meetings")
+            learned = _introduced(graph, meetings, kind, scratch)
+            graph, state = staging.measured(_improved(graph, learned), "graph", *_measures())
     return graph
 
 
@@ -583,7 +663,7 @@ def search(graph: DataFrame, starts: DataFrame, kind: str, staging: Staging) ->
             )
 
     def measured(pairs: pa.Table, known: pa.Table) -> pa.Table:
-        """Distances of the nodes of a block to the queries that came for them."""
+        """Distances of the nodes of a block to the queries of a slice that came for them."""
         if not pairs.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "found": pa.array([], pa.binary())})
         known = _whole(known)
@@ -657,32 +737,34 @@ def search(graph: DataFrame, starts: DataFrame, kind: str, staging: Staging) ->
         begin.withColumn("fresh", F.length("found")), "search", open_ends
     )
     while measure["fresh"]:
-        followed = state.select("query", "vec", "found").mapInArrow(
-            frontier, "node long, query long, vec binary"
-        )
-        pairs = (
-            followed.join(graph.select("node", "near"), "node")
-            .select("query", "vec", "near")
-            .mapInArrow(to_visit, "block long, query long, vec binary, nodes binary")
-        )
-        met = (
-            pairs.groupBy("block")
-            .cogroup(vectors.groupBy("block"))
-            .applyInArrow(measured, "query long, found binary")
-        )
-        before = state.select("query", "vec", "found").mapInArrow(
-            seen, "query long, vec binary, found binary"
-        )
-        dealt = (
-            before.unionByName(met, allowMissingColumns=True)
-            .repartition("query")
-            .sortWithinPartitions("query", F.col("vec").isNull())
-        )
-        state, measure = staging.measured(
-            dealt.mapInArrow(merge, "query long, vec binary, found binary, fresh long"),
-            "search",
-            open_ends,
-        )
+        with Staging(graph.sparkSession) as scratch:
+            followed = state.select("query", "vec", "found").mapInArrow(
+                frontier, "node long, query long, vec binary"
+            )
+            pairs = (
+                followed.join(graph.select("node", "near"), "node")
+                .select("query", "vec", "near")
+                .mapInArrow(to_visit, "block long, query long, vec binary, nodes binary")
+            )
+            pairs, known = _sliced(pairs, vectors, scratch)
+            met = (
+                pairs.groupBy("block", "slice")
+                .cogroup(known.groupBy("block", "slice"))
+                .applyInArrow(measured, "query long, found binary")
+            )
+            before = state.select("query", "vec", "found").mapInArrow(
+                seen, "query long, vec binary, found binary"
+            )
+            dealt = (
+                before.unionByName(met, allowMissingColumns=True)
+                .repartition("query")
+                .sortWithinPartitions("query", F.col("vec").isNull())
+            )
+            state, measure = staging.measured(
+                dealt.mapInArrow(merge, "query long, vec binary, found binary, fresh long"),
+                "search",
+                open_ends,
+            )
 
     def entries_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -78,6 +78,72 @@ def test_rounds_and_search_on_many_blocks(spark, monkeypatch):
     assert hits >= 0.95 * sum(map(len, want.values()))
 
 
+def hub_rows():
+    """A cloud of points far from one another, all of them near to few hubs in the middle."""
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(1500, 24))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    hubs = 0.02 * rng.normal(size=(5, 24))
+    return [(i, v) for i, v in enumerate(np.concatenate([hubs, points]).tolist())]
+
+
+def test_a_group_is_bounded_where_all_are_near_to_few_hubs(spark, monkeypatch):
+    monkeypatch.setattr(nn, "BLOCK", 16)
+    monkeypatch.setattr(nn, "MESSAGES", 8)
+    monkeypatch.setattr(nn, "ASKING", 12)
+    sizes = {"choose": [], "ask": []}
+    gathered, sliced = nn._gathered, nn._sliced
+
+    def spy_gathered(rows, kind, choose, staging):
+        given = rows.groupBy("block").count().agg(F.max("count")).first()[0]
+        found = gathered(rows, kind, choose, staging)
+        sizes["choose"].append((given, found.groupBy("block").count().agg(F.max("count")).first()[0]))
+        return found
+
+    def spy_sliced(asking, vectors, staging):
+        dealt, copied = sliced(asking, vectors, staging)
+        given = dealt.groupBy("block").count().agg(F.max("count")).first()[0]
+        most = dealt.groupBy("block", "slice").count().agg(F.max("count")).first()[0]
+        nodes = copied.groupBy("block", "slice").count().agg(F.max("count")).first()[0]
+        sizes["ask"].append((given, most, nodes))
+        assert dealt.join(copied.select("block", "slice").distinct(), ["block", "slice"]).count() == (
+            dealt.count()
+        )
+        return dealt, copied
+
+    monkeypatch.setattr(nn, "_gathered", spy_gathered)
+    monkeypatch.setattr(nn, "_sliced", spy_sliced)
+    with_small_batches = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20"}
+    for key, value in with_small_batches.items():
+        spark.conf.set(key, value)
+    try:
+        rows = hub_rows()
+        got = collected(nn.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0))
+    finally:
+        for key in with_small_batches:
+            spark.conf.unset(key)
+    want = slow(rows, lambda i: i % 20 == 0)
+    hits = sum(len({j for _, j in got[i]} & {j for _, j in near}) for i, near in want.items())
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    assert max(given for given, _ in sizes["choose"]) > 5 * 8
+    assert max(most for _, most in sizes["choose"]) <= 8
+    assert max(given for given, _, _ in sizes["ask"]) > 5 * 12
+    assert max(most for _, most, _ in sizes["ask"]) <= 3 * 12
+    assert max(nodes for _, _, nodes in sizes["ask"]) <= 16
+
+
+def test_choosing_from_the_chosen_is_choosing_from_all():
+    rng = np.random.default_rng(9)
+    entries = np.zeros(3000, nn.NEAR)
+    entries["id"], entries["d"] = rng.integers(0, 200, 3000), 0
+    entries["d"] = entries["id"] % 17
+    owners = rng.integers(0, 3, 3000)
+    whole = nn.nearest(owners, entries, 20, "new")
+    parts = [nn.nearest(owners[i::7], entries[i::7], 20, "new") for i in range(7)]
+    again = nn.nearest(*(np.concatenate(x) for x in zip(*parts, strict=True)), 20, "new")
+    assert (again[0] == whole[0]).all() and (again[1] == whole[1]).all()
+
+
 def test_copies_and_ties(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)]
