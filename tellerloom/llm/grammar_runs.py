@@ -35,6 +35,7 @@ SHORT_PERIOD = 16
 # Places beside an equal pair of words that have to be equal too, on one side, in a run of a long period.
 PROBES = (1, 2, 3, 5, 9, 17, 25)
 
+WORD = r"[^\x20\x09-\x0D]+"
 RUNS = "doc_id long, n_words long, runs array<struct<start: long, length: long, period: long>>, collapsed binary"
 
 
@@ -378,22 +379,33 @@ def runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return found.withColumn("collapsed", F.col("collapsed").cast("string"))
 
 
-def repeated(text: Column, number: Column) -> Column:
-    """``text`` with a beginning that repeats, as ``number`` says, if it is a multiple of ten.
+def repeated(
+    docs: DataFrame, number: Column, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id`` and ``text``, which repeats from some word on if ``number`` is a multiple of ten.
 
-    With g a tenth of it, from word a = g % n on the words are those of a, a + 1, ... over and over, in
-    1 + (n - a) / (3 + g % 8) words, rounded down. Other texts, those without words, and those whose
-    number is null stay.
+    With g a tenth of the number, from word a = g % n on the words are those of a, a + 1, ... over and
+    over, in 1 + (n - a) / (3 + g % 8) words, rounded down. Other texts, those without words, and those
+    whose number is null stay.
     """
-    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    n = F.size(words).cast("long")
-    tenth = F.floor(number / 10)
-    start = tenth % n
-    period = 1 + F.floor((n - start) / (3 + tenth % 8))
-
-    def word(place: Column) -> Column:
-        repeats = start + F.pmod(place - start, period)
-        return F.get(words, F.when(place >= start, repeats).otherwise(place).cast("int"))
-
-    changed = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), word), " ")
-    return F.when((number % 10 == 0) & (n > 0), changed).otherwise(text)
+    # Words and places are columns, so that each is found once a row.
+    chosen = F.when(number % 10 == 0, F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)))
+    split = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.floor(number / 10).alias("tenth"),
+        chosen.alias("words"),
+    )
+    placed = split.withColumn("n", F.size("words")).withColumn(
+        "start", F.when(F.col("n") > 0, F.col("tenth") % F.col("n")).cast("int")
+    )
+    rest = F.col("n") - F.col("start")
+    placed = placed.withColumn("period", (1 + F.floor(rest / (3 + F.col("tenth") % 8))).cast("int"))
+    block = F.slice("words", F.col("start") + 1, F.col("period"))
+    times = F.ceil(rest / F.col("period")).cast("int")
+    changed = F.concat(
+        F.slice("words", F.lit(1), F.col("start")),
+        F.slice(F.flatten(F.array_repeat(block, times)), F.lit(1), rest),
+    )
+    text = F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text"))
+    return placed.select("doc_id", text.alias("text"))

@@ -146,8 +146,7 @@ def op12_link_graph(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_grammar_runs(spark: SparkSession, folder: str) -> DataFrame:
     number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    docs = documents(spark, folder)
-    found = grammar_runs.runs(docs.withColumn("text", grammar_runs.repeated(F.col("text"), number)))
+    found = grammar_runs.runs(grammar_runs.repeated(documents(spark, folder), number))
     # The longest, of equally long ones the first, then that of the smaller period.
     order = F.transform(
         "runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"])
