@@ -21,13 +21,22 @@ from tellerloom.llm.common import thinned
 
 # Hashes a fingerprint keeps, 8 hexadecimal digits each.
 KEPT = 128
+# Characters up to which a text is parsed phrase by phrase, and of the pieces a longer one is parsed by.
+LONG_TEXT, PIECE = 1 << 17, 64
 # Ids sampled for each bucket of ids, and the most buckets; a bucket is read as a stream.
 SAMPLED_IDS = 32
 MAX_BUCKETS = 100_000
 
 
 def phrases(text: str) -> set[str]:
-    """The LZ78 phrases of a text; a rest that is a phrase already adds nothing."""
+    """The LZ78 phrases of a text; a rest that is a phrase already adds nothing.
+
+    A phrase of a text of n characters has fewer than sqrt(2 n) + 1, as all its beginnings are phrases
+    before it. So in a text of up to LONG_TEXT characters it takes little to look up a whole phrase with
+    each character; a longer text is parsed piece by piece, with the same result.
+    """
+    if len(text) > LONG_TEXT:
+        return phrases_by_pieces(text)
     seen: set[str] = set()
     add = seen.add
     phrase = ""
@@ -39,6 +48,32 @@ def phrases(text: str) -> set[str]:
     return seen
 
 
+def phrases_by_pieces(text: str, size: int = PIECE) -> set[str]:
+    """The LZ78 phrases of a text, in a time in proportion to it.
+
+    The dictionary is a trie whose edges are pieces of ``size`` characters: a node is known by its number
+    and holds the pieces that go on from it, so no more than a piece is looked up at once.
+    """
+    root: set[str] = set()
+    nodes: dict[tuple[int, str], tuple[int, set[str]]] = {}
+    long: list[str] = []
+    node, held, piece, before = 0, root, "", ""
+    for character in text:
+        piece += character
+        if piece not in held:
+            held.add(piece)
+            if before:
+                long.append(before + piece)
+                node, held, before = 0, root, ""
+            piece = ""
+        elif len(piece) == size:
+            node, held = nodes.setdefault((node, piece), (len(nodes) + 1, set()))
+            before += piece
+            piece = ""
+    root.update(long)
+    return root
+
+
 def signature(text: str, kept: int = KEPT) -> np.ndarray:
     """The smallest distinct 32-bit hashes of the phrases, ascending."""
     found = phrases(text)
@@ -160,7 +195,9 @@ def neighbours(
     The next document is the one with the next smaller id; the first follows the last. Rows of one id
     follow in the order of their texts, rows without an id come last. A null text is empty, and the
     only document of a table follows itself. Columns: ``doc_id``, ``n_chars``, ``edited_sha256``,
-    ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``.
+    ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``. Repeated rows stay repeated,
+    columns beyond the two are not looked at, whatever their names, and an empty table gives an empty
+    result. Two texts have to fit in a task, of any length.
 
     Texts are shuffled once, by buckets of ids; a task goes through its rows in order and holds two.
     """

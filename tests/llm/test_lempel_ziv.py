@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -100,3 +101,26 @@ def test_columns_of_fingerprints(spark):
         lz.likeness(lz.signature("abcabcabc"), lz.signature("abcabcabd")),
         1.0,
     ]
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 64])
+def test_pieces_give_the_phrases_of_the_whole(size):
+    rng = random.Random(size)
+    texts = ["", "a", "a" * 5000, "ab" * 3000, "日本🙂" * 900, "the cat and the hat " * 200]
+    texts += ["".join(rng.choices("ab"[: rng.randint(1, 2)] + "é日", k=3000)) for _ in range(20)]
+    for text in texts:
+        assert lz.phrases_by_pieces(text, size) == lz.phrases(text)
+
+
+def test_long_texts_take_a_time_in_proportion(monkeypatch):
+    taken = []
+    for n in (2_000_000, 8_000_000):
+        began = time.process_time()
+        found = lz.phrases("a" * n)
+        taken.append(time.process_time() - began)
+        assert sorted(map(len, found)) == list(range(1, len(found) + 1))
+    assert taken[1] < 8 * taken[0]
+    text = "".join(random.Random(2).choices("abc", k=200_000)) + "z" * 300_000
+    by_pieces = lz.signature(text)
+    monkeypatch.setattr(lz, "LONG_TEXT", 1 << 60)
+    assert (lz.signature(text) == by_pieces).all()
