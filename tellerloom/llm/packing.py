@@ -1,7 +1,7 @@
 """Packing token sequences into windows, best fit first, longest piece first.
 
-Tokens are made where the texts are read and only their place and length move on. Pieces are dealt
-by a hash into shards of a fixed expected size, each packed by one task.
+Tokens are made where the texts are read and only their place and length move on. Pieces are dealt by a
+hash of their row's number into shards of a fixed expected size, each packed by one task.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tellerloom.functions.names import free_name, matching, ref
 from tellerloom.llm.common import byte_strings, keyed_texts
 from tellerloom.staging import Staging
 
@@ -39,10 +40,16 @@ class WordIds:
 
     The vocabulary drops white space before it merges, so a text's ids are those of its words one
     after the other, and a word's those of its pieces. Each new piece is merged by the library; the
-    library also splits the words that are not plain.
+    library also splits the words that are not plain. The strings of its special tokens may span words, so
+    the library takes a text that could hold one as a whole.
     """
 
     def __init__(self, tokenizer: Tokenizer):
+        self.encode = tokenizer.encode
+        added = tokenizer.get_added_tokens_decoder().values()
+        if any(token.normalized for token in added):
+            raise ValueError("special tokens that are found after normalisation are not supported")
+        self.special = [token.content.encode() for token in added]
         self.normalize = tokenizer.normalizer.normalize_str
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
         self.merge = tokenizer.model.tokenize
@@ -81,6 +88,10 @@ class WordIds:
         return self.remember(word, b"".join(ids))
 
     def text(self, text: bytes) -> bytes:
+        for mark in self.special:
+            if mark in text:
+                ids = self.encode(text.decode(), add_special_tokens=False).ids
+                return np.array(ids, "<u4").tobytes()
         words = text.split()
         ids = list(map(self.known.get, words))
         if None in ids:
@@ -107,9 +118,11 @@ def pieces(
     """The ids of whole texts, each with ``end_id`` after it, cut into full windows and a rest.
 
     Columns: ``doc_id``, ``start``, ``length``, ``doc_tokens`` (long), ``ids`` (binary, little-endian
-    32-bit). A null or empty text has the end alone; the strings of special tokens are ordinary text.
-    The vocabulary must be one that lower-cases and drops white space, like ``word_bpe_49k.json``; it
-    is read where the driver runs and sent to the tasks.
+    32-bit). The ids are those that the tokenizers library gives without adding special tokens; where a
+    text holds the string of one, that is its id. A null or empty text has the end alone. Null ids stay
+    null, repeated rows stay repeated, other columns are not looked at, and an empty table gives an empty
+    result. The vocabulary must be one that lower-cases and drops white space, like
+    ``word_bpe_49k.json``; it is read where the driver runs and sent to the tasks.
     """
     with open(vocabulary_file, "rb") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -213,28 +226,36 @@ def pack(
     """``cut`` with ``sequence_id`` and ``offset``: no window over ``window``, offsets without gaps.
 
     ``cut`` needs ``doc_id``, ``start`` and ``length`` (1 to ``window``); other columns of plain types
-    are carried along, so leave the ids behind. Equal lengths are taken by id and start. Sequence ids
-    are unique; they number the windows of all shards in turn.
+    are carried along, so leave the ids behind, but none may be called like the two that are added. Equal
+    lengths are taken by id and start. Sequence ids are unique; they number the windows of all shards in
+    turn. Repeated rows are pieces like all others, in any shard, and an empty table gives an empty result.
     """
+    taken = [name for name in ("sequence_id", "offset") if matching(cut, name)]
+    if taken:
+        raise ValueError(f"{taken} are the names of the columns that packing adds")
     staging = staging or Staging(cut.sparkSession)
-    placed, count = staging.counted(cut, "pieces")
+    row, shard_col = free_name(cut, "_row"), free_name(cut, "_shard")
+    # The number is stored with the row, so a repeated task deals it to the same shard.
+    numbered = cut.withColumn(row, F.monotonically_increasing_id())
+    placed, count = staging.counted(numbered, "pieces")
     shards = max(1, -(-count // SHARD_PIECES))
-    key = F.pmod(F.xxhash64(*[F.col(c) for c in placed.columns]), F.lit(shards)).cast("int")
+    key = F.pmod(F.xxhash64(ref(row)), F.lit(shards)).cast("int")
 
     def packed(group: pd.DataFrame) -> pd.DataFrame:
-        shard = int(group["_shard"].iloc[0])
+        shard = int(group[shard_col].iloc[0])
         group = group.sort_values(
             ["length", "doc_id", "start"], ascending=[False, True, True], kind="stable"
         )
         numbers, offsets = best_fit(group["length"].tolist(), window)
-        return group.drop(columns="_shard").assign(
+        return group.drop(columns=shard_col).assign(
             sequence_id=np.array(numbers, np.int64) * shards + shard,
             offset=np.array(offsets, np.int64),
         )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema.fields)
+    names = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in cut.schema.fields]
     return (
-        placed.withColumn("_shard", key)
-        .groupBy("_shard")
-        .applyInPandas(packed, f"{fields}, sequence_id long, offset long")
+        placed.withColumn(shard_col, key)
+        .drop(row)
+        .groupBy(ref(shard_col))
+        .applyInPandas(packed, ", ".join([*names, "sequence_id long", "offset long"]))
     )

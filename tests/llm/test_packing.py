@@ -5,6 +5,7 @@ from bisect import bisect_left, insort
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tellerloom.llm import packing
@@ -16,9 +17,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(VOCABULARY)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def ids_of(tokenizer, text):
@@ -93,6 +92,65 @@ def test_words_are_forgotten_without_changing_ids(tokenizer, monkeypatch):
         assert words.text(text.encode()) == want
 
 
+def test_strings_of_special_tokens_are_their_ids(spark, tokenizer):
+    texts = ["<|endoftext|>", "a<|startoftext|>b", "x <|ENDOFTEXT|> y", "<|endoftext|", "<| end <|endoftext|>"]
+    texts += ["a <|startoftext|>  <|endoftext|>b\n", "<|" * 50, "<|endoftext |>", "caf\u00e9<|endoftext|>\u65e5"]
+    texts += ["plain words only", "<| endoftext|>", "<\u200b|endoftext|>"]
+    words = packing.WordIds(tokenizer)
+    for text in texts:
+        assert words.text(text.encode()) == np.array(ids_of(tokenizer, text)[:-1], "<u4").tobytes()
+    assert ids_of(tokenizer, "<|endoftext|>") == [49407, 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pieces(docs, VOCABULARY).collect()}
+    assert got == {i: ids_of(tokenizer, text) for i, text in enumerate(texts)}
+
+
+def test_equal_rows_use_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 100_000)
+    cut = spark.range(1_000_000).selectExpr("null AS doc_id", "0 AS start", "5L AS length", "'x' AS note")
+    cut = cut.withColumn("doc_id", F.col("doc_id").cast("long"))
+    packed = packing.pack(cut)
+    shards = packed.groupBy((F.col("sequence_id") % 10).alias("shard")).count().collect()
+    assert len(shards) == 10 and all(90_000 < r["count"] < 110_000 for r in shards)
+    windows = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("offset").alias("last"))
+    assert windows.where("n > 4096 or last + 5 <> n").count() == 0
+
+
+def plain_packing(lengths, window):
+    """Best fit decreasing by looking at every open window: how many windows it takes."""
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fits = [i for i, room in enumerate(rooms) if room >= length]
+        if fits:
+            rooms[min(fits, key=lambda i: rooms[i])] -= length
+        else:
+            rooms.append(window - length)
+    return len(rooms)
+
+
+def test_sharded_query_needs_hardly_more_windows_than_a_plain_packing(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 150)
+    rows = QUERIES["op7_packing"](spark, "/root/testdata/sf0.01").collect()
+    windows = check_windows(rows, 4096)
+    assert len({number % 7 for number in windows}) == 7
+    alone = plain_packing([r.length for r in rows], 4096)
+    assert alone <= len(windows) <= alone + 7
+
+
+def test_names_that_clash(spark):
+    cut = spark.createDataFrame(
+        [(i, 0, 7, "r", 3, -i) for i in range(50)],
+        "doc_id long, start long, length long, _row string, _shard int, `a b` int",
+    )
+    rows = packing.pack(cut).collect()
+    assert {(r["_row"], r["_shard"]) for r in rows} == {("r", 3)}
+    assert all(r["a b"] == -r.doc_id for r in rows)
+    check_windows(rows, 4096)
+    for name in ("offset", "Sequence_ID"):
+        with pytest.raises(ValueError, match=name.lower()):
+            packing.pack(cut.withColumnRenamed("a b", name))
+
+
 def test_words_are_split_as_the_library_splits_them(tokenizer):
     rng = random.Random(1)
     characters = [chr(c) for c in range(33, 127)] + list("ßéÀØøÿ÷×²ª''sstrevmld AaZz09İΣ日🙂")
