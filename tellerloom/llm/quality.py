@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tellerloom.llm.common import byte_strings, thinned
 
-# The sample a class is learned from: about so many labels, chosen by a hash of their ids, and texts of
-# at most so many bytes.
+# The sample a class is learned from: about so many labels, chosen by a hash of their ids, and of each text
+# a block of at most so many bytes.
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 1 << 15
 DICTIONARY_BYTES = 1 << 17
@@ -72,18 +72,16 @@ def features(text: bytes, good: bytes, bad: bytes) -> tuple[float, float]:
 
 
 def dictionary(texts: list[bytes]) -> bytes:
-    """The texts themselves if they are no larger than a dictionary, else one trained on them.
+    """One trained on blocks of the texts, of at most DICTIONARY_BYTES.
 
-    Where training finds nothing in common, the last of the texts.
+    Where they have too little for training to find anything in common, the end of the texts themselves,
+    which the format takes for a dictionary as well.
     """
     blocks = [t[at : at + BLOCK] for t in texts for at in range(0, len(t), BLOCK)]
-    content = b"\n".join(blocks)
-    if len(content) <= DICTIONARY_BYTES:
-        return content
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, blocks).as_bytes()
     except zstandard.ZstdError:
-        return content[-DICTIONARY_BYTES:]
+        return b"\n".join(blocks)[-DICTIONARY_BYTES:]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
@@ -114,9 +112,15 @@ def fit(
 ) -> Model:
     """Learn from ``labels`` (an id and 0 or 1) of rows of ``docs``; other labels are left out.
 
-    The shares of the two classes are counted over all labels; the texts are a bounded sample, of which
-    at most ``4 * sample_rows`` ids are broadcast and as many texts of at most ``SAMPLE_BYTES`` bytes
-    collected. With one class only, or none, every score is its share, 0.5 without labels.
+    The shares of the two classes are counted over all labels. The texts are a bounded sample: at most
+    ``2 * sample_rows`` ids a class, which are broadcast, and of each id one text, the one with the
+    smallest hash where the id repeats, or of a text of more than SAMPLE_BYTES bytes a block that starts
+    somewhere in it. So neither copies, nor long texts, nor an id that repeats keep a class out, and the
+    model does not depend on the order of rows. Null texts count as empty. Labels of an id in both classes
+    count in both.
+
+    With labels of one class only, or none, every score is its share, 0.5 without labels; so it is where no
+    document has a label of one of the classes. Columns beyond those named are not looked at.
     """
     marked = labels.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")
@@ -136,13 +140,19 @@ def fit(
     ]
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        F.col(text_col).cast("string").cast("binary").alias("text"),
-    ).where((F.length("text") > 0) & (F.length("text") <= SAMPLE_BYTES))
-    # At most four times sample_rows ids. Where an id repeats in the documents, the texts are still so
-    # many at most.
-    sample = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
-    sample = sample.limit(4 * sample_rows)
-    table = sample.select("label", "text").toArrow()
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+    spare = F.greatest(F.lit(1), F.length("text") - SAMPLE_BYTES + 1)
+    first = (1 + F.pmod(F.xxhash64("doc_id"), spare)).cast("int")
+    block = F.substring("text", first, F.lit(SAMPLE_BYTES))
+    # At most four times sample_rows ids, and as many rows after the grouping.
+    sample = (
+        texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+        .select("doc_id", "label", F.xxhash64("text").alias("hash"), block.alias("text"))
+        .groupBy("doc_id", "label")
+        .agg(F.min(F.struct("hash", "text")).alias("least"))
+    )
+    table = sample.select("label", F.col("least.text").alias("text")).toArrow()
     by_label: dict[int, list[bytes]] = {0: [], 1: []}
     # Sorted, as rows come in any order.
     for label, text in sorted(
