@@ -2,9 +2,12 @@
 
 A text is the TF-IDF vector of its hashed byte bigrams and trigrams, normalised. Every language has
 several centroids, found by spherical k-means: seeded from a bounded sample of each language, then
-moved over all training rows. A text gets the language of the centroid with the largest cosine, and
+moved over all its training rows. A text gets the language of the centroid with the largest cosine, and
 is rejected where that cosine is far below what training texts, or beginnings of them, of its length
 have.
+
+A model is sent to all tasks, so the languages it can tell apart have a limit, however many values the
+training rows have. Sums of vectors depend on the order of tasks in their last digits, and so do scores.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ FEATURES = 1 << SIZE_BITS
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 CENTROIDS = 4
+# Languages a model has at most, those with the most training rows: a centroid is 16 KB.
+MOST_LANGUAGES = 256
 # Different training texts of a language that seed its centroids, chosen by a hash of the text.
 SEED_ROWS = 32
 ROUNDS = 2
@@ -133,8 +138,38 @@ def _document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
     return total, texts
 
 
+def _languages(training: DataFrame, most: int) -> list[str]:
+    """The values of ``lang`` with the most rows, of equal ones those that sort first."""
+    counted = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    return sorted(row["lang"] for row in counted.orderBy(F.desc("n"), "lang").limit(most).collect())
+
+
+def _clustered(own: np.ndarray, clusters: int) -> np.ndarray:
+    """Centroids of different unit vectors: seeds far from one another, then a few rounds of k-means."""
+    centre = own.mean(axis=0, keepdims=True)
+    chosen = [int((own @ centre.T).argmax())]
+    while len(chosen) < min(clusters, len(own)):
+        # Farthest first.
+        chosen.append(int((own @ own[chosen].T).max(axis=1).argmin()))
+    found = own[chosen]
+    for _ in range(4):
+        nearest = (own @ found.T).argmax(axis=1)
+        found = np.stack(
+            [
+                own[nearest == c].mean(axis=0) if (nearest == c).any() else found[c]
+                for c in range(len(found))
+            ]
+        )
+        found /= np.linalg.norm(found, axis=1, keepdims=True)
+    return found
+
+
 def _seeds(training: DataFrame, idf: np.ndarray, clusters: int) -> tuple[list[str], np.ndarray]:
-    """Languages and centroids of the bounded sample, by a few rounds on the driver."""
+    """Languages and centroids from a bounded sample of each language, one task a language.
+
+    ``training`` has MOST_LANGUAGES languages at most, which bounds what is broadcast, a row a language and
+    SEED_ROWS hashes of texts, and what reaches the driver, the centroids.
+    """
     # Copies of a text count once, or a language made mostly of them could end up without a seed.
     # Code points that Spark's Unicode tables do not know may be letters.
     hashed = training.where(F.col("text").rlike(r"[\p{L}\p{Cn}]")).withColumn(
@@ -162,47 +197,39 @@ def _seeds(training: DataFrame, idf: np.ndarray, clusters: int) -> tuple[list[st
         .agg(F.min("text").alias("text"))
     )
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in matrices(batch.column("text")):
-                found, sizes = vectors(texts, idf)
-                kept = np.flatnonzero(sizes)
-                if len(kept):
-                    values = pa.array([v.tobytes() for v in found[kept]], pa.binary())
-                    langs = batch.column("lang").slice(part.start, len(texts)).take(pa.array(kept))
-                    yield pa.RecordBatch.from_arrays([langs, values], ["lang", "vector"])
-
-    table = sample.select("lang", "text").mapInArrow(rows, "lang string, vector binary").toArrow()
-    by_language: dict[str, list[bytes]] = {}
-    for lang, value in zip(table["lang"].to_pylist(), table["vector"].to_pylist(), strict=True):
-        by_language.setdefault(lang, []).append(value)
-    names, centres = [], []
-    for lang in sorted(by_language):
-        own = np.stack([np.frombuffer(v, np.float32) for v in sorted(set(by_language[lang]))])
-        centre = own.mean(axis=0, keepdims=True)
-        chosen = [int((own @ centre.T).argmax())]
-        while len(chosen) < min(clusters, len(own)):
-            # Farthest first.
-            chosen.append(int((own @ own[chosen].T).max(axis=1).argmin()))
-        found = own[chosen]
-        for _ in range(4):
-            nearest = (own @ found.T).argmax(axis=1)
-            found = np.stack(
-                [
-                    own[nearest == c].mean(axis=0) if (nearest == c).any() else found[c]
-                    for c in range(len(found))
-                ]
-            )
-            found /= np.linalg.norm(found, axis=1, keepdims=True)
-        names += [lang] * len(found)
-        centres.append(found)
-    return names, np.concatenate(centres) if centres else np.zeros((0, FEATURES), np.float32)
+    def seeded(table: pa.Table) -> pa.Table:
+        found, sizes = vectors(table["text"].to_pylist(), idf)
+        different = sorted({v.tobytes() for v in found[sizes > 0]})
+        centres = []
+        if different:
+            own = np.stack([np.frombuffer(v, np.float32) for v in different])
+            centres = [c.tobytes() for c in _clustered(own, clusters)]
+        return pa.table(
+            {
+                "lang": pa.array([table["lang"][0].as_py()] * len(centres), pa.string()),
+                "number": pa.array(range(len(centres)), pa.int32()),
+                "centroid": pa.array(centres, pa.binary()),
+            }
+        )
+
+    table = (
+        sample.select("lang", "text")
+        .groupBy("lang")
+        .applyInArrow(seeded, "lang string, number int, centroid binary")
+        .toArrow()
+    )
+    rows = sorted(zip(*(table[c].to_pylist() for c in ("lang", "number", "centroid")), strict=True))
+    centres = np.frombuffer(b"".join(centroid for *_, centroid in rows), np.float32)
+    return [lang for lang, *_ in rows], centres.reshape(-1, FEATURES)
 
 
 def _own(model: Model, lang: list[str], found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nearest centroid among those of each row's own language, -1 for a language without."""
     cosines = found @ model.centroids.T
-    own = np.array([[name == x for name in model.languages] for x in lang], bool)
+    place = {name: i for i, name in enumerate(dict.fromkeys(model.languages))}
+    of_centroid = np.array([place[name] for name in model.languages], np.int64)
+    of_row = np.array([place.get(name, -1) for name in lang], np.int64)
+    own = of_row[:, None] == of_centroid[None, :]
     cosines = np.where(own, cosines, -1)
     best = cosines.argmax(axis=1)
     value = cosines[np.arange(len(best)), best]
@@ -310,23 +337,29 @@ def fit(
     text_col: str = "text",
     clusters: int = CENTROIDS,
     rounds: int = ROUNDS,
+    most_languages: int = MOST_LANGUAGES,
 ) -> Model:
     """Learn from the rows of ``training`` that have a language and a letter.
 
-    Document frequencies, centroids and rejection floors come from all of them; only the seeds come
-    from a bounded sample (``SEED_ROWS`` different texts a language). What reaches the driver is as large as the model.
+    Document frequencies come from all of them, centroids and rejection floors from all rows of the
+    ``most_languages`` languages that have the most; only the seeds come from a bounded sample
+    (``SEED_ROWS`` different texts a language). What is broadcast or reaches the driver is at most a few
+    times the model, whose size that number bounds. Repeated rows count as often; other columns are not
+    looked at, whatever their names. An empty table gives a model without languages.
     """
     rows = training.select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
     ).where("lang is not null and text is not null")
     frequency, texts = _document_frequencies(rows)
     idf = (np.log((1 + texts) / (1 + frequency)) + 0.05).astype(np.float32)
-    names, centres = _seeds(rows, idf, clusters)
+    languages = _languages(rows, most_languages)
+    learned = rows.where(F.col("lang").isin(languages))
+    names, centres = _seeds(learned, idf, clusters)
     model = Model(idf, names, centres, np.zeros(BANDS))
     if names:
         for _ in range(rounds):
-            model.centroids = _moved(rows, model)
-        model.floors = _floors(_cosines(rows, model))
+            model.centroids = _moved(learned, model)
+        model.floors = _floors(_cosines(learned, model))
     return model
 
 
@@ -334,7 +367,7 @@ def prediction(spark, model: Model, text: Column) -> Column:
     """A struct of ``lang_pred``, ``score`` (the cosine, 0 to 1) and ``rejected`` for a text column.
 
     A null text, one without a letter, and any text under a model without languages is ``und`` with
-    score 0 and rejected. Ties go to the language that sorts first. The whole text counts.
+    score 0 and rejected. Ties go to the language that sorts first. The whole text counts, of any length.
     """
     shared = spark.sparkContext.broadcast(model)
 

@@ -161,6 +161,54 @@ def test_floors_of_thin_bands_are_those_of_their_neighbours():
     assert (language._floors(counted * 0) == 0).all()
 
 
+def test_any_number_of_languages_makes_a_bounded_model(spark, monkeypatch):
+    """100,000 values of ``lang`` once each, beside three languages: the largest are learned."""
+    sent = []
+    context = type(spark.sparkContext)
+    plain = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(value) or plain(self, value))
+    common = {"aa": "the cat sat on the mat", "bb": "le chat noir dort", "cc": "die katze schlaeft"}
+    rows = spark.range(100_000).select(
+        F.concat(F.lit("dirty"), F.col("id").cast("string")).alias("lang"),
+        F.concat(F.lit("zzz qqq "), F.col("id").cast("string")).alias("text"),
+    )
+    for lang, text in common.items():
+        rows = rows.unionByName(
+            spark.range(50).select(
+                F.lit(lang).alias("lang"), F.concat(F.lit(f"{text} "), F.repeat(F.lit("x"), F.col("id").cast("int"))).alias("text")
+            )
+        )
+    model = language.fit(rows, most_languages=20)
+    assert len(set(model.languages)) == 20 and set(common) < set(model.languages)
+    assert model.centroids.shape == (len(model.languages), language.FEATURES)
+    assert len(model.languages) <= 20 * language.CENTROIDS
+    # What tasks are sent is the model, whatever the number of values.
+    models = [value for value in sent if isinstance(value, language.Model)]
+    assert models and all(len(m.centroids) <= 20 * language.CENTROIDS for m in models)
+    texts = spark.createDataFrame([(text,) for text in common.values()], "t string")
+    found = texts.select(language.prediction(spark, model, F.col("t")).alias("p")).collect()
+    assert [r.p.lang_pred for r in found] == list(common)
+
+
+def test_prediction_is_the_nearest_centroid_by_hand(spark, documents):
+    """Whole texts against all centroids, one vector at a time."""
+    model = language.fit(documents.where("doc_id % 5 <> 0"))
+    rows = documents.select("text", language.prediction(spark, model, F.col("text")).alias("p")).collect()
+    for r in rows[::7]:
+        if not language.LETTER.search(r.text or ""):
+            assert (r.p.lang_pred, r.p.score, r.p.rejected) == ("und", 0.0, True)
+            continue
+        found = slow_counts(r.text)
+        vector = np.log1p(found) * model.idf
+        vector = vector / np.sqrt((vector * vector).sum())
+        cosines = [float((vector * centroid).sum()) for centroid in model.centroids]
+        best = max(range(len(cosines)), key=lambda i: cosines[i])
+        assert r.p.lang_pred == model.languages[best]
+        assert abs(r.p.score - min(1.0, max(0.0, cosines[best]))) < 1e-5
+        floor = model.floors[int(np.log2(found.sum()))]
+        assert r.p.rejected == (r.p.score < floor)
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     model = language.fit(docs.where("doc_id % 5 <> 0"))
