@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tellerloom.functions.names import ref
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The exact patterns. Guards and possessive quantifiers keep them linear in the length of
@@ -66,6 +68,8 @@ WORDS_AGAINST = "token key id isbn hash secret serial version sha order ref buil
 WORD_CHARACTERS = 24
 # Matches of one text whose places are summed up together.
 BLOCK = 128
+# Code points of a text that spans are replaced in at once.
+STRETCH = 4096
 
 LABELERS = 5
 FOR, NONE, AGAINST = 2, 1, 0
@@ -114,8 +118,10 @@ def _around(parts: Column, matches: Column) -> Column:
     return F.when(count > 0, F.transform(found, one)).otherwise(empty)
 
 
-def _running(steps: Column) -> Column:
-    """Running sums of an array that is not empty.
+def _running(
+    steps: Column, joined: Callable[[Column, Column], Column] = lambda total, x: total + x
+) -> Column:
+    """Running sums, or what else is joined from zero on, of an array that is not empty.
 
     Appending to an array copies it, so sums run inside blocks and over blocks, and a text with very
     many matches stays affordable.
@@ -124,7 +130,7 @@ def _running(steps: Column) -> Column:
 
     def sums(values: Column, start: Column, after: bool) -> Column:
         def step(state: Column, x: Column) -> Column:
-            at = state["at"] + x
+            at = joined(state["at"], x)
             return F.struct(
                 at.alias("at"),
                 F.array_append(state["sums"], at if after else state["at"]).alias("sums"),
@@ -136,7 +142,7 @@ def _running(steps: Column) -> Column:
     zero = F.lit(0).cast("long")
     starts = F.sequence(F.lit(1), F.size(steps), F.lit(BLOCK))
     blocks = F.transform(starts, lambda at: F.slice(steps, at, BLOCK))
-    totals = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda total, x: total + x))
+    totals = F.transform(blocks, lambda b: F.aggregate(b, zero, joined))
     offsets = sums(totals, zero, after=False)
     return F.flatten(F.zip_with(blocks, offsets, lambda b, at: sums(b, at, after=True)))
 
@@ -303,12 +309,24 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A candidate has ``start`` and ``end`` (code points, end exclusive), ``base`` (an exact span that
     passes its check) and ``features``. Loose ones that overlap a base span of any kind are left out. A
-    null text is empty. One row for each of ``docs``, a null id stays null.
+    null text is empty. One row for each of ``docs``, a null id stays null, repeated rows stay repeated,
+    other columns are not looked at, and an empty table gives an empty result.
     """
-    found = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
+    return _found(docs.select(F.col(id_col).cast("long").alias("doc_id"), _text(text_col)), "doc_id")
+
+
+def candidates_in_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Like ``candidates``, with the whole row as a struct ``row`` in place of the id, whatever its names."""
+    whole = F.struct(*[ref(name) for name in docs.columns])
+    return _found(docs.select(whole.alias("row"), _text(text_col)), "row")
+
+
+def _text(text_col: str) -> Column:
+    return F.coalesce(ref(text_col).cast("string"), F.lit("")).alias("text")
+
+
+def _found(found: DataFrame, kept: str) -> DataFrame:
+    """The candidates in ``text``, beside the column ``kept``."""
     sets = [(k, exact) for exact in (True, False) for k in KINDS]
     name = {(k, exact): k if exact else f"{k}_loose" for k, exact in sets}
     pattern = {(k, exact): (EXACT if exact else LOOSE)[k] for k, exact in sets}
@@ -323,16 +341,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     }
     found = found.withColumns(parts).drop("text")
     found = found.select(
-        "doc_id", *[_around(F.col(f"p_{n}"), F.col(f"m_{n}")).alias(n) for n in name.values()]
-    )
-    found = found.select("doc_id", *[_placed(F.col(n)).alias(n) for n in name.values()])
-    found = found.select(
-        "doc_id", *[_candidates(*s, F.col(n)).alias(n) for s, n in name.items()]
+        kept, *[_around(F.col(f"p_{n}"), F.col(f"m_{n}")).alias(n) for n in name.values()]
     )
+    found = found.select(kept, *[_placed(F.col(n)).alias(n) for n in name.values()])
+    found = found.select(kept, *[_candidates(*s, F.col(n)).alias(n) for s, n in name.items()])
     base = F.flatten(F.array(*[F.filter(F.col(k), lambda c: c["base"]) for k in KINDS]))
     found = found.withColumn("base", base)
     return found.select(
-        "doc_id",
+        kept,
         *KINDS,
         *[
             F.filter(F.col(f"{k}_loose"), lambda c: ~_overlaps(c, F.col("base"))).alias(f"{k}_loose")
@@ -431,7 +447,8 @@ def fit(found: DataFrame) -> Model:
 def spans(found: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``base`` and ``all``: sorted arrays of (start, number of the kind, end, kind).
 
-    ``all`` has the base spans and the loose candidates that the classifier takes for real.
+    ``all`` has the base spans and the loose candidates that the classifier takes for real. One row for
+    each of ``found``; of what ``candidates_in_rows`` found, with ``row`` in place of the id.
     """
 
     def plain(number: int, kind: str) -> Callable[[Column], Column]:
@@ -451,7 +468,7 @@ def spans(found: DataFrame, model: Model) -> DataFrame:
         chosen = F.filter(F.col(f"{kind}_loose"), likely(kind))
         added.append(F.transform(chosen, plain(number, kind)))
     return found.select(
-        "doc_id",
+        "row" if "row" in found.columns else "doc_id",
         F.array_sort(F.flatten(F.array(*base))).alias("base"),
         F.array_sort(F.flatten(F.array(*base, *added))).alias("all"),
     )
@@ -470,48 +487,87 @@ def listed(column: str) -> Column:
     )
 
 
-def _mask(model: Model, kind: str, exact: bool) -> Callable[[Column], Column]:
-    """The kind's name for a match that is real, the match itself for any other."""
+def _regions(placed: Column) -> Column:
+    """Overlapping spans as one region, named by the first: start, end, kind, and the end of the one before.
+
+    ``placed`` is sorted by start and not empty.
+    """
+    ends = _running(F.transform(placed, lambda s: s["end"]), lambda most, end: F.greatest(most, end))
+    zero = F.array(F.lit(0).cast("long"))
+    before = F.concat(zero, F.slice(ends, F.lit(1), F.size(ends) - 1))
+
+    def opening(span: Column, end: Column) -> Column:
+        return F.struct(span["start"].alias("start"), span["kind"].alias("kind"), end.alias("before"))
+
+    opened = F.filter(
+        F.zip_with(placed, before, opening), lambda s: s["start"] >= s["before"]
+    )
+    # A region ends where the one after it finds the last end before.
+    reached = F.concat(
+        F.transform(F.slice(opened, F.lit(2), F.size(opened)), lambda s: s["before"]),
+        F.array(F.array_max(ends)),
+    )
+
+    def whole(opened: Column, end: Column) -> Column:
+        return F.struct(*[opened[n].alias(n) for n in ("start", "kind", "before")], end.alias("end"))
+
+    return F.zip_with(opened, reached, whole)
+
+
+def _replaced(stretch: Column, within: Column) -> Column:
+    """A stretch of a text with the names of the kinds in place of the regions ``within`` it."""
+    low = within["low"]
+
+    def beside(place: Column) -> Column:
+        return F.greatest(place - low, F.lit(0).cast("long")).cast("int")
+
+    def piece(region: Column) -> Column:
+        after = beside(region["before"])
+        plain = F.substring(stretch, after + 1, F.greatest(F.lit(0), beside(region["start"]) - after))
+        name = F.concat(F.lit("<"), F.upper(region["kind"]), F.lit(">"))
+        return F.concat(plain, F.when(region["start"] >= low, name).otherwise(""))
+
+    last = F.element_at(within["regions"], -1)["end"]
+    rest = F.substring(stretch, beside(last) + 1, F.lit(STRETCH))
+    pieces = F.array_join(F.transform(within["regions"], piece), "")
+    return F.when(F.size(within["regions"]) > 0, F.concat(pieces, rest)).otherwise(stretch)
+
 
-    def kept(match: Column) -> Column:
-        if exact:
-            real = valid(kind, match["span"])
-        else:
-            features = _features(match, _votes(kind, exact, match))
-            real = model.probability(kind, features) >= THRESHOLD
-        return F.when(real, F.lit(f"<{kind.upper()}>")).otherwise(match["span"])
+def masked_rows(found: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows that ``candidates_in_rows`` has looked at, every span replaced by its kind, like ``<EMAIL>``.
 
-    return kept
+    The spans are those that ``spans`` gives. Of spans that overlap, all they cover is replaced by the kind
+    of the one that starts first, of those that start together the first of KINDS. A text without spans,
+    empty or null stays as it is, and so do all other columns, whatever their names.
+    """
+    text = F.col("row")[text_col].cast("string")
+    placed = spans(found, model).select(
+        "row",
+        F.when(F.size("all") > 0, _regions(F.col("all"))).alias("regions"),
+    )
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{STRETCH}}}"), F.lit(0))
+    cut = placed.withColumn("stretches", F.when(F.col("regions").isNotNull(), cut))
+
+    def within(number: Column) -> Column:
+        low = number.cast("long") * STRETCH
+        regions = F.filter("regions", lambda r: (r["start"] < low + STRETCH) & (r["end"] > low))
+        return F.struct(low.alias("low"), regions.alias("regions"))
+
+    numbers = F.sequence(F.lit(0), F.size("stretches") - 1)
+    cut = cut.withColumn(
+        "within", F.when(F.size("stretches") > 0, F.transform(numbers, within))
+    )
+    whole = F.array_join(F.zip_with("stretches", "within", _replaced), "")
+    result = F.when(F.col("regions").isNotNull(), whole).otherwise(text)
+    names = found.schema["row"].dataType.names
+    return cut.select(
+        *[(result if name == text_col else F.col("row")[name]).alias(name) for name in names]
+    )
 
 
 def masked(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span in ``text_col`` replaced by its kind, like ``<EMAIL>``.
+    """``docs`` with every span in ``text_col`` replaced by its kind; see ``masked_rows``.
 
-    Kinds are taken one after the other, exact patterns before loose ones, each in what the earlier left;
-    so a piece of personal data inside another goes with the first. A text without spans, empty or null
-    stays as it is. Other columns are kept.
+    Repeated rows stay repeated and an empty table gives an empty result.
     """
-    found = docs
-    for exact in (True, False):
-        for kind in KINDS:
-            pattern = (EXACT if exact else LOOSE)[kind]
-            text = F.coalesce(F.col(text_col), F.lit(""))
-            matches, parts, around = "_matches", "_parts", "_around"
-            found = found.withColumn(
-                matches, _matches(text, pattern, HINTS.get((kind, exact), ()))
-            )
-            found = found.withColumn(
-                parts,
-                F.when(F.size(matches) > 0, F.split(text, pattern, -1)).otherwise(
-                    F.array().cast("array<string>")
-                ),
-            )
-            found = found.withColumn(around, _around(F.col(parts), F.col(matches)))
-
-            kept = _mask(model, kind, exact)
-            replaced = F.concat(F.transform(around, kept), F.array(F.lit("")))
-            whole = F.array_join(F.zip_with(parts, replaced, lambda a, b: F.concat(a, b)), "")
-            found = found.withColumn(
-                text_col, F.when(F.size(matches) > 0, whole).otherwise(F.col(text_col))
-            ).drop(matches, parts, around)
-    return found
+    return masked_rows(candidates_in_rows(docs, text_col), model, text_col)

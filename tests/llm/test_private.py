@@ -168,6 +168,57 @@ def test_masks_against_plain_substitution(spark):
         assert got[doc.doc_id] == mask_slowly(doc.text)
 
 
+def mask_spans(text, spans):
+    """Spans as (start, number, end, kind), sorted, overlapping ones replaced as one."""
+    out, at = [], 0
+    i = 0
+    while i < len(spans):
+        start, _, end, kind = spans[i]
+        while i < len(spans) and spans[i][0] < max(end, start + 1):
+            end = max(end, spans[i][2])
+            i += 1
+        out += [text[at:start], f"<{kind.upper()}>"]
+        at = end
+    return "".join(out) + text[at:]
+
+
+@pytest.mark.parametrize("stretch", [private.STRETCH, 3])
+def test_masks_are_at_the_spans(spark, monkeypatch, stretch):
+    """Texts in which spans touch, overlap and cross the stretches that are looked at."""
+    monkeypatch.setattr(private, "STRETCH", stretch)
+    rng = random.Random(11)
+    pieces = ["a@b.co", "1.2.3.4", "4111111111111111", "+4111111111111111", "+1 (212) 555-0187", " ", "x", "🙂é"]
+    pieces += ["378282246310005@mail.com", ",", "+49 30 1234567", "\n"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 30))) for _ in range(150)]
+    texts += [" ".join(["a@b.co", "1.2.3.4"] * 900)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = private.candidates(docs)
+    model = private.fit(found)
+    all_spans = {
+        r.doc_id: [(s.start, s.number, s.end, s.kind) for s in r.all]
+        for r in private.spans(found, model).collect()
+    }
+    got = {r.doc_id: r.text for r in private.masked(docs, model).collect()}
+    overlapping = 0
+    for i, text in enumerate(texts):
+        assert got[i] == mask_spans(text, all_spans[i])
+        overlapping += any(a[2] > b[0] for a, b in zip(all_spans[i], all_spans[i][1:]))
+    assert overlapping > 5
+
+
+def test_masking_keeps_columns_of_any_name(spark):
+    names = "_matches _parts _around row regions stretches within all base email doc_id".split()
+    docs = spark.createDataFrame(
+        [("mail a@b.co", *range(len(names))), (None, *range(len(names)))],
+        "text string, " + ", ".join(f"{n} int" for n in names),
+    ).withColumn("a.b `c`", F.lit("x"))
+    masked = private.masked(docs, private.fit(private.candidates(docs)))
+    assert masked.columns == docs.columns
+    rows = masked.collect()
+    assert [r.text for r in rows] == ["mail <EMAIL>", None]
+    assert all(tuple(r)[1:] == (*range(len(names)), "x") for r in rows)
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     found = private.candidates(docs)
