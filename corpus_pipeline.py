@@ -75,11 +75,12 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in their texts replaced by its kind, ``n_chars`` counted anew.
 
-    Null texts stay null.
+    What is replaced are the spans that the operator finds, overlapping ones as one. Patterns are looked
+    for once: the rows are stored with their candidates. Null texts stay null.
     """
-    docs = docs.select(*COLUMNS)
-    found = Staging(spark).table(private.candidates(docs), "candidates")
-    masked = private.masked(docs, private.fit(found))
+    candidates = private.candidates_in_rows(docs.select(*COLUMNS))
+    found = Staging(spark).table(candidates, "candidates")
+    masked = private.masked_rows(found, private.fit(found))
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
