@@ -11,9 +11,9 @@ block, so whatever nodes have for one another goes from block to block in packed
 every block that needs it.
 
 A node may be near to very many others, so a block may hear from any number of blocks and queries. What is
-said to it is therefore chosen from in a tree, each step taking some rows of a block, and those who ask it
-are dealt into slices that each get the vectors of the block. So a group holds the nodes of one block and
-at most a fixed number of rows of others, on average, whatever the table.
+said to it is therefore chosen from in a tree, each step taking some of it, and those who ask it are dealt
+into slices that each get the vectors of the block. So a group holds the nodes of one block and, on
+average, at most a fixed size of what others send, whatever the table.
 """
 
 from __future__ import annotations
@@ -43,9 +43,9 @@ ROUNDS = 12
 # Nodes a search keeps and follows.
 BEAM = 64
 SAMPLE = 2048
-# Rows for one block that meet in one group: messages that are chosen from, and blocks or queries that ask.
-MESSAGES = 64
-ASKING = 1024
+# What meets in one group of a block: bytes of messages that are chosen from, and nodes that are asked for.
+MESSAGE_BYTES = 1 << 26
+ASKED = 1 << 18
 
 #: Another node, its block, the squared distance, and whether it was no neighbour in the round before.
 NEAR = np.dtype([("id", "<i8"), ("home", "<i8"), ("d", "<f8"), ("new", "u1")])
@@ -308,18 +308,30 @@ def _whole(table: pa.Table) -> pa.RecordBatch:
     )
 
 
-def _counted(rows: DataFrame, staging: Staging) -> DataFrame:
-    """``rows`` as a table, each with the number of ``rows`` of its ``block`` and a ``ticket`` of its own."""
+def _with_tickets(
+    rows: DataFrame, load: Column, staging: Staging
+) -> tuple[DataFrame, int, int]:
+    """``rows`` as a table with their ``load`` and a ``ticket`` each; their number, the most for a block."""
     ticket = F.monotonically_increasing_id().alias("ticket")
-    rows, total = staging.counted(rows.select("*", ticket), "counted")
-    return with_summary(rows, "block", F.count(F.lit(1)), "rows", total)
+    rows, total = staging.counted(rows.select("*", load.alias("load"), ticket), "rows")
+    most = rows.groupBy("block").agg(F.sum("load").alias("load")).agg(F.max("load")).first()[0]
+    return rows, total, most or 0
+
+
+def _dealt(rows: DataFrame, total: int, limit: int) -> DataFrame:
+    """``rows`` of crowded blocks in so many slices that each has at most the limit, on average."""
+    loaded = with_summary(rows, "block", F.sum("load"), "held", total)
+    slices = F.ceil(F.col("held") / F.lit(limit)).cast("int")
+    slice_of = F.pmod(F.xxhash64("ticket"), slices).cast("int")
+    return loaded.withColumns({"slice": slice_of, "slices": slices}).drop("held", "load", "ticket")
 
 
 def _gathered(rows: DataFrame, kind: np.dtype, choose, staging: Staging) -> DataFrame:
-    """The messages to each ``block``, entries of ``kind`` in one packed column, as few enough rows.
+    """The messages to each ``block``, entries of ``kind`` in one packed column, as few enough bytes.
 
     ``choose`` says which of some entries stay; choosing from what was chosen gives what choosing from all
-    gives. Blocks with more than MESSAGES rows choose within groups of them, again and again.
+    gives. Blocks with more than MESSAGE_BYTES choose within slices of them, again and again until what is
+    left is no more than that, or in one row.
     """
     column = next(name for name in rows.columns if name != "block")
 
@@ -328,17 +340,19 @@ def _gathered(rows: DataFrame, kind: np.dtype, choose, staging: Staging) -> Data
         kept = choose(entries).tobytes()
         return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), column: [kept]})
 
+    before = None
     while True:
-        counted = _counted(rows, staging)
-        if (counted.agg(F.max("rows")).first()[0] or 0) <= MESSAGES:
-            return counted.select("block", column)
-        # Twice as many groups as needed, so that those of unequal size are small enough.
-        groups = F.ceil(F.col("rows") * 2 / F.lit(MESSAGES))
-        many = counted.where(F.col("rows") > MESSAGES)
-        few = counted.where(F.col("rows") <= MESSAGES).select("block", column)
+        rows, total, most = _with_tickets(rows, F.length(column).cast("long"), staging)
+        if most <= MESSAGE_BYTES or total == before:
+            return rows.select("block", column)
+        before = total
+        # Twice as many slices as needed, so that those of unequal size are small enough.
+        dealt = _dealt(rows, total, max(1, MESSAGE_BYTES // 2))
+        few = dealt.where("slices <= 2").select("block", column)
         rows = few.unionByName(
-            many.select("block", F.pmod(F.xxhash64("ticket"), groups).alias("group"), column)
-            .groupBy("block", "group")
+            dealt.where("slices > 2")
+            .select("block", "slice", column)
+            .groupBy("block", "slice")
             .applyInArrow(chosen, f"block long, {column} binary")
         )
 
@@ -346,14 +360,17 @@ def _gathered(rows: DataFrame, kind: np.dtype, choose, staging: Staging) -> Data
 def _sliced(
     asking: DataFrame, vectors: DataFrame, staging: Staging
 ) -> tuple[DataFrame, DataFrame]:
-    """Both with a ``slice``: the rows that ask a block dealt to some, and the block's vectors in each."""
-    counted = _counted(asking, staging)
-    slices = F.ceil(F.col("rows") / F.lit(ASKING)).cast("int")
-    dealt = counted.withColumn("slice", F.pmod(F.xxhash64("ticket"), slices).cast("int"))
+    """Both with a ``slice``: the rows that ask a block dealt to some, and the block's vectors in each.
+
+    What a row asks for are the packed ids in ``nodes``.
+    """
+    asking, total, most = _with_tickets(asking, (F.length("nodes") / 8).cast("long"), staging)
+    if most <= ASKED:
+        only = F.lit(0).alias("slice")
+        return asking.drop("load", "ticket").select("*", only), vectors.select("*", only)
+    dealt = _dealt(asking, total, ASKED)
     crowded = (
-        counted.where(F.col("rows") > ASKING)
-        .groupBy("block")
-        .agg(F.max(slices).alias("slices"))
+        dealt.where("slices > 1").groupBy("block").agg(F.max("slices").alias("slices"))
     )
     last = F.coalesce("slices", F.lit(1)) - 1
     copied = (
@@ -361,7 +378,7 @@ def _sliced(
         .withColumn("slice", F.explode(F.sequence(F.lit(0), last)))
         .drop("slices")
     )
-    return dealt.drop("rows", "ticket"), copied
+    return dealt.drop("slices"), copied
 
 
 def _meetings(graph: DataFrame, number: int, staging: Staging) -> DataFrame:

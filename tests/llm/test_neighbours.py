@@ -81,7 +81,7 @@ def test_rounds_and_search_on_many_blocks(spark, monkeypatch):
 def hub_rows():
     """A cloud of points far from one another, all of them near to few hubs in the middle."""
     rng = np.random.default_rng(8)
-    points = rng.normal(size=(1500, 24))
+    points = rng.normal(size=(500, 24))
     points /= np.linalg.norm(points, axis=1)[:, None]
     hubs = 0.02 * rng.normal(size=(5, 24))
     return [(i, v) for i, v in enumerate(np.concatenate([hubs, points]).tolist())]
@@ -89,47 +89,46 @@ def hub_rows():
 
 def test_a_group_is_bounded_where_all_are_near_to_few_hubs(spark, monkeypatch):
     monkeypatch.setattr(nn, "BLOCK", 16)
-    monkeypatch.setattr(nn, "MESSAGES", 8)
-    monkeypatch.setattr(nn, "ASKING", 12)
+    messages, asked = 60_000, 100
+    monkeypatch.setattr(nn, "MESSAGE_BYTES", messages)
+    monkeypatch.setattr(nn, "ASKED", asked)
     sizes = {"choose": [], "ask": []}
     gathered, sliced = nn._gathered, nn._sliced
 
+    def most(rows, load, *keys):
+        return rows.groupBy(*keys).agg(F.sum(load).alias("n")).agg(F.max("n")).first()[0] or 0
+
     def spy_gathered(rows, kind, choose, staging):
-        given = rows.groupBy("block").count().agg(F.max("count")).first()[0]
+        load = F.length(rows.columns[-1])
         found = gathered(rows, kind, choose, staging)
-        sizes["choose"].append((given, found.groupBy("block").count().agg(F.max("count")).first()[0]))
+        sizes["choose"].append((most(rows, load, "block"), most(found, load, "block")))
         return found
 
     def spy_sliced(asking, vectors, staging):
         dealt, copied = sliced(asking, vectors, staging)
-        given = dealt.groupBy("block").count().agg(F.max("count")).first()[0]
-        most = dealt.groupBy("block", "slice").count().agg(F.max("count")).first()[0]
-        nodes = copied.groupBy("block", "slice").count().agg(F.max("count")).first()[0]
-        sizes["ask"].append((given, most, nodes))
-        assert dealt.join(copied.select("block", "slice").distinct(), ["block", "slice"]).count() == (
-            dealt.count()
-        )
+        load = F.length("nodes") / 8
+        sizes["ask"].append((most(dealt, load, "block"), most(dealt, load, "block", "slice")))
+        assert most(copied, F.lit(1), "block", "slice") <= 16
+        slices = copied.select("block", "slice").distinct()
+        assert dealt.join(slices, ["block", "slice"]).count() == dealt.count()
         return dealt, copied
 
     monkeypatch.setattr(nn, "_gathered", spy_gathered)
     monkeypatch.setattr(nn, "_sliced", spy_sliced)
-    with_small_batches = {"spark.sql.execution.arrow.maxRecordsPerBatch": "20"}
-    for key, value in with_small_batches.items():
-        spark.conf.set(key, value)
+    small_batches = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(small_batches, "20")
     try:
         rows = hub_rows()
         got = collected(nn.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0))
     finally:
-        for key in with_small_batches:
-            spark.conf.unset(key)
+        spark.conf.unset(small_batches)
     want = slow(rows, lambda i: i % 20 == 0)
     hits = sum(len({j for _, j in got[i]} & {j for _, j in near}) for i, near in want.items())
     assert hits >= 0.9 * sum(map(len, want.values()))
-    assert max(given for given, _ in sizes["choose"]) > 5 * 8
-    assert max(most for _, most in sizes["choose"]) <= 8
-    assert max(given for given, _, _ in sizes["ask"]) > 5 * 12
-    assert max(most for _, most, _ in sizes["ask"]) <= 3 * 12
-    assert max(nodes for _, _, nodes in sizes["ask"]) <= 16
+    assert max(given for given, _ in sizes["choose"]) > 2 * messages
+    assert max(left for _, left in sizes["choose"]) <= messages
+    assert max(given for given, _ in sizes["ask"]) > 4 * asked
+    assert max(in_slice for _, in_slice in sizes["ask"]) <= 3 * asked
 
 
 def test_choosing_from_the_chosen_is_choosing_from_all():
