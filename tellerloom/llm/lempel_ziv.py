@@ -9,6 +9,7 @@ Nicholas, 2017).
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,11 @@ from tellerloom.llm.common import thinned
 KEPT = 128
 # Characters up to which a text is parsed phrase by phrase, and of the pieces a longer one is parsed by.
 LONG_TEXT, PIECE = 1 << 17, 64
-# Ids sampled for each bucket of ids, and the most buckets; a bucket is read as a stream.
-SAMPLED_IDS = 32
+# Rows sampled for each bucket, and the most buckets; a bucket is read as a stream. Rows of one id, or
+# without one, are told apart by a beginning of the text.
+SAMPLED_ROWS = 32
 MAX_BUCKETS = 100_000
+BEGINNING = 64
 
 
 def phrases(text: str) -> set[str]:
@@ -129,48 +132,58 @@ def similarity(a: Column, b: Column, kept: int = KEPT) -> Column:
     return compared(a, b)
 
 
-def _bounds(ids: DataFrame, buckets: int) -> list[int]:
-    """Ids that split the table into about equal buckets, from a hashed sample of known size.
+# What rows are in order of: ids from the largest, those without one last, and beginnings of texts.
+Place = tuple[bool, int, str]
+
+
+def _place(doc_id: int | None, beginning: str) -> Place:
+    return doc_id is None, 0 if doc_id is None else ~doc_id, beginning
+
+
+def _bounds(rows: DataFrame, buckets: int) -> list[Place]:
+    """Places that split the table into about equal buckets, from a hashed sample of known size.
 
     The buckets themselves hold every row; the sample only decides how even they are.
     """
-    wanted = SAMPLED_IDS * buckets
-    known = ids.select("doc_id").where("doc_id is not null")
-    chosen = known.where(thinned(F.xxhash64("doc_id"), wanted, known.count())).limit(2 * wanted)
-    found = np.sort(chosen.toArrow()["doc_id"].to_numpy())
-    at = np.arange(1, buckets) * len(found) // buckets
-    return sorted(set(found[at].tolist())) if len(found) else []
+    wanted = SAMPLED_ROWS * buckets
+    rows = rows.select("doc_id", "beginning")
+    chosen = rows.where(thinned(F.xxhash64("doc_id", "beginning"), wanted, rows.count()))
+    table = chosen.limit(2 * wanted).toArrow()
+    found = sorted(map(_place, table["doc_id"].to_pylist(), table["beginning"].to_pylist()))
+    if not found:
+        return []
+    return sorted({found[i * len(found) // buckets] for i in range(1, buckets)})
 
 
 def in_turn(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
-    """Every row in its bucket of ids, and with each bucket the first row of the next one.
+    """Every row in its bucket, and with each bucket the first rows of the next one.
 
-    Columns ``bucket``, ``foreign`` (true for the row from the next bucket, or from the first after the
-    last), ``doc_id`` and ``text``. Buckets run from the largest ids to the smallest; rows without an
-    id come last.
+    Columns ``bucket``, ``foreign`` (true for rows from the next bucket, or from the first after the
+    last, those of its first id and beginning), ``doc_id`` and ``text``. Buckets run from the largest ids
+    to the smallest; rows without an id come last. An id that very many rows have takes several buckets.
     """
     keyed = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    )
-    bounds = np.array(_bounds(keyed, buckets), np.int64)
+    ).withColumn("beginning", F.substring("text", 1, BEGINNING))
+    bounds = _bounds(keyed, buckets)
 
     @F.arrow_udf("int")
-    def bucket_of(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in ids:
-            values = column.fill_null(0).to_numpy()
-            at = len(bounds) - np.searchsorted(bounds, values, side="right")
-            at[column.is_null().to_numpy(zero_copy_only=False)] = len(bounds)
-            yield pa.array(at, pa.int32())
-
-    placed = keyed.withColumn("bucket", bucket_of("doc_id"))
+    def bucket_of(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for ids, beginnings in columns:
+            places = map(_place, ids.to_pylist(), beginnings.to_pylist())
+            yield pa.array([bisect_right(bounds, place) for place in places], pa.int32())
+
+    placed = keyed.withColumn("bucket", bucket_of("doc_id", "beginning"))
     # One row a bucket.
-    heads = placed.groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).collect()
-    heads = sorted((r["bucket"], r["doc_id"]) for r in heads)
-    before = [(heads[i - 1][0], head) for i, (_, head) in enumerate(heads)]
-    spark = docs.sparkSession
-    first = spark.createDataFrame(before, "to int, head long")
-    foreign = keyed.join(F.broadcast(first), F.col("doc_id").eqNullSafe(F.col("head"))).select(
+    place = F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), "beginning", "doc_id")
+    least = placed.groupBy("bucket").agg(F.min(place).alias("least"))
+    heads = least.select("bucket", "least.doc_id", "least.beginning").collect()
+    heads.sort(key=lambda r: r["bucket"])
+    before = [(heads[i - 1]["bucket"], h["doc_id"], h["beginning"]) for i, h in enumerate(heads)]
+    first = docs.sparkSession.createDataFrame(before, "to int, head long, starts string")
+    same = F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("beginning") == F.col("starts"))
+    foreign = keyed.join(F.broadcast(first), same).select(
         F.col("to").alias("bucket"), F.lit(True).alias("foreign"), "doc_id", "text"
     )
     own = placed.select("bucket", F.lit(False).alias("foreign"), "doc_id", "text")
@@ -199,7 +212,8 @@ def neighbours(
     columns beyond the two are not looked at, whatever their names, and an empty table gives an empty
     result. Two texts have to fit in a task, of any length.
 
-    Texts are shuffled once, by buckets of ids; a task goes through its rows in order and holds two.
+    Texts are shuffled once, by buckets of ids and, within an id, of beginnings of texts; a task goes
+    through its rows in order and holds two.
     """
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -93,6 +93,22 @@ def test_odd_rows(spark, buckets):
     assert lz.neighbours(no_documents(spark)).count() == 0
 
 
+@pytest.mark.parametrize("buckets", [1, 9])
+def test_rows_of_one_id_or_none_take_several_buckets(spark, buckets):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcd ", k=rng.randint(0, 40))) for _ in range(120)]
+    rows = [(rng.choice([None, None, 7, 7, 7, i]), t) for i, t in enumerate(texts)]
+    rows += [(7, "x" * 100 + c) for c in "cab"] + [(None, "same")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lz.neighbours(docs, buckets=buckets).collect()
+    assert sorted((str(r.doc_id), *tuple(r)[1:]) for r in found) == slow_rows(rows)
+    dealt = lz.in_turn(docs, "doc_id", "text", buckets).where("not foreign")
+    sizes = {r["bucket"]: r["count"] for r in dealt.groupBy("bucket").count().collect()}
+    assert sum(sizes.values()) == len(rows)
+    if buckets > 1:
+        assert len(sizes) > 5 and max(sizes.values()) < len(rows) / 3
+
+
 def test_columns_of_fingerprints(spark):
     rows = spark.createDataFrame([("abcabcabc", "abcabcabd"), (None, "")], "a string, b string")
     prints = rows.select(lz.fingerprint(rows.a).alias("a"), lz.fingerprint(rows.b).alias("b"))
