@@ -41,7 +41,7 @@ CLASSES = 512
 ENDING = 3
 STATES = 8
 # Rounds end when a token gains less than so many digits by the last one, or at the limit.
-SETTLED = 0.002
+SETTLED = 0.005
 ROUNDS = 12
 # Texts of the sample, the tokens of the block that is taken of each, and the rounds over it.
 SEED_TEXTS = 1024

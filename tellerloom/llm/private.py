@@ -400,7 +400,7 @@ def fit(found: DataFrame) -> Model:
 
     One aggregation counts how often each feature value goes with each vote pattern of a kind: at most
     4 * 243 * (243 + 4 * 64) groups, whatever the number of documents. A kind without candidates gets a
-    classifier that adds nothing.
+    classifier that adds nothing, so do all kinds of an empty table. Repeated rows count as often.
     """
 
     def numbered(number: int) -> Callable[[Column], Column]:

@@ -120,7 +120,8 @@ def fit(
     count in both.
 
     With labels of one class only, or none, every score is its share, 0.5 without labels; so it is where no
-    document has a label of one of the classes. Columns beyond those named are not looked at.
+    document has a label of one of the classes, as in an empty table. Columns beyond those named are not
+    looked at, whatever their names.
     """
     marked = labels.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")
@@ -179,7 +180,11 @@ def fit(
 
 
 def score(spark, model: Model, text: Column) -> Column:
-    """The probability that a text is good, from the whole text alone; null and empty texts too."""
+    """The probability that a text is good, from the whole text alone, of any length.
+
+    Null and empty texts have a score like any other; equal texts have equal scores. An empty table gives
+    an empty result.
+    """
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

@@ -49,14 +49,13 @@ def in_sql(pages: list[tuple]) -> tuple[list[str], list[tuple]]:
     return names, rows(names, cursor.fetchall())
 
 
-@pytest.mark.parametrize("slice_links", [url_filters.SLICE_LINKS, 2])
-def test_verdicts_are_those_of_sql(spark, slice_links):
+def test_verdicts_are_those_of_sql(spark):
     pages = made(300, 1) + made(100, 2, HOSTS[:3])
     pages += pages[:5]
     frame = spark.createDataFrame(pages, SCHEMA).selectExpr(
         "*", "1 AS host", "'x' AS verdict", "2 AS kind", "3 AS slice", "4 AS place", "5 AS score"
     )
-    columns, got = spark_rows(url_filters.verdicts(frame, slice_links=slice_links))
+    columns, got = spark_rows(url_filters.verdicts(frame, slice_links=2))
     names, expected = in_sql(pages)
     assert columns == sorted(names)
     assert got == expected
