@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tellerloom.specs import JOINED_COLUMNS, MASTER
+from tellerloom.specs import JOINED_COLUMNS, MASTER, SPECS
 
 _TEXTS = [
     field.name for field in MASTER.schema
@@ -187,6 +187,14 @@ _FULL_MASTER_COLUMNS = ", ".join(
     f"""coalesce("{name}", '-') AS "{name}" """ for name in (*_TEXTS, "NationalID", "Country", "State")
 )
 
+_DESCRIBED = INPUTS + " UNION ALL ".join(
+    f"""SELECT '{name}' AS dataset, {position} AS position, '{field.name}' AS "column",
+        '{field.dataType.simpleString()}' AS type, count("{field.name}") AS filled,
+        count(*) - count("{field.name}") AS empty FROM {table}"""
+    for name, table in (("transactions", "tx"), ("comptes_bancaires", "acc"), ("info_global", "mas"))
+    for position, field in enumerate(SPECS[name].schema, 1)
+)
+
 _QUALITY = f"""{INPUTS},
     raw_tx AS (
       SELECT * FROM tx
@@ -276,6 +284,7 @@ ORACLE: dict[str, str] = {
     "typed_ingest_transactions": f"WITH {TX} SELECT * FROM tx",
     "typed_ingest_folder": f"WITH {TX} SELECT * FROM tx",
     "typed_ingest_accounts": f"WITH {ACC} SELECT * FROM acc",
+    "described_datasets": _DESCRIBED,
     "typed_ingest_master": f"WITH {MAS} SELECT {_MASTER_COLUMNS} FROM mas",
     "typed_stored_transactions": f"""WITH {TX}
         SELECT * REPLACE (date_trunc('day', "DateTransaction") AS "DateTransaction") FROM tx""",

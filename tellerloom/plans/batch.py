@@ -48,6 +48,23 @@ def preview(df: DataFrame, rows: int = 5, truncate: bool = True) -> None:
         df.show(rows, truncate=truncate)
 
 
+def described(df: DataFrame) -> DataFrame:
+    """A frame's schema as a table: a row a column, with how many values it holds and lacks; one pass."""
+    rows = F.col("rows")
+    counts = [F.count(ref(f.name)).alias(f"n{i}") for i, f in enumerate(df.schema.fields)]
+    columns = [
+        F.struct(
+            F.lit(i + 1).alias("position"),
+            F.lit(field.name).alias("column"),
+            F.lit(field.dataType.simpleString()).alias("type"),
+            F.col(f"n{i}").alias("filled"),
+            (rows - F.col(f"n{i}")).alias("empty"),
+        )
+        for i, field in enumerate(df.schema.fields)
+    ]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *counts).select(F.inline(F.array(*columns)))
+
+
 def marts(
     prepared: Mapping[str, DataFrame],
     staging: Staging,

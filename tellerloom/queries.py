@@ -331,6 +331,16 @@ def typed_ingest_folder(spark: SparkSession, folder: str) -> DataFrame:
     return ops.conform(read_delimited(spark, f"{root}/several", ";"), TRANSACTIONS)
 
 
+@query
+def described_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns, types and gaps of the typed datasets."""
+    parts = [
+        plans.described(_ingested(spark, folder, name)).select(F.lit(name).alias("dataset"), "*")
+        for name in SPECS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def typed_stored_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions stored with other types than the declared ones."""

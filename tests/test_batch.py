@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tellerloom import standin
 from tellerloom.operators import quality_report
 from tellerloom.plans import (
-    prepare, prepared_tables, preview, run_pipeline, stage_enrich, stage_marts, stage_prepare,
+    described, prepare, prepared_tables, preview, run_pipeline, stage_enrich, stage_marts, stage_prepare,
     stage_prepare_checked, stage_quality,
 )
 from tellerloom.plans.prepare import side_by_side
@@ -114,6 +114,14 @@ def test_quality_report_finds_repeated_keys(spark):
     assert got["info_global", "rows_kept"] == 300 and got["info_global", "repeated_keys"] == 150
 
 
+def test_described_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (None, None, 3.0)], "rows int, `a.b` string, n0 double")
+    assert [tuple(r) for r in described(df).collect()] == [
+        (1, "rows", "int", 1, 1), (2, "a.b", "string", 0, 2), (3, "n0", "double", 2, 0),
+    ]
+    assert [r.filled for r in described(df.limit(0)).collect()] == [0, 0, 0]
+
+
 def test_preview(spark, capsys):
     preview(spark.range(3), 2)
     printed = capsys.readouterr().out
