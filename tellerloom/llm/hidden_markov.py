@@ -295,12 +295,14 @@ def log10_likelihood(chain: Chain, sequences: list[np.ndarray]) -> np.ndarray:
     result = np.zeros(len(sequences))
     for chosen, symbols, going in batches_of(sequences):
         total = np.zeros(len(chosen))
+        each = np.ones(len(chain.start))
         forward = chain.start * chain.emit[symbols[0]]
         for t in range(len(symbols)):
             n = going[t]
             if t:
-                forward = (forward[:n] @ chain.move) * chain.emit[symbols[t, :n]]
-            scale = forward.sum(axis=1)
+                forward = forward[:n] @ chain.move
+                forward *= chain.emit[symbols[t, :n]]
+            scale = forward @ each
             forward /= scale[:, None]
             total[:n] += np.log10(scale)
         result[chosen] = total
@@ -377,37 +379,40 @@ class Expected:
     def _add(self, chain: Chain, symbols: np.ndarray, going: np.ndarray) -> None:
         length, width = symbols.shape
         states = len(chain.start)
+        each = np.ones(states)
         forward = np.zeros((length, width, states))
-        later = np.zeros((length, width, states))
         scales = np.ones((length, width))
-        now = chain.start * chain.emit[symbols[0]]
+        weights = chain.emit[symbols]
+        now = chain.start * weights[0]
         for t in range(length):
             n = going[t]
             if t:
-                now = (now[:n] @ chain.move) * chain.emit[symbols[t, :n]]
-            scale = now.sum(axis=1)
-            now = now / scale[:, None]
+                now = now[:n] @ chain.move
+                now *= weights[t, :n]
+            scales[t, :n] = now @ each
+            now /= scales[t, :n, None]
             forward[t, :n] = now
-            scales[t, :n] = scale
         self.log += float(np.log10(scales).sum())
-        # later[t]: emission times backward value over the scale, what a move into t is weighted by.
+        # Emission times backward value over the scale, what a move into t is weighted by.
+        weights /= scales[:, :, None]
         back = np.ones((going[-1], states))
+        back_move = np.ascontiguousarray(chain.move.T)
         real = np.zeros((length, width, states))
         for t in range(length - 1, -1, -1):
             n = going[t]
             if len(back) < n:
                 back = np.concatenate([back, np.ones((n - len(back), states))])
-            real[t, :n] = forward[t, :n] * back
-            if t:
-                later[t, :n] = chain.emit[symbols[t, :n]] * back / scales[t, :n, None]
-                back = later[t, :n] @ chain.move.T
+            np.multiply(forward[t, :n], back, out=real[t, :n])
+            weights[t, n:] = 0
+            weights[t, :n] *= back
+            back = weights[t, :n] @ back_move
         self.start += real[0].sum(axis=0)
         before = forward[:-1].reshape(-1, states)
-        self.move += chain.move * (before.T @ later[1:].reshape(-1, states))
+        self.move += chain.move * (before.T @ weights[1:].reshape(-1, states))
         flat = symbols.ravel()
         for state in range(states):
-            weight = real[:, :, state].ravel()
-            self.emit[state] += np.bincount(flat, weights=weight, minlength=self.emit.shape[1])
+            share = np.ascontiguousarray(real[:, :, state]).ravel()
+            self.emit[state] += np.bincount(flat, weights=share, minlength=self.emit.shape[1])
 
     def chain(self, shares: np.ndarray) -> Chain:
         """The next model: moves and starts with one more of each, emissions smoothed to ``shares``."""
