@@ -41,14 +41,22 @@ def phrases(text: str) -> set[str]:
     if len(text) > LONG_TEXT:
         return phrases_by_pieces(text)
     seen: set[str] = set()
+    parse_on(seen, "", text)
+    return seen
+
+
+def parse_on(seen: set[str], phrase: str, text: str) -> str:
+    """Add the phrases of a text to those ``seen`` before it, of which ``phrase`` is still open.
+
+    What is open at its end.
+    """
     add = seen.add
-    phrase = ""
     for character in text:
         phrase += character
         if phrase not in seen:
             add(phrase)
             phrase = ""
-    return seen
+    return phrase
 
 
 def phrases_by_pieces(text: str, size: int = PIECE) -> set[str]:
@@ -77,15 +85,53 @@ def phrases_by_pieces(text: str, size: int = PIECE) -> set[str]:
     return root
 
 
+def hashes(found: set[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh32_intdigest, found), np.uint32, len(found))
+
+
+def smallest(found: np.ndarray, kept: int = KEPT) -> np.ndarray:
+    """The smallest distinct hashes, ascending."""
+    if len(found) > 4 * kept:
+        # Room for hashes that occur twice.
+        found = np.partition(found, 2 * kept)[: 2 * kept]
+    return np.unique(found)[:kept]
+
+
 def signature(text: str, kept: int = KEPT) -> np.ndarray:
     """The smallest distinct 32-bit hashes of the phrases, ascending."""
-    found = phrases(text)
-    digest = xxhash.xxh32_intdigest
-    hashes = np.fromiter(map(digest, found), np.uint32, len(found))
-    if len(hashes) > 4 * kept:
-        # Room for hashes that occur twice.
-        hashes = np.partition(hashes, 2 * kept)[: 2 * kept]
-    return np.unique(hashes)[:kept]
+    return smallest(hashes(phrases(text)), kept)
+
+
+class Halves:
+    """A text parsed up to its edit, from where both it and its edited text go on.
+
+    ``own`` is the signature of the text, the same that ``signature`` gives.
+    """
+
+    def __init__(self, text: str, kept: int = KEPT):
+        self.text, self.kept = text, kept
+        self.long = len(text) > LONG_TEXT
+        if self.long:
+            self.own = signature(text, kept)
+            return
+        cut = len(text) - len(text) // 2
+        self.seen: set[str] = set()
+        self.open = parse_on(self.seen, "", text[:cut])
+        self.hashes = hashes(self.seen)
+        self.own = self._with(text[cut:])
+
+    def _with(self, rest: str) -> np.ndarray:
+        every = self.seen.copy()
+        parse_on(every, self.open, rest)
+        return smallest(np.concatenate([self.hashes, hashes(every - self.seen)]), self.kept)
+
+    def edited(self, following: str) -> tuple[str, np.ndarray]:
+        """The edited text and its signature."""
+        changed = edited(self.text, following)
+        half = len(self.text) // 2
+        if self.long:
+            return changed, signature(changed, self.kept)
+        return changed, self._with(following[:half])
 
 
 def likeness(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
@@ -234,20 +280,20 @@ def neighbours(
                 if foreign and not wanted:
                     before = None
                     continue
-                own = signature(text, kept)
+                halves = Halves(text, kept)
                 if wanted:
-                    out.append(compared(before, text, own))
-                before = None if foreign else (bucket, doc_id, text, own)
+                    out.append(compared(before, text, halves.own))
+                before = None if foreign else (bucket, doc_id, halves)
             if out:
                 yield pa.RecordBatch.from_pylist(out, SCHEMA)
 
     def compared(before: tuple, following: str, after: np.ndarray) -> dict:
-        _, doc_id, text, own = before
-        changed = edited(text, following)
-        other = signature(changed, kept)
+        _, doc_id, halves = before
+        own = halves.own
+        changed, other = halves.edited(following)
         return {
             "doc_id": doc_id,
-            "n_chars": len(text),
+            "n_chars": len(halves.text),
             "edited_sha256": hashlib.sha256(changed.encode()).hexdigest(),
             "fingerprint": as_text(own),
             "edited_fingerprint": as_text(other),

@@ -128,6 +128,20 @@ def test_pieces_give_the_phrases_of_the_whole(size):
         assert lz.phrases_by_pieces(text, size) == lz.phrases(text)
 
 
+@pytest.mark.parametrize("long", [lz.LONG_TEXT, 20])
+def test_halves_give_the_signatures_of_the_whole(monkeypatch, long):
+    monkeypatch.setattr(lz, "LONG_TEXT", long)
+    rng = random.Random(9)
+    texts = ["", "a", "ab", "aaa"] + ["".join(rng.choices("aab é🙂", k=rng.randint(0, 900))) for _ in range(60)]
+    for text, following in zip(texts, texts[1:] + texts[:1], strict=True):
+        for kept in (lz.KEPT, 3):
+            halves = lz.Halves(text, kept)
+            assert (halves.own == lz.signature(text, kept)).all()
+            changed, found = halves.edited(following)
+            assert changed == lz.edited(text, following)
+            assert (found == lz.signature(changed, kept)).all()
+
+
 def test_long_texts_take_a_time_in_proportion(monkeypatch):
     taken = []
     for n in (2_000_000, 8_000_000):
